@@ -48,6 +48,12 @@ def partition_value(path: Column, name: str, strict: bool = True) -> Column:
     return extract_timestamp(extract_partition(path, name, strict), name, strict)
 
 
+def plain_path(path: Column) -> Column:
+    """A row's ``_metadata.file_path`` as a file listing spells it: decoded, with one slash after ``file:``."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
 def file_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

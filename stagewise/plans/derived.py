@@ -12,7 +12,6 @@ from stagewise.contract import ContractError
 from stagewise.operators.partitions import (
     common_new,
     list_partitions,
-    only_partitions,
     same_partitions,
     stage_partitions,
 )
@@ -98,10 +97,8 @@ def run_derived(
         built[spec.name] = partitions
         if not partitions:
             continue
-        frames = {
-            name: only_partitions(frame, part, partitions)
-            for (_, name), frame in input_scans(spark, pipelines, pipeline, spec.name).items()
-        }
+        scans = input_scans(spark, pipelines, pipeline, spec.name, partitions)
+        frames = {name: frame for (_, name), frame in scans.items()}
         values = template_values(part, home.env, partitions, options.tag, options.params, table_name=spec.name)
         args = {"snapshot_timestamps": partitions}
         if spec.uses_shared_sql:

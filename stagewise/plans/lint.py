@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.contract import Contract, ContractError
+from stagewise.contract import ColumnSpec, Contract, ContractError
+from stagewise.functions.tokens import plain_path
 from stagewise.operators.partitions import promote
 from stagewise.operators.quality import all_must_pass, check_columns, lint_report, missing_required
-from stagewise.operators.shaping import cast_columns
+from stagewise.session import settle
 from stagewise.sources.files import path_exists
 from stagewise.sources.inventory import file_inventory, file_system, headers, local_path, schema_inventory
-from stagewise.sources.scans import read_csv_text
-from stagewise.spec import Pipeline, TableSpec
+from stagewise.sources.scans import file_groups, read_csv_group, read_parquet_group
+from stagewise.spec import Pipeline
 
 REPORT_SCHEMA = "file string, column_name string, rule_name string, rows long, failures long"
 VERDICT_SCHEMA = "file string, rows long, bad_rules long, passed boolean"
@@ -36,40 +37,45 @@ class LintResult:
     log_paths: dict[str, str]
 
 
-def plain_path(col: Column) -> Column:
-    """The path of a row's file as a file listing spells it: decoded, with one slash after ``file:``."""
-    decoded = F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, "^file:/+", "file:/")
+def land_frames(
+    spark: SparkSession, path: str, fmt: str, contract: Contract, inventory: DataFrame
+) -> list[DataFrame]:
+    """Landed rows with their ``file``, cells as they are stored; one frame per schema that the files have.
 
-
-def read_land(spark: SparkSession, path: str, fmt: str, contract: Contract, spec: TableSpec) -> DataFrame:
-    """Landed rows with their file, cells as they are stored; a cell that cannot be cast as asked is kept as null."""
-    plain = contract.with_partitions()
-    if fmt == "csv":
-        df = read_csv_text(spark, path, plain, recursiveFileLookup="true")
-    elif fmt in ("parquet", "json"):
-        reader = spark.read.option("recursiveFileLookup", True)
-        df = reader.parquet(path) if fmt == "parquet" else reader.option("primitivesAsString", True).json(path)
+    A file is in one frame only, so the reports of the frames do not overlap.
+    """
+    contract = contract.with_partitions()
+    if fmt == "json":
+        frames = [spark.read.options(recursiveFileLookup=True, primitivesAsString=True).json(path)]
+    elif fmt in ("csv", "parquet"):
+        read = read_csv_group if fmt == "csv" else read_parquet_group
+        groups = file_groups(spark, path, inventory)
+        frames = [read(spark, g, contract, recursiveFileLookup="true") for g in groups]
     else:
         raise ContractError(f"cannot lint '{fmt}' files")
-    df = df.withColumn("file", plain_path(F.col("_metadata.file_path")))
-    return cast_columns(df, spec.lint.casts, lenient=True) if spec.lint else df
+    return [f.withColumn("file", plain_path(F.col("_metadata.file_path"))) for f in frames]
 
 
 def lint_table(spark: SparkSession, pipeline: Pipeline, table: str, stage: str, log: str) -> DataFrame:
     """Check all landed files of one table; the report goes to ``log`` and the verdicts are read from it."""
     spec = pipeline.table(table)
     path, fmt, contract = pipeline.path(table, "land"), spec.formats["land"], spec.contract(stage)
-    rows = read_land(spark, path, fmt, contract, spec)
-    report = lint_report(rows, contract, ["file"])
-    header = headers(schema_inventory(spark, path, fmt))
-    problems = check_columns(header, contract.with_partitions().without(contract.partitions), spec.lint)
-    as_report = problems.select(
-        "file", "column_name", "rule_name", F.lit(None).cast("long").alias("rows"), F.lit(1).cast("long").alias("failures")
+    casts = {c.name: ColumnSpec(c.name, c.target) for c in spec.lint.casts}
+    stored = contract.without([*contract.null_typed(), *contract.partitions, pipeline.partition])
+    checked = stored.with_columns(*[replace(c, type=casts[c.name].type) for c in stored.columns if c.name in casts])
+    inventory = settle(schema_inventory(spark, path, fmt), "schemas")
+    problems = check_columns(headers(inventory), contract.without([*contract.partitions, pipeline.partition]), spec.lint)
+    reports = [lint_report(rows, checked, ["file"]) for rows in land_frames(spark, path, fmt, stored, inventory)]
+    reports.append(
+        problems.select(
+            "file",
+            "column_name",
+            "rule_name",
+            F.lit(None).cast("long").alias("rows"),
+            F.lit(1).cast("long").alias("failures"),
+        )
     )
-    report.select("file", "column_name", "rule_name", "rows", "failures").unionByName(as_report).write.mode(
-        "overwrite"
-    ).parquet(log)
+    reduce(DataFrame.unionByName, reports).write.mode("overwrite").parquet(log)
     per_file = (
         spark.read.schema(REPORT_SCHEMA)
         .parquet(log)

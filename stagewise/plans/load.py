@@ -14,7 +14,7 @@ from stagewise.operators.shaping import common_columns
 from stagewise.plans.hooks import Hooks, SqlContext, apply_sql
 from stagewise.plans.templates import run_template, template_values
 from stagewise.sinks.write import publish
-from stagewise.sources.scans import read_stage
+from stagewise.sources.scans import scan_partitions
 from stagewise.spec import CHECKED_STAGES, Pipeline, TableSpec
 
 
@@ -50,10 +50,6 @@ def choose_sql(pipeline: Pipeline, spec: TableSpec, match_table_name: bool = Fal
     return queries[names[0]]
 
 
-def partition_paths(path: str, partition: str, values: list[int]) -> list[str]:
-    return [f"{path}/{partition}={v}" for v in values]
-
-
 def sql_load(
     spark: SparkSession,
     pipeline: Pipeline,
@@ -76,8 +72,7 @@ def sql_load(
         return []
     stored, wanted = load_contract(spec, given, part), spec.contract(done)
     source = pipeline.path(table, given)
-    paths = partition_paths(source, part, partitions)
-    frame = read_stage(spark, paths, spec.formats[given], stored, basePath=source)
+    frame = scan_partitions(spark, source, spec.formats[given], stored, part, partitions)
     sql = sql or choose_sql(pipeline, spec, options.match_table_name)
     columns = common_columns(stored, wanted)
     if not columns and "sql_columns" in sql:

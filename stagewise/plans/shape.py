@@ -5,14 +5,12 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from stagewise.operators.partitions import unprocessed_all
 from stagewise.operators.shaping import ShapeOptions
 from stagewise.plans.hooks import Hooks, ShapeContext, apply_shape
-from stagewise.plans.load import partition_paths
 from stagewise.sinks.write import publish, write_partitioned
-from stagewise.sources.scans import landed, read_stage
+from stagewise.sources.scans import landed, scan_partitions
 from stagewise.spec import TABLE_KINDS, Pipeline
 
 
@@ -37,12 +35,9 @@ def run_shape(
         return []
     given, wanted = landed(spec.contract(raw_stage), part), spec.contract(stage)
     source = pipeline.path(table, raw_stage)
-    paths = partition_paths(source, part, todo)
-    frame = read_stage(spark, paths, spec.formats[raw_stage], given, partial=True, basePath=source)
+    frame = scan_partitions(spark, source, spec.formats[raw_stage], given, part, todo, partial=True)
     options = replace(options, partition=part, env=options.env or pipeline.env, db=options.db or pipeline.name)
     shaped = apply_shape(frame, spec.kind, hooks or Hooks(), ShapeContext(table, given, wanted, options))
-    if part in wanted.partitions and part not in shaped.columns:
-        shaped = shaped.withColumn(part, F.col(part))
     path, fmt = pipeline.path(table, stage), spec.formats[stage]
     gather = len(wanted.partitions) > 1
     if fmt == "parquet":

@@ -65,6 +65,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_workspace(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared working area."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(workspace(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a reduced result once and read it back.
 

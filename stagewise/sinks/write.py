@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stagewise.contract import Contract, ContractError
 from stagewise.operators.quality import conforms
-from stagewise.sources.files import delete_path, partition_folders, path_exists, rename_path, renames_cheaply
+from stagewise.sources.files import delete_path, partition_folders, rename_path, renames_cheaply, replace_folders
 from stagewise.sources.inventory import schema_inventory
 
 # Formats a stage can be written in.
@@ -106,32 +106,23 @@ def check_files(spark: SparkSession, path: str, contract: Contract) -> None:
 
 
 def replace_partitions(spark: SparkSession, staging: str, path: str, contract: Contract) -> None:
-    """Put staged landing partitions in the place of the target's ones."""
-    if not contract.partitions:
-        _swap_folder(spark, staging, path, f"{staging}_old")
-        return
-    first = contract.partitions[0]
-    folders = partition_folders(spark, staging, first)
-    if renames_cheaply(spark, path):
-        for folder in folders:
-            _swap_folder(spark, f"{staging}/{folder}", f"{path}/{folder}", f"{staging}/_old_{folder}")
-        return
-    staged = spark.read.schema(contract.without(contract.null_typed()).struct()).parquet(staging)
-    for folder in folders:
-        delete_path(spark, f"{path}/{folder}")
-    write_partitioned(staged, path, contract, gather=False)
-
-
-def _swap_folder(spark: SparkSession, source: str, target: str, old: str) -> None:
-    """Rename, keeping the old folder until the new one is in place."""
-    had = path_exists(spark, target)
-    if had:
-        rename_path(spark, target, old)
+    """Put staged landing partitions, or the whole of an unpartitioned table, in the place of the target's."""
+    old = f"{staging}_old"
     try:
-        rename_path(spark, source, target)
-    except Exception:
-        if had:
-            rename_path(spark, old, target)
-        raise
-    if had:
+        if not contract.partitions:
+            parent, _, name = path.rpartition("/")
+            rename_path(spark, staging, f"{staging}_new/{name}")
+            replace_folders(spark, f"{staging}_new", parent, [name], old)
+            delete_path(spark, f"{staging}_new")
+            return
+        first = contract.partitions[0]
+        folders = partition_folders(spark, staging, first)
+        if renames_cheaply(spark, path):
+            replace_folders(spark, staging, path, folders, old)
+            return
+        staged = spark.read.schema(contract.without(contract.null_typed()).struct()).parquet(staging)
+        for folder in folders:
+            delete_path(spark, f"{path}/{folder}")
+        write_partitioned(staged, path, contract, gather=False)
+    finally:
         delete_path(spark, old)

@@ -20,7 +20,31 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
     """Move a file or folder inside one file system, making the parent folders of the target."""
     system, to = _filesystem(spark, source), _hadoop_path(spark, target)
     system.mkdirs(to.getParent())
-    if not system.rename(_hadoop_path(spark, source), to):
+    _rename(spark, system, source, target)
+
+
+def replace_folders(spark: SparkSession, source: str, target: str, names: list[str], old: str) -> None:
+    """Move the named folders from one parent to another, in the place of those that have the same names there.
+
+    A replaced folder is kept below ``old`` until its successor is in place, and put back if that fails.
+    """
+    system = _filesystem(spark, target)
+    system.mkdirs(_hadoop_path(spark, target))
+    system.mkdirs(_hadoop_path(spark, old))
+    there = {s.getPath().getName() for s in system.listStatus(_hadoop_path(spark, target))}
+    for name in names:
+        if name in there:
+            _rename(spark, system, f"{target}/{name}", f"{old}/{name}")
+        try:
+            _rename(spark, system, f"{source}/{name}", f"{target}/{name}")
+        except Exception:
+            if name in there:
+                _rename(spark, system, f"{old}/{name}", f"{target}/{name}")
+            raise
+
+
+def _rename(spark: SparkSession, system, source: str, target: str) -> None:
+    if not system.rename(_hadoop_path(spark, source), _hadoop_path(spark, target)):
         raise OSError(f"could not move {source} to {target}")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator, Mapping
-from datetime import datetime
+from datetime import UTC, date, datetime, time
 
 import pandas as pd
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewise.contract import ContractError, leaves
-from stagewise.functions.tokens import partition_value
+from stagewise.functions.tokens import partition_value, plain_path
 
 LEAVES = "array<struct<path:string,type:string>>"
 FILE_SCHEMA = f"file string, position int, column string, type string, leaves {LEAVES}"
@@ -33,6 +33,13 @@ def window_options(after: datetime | None, before: datetime | None) -> dict[str,
     return options
 
 
+def day_window(start: date | None = None, end: date | None = None) -> tuple[datetime | None, datetime | None]:
+    """The modification window of a run from its first and last day: midnight to one second before it, in UTC."""
+    after = datetime.combine(start, time(0, 0, 0), UTC) if start else None
+    before = datetime.combine(end, time(23, 59, 59), UTC) if end else None
+    return after, before
+
+
 def file_inventory(
     spark: SparkSession,
     path: str | list[str],
@@ -185,7 +192,7 @@ def _json_schemas(
     reader = spark.read.options(**{**fixed, **options})
     text = reader.text(path)
     records = text.where("trim(value) <> ''").select(
-        F.col("_metadata.file_path").alias("file"), F.parse_json("value").alias("record")
+        plain_path(F.col("_metadata.file_path")).alias("file"), F.parse_json("value").alias("record")
     )
     kinds = spark.sql(
         """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
@@ -10,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stagewise.contract import ColumnSpec, Contract, ContractError
+from stagewise.contract import ColumnSpec, Contract, ContractError, spark_type
 from stagewise.functions.formats import parse
 from stagewise.operators.shaping import reconcile_contract
-from stagewise.sources.inventory import headers, schema_inventory, window_options
+from stagewise.session import settle
+from stagewise.sources.inventory import schema_inventory, window_options
 from stagewise.spec import Pipeline
 
 CORRUPT = "_corrupt_record"
@@ -35,51 +38,72 @@ def read_csv(
     return text.select(*typed, *contract.partitions, *([CORRUPT] if corrupt else []))
 
 
-def read_csv_text(
-    spark: SparkSession, path: str | list[str], contract: Contract, corrupt: bool = False, **options: str
-) -> DataFrame:
+@dataclass(frozen=True)
+class FileGroup:
+    """Files whose columns have the same names, types and order."""
+
+    columns: tuple[tuple[str, str], ...]
+    paths: str | list[str]
+
+
+def file_groups(spark: SparkSession, path: str | list[str], inventory: DataFrame) -> list[FileGroup]:
+    """The files below a path by their own schema, the most common one first.
+
+    Normally there is one group, which is the path itself. Where files differ, each group lists its files: no more
+    than Spark's own file index holds.
+    """
+    fields = F.array_sort(F.collect_list(F.struct("position", "column", "type")))
+    shapes = inventory.groupBy("file").agg(F.to_json(fields).alias("shape"))
+    counts = shapes.groupBy("shape").agg(F.count("*").alias("files")).orderBy(F.desc("files"), "shape").collect()
+    columns = {r["shape"]: tuple((f["column"], f["type"]) for f in json.loads(r["shape"])) for r in counts}
+    if len(columns) == 1:
+        return [FileGroup(next(iter(columns.values())), path)]
+    kept = settle(shapes, "shapes")
+    return [
+        FileGroup(named, [r["file"] for r in kept.where(F.col("shape") == shape).select("file").collect()])
+        for shape, named in columns.items()
+    ]
+
+
+def read_csv_text(spark: SparkSession, path: str | list[str], contract: Contract, corrupt: bool = False, **options: str) -> DataFrame:
     """The same files with every cell as text, which is what the type rule has to see.
 
-    Spark takes CSV columns by position, so files are grouped by their header line and each group is read in its
-    own order. When all headers agree, which is the normal case, the folder is read as one.
+    Spark takes CSV columns by position, so files are read together only if their header lines agree.
     """
-    files = headers(schema_inventory(spark, path, "csv", **options))
-    groups = files.groupBy("header").agg(F.count("*").alias("files")).orderBy(F.desc("files")).collect()
-    frames = []
-    for group in groups:
-        paths = path
-        if len(groups) > 1:
-            same = files.where(F.col("header") == F.array(*[F.lit(h) for h in group["header"]]))
-            paths = [r["file"] for r in same.select("file").collect()]
-        frames.append(_read_group(spark, path, paths, list(group["header"]), contract, corrupt, options))
-    if not frames:
+    groups = file_groups(spark, path, schema_inventory(spark, path, "csv", **options))
+    if not groups:
         raise FileNotFoundError(f"no CSV files with a header below {path}")
+    if len(groups) > 1 and isinstance(path, str):
+        options = {"basePath": path, **options}
+    frames = [read_csv_group(spark, g, contract, corrupt, **options) for g in groups]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _read_group(
-    spark: SparkSession,
-    root: str | list[str],
-    paths: str | list[str],
-    header: list[str],
-    contract: Contract,
-    corrupt: bool,
-    options: Mapping[str, str],
+def read_csv_group(
+    spark: SparkSession, group: FileGroup, contract: Contract, corrupt: bool = False, **options: str
 ) -> DataFrame:
-    stored = reconcile_contract(header, contract.with_partitions().without(contract.partitions))
+    """The contract's columns of files with one header, as text."""
+    header = [name for name, _ in group.columns]
+    stored = reconcile_contract(header, contract.without(contract.partitions))
     positions = [f"c{i}" for i in range(len(header))]
     fields = [T.StructField(p, T.StringType()) for p in positions]
     fields += [T.StructField(p, contract.lookup[p].spark_type) for p in contract.partitions]
     fields += [T.StructField(CORRUPT, T.StringType())] if corrupt else []
-    reader = spark.read.schema(T.StructType(fields)).options(header=True, mode="PERMISSIVE", **options)
-    if paths is not root and isinstance(root, str):
-        reader = reader.option("basePath", root)
+    reader = spark.read.schema(T.StructType(fields)).options(**{"header": "true", "mode": "PERMISSIVE", **options})
     if corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    raw = reader.csv(paths)
     names = {given: c.name for c, given in stored}
     wanted = [F.col(p).alias(names[h]) for p, h in zip(positions, header, strict=True) if h in names]
-    return raw.select(*wanted, *contract.partitions, *([CORRUPT] if corrupt else []))
+    return reader.csv(group.paths).select(*wanted, *contract.partitions, *([CORRUPT] if corrupt else []))
+
+
+def read_parquet_group(spark: SparkSession, group: FileGroup, contract: Contract, **options: str) -> DataFrame:
+    """The contract's columns of files with one schema, in the files' own types."""
+    stored = reconcile_contract([name for name, _ in group.columns], contract.without(contract.partitions))
+    kinds = dict(group.columns)
+    fields = [T.StructField(given, spark_type(kinds[given])) for _, given in stored]
+    rows = spark.read.schema(T.StructType(fields)).options(**options).format("parquet").load(group.paths)
+    return rows.select(*[F.col(f"`{given}`").alias(c.name) for c, given in stored])
 
 
 def read_parquet(
@@ -176,8 +200,30 @@ def scan_stage(
     return read_stage(spark, path, fmt, landed(contract, pipeline.partition), **options)
 
 
+def partition_paths(path: str, partition: str, values: Sequence[int]) -> list[str]:
+    return [f"{path}/{partition}={int(v)}" for v in values]
+
+
+def scan_partitions(
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    contract: Contract,
+    partition: str,
+    values: Sequence[int],
+    partial: bool = False,
+) -> DataFrame:
+    """Rows of the given landing partitions. Only their folders are listed, however long the table's history is."""
+    paths = partition_paths(path, partition, values)
+    return read_stage(spark, paths, fmt, contract, partial, basePath=path)
+
+
 def input_scans(
-    spark: SparkSession, pipelines: Mapping[str, Pipeline], pipeline: str, table: str
+    spark: SparkSession,
+    pipelines: Mapping[str, Pipeline],
+    pipeline: str,
+    table: str,
+    partitions: Sequence[int] | None = None,
 ) -> dict[tuple[str, str], DataFrame]:
     """One DataFrame per input of a derived table, each resolved in the pipeline that owns it."""
     spec = pipelines[pipeline].table(table)
@@ -185,5 +231,12 @@ def input_scans(
     for (owner, name), stage in spec.inputs.items():
         if owner not in pipelines:
             raise ContractError(f"input pipeline '{owner}' of '{table}' is not known")
-        scans[(owner, name)] = scan_stage(spark, pipelines[owner], name, stage)
+        home = pipelines[owner]
+        if partitions is None:
+            scans[(owner, name)] = scan_stage(spark, home, name, stage)
+            continue
+        given = home.table(name)
+        contract = landed(given.contract(stage), home.partition)
+        path, fmt = home.path(name, stage), given.formats[stage]
+        scans[(owner, name)] = scan_partitions(spark, path, fmt, contract, home.partition, partitions)
     return scans
