@@ -47,6 +47,13 @@ def spark_pattern(fmt: str) -> str:
     return "".join(out)
 
 
+def utc_wall_clock(micros: Column) -> Column:
+    """The zone-less timestamp that clocks show in UTC, so many microseconds after the epoch."""
+    seconds = micros.cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+
+
 def parse(col: Column, spec: ColumnSpec, lenient: bool = True) -> Column:
     """Text to the column's contract type, by its declared format if it has one.
 
@@ -58,7 +65,10 @@ def parse(col: Column, spec: ColumnSpec, lenient: bool = True) -> Column:
         pattern = spark_pattern(spec.format)
         return F.try_to_date(col, pattern) if lenient else F.to_date(col, pattern)
     if spec.format and kind == "timestamp_ntz":
-        pattern = F.lit(spark_pattern(spec.format))
-        parsed = F.try_to_timestamp(col, pattern) if lenient else F.to_timestamp(col, pattern)
-        return parsed.cast("timestamp_ntz")
+        pattern = spark_pattern(spec.format)
+        # Text without a zone is read as UTC, whatever the session zone is.
+        zoned = any(letter in re.sub("'[^']*'", "", pattern) for letter in "XxZzOV")
+        text, pattern = (col, pattern) if zoned else (F.concat(col, F.lit("Z")), pattern + "X")
+        instant = F.try_to_timestamp(text, F.lit(pattern)) if lenient else F.to_timestamp(text, pattern)
+        return utc_wall_clock(F.unix_micros(instant))
     return col.try_cast(target) if lenient else col.cast(target)

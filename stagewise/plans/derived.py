@@ -66,16 +66,17 @@ def shared_temp(
     It is a written table, so every derived table of the run and the next run can read it. It is kept only if it
     holds exactly the wanted partitions; otherwise it is built again, and must then hold rows.
     """
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        kept = spark.read.parquet(path)
-        if same_partitions(stage_partitions(spark, path, partition), partitions, partition):
-            return kept, False
     rows = run_template(spark, sql, values, inputs, {"snapshot_timestamps": partitions})
     if partition not in rows.columns:
         raise ContractError(f"a shared table must have the column {partition}")
+    kept = spark.read.schema(rows.schema)
+    if path_exists(spark, f"{path}/_SUCCESS") and same_partitions(
+        stage_partitions(spark, path, partition), partitions, partition
+    ):
+        return kept.parquet(path), False
     gathered = rows.hint("rebalance", partition)
     gathered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path)
-    return assert_not_empty(spark.read.parquet(path), path), True
+    return assert_not_empty(kept.parquet(path), path), True
 
 
 def run_derived(

@@ -17,16 +17,16 @@ WRITE_FORMATS = ("parquet", "csv", "json")
 
 
 def under_contract(df: DataFrame, contract: Contract) -> DataFrame:
-    """The contract's columns with its types, partitions first; a missing column is an error."""
+    """The contract's columns with its types, partitions first; a missing column is an error, a null-typed one goes."""
+    contract = contract.without(contract.null_typed())
     missing = [c for c in contract.column_names if c not in df.columns]
     if missing:
         raise ContractError(f"columns {missing} of '{contract.name}' are not in the data")
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    wanted = [c for c in contract.partitions_first if c.type != "null"]
-    cols = [
-        F.col(f"`{c.name}`") if kinds[c.name] == c.spark_type else F.col(f"`{c.name}`").cast(c.spark_type).alias(c.name)
-        for c in wanted
-    ]
+    cols = []
+    for c in contract.partitions_first:
+        col = F.col(f"`{c.name}`")
+        cols.append(col if kinds[c.name] == c.spark_type else col.cast(c.spark_type).alias(c.name))
     return df.select(*cols)
 
 

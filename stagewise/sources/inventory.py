@@ -45,10 +45,9 @@ def file_inventory(
     path: str | list[str],
     partition: str | None = None,
     ext: str | None = None,
-    keep_empty: bool = False,
     **options: str,
 ) -> DataFrame:
-    """One row per file below a path: ``path``, ``size``, ``modified`` and its landing partition.
+    """One row per non-empty file below a path: ``path``, ``size``, ``modified`` and its landing partition.
 
     The file contents are not read: only the listing columns of the binary source are selected. The listing itself
     runs in parallel over folders. Further reader options, such as ``window_options``, narrow the listing.
@@ -59,11 +58,10 @@ def file_inventory(
     tasks = LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     files = (
         reader.load(path)
+        .where("length > 0")
         .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
         .coalesce(tasks)
     )
-    if not keep_empty:
-        files = files.where("size > 0")
     if partition:
         files = files.withColumn(partition, partition_value(F.col("path"), partition))
     return files

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewise.contract import ColumnSpec, Contract, ContractError, spark_type
-from stagewise.functions.formats import parse
+from stagewise.functions.formats import parse, utc_wall_clock
 from stagewise.operators.shaping import reconcile_contract
 from stagewise.session import settle
-from stagewise.sources.inventory import schema_inventory, window_options
+from stagewise.sources.inventory import file_inventory, schema_inventory, window_options
 from stagewise.spec import Pipeline
 
 CORRUPT = "_corrupt_record"
@@ -114,7 +114,21 @@ def read_parquet(
     The files' own types are read and then cast, as a reader schema cannot change a stored type. A partition column
     gets its contract type too, where Spark would infer an int from ten digits.
     """
-    return cast_to_contract(spark.read.options(**options).format("parquet").load(path), contract, partial)
+    return cast_to_contract(_load_parquet(spark, path, options), contract, partial)
+
+
+def _load_parquet(spark: SparkSession, path: str | list[str], options: Mapping[str, str]) -> DataFrame:
+    """Parquet files in their own types. An empty file holds no rows, but it must not be asked for the schema."""
+    reader = spark.read.options(**options).format("parquet")
+    try:
+        return reader.load(path)
+    except Exception as error:
+        if "CANNOT_READ_FILE_FOOTER" not in str(error):
+            raise
+        first = file_inventory(spark, path, ext="parquet", **options).select("path").head()
+        if first is None:
+            raise
+        return reader.schema(spark.read.parquet(first["path"]).schema).load(path)
 
 
 def read_json(
@@ -145,8 +159,7 @@ def cast_to_contract(df: DataFrame, contract: Contract, partial: bool = False) -
 def _as_declared(col: Column, kind: T.DataType, spec: ColumnSpec) -> Column:
     if spec.type == "timestamp(ns)" and isinstance(kind, T.LongType):
         # Nanosecond files are only readable as longs (spark.sql.legacy.parquet.nanosAsLong).
-        instant = F.timestamp_micros(F.floor(col / F.lit(1000)).cast("long"))
-        return F.convert_timezone(None, F.lit("UTC"), instant.cast("timestamp_ntz"))
+        return utc_wall_clock(F.floor(col.cast("decimal(19,0)") / F.lit(1000).cast("decimal(4,0)")))
     return col if kind == spec.spark_type else col.cast(spec.spark_type)
 
 
@@ -158,7 +171,7 @@ def read_stage(
     if fmt == "csv":
         typed = read_csv(spark, path, contract, **options)
     elif fmt == "parquet":
-        typed = spark.read.options(**options).format("parquet").load(path)
+        typed = _load_parquet(spark, path, options)
     elif fmt == "json":
         typed = read_json(spark, path, contract, **options)
     else:

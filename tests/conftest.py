@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from stagewise.session import clear_workspace, ship_package  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("stagewise-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("OFF")
+    ship_package(session)
+    yield session
+    clear_workspace(session)
+    session.stop()
+
+
+@pytest.fixture
+def path(tmp_path):
+    """A fresh folder for one test, as text."""
+    return str(tmp_path)
+
+
+def values(df, *columns):
+    """The rows of a frame as a sorted list of tuples."""
+    return sorted(tuple(r) for r in (df.select(*columns) if columns else df).collect())

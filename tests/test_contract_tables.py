@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from conftest import values
+from stagewise.contract import ContractError
+from stagewise.operators import contracts as op
+
+
+def column(name, nullable=None, **stages):
+    extra = {} if nullable is None else {"nullable": nullable}
+    return {"name": name, **extra, "stages": [{"name": s, "type": t} for s, t in stages.items()]}
+
+
+COLUMNS = [
+    column("name", True, raw_hist="string", processed="string", curated="string"),
+    column("address", True, raw_hist="string", processed="string"),
+    column("email", True, processed="string", curated="string"),
+    column("phone", curated="date32"),
+]
+
+
+def document(name, columns=COLUMNS, **change):
+    return {
+        "name": name,
+        "description": "",
+        "sensitive": False,
+        "file_formats": [{"name": "raw_hist", "format": "csv"}, {"name": "curated", "format": "parquet"}],
+        "partitions": [],
+        "primary_key": ["name"],
+        "columns": columns,
+        **change,
+    }
+
+
+def save(folder, *documents):
+    folder.mkdir(exist_ok=True)
+    for d in documents:
+        (folder / f"{d['name']}.json").write_text(json.dumps(d, indent=2))
+    return str(folder)
+
+
+def test_documents_become_rows(spark, tmp_path):
+    found = op.load_contracts(spark, save(tmp_path, document("test_a"), document("test_a2")), "test_a")
+    assert values(found, "database", "table_name", "name") == [("test_a", "test_a", "test_a"), ("test_a", "test_a2", "test_a2")]
+
+
+def test_stage_contract(spark, tmp_path):
+    with_enum = column("kind", curated="string") | {"enum": ["a", 1]}
+    with_pattern = {"name": "ref", "stages": [{"name": "curated", "type": "string", "pattern": "x+", "format": ""}]}
+    found = op.load_contracts(spark, save(tmp_path, document("t", [*COLUMNS, with_enum, with_pattern], partitions=["phone"])))
+    rows = {r["column_name"]: r for r in op.stage_contract(found, "curated").collect()}
+    assert list(rows) == ["name", "email", "phone", "kind", "ref"]
+    assert rows["phone"]["is_partition"] and not rows["name"]["is_partition"] and not rows["phone"]["nullable"]
+    assert rows["kind"]["enum"] == ["a", "1"] and rows["ref"]["pattern"] == "x+" and rows["ref"]["format"] is None
+    assert {r["file_format"] for r in rows.values()} == {"parquet"}
+    assert op.stage_contract(found, "raw_hist").where("is_partition").count() == 0
+    contract = op.contract_at(found, "t", "curated")
+    assert contract.partitions == ("phone",) and contract.lookup["kind"].enum == ("a", "1")
+    with pytest.raises(ContractError):
+        op.contract_at(found, "t", "export")
+
+
+def test_data_dictionary(spark, tmp_path):
+    a = op.load_contracts(spark, save(tmp_path / "test_a", document("test_a"), document("test_a2")), "test_a")
+    b = op.load_contracts(spark, save(tmp_path / "test_b", document("test_b")), "test_b")
+    both = a.unionByName(b)
+    op.write_data_dictionary(both, str(tmp_path / "out"))
+    written = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    assert written.columns == ["System", "Dataset", "Data Table", "Data Field", "Description", "Data Type", "Nullable"]
+    assert written.count() == 9 and written.where("System = 'test_a'").count() == 6
+    assert ("test_b", "test_b", "phone", "date32", "false") in values(
+        written, "System", "Data Table", "Data Field", "Data Type", "Nullable"
+    )
+
+
+def test_violations(spark, tmp_path):
+    broken = document(
+        "broken",
+        [*COLUMNS, COLUMNS[0], column("x", shelf="int8"), column("y", curated="list<struct<a:int8>>")],
+        partitions=["year", "phone"],
+        file_formats=[{"name": "attic", "format": "avro"}],
+    )
+    found = op.load_contracts(spark, save(tmp_path, document("fine"), broken), "db")
+    assert values(op.contract_violations(found)) == [
+        ("db", "broken", "duplicate column", "name"),
+        ("db", "broken", "undeclared partition", "year"),
+        ("db", "broken", "unknown format", "avro"),
+        ("db", "broken", "unknown stage", "attic"),
+        ("db", "broken", "unknown stage", "shelf"),
+        ("db", "broken", "unknown type", "int8"),
+    ]
