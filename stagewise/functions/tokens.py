@@ -14,38 +14,39 @@ FILE_NAME_PATTERN = r"^([a-zA-z/?]+)([_-]{1})([0-9]{10})([-0-9]{3})?([0-9]{10})?
 SECONDS_PER_DAY = 86_400
 
 
-def _or_raise(found: Column, value: Column, message: str, source: Column) -> Column:
-    return F.when(found, value).otherwise(F.raise_error(F.concat(F.lit(message + ": "), source)))
+def _or_raise(value: Column, source: Column, message: str) -> Column:
+    """The value, which is computed once; an error where it is null although its source is not."""
+    return F.coalesce(value, F.when(source.isNotNull(), F.raise_error(F.concat(F.lit(message + ": "), source))))
 
 
 def _java_quote(text: str) -> str:
     return re.sub(r"([^\w])", r"\\\1", text)
 
 
+def _in_path(name: str) -> str:
+    """Pattern of a partition folder; the digits must end the path segment."""
+    return rf"{_java_quote(name)}=({STAMP_DIGITS})(?=/|$)"
+
+
 def extract_partition(path: Column, name: str, strict: bool = True) -> Column:
-    """The ``name=digits`` token of a path; the digits must end the path segment.
+    """The ``name=digits`` token of a path.
 
     Without a token: an error when ``strict``, null otherwise. A null path stays null.
     """
-    pattern = rf"{_java_quote(name)}=({STAMP_DIGITS})(?=/|$)"
-    token = F.regexp_extract(path, pattern, 0)
-    if not strict:
-        return F.nullif(token, F.lit(""))
-    return _or_raise((token != "") | path.isNull(), token, f"no {name} partition in path", path)
+    token = F.regexp_substr(path, F.lit(_in_path(name)))
+    return _or_raise(token, path, f"no {name} partition in path") if strict else token
 
 
 def extract_timestamp(token: Column, name: str, strict: bool = True) -> Column:
     """The digits of a token that is exactly ``name=`` and 8 or 10 digits, as a long."""
-    digits = F.regexp_extract(token, rf"^{_java_quote(name)}=({STAMP_DIGITS})$", 1)
-    value = F.nullif(digits, F.lit("")).cast("long")
-    if not strict:
-        return value
-    return _or_raise((digits != "") | token.isNull(), value, f"not a {name} partition", token)
+    value = F.regexp_extract(token, rf"^{_java_quote(name)}=({STAMP_DIGITS})$", 1).try_cast("long")
+    return _or_raise(value, token, f"not a {name} partition") if strict else value
 
 
 def partition_value(path: Column, name: str, strict: bool = True) -> Column:
     """Landing partition of a path as a long."""
-    return extract_timestamp(extract_partition(path, name, strict), name, strict)
+    value = F.regexp_extract(path, _in_path(name), 1).try_cast("long")
+    return _or_raise(value, path, f"no {name} partition in path") if strict else value
 
 
 def plain_path(path: Column) -> Column:
@@ -60,21 +61,15 @@ def file_name(path: Column) -> Column:
 
 def file_name_timestamp(path: Column, strict: bool = True) -> Column:
     """The landing time in a file name, as a long."""
-    digits = F.regexp_extract(file_name(path), FILE_NAME_PATTERN, 3)
-    value = F.nullif(digits, F.lit("")).cast("long")
-    if not strict:
-        return value
-    return _or_raise((digits != "") | path.isNull(), value, "file name has no timestamp", path)
+    value = F.regexp_extract(file_name(path), FILE_NAME_PATTERN, 3).try_cast("long")
+    return _or_raise(value, path, "file name has no timestamp") if strict else value
 
 
 def strip_lint_stamp(name: Column, ext: str = ".snappy.parquet", strict: bool = True) -> Column:
     """Remove the ``-N[N]-<10 digits>`` stamp that sits before the extension."""
-    quoted = _java_quote(ext)
-    pattern = rf"-[0-9]{{1,2}}-[0-9]{{10}}{quoted}$"
-    stripped = F.regexp_replace(name, pattern, ext.replace("\\", "\\\\").replace("$", "\\$"))
-    if not strict:
-        return F.when(name.rlike(pattern), stripped)
-    return _or_raise(name.rlike(pattern) | name.isNull(), stripped, "file name has no lint stamp", name)
+    stem = F.regexp_substr(name, F.lit(rf"^.*(?=-[0-9]{{1,2}}-[0-9]{{10}}{_java_quote(ext)}$)"))
+    stripped = F.concat(stem, F.lit(ext))
+    return _or_raise(stripped, name, "file name has no lint stamp") if strict else stripped
 
 
 def epoch_day(seconds: Column) -> Column:

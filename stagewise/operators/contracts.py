@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,8 @@ from stagewise.contract import (
     Contract,
     ContractError,
 )
+from stagewise.functions.templates import render
+from stagewise.sources.inventory import file_inventory, schema_inventory
 
 # The layout of an all-stages contract document.
 DOCUMENT_SCHEMA = """
@@ -100,6 +105,29 @@ def contract_at(contracts: DataFrame, table: str, stage: str) -> Contract:
     return Contract(table, columns, parts, file_format=rows[0]["file_format"] or "parquet", stage=stage)
 
 
+# Fixed value: the two digits of a year in a column name, before more letters or at the end.
+YEAR_PATTERN = r"([0-9]{2}(?=[a-zA-Z]+))|([0-9]{2}$)"
+
+
+def contract_from_headers(spark: SparkSession, template: str, path: str, ext: str, stage: str = "") -> Contract:
+    """Fill a contract template with the years that the newest file has in its column names.
+
+    A column ``sales24`` gives ``24`` to the placeholders ``{{ sales_year }}`` and ``{{ SALES_year }}``. The newest
+    file is the last one by path; only its header or footer is read.
+    """
+    newest = file_inventory(spark, path, ext=ext).agg(F.max("path")).first()[0]
+    if newest is None:
+        raise FileNotFoundError(f"no files below {path}")
+    names = [r["column"] for r in schema_inventory(spark, newest, ext).orderBy("position").collect()]
+    years = {}
+    for name in names:
+        found = re.search(YEAR_PATTERN, name)
+        if found:
+            base = re.sub(YEAR_PATTERN, "", name)
+            years[f"{base.lower()}_year"] = years[f"{base.upper()}_year"] = found.group(0)
+    return Contract.from_document(json.loads(render(template, years)), stage)
+
+
 def data_dictionary(contracts: DataFrame) -> DataFrame:
     """One row per curated column of every table, with an empty description to fill in."""
     # The headings of the dictionary file.

@@ -20,9 +20,10 @@ from stagewise.sources.inventory import file_inventory
 from stagewise.spec import Pipeline
 
 
-def list_partitions(df: DataFrame, partition: str) -> DataFrame:
-    """Distinct landing partitions of a frame, as longs."""
-    return df.select(F.col(partition).cast("long").alias(partition)).distinct()
+def list_partitions(df: DataFrame, partition: str, tokens: bool = False) -> DataFrame:
+    """Distinct landing partitions of a frame, as longs or as ``name=value`` tokens."""
+    found = df.select(F.col(partition).cast("long").alias(partition)).distinct()
+    return found.select(F.concat(F.lit(f"{partition}="), partition).alias(partition)) if tokens else found
 
 
 def stage_partitions(spark: SparkSession, path: str, partition: str) -> DataFrame:

@@ -18,8 +18,8 @@ from stagewise.operators.quality import all_must_pass, check_columns, lint_repor
 from stagewise.session import settle
 from stagewise.sources.files import path_exists
 from stagewise.sources.inventory import file_inventory, file_system, headers, local_path, schema_inventory
-from stagewise.sources.scans import file_groups, read_csv_group, read_parquet_group
-from stagewise.spec import Pipeline
+from stagewise.sources.scans import FileGroup, file_groups, read_csv_group, read_parquet_group
+from stagewise.spec import LintOptions, Pipeline
 
 REPORT_SCHEMA = "file string, column_name string, rule_name string, rows long, failures long"
 VERDICT_SCHEMA = "file string, rows long, bad_rules long, passed boolean"
@@ -38,19 +38,24 @@ class LintResult:
 
 
 def land_frames(
-    spark: SparkSession, path: str, fmt: str, contract: Contract, inventory: DataFrame
+    spark: SparkSession, path: str, fmt: str, contract: Contract, inventory: DataFrame, options: LintOptions
 ) -> list[DataFrame]:
     """Landed rows with their ``file``, cells as they are stored; one frame per schema that the files have.
 
-    A file is in one frame only, so the reports of the frames do not overlap.
+    A file is in one frame only, so the reports of the frames do not overlap. CSV files without a header are read
+    in the contract's order.
     """
-    contract = contract.with_partitions()
-    if fmt == "json":
+    if fmt == "csv" and not options.expect_header:
+        group = FileGroup(tuple((c.name, c.type) for c in contract.columns), path)
+        stored = contract.without(contract.null_typed())
+        frames = [read_csv_group(spark, group, stored, recursiveFileLookup="true", header="false")]
+    elif fmt == "json":
         frames = [spark.read.options(recursiveFileLookup=True, primitivesAsString=True).json(path)]
     elif fmt in ("csv", "parquet"):
         read = read_csv_group if fmt == "csv" else read_parquet_group
         groups = file_groups(spark, path, inventory)
-        frames = [read(spark, g, contract, recursiveFileLookup="true") for g in groups]
+        stored, fold = contract.without(contract.null_typed()), options.headers_ignore_case
+        frames = [read(spark, g, stored, ignore_case=fold, recursiveFileLookup="true") for g in groups]
     else:
         raise ContractError(f"cannot lint '{fmt}' files")
     return [f.withColumn("file", plain_path(F.col("_metadata.file_path"))) for f in frames]
@@ -61,11 +66,12 @@ def lint_table(spark: SparkSession, pipeline: Pipeline, table: str, stage: str,
     spec = pipeline.table(table)
     path, fmt, contract = pipeline.path(table, "land"), spec.formats["land"], spec.contract(stage)
     casts = {c.name: ColumnSpec(c.name, c.target) for c in spec.lint.casts}
-    stored = contract.without([*contract.null_typed(), *contract.partitions, pipeline.partition])
+    stored = contract.without([*contract.partitions, pipeline.partition])
     checked = stored.with_columns(*[replace(c, type=casts[c.name].type) for c in stored.columns if c.name in casts])
     inventory = settle(schema_inventory(spark, path, fmt), "schemas")
-    problems = check_columns(headers(inventory), contract.without([*contract.partitions, pipeline.partition]), spec.lint)
-    reports = [lint_report(rows, checked, ["file"]) for rows in land_frames(spark, path, fmt, stored, inventory)]
+    problems = check_columns(headers(inventory), stored, spec.lint)
+    frames = land_frames(spark, path, fmt, stored, inventory, spec.lint)
+    reports = [lint_report(rows, checked, ["file"]) for rows in frames]
     reports.append(
         problems.select(
             "file",

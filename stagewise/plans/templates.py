@@ -9,26 +9,14 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from stagewise.contract import ContractError
+from stagewise.functions.templates import render
 
-_PLACEHOLDER = re.compile(r"\{\{\s*(\w+)\s*\}\}")
 # The database words a template may put before an input or an intermediate table.
 INPUT_DATABASE = "__input__"
 TEMP_DATABASE = "__temp__"
 _TABLE = re.compile(rf"\b(?:{INPUT_DATABASE}|{TEMP_DATABASE})\.(\w+)")
 
 
-def render(sql: str, values: Mapping[str, Any]) -> str:
-    """Fill ``{{ name }}`` placeholders; a name without a value is an error."""
-
-    def fill(match: re.Match[str]) -> str:
-        name = match.group(1)
-        if name not in values:
-            raise ContractError(f"the template needs a value for '{name}'")
-        return str(values[name])
-
-    return _PLACEHOLDER.sub(fill, sql)
-
-
 def template_values(
     partition: str,
     env: str,

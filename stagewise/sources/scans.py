@@ -80,11 +80,16 @@ def read_csv_text(spark: SparkSession, path: str | list[str], contract: Contract
 
 
 def read_csv_group(
-    spark: SparkSession, group: FileGroup, contract: Contract, corrupt: bool = False, **options: str
+    spark: SparkSession,
+    group: FileGroup,
+    contract: Contract,
+    corrupt: bool = False,
+    ignore_case: bool = False,
+    **options: str,
 ) -> DataFrame:
     """The contract's columns of files with one header, as text."""
     header = [name for name, _ in group.columns]
-    stored = reconcile_contract(header, contract.without(contract.partitions))
+    stored = reconcile_contract(header, contract.without(contract.partitions), ignore_case)
     positions = [f"c{i}" for i in range(len(header))]
     fields = [T.StructField(p, T.StringType()) for p in positions]
     fields += [T.StructField(p, contract.lookup[p].spark_type) for p in contract.partitions]
@@ -97,9 +102,12 @@ def read_csv_group(
     return reader.csv(group.paths).select(*wanted, *contract.partitions, *([CORRUPT] if corrupt else []))
 
 
-def read_parquet_group(spark: SparkSession, group: FileGroup, contract: Contract, **options: str) -> DataFrame:
+def read_parquet_group(
+    spark: SparkSession, group: FileGroup, contract: Contract, ignore_case: bool = False, **options: str
+) -> DataFrame:
     """The contract's columns of files with one schema, in the files' own types."""
-    stored = reconcile_contract([name for name, _ in group.columns], contract.without(contract.partitions))
+    names = [name for name, _ in group.columns]
+    stored = reconcile_contract(names, contract.without(contract.partitions), ignore_case)
     kinds = dict(group.columns)
     fields = [T.StructField(given, spark_type(kinds[given])) for _, given in stored]
     rows = spark.read.schema(T.StructType(fields)).options(**options).format("parquet").load(group.paths)

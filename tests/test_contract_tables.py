@@ -92,3 +92,25 @@ def test_violations(spark, tmp_path):
         ("db", "broken", "unknown stage", "shelf"),
         ("db", "broken", "unknown type", "int8"),
     ]
+
+
+def test_contract_from_headers(spark, tmp_path):
+    for name, header in {"a_1.csv": "sales23,cost23,id", "b_2.csv": "sales24,cost25total,id"}.items():
+        (tmp_path / name).write_text(header + "\n")
+    template = json.dumps(
+        {
+            "name": "t",
+            "file_format": "csv",
+            "columns": [
+                {"name": "sales{{ sales_year }}", "type": "int64"},
+                {"name": "COST{{COSTTOTAL_year}}TOTAL", "type": "float64"},
+            ],
+        }
+    )
+    contract = op.contract_from_headers(spark, template, str(tmp_path), "csv")
+    assert contract.column_names == ["sales24", "COST25TOTAL"]
+    with pytest.raises(ContractError, match="other_year"):
+        op.contract_from_headers(spark, template.replace("sales_year", "other_year"), str(tmp_path), "csv")
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        op.contract_from_headers(spark, template, str(tmp_path / "none"), "csv")

@@ -329,6 +329,19 @@ def test_lint_headers_and_header_only_files(spark, path):
     assert run_lint(spark, relaxed, 1700000001).failed_files == 0
 
 
+def test_lint_without_headers_and_with_mixed_case(spark, path):
+    put(f"{path}/land/table1/a.csv", LINES[1:2], LINES[0])
+    shop = home(path, lint=LintOptions(expect_header=False))
+    result = run_lint(spark, shop, 1700000000)
+    report = spark.read.parquet(result.log_paths["table1"])
+    assert result.failed_files == 0 and report.agg(F.max("rows")).first()[0] == 2
+    put(f"{path}/land/table1/b.csv", ["99,fish"], "My_Int,Animal")
+    mixed = home(path, lint=LintOptions(headers_ignore_case=True, allow_missing_cols=True))
+    result = run_lint(spark, mixed, 1700000001)
+    failed = spark.read.parquet(result.log_paths["table1"]).where("failures > 0")
+    assert values(failed, "column_name", "rule_name") == [("my_int", "range")]
+
+
 def test_lint_staged_partitions_are_promoted(spark, path):
     for i, name in enumerate(NAMES):
         put(f"{path}/land/table1/{PART}=1690000000/{name}", [LINES[i]])
