@@ -134,12 +134,14 @@ def newer_than_existing(
 ) -> DataFrame:
     """New files that are later than the latest existing one of their key; all of them where none exists.
 
-    ``one_a_day`` compares UTC days, so a later file of the same day is refused. The latest times are one row per
-    key and are settled first: their size is then known, so the new files are only shuffled if it is large.
+    ``one_a_day`` compares UTC days, so a later file of the same day is refused. Without keys, all files are of one
+    kind. The latest times are one row per key and are settled first: their size is then known, so the new files are only shuffled if it is large.
     """
-    latest = settle(existing.groupBy(*keys).agg(F.max(ts).alias("latest")), "latest")
-    joined = new.join(latest, list(keys), "left")
-    since = F.coalesce(F.col("latest"), F.lit(0))
+    if keys:
+        latest = settle(existing.groupBy(*keys).agg(F.max(ts).alias("latest")), "latest")
+        joined, since = new.join(latest, list(keys), "left"), F.coalesce(F.col("latest"), F.lit(0))
+    else:
+        joined, since = new, F.lit(existing.agg(F.max(ts)).first()[0] or 0)
     newer = epoch_day(since) < epoch_day(F.col(ts)) if one_a_day else since < F.col(ts)
     return joined.where(newer).select(*new.columns)
 
@@ -149,10 +151,7 @@ def gate_files(
 ) -> DataFrame:
     """The same for file paths that carry their landing time in the name; a bad name fails the job."""
     stamped = [f.withColumn("ts", file_name_timestamp(F.col(path))) for f in (new, existing)]
-    if keys:
-        return newer_than_existing(stamped[0], stamped[1], keys, one_a_day=one_a_day).drop("ts")
-    both = [f.withColumn("every", F.lit(1)) for f in stamped]
-    return newer_than_existing(both[0], both[1], ["every"], one_a_day=one_a_day).drop("ts", "every")
+    return newer_than_existing(stamped[0], stamped[1], keys, one_a_day=one_a_day).drop("ts")
 
 
 def restamp(df: DataFrame, partition: str, run_ts: int) -> DataFrame:

@@ -154,7 +154,8 @@ def move_files(files: DataFrame, root: str, target: str, folder: str, partition:
             moved = [_relocate(file, root, target, folder, partition, remove) for file in batch["file"]]
             yield pd.DataFrame({"moved": moved})
 
-    return files.select("file").mapInPandas(relocate, "moved string").count()
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    return files.select("file").repartition(tasks).mapInPandas(relocate, "moved string").count()
 
 
 def _relocate(file: str, root: str, target: str, folder: str, partition: str, remove: bool) -> str:

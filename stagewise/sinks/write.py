@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from stagewise.contract import Contract, ContractError
 from stagewise.operators.quality import conforms
 from stagewise.sources.files import delete_path, partition_folders, rename_path, renames_cheaply, replace_folders
-from stagewise.sources.inventory import schema_inventory
+from stagewise.sources.inventory import file_inventory, schema_inventory
 
 # Formats a stage can be written in.
 WRITE_FORMATS = ("parquet", "csv", "json")
@@ -121,8 +122,19 @@ def replace_partitions(spark: SparkSession, staging: str, path: str, contract: C
             replace_folders(spark, staging, path, folders, old)
             return
         staged = spark.read.schema(contract.without(contract.null_typed()).struct()).parquet(staging)
-        for folder in folders:
-            delete_path(spark, f"{path}/{folder}")
         write_partitioned(staged, path, contract, gather=False)
+        for leaf in _stale_leaves(spark, staging, path, first, folders):
+            delete_path(spark, f"{path}/{leaf}")
     finally:
         delete_path(spark, old)
+
+
+def _stale_leaves(spark: SparkSession, staging: str, path: str, first: str, folders: list[str]) -> list[str]:
+    """Partition folders of the replaced landing partitions that the staged data does not have."""
+
+    def leaves(parents: list[str]) -> DataFrame:
+        leaf = F.regexp_extract("path", f"/({re.escape(first)}=.*)/[^/]+$", 1).alias("leaf")
+        return file_inventory(spark, parents).select(leaf).distinct()
+
+    there = leaves([f"{path}/{f}" for f in folders])
+    return [r["leaf"] for r in there.join(leaves([staging]), "leaf", "left_anti").collect()]

@@ -26,21 +26,25 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
 def replace_folders(spark: SparkSession, source: str, target: str, names: list[str], old: str) -> None:
     """Move the named folders from one parent to another, in the place of those that have the same names there.
 
-    A replaced folder is kept below ``old`` until its successor is in place, and put back if that fails.
+    Replaced folders are kept below ``old``. If a move fails, all moves before it are taken back.
     """
     system = _filesystem(spark, target)
     system.mkdirs(_hadoop_path(spark, target))
     system.mkdirs(_hadoop_path(spark, old))
     there = {s.getPath().getName() for s in system.listStatus(_hadoop_path(spark, target))}
+    moves = []
     for name in names:
-        if name in there:
-            _rename(spark, system, f"{target}/{name}", f"{old}/{name}")
-        try:
-            _rename(spark, system, f"{source}/{name}", f"{target}/{name}")
-        except Exception:
-            if name in there:
-                _rename(spark, system, f"{old}/{name}", f"{target}/{name}")
-            raise
+        moves += [(f"{target}/{name}", f"{old}/{name}")] if name in there else []
+        moves += [(f"{source}/{name}", f"{target}/{name}")]
+    done = []
+    try:
+        for move in moves:
+            _rename(spark, system, *move)
+            done.append(move)
+    except Exception:
+        for before, after in reversed(done):
+            _rename(spark, system, after, before)
+        raise
 
 
 def _rename(spark: SparkSession, system, source: str, target: str) -> None:

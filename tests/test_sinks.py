@@ -136,6 +136,25 @@ def test_files_are_checked(spark, path):
         sink.check_files(spark, f"{path}/t", TABLE)
 
 
+def test_failed_moves_are_taken_back(spark, path, monkeypatch):
+    from stagewise.sources import files
+
+    out = f"{path}/t"
+    sink.publish(rows(spark).union(rows(spark, part=20200102)), out, TABLE)
+    rename, calls = files._rename, []
+
+    def break_fourth(*args):
+        calls.append(args)
+        if len(calls) == 4:
+            raise OSError("no space")
+        rename(*args)
+
+    monkeypatch.setattr(files, "_rename", break_fourth)
+    with pytest.raises(OSError, match="no space"):
+        sink.publish(rows(spark, 2, shift=100).union(rows(spark, 2, part=20200102, shift=100)), out, TABLE)
+    assert values(read(spark, out), "id") == sorted([(i,) for i in range(6)] * 2)
+
+
 def test_publish_without_partitions(spark, path):
     flat = Contract("t", (ColumnSpec("id", "int64"),))
     for n in (3, 2):
