@@ -34,7 +34,9 @@ DOCUMENT_SCHEMA = """
 """
 
 
-def load_contracts(spark: SparkSession, path: str | list[str], database: str = "", multi_line: bool = True) -> DataFrame:
+def load_contracts(
+    spark: SparkSession, path: str | list[str], database: str = "", multi_line: bool = True
+) -> DataFrame:
     """Every contract document of a folder, one row each; a table is named after its file.
 
     Without ``multi_line`` the files hold one document per line, and a table is named by its document.

@@ -135,7 +135,8 @@ def newer_than_existing(
     """New files that are later than the latest existing one of their key; all of them where none exists.
 
     ``one_a_day`` compares UTC days, so a later file of the same day is refused. Without keys, all files are of one
-    kind. The latest times are one row per key and are settled first: their size is then known, so the new files are only shuffled if it is large.
+    kind. The latest times are one row per key and are settled first: their size is then known, so the new files are
+    only shuffled if it is large.
     """
     if keys:
         latest = settle(existing.groupBy(*keys).agg(F.max(ts).alias("latest")), "latest")

@@ -97,7 +97,9 @@ def missing_required(options: Mapping[str, LintOptions], tables_with_files: Sequ
     return sorted(n for n, o in options.items() if o.required and n not in set(tables_with_files))
 
 
-def check_columns(files: DataFrame, contract: Contract, options: LintOptions, by: Sequence[str] = ("file",)) -> DataFrame:
+def check_columns(
+    files: DataFrame, contract: Contract, options: LintOptions, by: Sequence[str] = ("file",)
+) -> DataFrame:
     """Header problems, one row (file, rule, column) each, from rows with a ``header`` array of names.
 
     Rules are ``missing`` (unless missing columns are allowed), ``extra`` and ``duplicate``. Without an expected

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from stagewise.contract import ContractError
 from stagewise.operators.partitions import (
     common_new,
-    list_partitions,
     same_partitions,
     stage_partitions,
 )
@@ -125,8 +124,3 @@ def final_sql(spec: TableSpec, hooks: Hooks | None) -> str:
     if not names or (not hooked and names != [spec.name]):
         raise ContractError(f"derived table '{spec.name}' needs exactly one final query with its own name")
     return spec.final_sql[names[0]]
-
-
-def derived_partitions(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
-    """The landing partitions a derived table holds."""
-    return list_partitions(stage_partitions(spark, pipeline.path(table, "derived"), pipeline.partition), pipeline.partition)

@@ -34,7 +34,10 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, for the few functions that run in Python there."""
+    """Send this package to the executors once per application, for the few functions that run in Python there.
+
+    The archive is built on the driver, and Spark itself hands it out; no executor sees the driver's folder.
+    """
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

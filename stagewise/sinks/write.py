@@ -15,6 +15,7 @@ from stagewise.sources.inventory import file_inventory, schema_inventory
 
 # Formats a stage can be written in.
 WRITE_FORMATS = ("parquet", "csv", "json")
+TEXT_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def under_contract(df: DataFrame, contract: Contract) -> DataFrame:
@@ -54,6 +55,8 @@ def write_partitioned(
     writer = out.write.format(fmt).mode(mode).option("partitionOverwriteMode", "dynamic")
     if fmt == "parquet":
         writer = writer.option("compression", "snappy")
+    else:
+        writer = writer.option("timestampNTZFormat", TEXT_TIMESTAMP)
     if fmt == "csv":
         writer = writer.option("header", True)
     if max_records:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
@@ -20,6 +20,8 @@ from stagewise.sources.inventory import file_inventory, schema_inventory, window
 from stagewise.spec import Pipeline
 
 CORRUPT = "_corrupt_record"
+# Contract types that JSON has no type for.
+TEXTUAL_IN_JSON = ("date32", "date64", "timestamp(ns)", "timestamp(us)", "timestamp(ms)", "timestamp(s)", "datetime")
 
 
 def read_csv(
@@ -65,7 +67,9 @@ def file_groups(spark: SparkSession, path: str | list[str], inventory: DataFrame
     ]
 
 
-def read_csv_text(spark: SparkSession, path: str | list[str], contract: Contract, corrupt: bool = False, **options: str) -> DataFrame:
+def read_csv_text(
+    spark: SparkSession, path: str | list[str], contract: Contract, corrupt: bool = False, **options: str
+) -> DataFrame:
     """The same files with every cell as text, which is what the type rule has to see.
 
     Spark takes CSV columns by position, so files are read together only if their header lines agree.
@@ -146,9 +150,16 @@ def read_json(
     multi_line: bool = False,
     **options: str,
 ) -> DataFrame:
-    """JSON records, typed by a contract or with an inferred schema; ``multi_line`` for one document per file."""
+    """JSON records, typed by a contract or with an inferred schema; ``multi_line`` for one document per file.
+
+    Dates and times are read as text and converted by their declared formats.
+    """
     reader = spark.read.options(multiLine=multi_line, **options)
-    return reader.json(path) if contract is None else reader.schema(contract.struct()).json(path)
+    if contract is None:
+        return reader.json(path)
+    textual = [c for c in contract.data_columns if c.type in TEXTUAL_IN_JSON]
+    rows = reader.schema(contract.with_columns(*[replace(c, type="string") for c in textual]).struct()).json(path)
+    return rows.withColumns({c.name: parse(F.col(f"`{c.name}`"), c) for c in textual}) if textual else rows
 
 
 def cast_to_contract(df: DataFrame, contract: Contract, partial: bool = False) -> DataFrame:

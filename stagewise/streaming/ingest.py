@@ -21,7 +21,9 @@ from stagewise.sources.scans import landed
 from stagewise.spec import Pipeline
 
 
-def stream_source(spark: SparkSession, path: str, fmt: str, contract: Contract, max_files: int | None = None) -> DataFrame:
+def stream_source(
+    spark: SparkSession, path: str, fmt: str, contract: Contract, max_files: int | None = None
+) -> DataFrame:
     """A stream of the rows of new files; text formats come as text, so that the type rule sees the cells."""
     stored = T.StringType() if fmt in ("csv", "json") else None
     fields = [T.StructField(c.name, stored or c.spark_type) for c in contract.data_columns]

@@ -38,7 +38,8 @@ DOCUMENT = f"""
 ROWS_SQL = f"""
     WITH c AS (
         SELECT 'part_' || p_partkey AS t, 0 AS position, lower(p_type) AS n, p_size > 25 AS nullable,
-               'raw_hist' AS stage, 'string' AS kind, '[A-Z]+' AS pattern, NULL AS fmt, p_brand AS enum, part.* FROM part
+               'raw_hist' AS stage, 'string' AS kind, '[A-Z]+' AS pattern, NULL AS fmt, p_brand AS enum, part.*
+        FROM part
         UNION ALL
         SELECT 'part_' || p_partkey, 0, lower(p_type), p_size > 25, 'curated', {KIND}, NULL, NULL, p_brand, part.*
         FROM part

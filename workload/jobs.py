@@ -60,10 +60,12 @@ def event_table(kind: str = "default", curated: Contract = CURATED_EVENTS, raw:
 
 RAW_COLUMNS = ["event_id", "event_type", "value", "props", "user_id", PART]
 # Days with such a value count as loaded before.
-DONE = 300
+DONE = 450
 
 
-def land_events(spark: SparkSession, sf_dir: str, base: str, stage: str = "raw_hist/pass", fmt: str = "parquet") -> None:
+def land_events(
+    spark: SparkSession, sf_dir: str, base: str, stage: str = "raw_hist/pass", fmt: str = "parquet"
+) -> None:
     land(events(spark, sf_dir).select(*RAW_COLUMNS), f"{base}/{stage}/events", fmt)
 
 
@@ -194,9 +196,8 @@ def q_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.col("event_type") == "signup"
     for delivery in (rows.where(~late), rows.where(late)):
         delivery.hint("rebalance", PART).write.mode("append").partitionBy(PART).parquet(f"{base}/raw_hist/pass/events")
-        ingest_now(
-            spark, shop, "events", f"{base}/checkpoint", quarantine=f"{base}/quarantine", options=ShapeOptions(partition=PART)
-        )
+        options = ShapeOptions(partition=PART)
+        ingest_now(spark, shop, "events", f"{base}/checkpoint", quarantine=f"{base}/quarantine", options=options)
     return read_events(spark, base)
 
 
@@ -247,7 +248,10 @@ OPEN_ORDERS = """
     SELECT o_orderkey, o_orderstatus, land_ts FROM {{ database_name }}.orders
     WHERE o_orderstatus <> 'F' AND {{ primary_partition }} IN ({{ snapshot_timestamps }})
 """
-SHIPPED = "SELECT l_orderkey, l_returnflag, l_extendedprice, land_ts FROM {{ database_name }}.lineitem WHERE l_returnflag <> 'R'"
+SHIPPED = """
+    SELECT l_orderkey, l_returnflag, l_extendedprice, land_ts FROM {{ database_name }}.lineitem
+    WHERE l_returnflag <> 'R'
+"""
 
 # Months that both inputs have, inside the cutoff.
 LOW, HIGH = 19950601, 20010601

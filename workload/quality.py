@@ -33,7 +33,8 @@ def q_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     "lint_nullable",
     """
     SELECT l_orderkey, l_linenumber, count(*) AS n
-    FROM (SELECT *, CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN NULL ELSE l_quantity END AS q FROM lineitem)
+    FROM (SELECT *, CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN NULL ELSE l_quantity END AS q
+          FROM lineitem)
     WHERE q IS NULL GROUP BY 1, 2
     """,
 )
@@ -241,12 +242,15 @@ def q_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with nested lines, where two of three feeds have drifted away from the contract."""
-    line = F.struct(F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"))
+    parts = {"l_linenumber": "line", "l_quantity": "qty", "l_extendedprice": "price"}
+    line = F.struct(*[F.col(c).alias(name) for c, name in parts.items()])
     joined = orders(spark, sf_dir).join(lineitem(spark, sf_dir).drop(PART), F.col("o_orderkey") == F.col("l_orderkey"))
     nested = joined.select("o_orderkey", "o_custkey", "o_orderstatus", F.array(line).alias("lines"))
     drifted = {
         "O": nested.withColumn("extra", F.lit(1)),
-        "F": nested.withColumn("lines", F.expr("transform(lines, l -> struct(l.line, l.qty, cast(l.price AS string) AS price))")),
+        "F": nested.withColumn(
+            "lines", F.expr("transform(lines, l -> struct(l.line, l.qty, cast(l.price AS string) AS price))")
+        ),
         "P": nested.withColumn("lines", F.expr("transform(lines, l -> struct(l.line, l.price))")).drop("o_custkey"),
     }
     root = scratch_path(spark, "drift")

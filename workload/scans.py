@@ -73,7 +73,10 @@ def q_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "scan_parquet_typed",
-    f"SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12, 2)) AS o_totalprice, {ORDER_MONTH} AS land_ts FROM orders",
+    f"""
+    SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12, 2)) AS o_totalprice, {ORDER_MONTH} AS land_ts
+    FROM orders
+    """,
 )
 def q_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = land(orders(spark, sf_dir).select("o_totalprice", "o_orderstatus", "o_orderkey", PART))

@@ -13,7 +13,7 @@ from stagewise.sinks.catalog import register
 from stagewise.sinks.write import publish, write_partitioned
 from stagewise.sources.scans import read_stage
 from stagewise.spec import Pipeline, TableSpec
-from workload.registry import EVENT_DAY, PART, SHIP_MONTH, events, land, lineitem, query, table
+from workload.registry import EVENT_DAY, PART, SHIP_MONTH, events, land, lineitem, query
 
 TYPED_EVENTS = Contract(
     "events",
@@ -66,24 +66,26 @@ def q_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "write_formats",
     """
-    SELECT f.fmt, c_custkey, c_name, c_nationkey, c_acctbal FROM customer,
+    SELECT f.fmt, event_id, ts, event_type, value, CAST(ts AS DATE) AS day FROM events,
         (VALUES ('csv'), ('json'), ('parquet')) f(fmt)
     """,
 )
 def q_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = Contract(
-        "customer",
+        "events",
         (
-            ColumnSpec("c_custkey", "int64"),
-            ColumnSpec("c_name", "string"),
-            ColumnSpec("c_nationkey", "int32"),
-            ColumnSpec("c_acctbal", "float64"),
+            ColumnSpec("event_id", "int64"),
+            ColumnSpec("ts", "timestamp(ns)"),
+            ColumnSpec("event_type", "string"),
+            ColumnSpec("value", "float64"),
+            ColumnSpec("day", "date32"),
         ),
     )
+    rows = events(spark, sf_dir).withColumn("day", F.to_date("ts"))
     frames = []
     for fmt in ("csv", "json", "parquet"):
         path = scratch_path(spark, fmt)
-        write_partitioned(table(spark, sf_dir, "customer"), path, wanted, fmt)
+        write_partitioned(rows, path, wanted, fmt)
         frames.append(read_stage(spark, path, fmt, wanted).withColumn("fmt", F.lit(fmt)))
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
