@@ -70,3 +70,9 @@ def rules(contract: Contract, columns: list[str] | None = None, typed: bool = Fa
         if spec.pattern:
             out.append(Rule(spec.name, "pattern", check_pattern(col, spec)))
     return out
+
+
+def repeated(names: Column) -> Column:
+    """The names that occur more than once in an array, each once."""
+    ordered = F.array_sort(names)
+    return F.array_distinct(F.filter(ordered, lambda name, i: (i > 0) & (name == F.get(ordered, i - 1))))

@@ -17,6 +17,7 @@ from stagewise.contract import (
     Contract,
     ContractError,
 )
+from stagewise.functions.checks import repeated
 from stagewise.functions.templates import render
 from stagewise.sources.inventory import file_inventory, schema_inventory
 
@@ -156,9 +157,7 @@ def contract_violations(contracts: DataFrame) -> DataFrame:
     formats = F.coalesce(F.col("file_formats"), F.array())
     known_type = [F.lit(t) for t in COLUMN_TYPES]
     problems = {
-        "duplicate column": F.filter(
-            F.array_distinct(names), lambda n: F.size(F.filter(names, lambda other: other == n)) > 1
-        ),
+        "duplicate column": repeated(names),
         "undeclared partition": F.array_except(F.coalesce("partitions", F.array().cast("array<string>")), names),
         "unknown type": F.transform(
             F.filter(

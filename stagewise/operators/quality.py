@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewise.contract import Contract, ContractError, leaves
-from stagewise.functions.checks import Rule, rules
+from stagewise.functions.checks import Rule, repeated, rules
 from stagewise.session import settle
 from stagewise.spec import LintOptions
 
@@ -112,13 +112,10 @@ def check_columns(
     header = fold(F.col("header"))
     wanted = fold(F.array(*[F.lit(c.name) for c in contract.data_columns]).cast("array<string>"))
     none = F.array().cast("array<string>")
-    repeated = F.filter(
-        F.array_distinct(header), lambda name: F.size(F.filter(header, lambda other: other == name)) > 1
-    )
     problems = {
         "missing": none if options.allow_missing_cols else F.array_except(wanted, header),
         "extra": F.array_except(header, wanted),
-        "duplicate": repeated,
+        "duplicate": repeated(header),
     }
     if not options.expect_header:
         problems = {}

@@ -72,7 +72,8 @@ def sql_load(
         return []
     stored, wanted = load_contract(spec, given, part), spec.contract(done)
     source = pipeline.path(table, given)
-    frame = scan_partitions(spark, source, spec.formats[given], stored, part, partitions)
+    drifted = given in CHECKED_STAGES
+    frame = scan_partitions(spark, source, spec.formats[given], stored, part, partitions, drifted=drifted)
     sql = sql or choose_sql(pipeline, spec, options.match_table_name)
     columns = common_columns(stored, wanted)
     if not columns and "sql_columns" in sql:

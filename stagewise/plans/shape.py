@@ -35,7 +35,7 @@ def run_shape(
         return []
     given, wanted = landed(spec.contract(raw_stage), part), spec.contract(stage)
     source = pipeline.path(table, raw_stage)
-    frame = scan_partitions(spark, source, spec.formats[raw_stage], given, part, todo, partial=True)
+    frame = scan_partitions(spark, source, spec.formats[raw_stage], given, part, todo, True, drifted=True)
     options = replace(options, partition=part, env=options.env or pipeline.env, db=options.db or pipeline.name)
     shaped = apply_shape(frame, spec.kind, hooks or Hooks(), ShapeContext(table, given, wanted, options))
     path, fmt = pipeline.path(table, stage), spec.formats[stage]

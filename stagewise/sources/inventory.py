@@ -160,7 +160,7 @@ def arrow_type_text(kind: pa.DataType) -> str:
     if pa.types.is_struct(kind):
         return f"struct<{', '.join(f'{f.name}:{arrow_type_text(f.type)}' for f in kind)}>"
     if pa.types.is_timestamp(kind):
-        return f"timestamp({kind.unit})"
+        return f"timestamp({kind.unit}, {kind.tz})" if kind.tz else f"timestamp({kind.unit})"
     if pa.types.is_decimal(kind):
         return f"decimal128({kind.precision},{kind.scale})"
     # Arrow name -> contract word, where they differ.

@@ -106,6 +106,15 @@ def read_csv_group(
     return reader.csv(group.paths).select(*wanted, *contract.partitions, *([CORRUPT] if corrupt else []))
 
 
+def file_type(text: str) -> T.DataType:
+    """The Spark type in which a file's column is read; some file types are narrower than any contract type."""
+    # File type word -> Spark DDL word.
+    words = {"float": "float", "int8": "tinyint", "int16": "smallint"}
+    if text.startswith("timestamp(") and "," in text:
+        return T.TimestampType()
+    return T.DataType.fromDDL(words[text]) if text in words else spark_type(text)
+
+
 def read_parquet_group(
     spark: SparkSession, group: FileGroup, contract: Contract, ignore_case: bool = False, **options: str
 ) -> DataFrame:
@@ -113,9 +122,24 @@ def read_parquet_group(
     names = [name for name, _ in group.columns]
     stored = reconcile_contract(names, contract.without(contract.partitions), ignore_case)
     kinds = dict(group.columns)
-    fields = [T.StructField(given, spark_type(kinds[given])) for _, given in stored]
+    fields = [T.StructField(given, file_type(kinds[given])) for _, given in stored]
+    fields += [T.StructField(p, contract.lookup[p].spark_type) for p in contract.partitions]
     rows = spark.read.schema(T.StructType(fields)).options(**options).format("parquet").load(group.paths)
-    return rows.select(*[F.col(f"`{given}`").alias(c.name) for c, given in stored])
+    return rows.select(*[F.col(f"`{given}`").alias(c.name) for c, given in stored], *contract.partitions)
+
+
+def read_parquet_drifted(
+    spark: SparkSession, path: str | list[str], contract: Contract, **options: str
+) -> DataFrame:
+    """Parquet files whose columns may differ from file to file, each cast from its own types.
+
+    A plain read takes one file's schema for all, so it would lose the columns that only other files have.
+    """
+    groups = file_groups(spark, path, schema_inventory(spark, path, "parquet"))
+    if not groups:
+        raise FileNotFoundError(f"no Parquet files below {path}")
+    frames = [cast_to_contract(read_parquet_group(spark, g, contract, **options), contract, True) for g in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_parquet(
@@ -179,18 +203,32 @@ def _as_declared(col: Column, kind: T.DataType, spec: ColumnSpec) -> Column:
     if spec.type == "timestamp(ns)" and isinstance(kind, T.LongType):
         # Nanosecond files are only readable as longs (spark.sql.legacy.parquet.nanosAsLong).
         return utc_wall_clock(F.floor(col.cast("decimal(19,0)") / F.lit(1000).cast("decimal(4,0)")))
+    if isinstance(kind, T.TimestampType) and isinstance(spec.spark_type, T.TimestampNTZType):
+        return utc_wall_clock(F.unix_micros(col))
     return col if kind == spec.spark_type else col.cast(spec.spark_type)
 
 
 def read_stage(
-    spark: SparkSession, path: str | list[str], fmt: str, contract: Contract, partial: bool = False, **options: str
+    spark: SparkSession,
+    path: str | list[str],
+    fmt: str,
+    contract: Contract,
+    partial: bool = False,
+    drifted: bool = False,
+    **options: str,
 ) -> DataFrame:
-    """Rows of one stage in whichever format it is kept. Null-typed columns are not read, as no stage keeps them."""
+    """Rows of one stage in whichever format it is kept. Null-typed columns are not read, as no stage keeps them.
+
+    ``drifted`` is for Parquet files that this library has not written, whose columns may differ.
+    """
     contract = contract.without(contract.null_typed())
     if fmt == "csv":
         typed = read_csv(spark, path, contract, **options)
     elif fmt == "parquet":
-        typed = _load_parquet(spark, path, options)
+        if drifted:
+            typed = read_parquet_drifted(spark, path, contract, **options)
+        else:
+            typed = _load_parquet(spark, path, options)
     elif fmt == "json":
         typed = read_json(spark, path, contract, **options)
     else:
@@ -244,10 +282,11 @@ def scan_partitions(
     partition: str,
     values: Sequence[int],
     partial: bool = False,
+    drifted: bool = False,
 ) -> DataFrame:
     """Rows of the given landing partitions. Only their folders are listed, however long the table's history is."""
     paths = partition_paths(path, partition, values)
-    return read_stage(spark, paths, fmt, contract, partial, basePath=path)
+    return read_stage(spark, paths, fmt, contract, partial, drifted, basePath=path)
 
 
 def input_scans(

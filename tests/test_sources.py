@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 from conftest import values
 from stagewise.contract import ColumnSpec, Contract, ContractError
 from stagewise.sources.inventory import arrow_type_text, day_window, file_inventory, headers, schema_inventory
-from stagewise.sources.scans import input_scans, read_csv, read_csv_text, read_json, read_parquet, scan_stage
+from stagewise.sources.scans import (
+    input_scans,
+    read_csv,
+    read_csv_text,
+    read_json,
+    read_parquet,
+    read_stage,
+    scan_stage,
+)
 from stagewise.spec import Pipeline, TableSpec
 
 PART = "land_ts"
@@ -82,6 +90,39 @@ def test_parquet_is_cast_and_matched_by_name(spark, path):
         read_parquet(spark, f"{path}/t", contract.with_columns(ColumnSpec("my_date", "date32")))
 
 
+def test_parquet_files_that_differ(spark, path):
+    """No file's columns are lost because another file was looked at first."""
+    for i, sql in enumerate(
+        ["SELECT 1L AS id", "SELECT 2 AS id, 'x' AS animal", "SELECT '3' AS ID, float(1.5) AS size, 9 AS other"]
+    ):
+        spark.sql(sql).coalesce(1).write.parquet(f"{path}/t/{PART}=2020010{i + 1}")
+    spark.sql("SELECT 4L AS id, timestamp'2020-01-01 10:00:00Z' AS at").write.parquet(f"{path}/t/{PART}=20200104")
+    wanted = Contract(
+        "t",
+        (
+            ColumnSpec("id", "int64"),
+            ColumnSpec("animal", "string"),
+            ColumnSpec("size", "float64"),
+            ColumnSpec("at", "timestamp(ms)"),
+            ColumnSpec(PART, "int64"),
+        ),
+        (PART,),
+    )
+    paths = [f"{path}/t/{PART}=2020010{i}" for i in (1, 2, 3, 4)]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows = read_stage(spark, paths, "parquet", wanted, drifted=True, basePath=f"{path}/t")
+        found = {tuple(r) for r in rows.select(*wanted.column_names).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == {
+        (1, None, None, None, 20200101),
+        (2, "x", None, None, 20200102),
+        (3, None, 1.5, None, 20200103),
+        (4, None, None, dt.datetime(2020, 1, 1, 10), 20200104),
+    }
+
+
 def test_nanosecond_files(spark, path):
     stamps = pa.array([1674198347123456789, None], pa.timestamp("ns"))
     pq.write_table(pa.table({"at": stamps}), f"{path}/a.parquet")
