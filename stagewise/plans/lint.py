@@ -117,10 +117,10 @@ def run_lint(
     if absent:
         raise ContractError(f"required tables have no files: {', '.join(absent)}")
     base = pipeline.base_path(stage)
-    logs = {s.name: f"{base}/log/{s.name}/run={run_ts}" for s in full}
+    logs = {s.name: f"{base}/log/{s.name}/report/run={run_ts}" for s in full}
     verdicts = {}
     for spec in full:
-        kept = f"{logs[spec.name]}_verdicts"
+        kept = f"{base}/log/{spec.name}/verdicts/run={run_ts}"
         lint_table(spark, pipeline, spec.name, stage, logs[spec.name]).write.mode("overwrite").parquet(kept)
         verdicts[spec.name] = spark.read.schema(VERDICT_SCHEMA).parquet(kept)
     empty = spark.createDataFrame([], VERDICT_SCHEMA)

@@ -288,6 +288,7 @@ def test_lint_moves_passing_files_under_their_names(spark, path):
     assert (result.files, result.failed_files, result.published) == (4, 0, True)
     assert visible(f"{path}/raw_hist/pass/table1/{PART}=1700000000") == NAMES
     assert visible(f"{path}/land/table1") == []
+    assert visible(f"{path}/raw_hist/log/table1") == ["report", "verdicts"]
     report = spark.read.parquet(result.log_paths["table1"])
     assert report.agg(F.sum("failures")).first()[0] == 0 and report.select("file").distinct().count() == 4
     assert run_lint(spark, home(path), 1700000001).tables == []

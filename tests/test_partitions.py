@@ -131,6 +131,20 @@ def test_epoch_day_ignores_the_session_zone(spark):
     assert days[1] == days[0] + 1
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    new=st.lists(st.tuples(st.sampled_from("abc"), st.integers(1_600_000_000, 1_600_400_000)), max_size=20),
+    existing=st.lists(st.tuples(st.sampled_from("ab"), st.integers(1_600_000_000, 1_600_400_000)), max_size=20),
+    one_a_day=st.booleans(),
+)
+def test_gate_against_brute_force(spark, new, existing, one_a_day):
+    frames = [spark.createDataFrame(rows, "k string, ts long") for rows in (new, existing)]
+    found = op.newer_than_existing(frames[0], frames[1], ["k"], one_a_day=one_a_day)
+    latest = {k: max(t for k2, t in existing if k2 == k) for k, _ in existing}
+    unit = 86_400 if one_a_day else 1
+    assert values(found) == sorted((k, t) for k, t in new if latest.get(k, 0) // unit < t // unit)
+
+
 def parts(spark, numbers):
     return spark.createDataFrame([(n,) for n in numbers], f"{PART} long")
 
