@@ -111,7 +111,7 @@ def run_derived(
         wanted, path = spec.contract("derived"), home.path(spec.name, "derived")
         rows = run_template(spark, sql, values, frames, args)
         rows = apply_sql(rows, "derived", spec.name, hooks or Hooks(), SqlContext(spark, sql, wanted, path))
-        publish(rows, path, wanted)
+        publish(rows, path, wanted, unit=part)
         if options.prefix is not None:
             register(spark, home, spec.name, "derived", options.prefix, options.location)
     return built

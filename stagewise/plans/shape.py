@@ -33,7 +33,7 @@ def run_shape(
     todo = unprocessed_all(spark, pipeline, [table], raw_stage, final_stage, TABLE_KINDS).get(table, [])
     if not todo:
         return []
-    given, wanted = landed(spec.contract(raw_stage), part), spec.contract(stage)
+    given, wanted = landed(spec.contract(raw_stage), part), landed(spec.contract(stage), part)
     source = pipeline.path(table, raw_stage)
     frame = scan_partitions(spark, source, spec.formats[raw_stage], given, part, todo, True, drifted=True)
     options = replace(options, partition=part, env=options.env or pipeline.env, db=options.db or pipeline.name)
@@ -41,7 +41,7 @@ def run_shape(
     path, fmt = pipeline.path(table, stage), spec.formats[stage]
     gather = len(wanted.partitions) > 1
     if fmt == "parquet":
-        publish(shaped, path, wanted, gather=gather, cast=True)
+        publish(shaped, path, wanted, unit=part, gather=gather, cast=True)
     else:
         write_partitioned(shaped, path, wanted, fmt, gather=gather)
     return todo

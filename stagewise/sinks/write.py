@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from stagewise.contract import Contract, ContractError
 from stagewise.operators.quality import conforms
-from stagewise.sources.files import delete_path, partition_folders, rename_path, renames_cheaply, replace_folders
+from stagewise.sources.files import (
+    delete_path,
+    partition_folders,
+    path_exists,
+    rename_path,
+    renames_cheaply,
+    replace_folders,
+)
 from stagewise.sources.inventory import file_inventory, schema_inventory
 
 # Formats a stage can be written in.
@@ -79,22 +86,32 @@ def check_frame(df: DataFrame, contract: Contract) -> None:
         raise ContractError(f"result does not match the contract of '{contract.name}': {', '.join(wrong)}")
 
 
-def publish(df: DataFrame, path: str, contract: Contract, gather: bool = True, cast: bool = False) -> str:
+def publish(
+    df: DataFrame,
+    path: str,
+    contract: Contract,
+    unit: str | None = None,
+    gather: bool = True,
+    cast: bool = False,
+) -> str:
     """Write to a staging area beside the target, check the schema of every file, then replace the partitions.
 
-    The frame's schema is compared first (``cast`` converts it instead), so most mistakes cost nothing. A published
-    landing partition is replaced as a whole, so running it again never leaves old rows. Where renaming is a
-    metadata operation the staged folders are moved; elsewhere Spark writes them again in parallel. Whatever fails,
-    the staging area is deleted and the target is as before.
+    The frame's schema is compared first (``cast`` converts it instead), so most mistakes cost nothing. With a
+    ``unit``, the landing partition, all that the target has of the written units is replaced, so running one again
+    never leaves old rows; without it, each written combination of partition values is. Where renaming is a metadata
+    operation the staged folders are moved; elsewhere Spark writes them again in parallel. If anything fails, the
+    staging area is deleted and the target is as before.
     """
-    spark = df.sparkSession
+    spark, path = df.sparkSession, path.rstrip("/")
+    if unit and unit not in contract.partitions:
+        raise ContractError(f"the contract of '{contract.name}' must be partitioned by {unit}")
     if not cast:
         check_frame(df, contract)
-    staging = f"{path.rstrip('/')}_staging/{uuid.uuid4().hex[:12]}"
+    staging = f"{path}_staging/{uuid.uuid4().hex[:12]}"
     try:
         write_partitioned(df, staging, contract, gather=gather)
         check_files(spark, staging, contract)
-        replace_partitions(spark, staging, path.rstrip("/"), contract)
+        replace_partitions(spark, staging, path, contract, unit)
     finally:
         delete_path(spark, staging)
     return path
@@ -109,8 +126,10 @@ def check_files(spark: SparkSession, path: str, contract: Contract) -> None:
         raise ContractError(f"files do not match the contract of '{contract.name}': {lines}")
 
 
-def replace_partitions(spark: SparkSession, staging: str, path: str, contract: Contract) -> None:
-    """Put staged landing partitions, or the whole of an unpartitioned table, in the place of the target's."""
+def replace_partitions(
+    spark: SparkSession, staging: str, path: str, contract: Contract, unit: str | None = None
+) -> None:
+    """Put staged partitions, or the whole of an unpartitioned table, in the place of the target's."""
     old = f"{staging}_old"
     try:
         if not contract.partitions:
@@ -119,25 +138,36 @@ def replace_partitions(spark: SparkSession, staging: str, path: str, contract: C
             replace_folders(spark, f"{staging}_new", parent, [name], old)
             delete_path(spark, f"{staging}_new")
             return
-        first = contract.partitions[0]
-        folders = partition_folders(spark, staging, first)
-        if renames_cheaply(spark, path):
-            replace_folders(spark, staging, path, folders, old)
+        by_rename = renames_cheaply(spark, path)
+        if by_rename and contract.partitions[0] == unit:
+            replace_folders(spark, staging, path, partition_folders(spark, staging, unit), old)
             return
-        staged = spark.read.schema(contract.without(contract.null_typed()).struct()).parquet(staging)
-        write_partitioned(staged, path, contract, gather=False)
-        for leaf in _stale_leaves(spark, staging, path, first, folders):
+        written = leaf_folders(spark, staging)
+        stale = stale_leaves(spark, written, path, unit) if unit else []
+        if by_rename:
+            replace_folders(spark, staging, path, [r["leaf"] for r in written.collect()], old)
+        else:
+            staged = spark.read.schema(contract.without(contract.null_typed()).struct()).parquet(staging)
+            write_partitioned(staged, path, contract, gather=False)
+        for leaf in stale:
             delete_path(spark, f"{path}/{leaf}")
     finally:
         delete_path(spark, old)
+        delete_path(spark, f"{staging}_new")
 
 
-def _stale_leaves(spark: SparkSession, staging: str, path: str, first: str, folders: list[str]) -> list[str]:
-    """Partition folders of the replaced landing partitions that the staged data does not have."""
+def leaf_folders(spark: SparkSession, path: str) -> DataFrame:
+    """The distinct innermost partition folders below a path that hold files, relative to it."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "leaf string")
+    root = path.rstrip("/").rsplit("/", 1)[1]
+    inside = F.regexp_extract("path", rf"/{re.escape(root)}/([^/=]+=.*)/[^/]+$", 1)
+    return file_inventory(spark, path).select(inside.alias("leaf")).distinct()
 
-    def leaves(parents: list[str]) -> DataFrame:
-        leaf = F.regexp_extract("path", f"/({re.escape(first)}=.*)/[^/]+$", 1).alias("leaf")
-        return file_inventory(spark, parents).select(leaf).distinct()
 
-    there = leaves([f"{path}/{f}" for f in folders])
-    return [r["leaf"] for r in there.join(leaves([staging]), "leaf", "left_anti").collect()]
+def stale_leaves(spark: SparkSession, written: DataFrame, path: str, unit: str) -> list[str]:
+    """Folders that the target has of the written units, but that were not written."""
+    of_unit = F.regexp_extract("leaf", rf"(?:^|/)({re.escape(unit)}=[^/]*)", 1).alias("unit")
+    units = written.select(of_unit).distinct()
+    there = leaf_folders(spark, path).select("leaf", of_unit).join(units, "unit", "left_semi")
+    return [r["leaf"] for r in there.join(written, "leaf", "left_anti").select("leaf").collect()]

@@ -26,21 +26,20 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
 def replace_folders(spark: SparkSession, source: str, target: str, names: list[str], old: str) -> None:
     """Move the named folders from one parent to another, in the place of those that have the same names there.
 
-    Replaced folders are kept below ``old``. If a move fails, all moves before it are taken back.
+    Names may be nested. Replaced folders are kept below ``old``. If a move fails, all moves before it are taken back.
     """
-    system = _filesystem(spark, target)
-    system.mkdirs(_hadoop_path(spark, target))
-    system.mkdirs(_hadoop_path(spark, old))
-    there = {s.getPath().getName() for s in system.listStatus(_hadoop_path(spark, target))}
-    moves = []
-    for name in names:
-        moves += [(f"{target}/{name}", f"{old}/{name}")] if name in there else []
-        moves += [(f"{source}/{name}", f"{target}/{name}")]
-    done = []
+    system, done = _filesystem(spark, target), []
+
+    def move(before: str, after: str) -> None:
+        system.mkdirs(_hadoop_path(spark, after).getParent())
+        _rename(spark, system, before, after)
+        done.append((before, after))
+
     try:
-        for move in moves:
-            _rename(spark, system, *move)
-            done.append(move)
+        for name in names:
+            if system.exists(_hadoop_path(spark, f"{target}/{name}")):
+                move(f"{target}/{name}", f"{old}/{name}")
+            move(f"{source}/{name}", f"{target}/{name}")
     except Exception:
         for before, after in reversed(done):
             _rename(spark, system, after, before)

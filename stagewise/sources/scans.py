@@ -237,10 +237,11 @@ def read_stage(
 
 
 def landed(contract: Contract, partition: str) -> Contract:
-    """The contract with the landing partition as a not-null long and as the first partition."""
-    spec = ColumnSpec(partition, "int64", nullable=False)
-    others = [p for p in contract.partitions if p != partition]
-    return contract.with_columns(spec).with_partitions(partition, *others)
+    """The contract with the landing partition as a not-null long, and as the first partition if it is none yet."""
+    contract = contract.with_columns(ColumnSpec(partition, "int64", nullable=False))
+    if partition in contract.partitions:
+        return contract
+    return contract.with_partitions(partition, *contract.partitions)
 
 
 def scan_stage(
@@ -284,7 +285,13 @@ def scan_partitions(
     partial: bool = False,
     drifted: bool = False,
 ) -> DataFrame:
-    """Rows of the given landing partitions. Only their folders are listed, however long the table's history is."""
+    """Rows of the given landing partitions. Only their folders are listed, however long the table's history is.
+
+    If another partition comes first in the layout, all folders are listed, and those of other partitions skipped.
+    """
+    if contract.partitions[:1] != (partition,):
+        rows = read_stage(spark, path, fmt, contract, partial, drifted)
+        return rows.where(F.col(partition).isin([int(v) for v in values]))
     paths = partition_paths(path, partition, values)
     return read_stage(spark, paths, fmt, contract, partial, drifted, basePath=path)
 

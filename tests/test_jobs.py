@@ -151,6 +151,20 @@ def test_shape_with_other_headers_and_csv_output(spark, path):
     assert raw.column_names[-1] == "ANIMAL"
 
 
+def test_shape_to_a_stage_without_partitions_in_its_contract(spark, path):
+    """Only the curated contract lists partitions, yet every stage is kept by landing partition."""
+    plain = CURATED.with_partitions().without([PART])
+    spec = TableSpec("table1", {"raw_hist": RAW, "processed": plain}, {"raw_hist": "csv", "processed": "parquet"})
+    bases = {"raw_hist": f"{path}/raw_hist", "processed": f"{path}/processed"}
+    shop = Pipeline("shop", "dev", bases, {"table1": spec}, PART)
+    land_two(path)
+    run_shape(spark, shop, "table1", "processed", final_stage="processed")
+    assert visible(f"{path}/processed/table1") == [f"{PART}=1664198347", f"{PART}=1674198347"]
+    put(f"{path}/raw_hist/pass/table1/{PART}=1674198400/c.csv", LINES[:1])
+    assert run_shape(spark, shop, "table1", "processed", final_stage="processed") == [1674198400]
+    assert spark.read.parquet(f"{path}/processed/table1").count() == 5
+
+
 # ---- SQL load ---------------------------------------------------------------------------------------------------
 
 

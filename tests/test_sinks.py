@@ -87,15 +87,28 @@ def test_formats(spark, path, fmt):
         sink.write_partitioned(rows(spark), f"{path}/t", flat, "xlsx")
 
 
-def test_publish_replaces_whole_landing_partitions(spark, path):
-    out = f"{path}/t"
-    sink.publish(rows(spark).union(rows(spark, part=20200102)), out, TABLE)
-    sink.publish(rows(spark, 1, shift=100), out, TABLE)
+@pytest.mark.parametrize("renames", [True, False])
+@pytest.mark.parametrize("order", [(PART, "animal"), ("animal", PART)])
+def test_publish_replaces_whole_landing_partitions(spark, path, monkeypatch, order, renames):
+    """Whatever the order of the partitions is, no row of a landing partition outlives its replacement."""
+    monkeypatch.setattr(sink, "renames_cheaply", lambda *_: renames)
+    out, table = f"{path}/t", TABLE.with_partitions(*order)
+    sink.publish(rows(spark).union(rows(spark, part=20200102)), out, table, unit=PART)
+    sink.publish(rows(spark, 1, shift=100), out, table, unit=PART)
     assert values(read(spark, out).where(f"{PART} = 20200101"), "id", "animal") == [(100, "cat")]
-    assert read(spark, out).where(f"{PART} = 20200102").count() == 6
+    assert values(read(spark, out).where(f"{PART} = 20200102"), "id") == [(i,) for i in range(6)]
     assert visible(path) == ["t", "t_staging"] and visible(f"{path}/t_staging") == []
 
 
+def test_publish_without_unit_replaces_written_folders(spark, path):
+    out = f"{path}/t"
+    sink.publish(rows(spark), out, TABLE)
+    sink.publish(rows(spark, 1, shift=100), out, TABLE)
+    assert values(read(spark, out), "id", "animal") == [(1, "dog"), (3, "dog"), (5, "dog"), (100, "cat")]
+    with pytest.raises(ContractError, match="partitioned by year"):
+        sink.publish(rows(spark), out, TABLE, unit="year")
+
+
 def test_publish_checks_the_frame_before_working(spark, path):
     wrong = rows(spark).withColumn("id", F.col("id").cast("int"))
     with pytest.raises(ContractError, match="id: int"):
@@ -140,7 +153,7 @@ def test_failed_moves_are_taken_back(spark, path, monkeypatch):
     from stagewise.sources import files
 
     out = f"{path}/t"
-    sink.publish(rows(spark).union(rows(spark, part=20200102)), out, TABLE)
+    sink.publish(rows(spark).union(rows(spark, part=20200102)), out, TABLE, unit=PART)
     rename, calls = files._rename, []
 
     def break_fourth(*args):
@@ -151,7 +164,7 @@ def test_failed_moves_are_taken_back(spark, path, monkeypatch):
 
     monkeypatch.setattr(files, "_rename", break_fourth)
     with pytest.raises(OSError, match="no space"):
-        sink.publish(rows(spark, 2, shift=100).union(rows(spark, 2, part=20200102, shift=100)), out, TABLE)
+        sink.publish(rows(spark, 2, shift=100).union(rows(spark, 2, part=20200102, shift=100)), out, TABLE, unit=PART)
     assert values(read(spark, out), "id") == sorted([(i,) for i in range(6)] * 2)
 
 
@@ -162,14 +175,6 @@ def test_publish_without_partitions(spark, path):
     assert values(spark.read.parquet(f"{path}/t")) == [(0,), (1,)]
 
 
-def test_publish_where_renaming_copies(spark, path, monkeypatch):
-    monkeypatch.setattr(sink, "renames_cheaply", lambda *_: False)
-    sink.publish(rows(spark).union(rows(spark, part=20200102)), f"{path}/t", TABLE)
-    sink.publish(rows(spark, 1, shift=100), f"{path}/t", TABLE)
-    assert values(read(spark, f"{path}/t").where(f"{PART} = 20200101"), "id") == [(100,)]
-    assert read(spark, f"{path}/t").count() == 7
-
-
 def shop(path, name="t"):
     spec = TableSpec("t", {"curated": Contract(name, TABLE.columns, TABLE.partitions)}, {"curated": "parquet"})
     return Pipeline("shop", f"e{os.path.basename(path)[-8:].replace('-', '_')}", {"curated": path}, {"t": spec}, PART)

@@ -13,11 +13,13 @@ from stagewise.contract import ColumnSpec, Contract, ContractError
 from stagewise.sources.inventory import arrow_type_text, day_window, file_inventory, headers, schema_inventory
 from stagewise.sources.scans import (
     input_scans,
+    landed,
     read_csv,
     read_csv_text,
     read_json,
     read_parquet,
     read_stage,
+    scan_partitions,
     scan_stage,
 )
 from stagewise.spec import Pipeline, TableSpec
@@ -230,6 +232,17 @@ def test_inputs_are_resolved_in_their_own_pipeline(spark, path):
         input_scans(spark, {"a": home}, "a", "out")
 
 
+def test_landing_partition_need_not_come_first(spark, path):
+    rows = spark.range(4).select("id", (F.col("id") % 2).alias("k"), (F.col("id") + 20200101).alias(PART))
+    rows.write.partitionBy("k", PART).parquet(f"{path}/t")
+    wanted = Contract("t", tuple(ColumnSpec(c, "int64") for c in ("id", "k", PART)), ("k", PART))
+    assert landed(wanted, PART).partitions == ("k", PART)
+    found = scan_partitions(spark, f"{path}/t", "parquet", landed(wanted, PART), PART, [20200102, 20200103])
+    assert values(found) == [(1, 1, 20200102), (2, 0, 20200103)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "20200102" in plan.split("PartitionFilters: [")[1].split("ReadSchema")[0]
+
+
 def test_column_pruning_and_filters_reach_the_scan(spark, path):
     rows = spark.range(10).select("id", (F.col("id") * 2).alias("x"), (F.col("id") * 3).alias("y"), F.lit(20200101).alias(PART))
     rows.write.partitionBy(PART).parquet(f"{path}/curated/t")

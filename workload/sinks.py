@@ -59,7 +59,7 @@ LINES = Contract(
 )
 def q_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "published")
-    publish(lineitem(spark, sf_dir).select(*LINES.column_names), path, LINES)
+    publish(lineitem(spark, sf_dir).select(*LINES.column_names), path, LINES, unit=PART)
     return spark.read.schema(LINES.struct()).parquet(path)
 
 
