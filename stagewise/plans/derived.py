@@ -97,8 +97,7 @@ def run_derived(
         built[spec.name] = partitions
         if not partitions:
             continue
-        scans = input_scans(spark, pipelines, pipeline, spec.name, partitions)
-        frames = {name: frame for (_, name), frame in scans.items()}
+        frames = named_inputs(input_scans(spark, pipelines, pipeline, spec.name, partitions), pipeline)
         values = template_values(part, home.env, partitions, options.tag, options.params, table_name=spec.name)
         args = {"snapshot_timestamps": partitions}
         if spec.uses_shared_sql:
@@ -117,6 +116,17 @@ def run_derived(
     return built
 
 
+def named_inputs(scans: Mapping[tuple[str, str], DataFrame], home: str) -> dict[str, DataFrame]:
+    """Inputs under the names that templates use: the table's, and ``<pipeline>__<table>``.
+
+    Where two pipelines have a table of one name, the short name is the home pipeline's table.
+    """
+    frames = {name: frame for (_, name), frame in scans.items()}
+    frames.update({name: frame for (owner, name), frame in scans.items() if owner == home})
+    frames.update({f"{owner}__{name}": frame for (owner, name), frame in scans.items()})
+    return frames
+
+
 def final_sql(spec: TableSpec, hooks: Hooks | None) -> str:
     """The one final query, named as the table unless the table has its own hook."""
     names = list(spec.final_sql)

@@ -26,13 +26,14 @@ def template_values(
     **more: Any,
 ) -> dict[str, Any]:
     """The values every template can use; the user's own ones win."""
+    # The names that templates use.
     return {
         "database_name": INPUT_DATABASE,
         "temporary_database": TEMP_DATABASE,
         "environment": env,
         "primary_partition": partition,
         "snapshot_timestamps": ",".join(str(int(p)) for p in partitions),
-        "tag": tag,
+        "github_tag": tag,
         **more,
         **(params or {}),
     }

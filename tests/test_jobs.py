@@ -263,6 +263,24 @@ def test_derived_with_intermediates(spark, path):
     assert values(out, "my_int", "animal") == [(10, "chicken"), (12, "chicken"), (16, "fish"), (20, "dog")]
 
 
+def test_inputs_of_one_name_from_two_pipelines(spark, path):
+    sql = """
+        SELECT a.my_int, b.animal, a.land_ts FROM {{ database_name }}.table1 a
+        JOIN {{ database_name }}.depot__table1 b ON a.land_ts = b.land_ts AND a.my_int = b.my_int
+    """
+    shop, depot = home(f"{path}/a", derived={"final_sql": {"table2": sql}}), home(f"{path}/b")
+    spec = shop.table("table2")
+    both = {("depot", "table1"): "curated", ("shop", "table1"): "curated"}
+    out = TableSpec("table2", spec.contracts, spec.formats, "derived", inputs=both, final_sql={"table2": sql})
+    shop = Pipeline("shop", "dev", shop.base_paths, {**shop.tables, "table2": out}, PART)
+    for p, lines in ((shop, LINES), (depot, [l.replace("chicken", "cat") for l in LINES])):
+        root = p.base_path("raw_hist").rsplit("/", 1)[0]
+        put(f"{root}/raw_hist/pass/table1/{PART}=1664198347/a.csv", lines[:2])
+        run_shape(spark, p, "table1")
+    assert run_derived(spark, {"shop": shop, "depot": depot}, "shop") == {"table2": [1664198347]}
+    assert values(spark.read.parquet(f"{path}/a/derived/table2"), "my_int", "animal") == [(12, "cat"), (16, "fish")]
+
+
 @pytest.mark.parametrize("final", [{}, {"other": COPY}, {"table2": COPY, "more": COPY}])
 def test_derived_needs_one_final_query(spark, path, final):
     shop = home(path, derived={"final_sql": final})
