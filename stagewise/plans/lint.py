@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import partial, reduce
 
 import pandas as pd
 from pyarrow import fs
@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewise.contract import ColumnSpec, Contract, ContractError
+from stagewise.functions.checks import Rule
 from stagewise.functions.tokens import plain_path
 from stagewise.operators.partitions import promote
 from stagewise.operators.quality import all_must_pass, check_columns, lint_report, missing_required
 from stagewise.session import settle
 from stagewise.sources.files import path_exists
 from stagewise.sources.inventory import file_inventory, file_system, headers, local_path, schema_inventory
-from stagewise.sources.scans import FileGroup, file_groups, read_csv_group, read_parquet_group
-from stagewise.spec import LintOptions, Pipeline
+from stagewise.sources.scans import CORRUPT, FileGroup, file_groups, read_csv_group, read_parquet_group
+from stagewise.spec import Pipeline, TableSpec
 
 REPORT_SCHEMA = "file string, column_name string, rule_name string, rows long, failures long"
 VERDICT_SCHEMA = "file string, rows long, bad_rules long, passed boolean"
@@ -38,24 +39,25 @@ class LintResult:
 
 
 def land_frames(
-    spark: SparkSession, path: str, fmt: str, contract: Contract, inventory: DataFrame, options: LintOptions
+    spark: SparkSession, path: str, spec: TableSpec, contract: Contract, inventory: DataFrame
 ) -> list[DataFrame]:
     """Landed rows with their ``file``, cells as they are stored; one frame per schema that the files have.
 
     A file is in one frame only, so the reports of the frames do not overlap. CSV files without a header are read
     in the contract's order.
     """
-    if fmt == "csv" and not options.expect_header:
+    fmt, reading = spec.formats["land"], {**spec.read_options, "recursiveFileLookup": "true"}
+    if fmt == "csv" and not spec.lint.expect_header:
         group = FileGroup(tuple((c.name, c.type) for c in contract.columns), path)
         stored = contract.without(contract.null_typed())
-        frames = [read_csv_group(spark, group, stored, recursiveFileLookup="true", header="false")]
+        frames = [read_csv_group(spark, group, stored, corrupt=True, **{**reading, "header": "false"})]
     elif fmt == "json":
-        frames = [spark.read.options(recursiveFileLookup=True, primitivesAsString=True).json(path)]
+        frames = [spark.read.options(**{**reading, "primitivesAsString": "true"}).json(path)]
     elif fmt in ("csv", "parquet"):
-        read = read_csv_group if fmt == "csv" else read_parquet_group
+        read = partial(read_csv_group, corrupt=True) if fmt == "csv" else read_parquet_group
         groups = file_groups(spark, path, inventory)
-        stored, fold = contract.without(contract.null_typed()), options.headers_ignore_case
-        frames = [read(spark, g, stored, ignore_case=fold, recursiveFileLookup="true") for g in groups]
+        stored, fold = contract.without(contract.null_typed()), spec.lint.headers_ignore_case
+        frames = [read(spark, g, stored, ignore_case=fold, **reading) for g in groups]
     else:
         raise ContractError(f"cannot lint '{fmt}' files")
     return [f.withColumn("file", plain_path(F.col("_metadata.file_path"))) for f in frames]
@@ -68,10 +70,12 @@ def lint_table(spark: SparkSession, pipeline: Pipeline, table: str, stage: str,
     casts = {c.name: ColumnSpec(c.name, c.target) for c in spec.lint.casts}
     stored = contract.without([*contract.partitions, pipeline.partition])
     checked = stored.with_columns(*[replace(c, type=casts[c.name].type) for c in stored.columns if c.name in casts])
-    inventory = settle(schema_inventory(spark, path, fmt), "schemas")
+    inventory = settle(schema_inventory(spark, path, fmt, **spec.read_options), "schemas")
     problems = check_columns(headers(inventory), stored, spec.lint)
-    frames = land_frames(spark, path, fmt, stored, inventory, spec.lint)
-    reports = [lint_report(rows, checked, ["file"]) for rows in frames]
+    frames = land_frames(spark, path, spec, stored, inventory)
+    # A row with more or fewer cells than the header fails its file, whatever its cells hold.
+    cells = [Rule("*", "cells", F.col(CORRUPT).isNotNull())] if fmt == "csv" else []
+    reports = [lint_report(rows, checked, ["file"], more=cells) for rows in frames]
     reports.append(
         problems.select(
             "file",

@@ -73,7 +73,9 @@ def sql_load(
     stored, wanted = load_contract(spec, given, part), spec.contract(done)
     source = pipeline.path(table, given)
     drifted = given in CHECKED_STAGES
-    frame = scan_partitions(spark, source, spec.formats[given], stored, part, partitions, drifted=drifted)
+    frame = scan_partitions(
+        spark, source, spec.formats[given], stored, part, partitions, drifted=drifted, **spec.read_options
+    )
     sql = sql or choose_sql(pipeline, spec, options.match_table_name)
     columns = common_columns(stored, wanted)
     if not columns and "sql_columns" in sql:

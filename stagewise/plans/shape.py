@@ -35,13 +35,14 @@ def run_shape(
         return []
     given, wanted = landed(spec.contract(raw_stage), part), landed(spec.contract(stage), part)
     source = pipeline.path(table, raw_stage)
-    frame = scan_partitions(spark, source, spec.formats[raw_stage], given, part, todo, True, drifted=True)
+    fmt = spec.formats[raw_stage]
+    frame = scan_partitions(spark, source, fmt, given, part, todo, partial=True, drifted=True, **spec.read_options)
     options = replace(options, partition=part, env=options.env or pipeline.env, db=options.db or pipeline.name)
     shaped = apply_shape(frame, spec.kind, hooks or Hooks(), ShapeContext(table, given, wanted, options))
-    path, fmt = pipeline.path(table, stage), spec.formats[stage]
+    path, written = pipeline.path(table, stage), spec.formats[stage]
     gather = len(wanted.partitions) > 1
-    if fmt == "parquet":
+    if written == "parquet":
         publish(shaped, path, wanted, unit=part, gather=gather, cast=True)
     else:
-        write_partitioned(shaped, path, wanted, fmt, gather=gather)
+        write_partitioned(shaped, path, wanted, written, gather=gather)
     return todo

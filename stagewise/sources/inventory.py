@@ -89,9 +89,10 @@ def schema_inventory(
             out = out.unionByName(frame)
         return out
     # Formats whose schema can be read file by file.
-    readers = {"parquet": _parquet_rows, "csv": _csv_rows}
+    sep = options.get("sep", ",")
+    readers = {"parquet": _parquet_rows, "csv": lambda file: _csv_rows(file, sep)}
     if ext == "json":
-        return _json_schemas(spark, path, multi_line, options)
+        return _json_schemas(spark, path, multi_line or options.get("multiLine") == "true", options)
     if ext not in readers:
         raise ContractError(f"cannot read the schema of '{ext}' files")
     read = readers[ext]
@@ -148,9 +149,9 @@ def _parquet_rows(path: str) -> list[tuple[str, str]]:
         return [(f.name, arrow_type_text(f.type)) for f in pq.read_schema(source)]
 
 
-def _csv_rows(path: str) -> list[tuple[str, str]]:
+def _csv_rows(path: str, sep: str) -> list[tuple[str, str]]:
     with _open(path) as source, io.TextIOWrapper(source, encoding="utf-8-sig", newline="") as text:
-        return [(name, "string") for name in next(csv.reader(text), [])]
+        return [(name, "string") for name in next(csv.reader(text, delimiter=sep), [])]
 
 
 def arrow_type_text(kind: pa.DataType) -> str:

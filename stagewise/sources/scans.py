@@ -100,7 +100,8 @@ def read_csv_group(
     fields += [T.StructField(CORRUPT, T.StringType())] if corrupt else []
     reader = spark.read.schema(T.StructType(fields)).options(**{"header": "true", "mode": "PERMISSIVE", **options})
     if corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        # A parser that skips cells nobody asked for would not see that a row has too many or too few.
+        reader = reader.options(columnNameOfCorruptRecord=CORRUPT, columnPruning="false")
     names = {given: c.name for c, given in stored}
     wanted = [F.col(p).alias(names[h]) for p, h in zip(positions, header, strict=True) if h in names]
     return reader.csv(group.paths).select(*wanted, *contract.partitions, *([CORRUPT] if corrupt else []))
@@ -178,7 +179,7 @@ def read_json(
 
     Dates and times are read as text and converted by their declared formats.
     """
-    reader = spark.read.options(multiLine=multi_line, **options)
+    reader = spark.read.options(**{"multiLine": str(multi_line), **options})
     if contract is None:
         return reader.json(path)
     textual = [c for c in contract.data_columns if c.type in TEXTUAL_IN_JSON]
@@ -265,7 +266,7 @@ def scan_stage(
         path = f"{base.rstrip('/')}/{table}"
     else:
         path, fmt, contract = pipeline.path(table, stage), spec.formats.get(stage, ""), spec.contract(stage)
-    options = window_options(after, before)
+    options = {**spec.read_options, **window_options(after, before)}
     if ext:
         options["pathGlobFilter"] = f"*.{ext.lstrip('.')}"
     return read_stage(spark, path, fmt, landed(contract, pipeline.partition), **options)
@@ -284,16 +285,17 @@ def scan_partitions(
     values: Sequence[int],
     partial: bool = False,
     drifted: bool = False,
+    **options: str,
 ) -> DataFrame:
     """Rows of the given landing partitions. Only their folders are listed, however long the table's history is.
 
     If another partition comes first in the layout, all folders are listed, and those of other partitions skipped.
     """
     if contract.partitions[:1] != (partition,):
-        rows = read_stage(spark, path, fmt, contract, partial, drifted)
+        rows = read_stage(spark, path, fmt, contract, partial, drifted, **options)
         return rows.where(F.col(partition).isin([int(v) for v in values]))
     paths = partition_paths(path, partition, values)
-    return read_stage(spark, paths, fmt, contract, partial, drifted, basePath=path)
+    return read_stage(spark, paths, fmt, contract, partial, drifted, **{**options, "basePath": path})
 
 
 def input_scans(
@@ -316,5 +318,7 @@ def input_scans(
         given = home.table(name)
         contract = landed(given.contract(stage), home.partition)
         path, fmt = home.path(name, stage), given.formats[stage]
-        scans[(owner, name)] = scan_partitions(spark, path, fmt, contract, home.partition, partitions)
+        scans[(owner, name)] = scan_partitions(
+            spark, path, fmt, contract, home.partition, partitions, **given.read_options
+        )
     return scans

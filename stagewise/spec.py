@@ -35,7 +35,8 @@ class LintOptions:
 class TableSpec:
     """One table: its contract per stage, the format of each stage, and how it is made.
 
-    ``inputs`` (derived tables only) maps (pipeline name, table name) to the stage that is read.
+    ``inputs`` (derived tables only) maps (pipeline name, table name) to the stage that is read. ``read_options`` are
+    Spark reader options for files that were not written here, such as ``{"sep": ";", "multiLine": "true"}``.
     """
 
     name: str
@@ -48,6 +49,7 @@ class TableSpec:
     final_sql: Mapping[str, str] = field(default_factory=dict)
     uses_shared_sql: bool = False
     frequency: str = "@daily"
+    read_options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.kind not in TABLE_KINDS:

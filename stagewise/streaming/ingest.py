@@ -22,7 +22,7 @@ from stagewise.spec import Pipeline
 
 
 def stream_source(
-    spark: SparkSession, path: str, fmt: str, contract: Contract, max_files: int | None = None
+    spark: SparkSession, path: str, fmt: str, contract: Contract, max_files: int | None = None, **options: str
 ) -> DataFrame:
     """A stream of the rows of new files; text formats come as text, so that the type rule sees the cells."""
     stored = T.StringType() if fmt in ("csv", "json") else None
@@ -31,6 +31,7 @@ def stream_source(
     reader = spark.readStream.schema(T.StructType(fields)).format(fmt)
     if fmt == "csv":
         reader = reader.options(header=True, enforceSchema=False)
+    reader = reader.options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
@@ -55,7 +56,8 @@ def ingest_stream(
     spec = pipeline.table(table)
     given, wanted = landed(spec.contract(raw_stage), pipeline.partition), spec.contract(stage)
     given = given.without(given.null_typed())
-    source = stream_source(spark, pipeline.path(table, raw_stage), spec.formats[raw_stage], given, max_files)
+    path, fmt = pipeline.path(table, raw_stage), spec.formats[raw_stage]
+    source = stream_source(spark, path, fmt, given, max_files, **spec.read_options)
     good, bad = split_valid(source, given)
     ctx = ShapeContext(table, given, wanted, options)
     shaped = under_contract(apply_shape(good, spec.kind, hooks or Hooks(), ctx), wanted)

@@ -151,6 +151,18 @@ def test_shape_with_other_headers_and_csv_output(spark, path):
     assert raw.column_names[-1] == "ANIMAL"
 
 
+def test_shape_lifts_header_values(spark, path):
+    names = ["my_int23", "my_email24", "animal"]
+    raw = Contract("table1", tuple(ColumnSpec(n, "string") for n in names))
+    curated = Contract("table1", tuple(ColumnSpec(n, "string") for n in ("my_int", "animal", "my_email", "years")))
+    spec = TableSpec("table1", {"raw_hist": raw, "curated": curated}, {"raw_hist": "csv", "curated": "parquet"})
+    shop = Pipeline("shop", "dev", home(path).base_paths, {"table1": spec}, PART)
+    put(f"{path}/raw_hist/pass/table1/{PART}=1664198347/a.csv", ["1,a@b,cat"], "MY_INT23,my_email24,animal")
+    run_shape(spark, shop, "table1", options=ShapeOptions(header_field="years", header_regex="[0-9]{2}"))
+    text = '[{"value": 23, "fields": ["my_int"]}, {"value": 24, "fields": ["my_email"]}]'
+    assert values(spark.read.parquet(f"{path}/curated/table1")) == [("1", "cat", "a@b", text, 1664198347)]
+
+
 def test_shape_to_a_stage_without_partitions_in_its_contract(spark, path):
     """Only the curated contract lists partitions, yet every stage is kept by landing partition."""
     plain = CURATED.with_partitions().without([PART])
@@ -375,6 +387,27 @@ def test_lint_without_headers_and_with_mixed_case(spark, path):
     assert values(failed, "column_name", "rule_name") == [("my_int", "range")]
 
 
+def test_lint_rows_with_a_wrong_number_of_cells(spark, path):
+    put(f"{path}/land/table1/a.csv", [LINES[0], LINES[1] + ",extra"])
+    put(f"{path}/land/table1/b.csv", [LINES[2], "16,fish"])
+    put(f"{path}/land/table1/c.csv", [LINES[3]])
+    result = run_lint(spark, home(path, all_must_pass=False), 1700000000)
+    assert (result.files, result.failed_files) == (3, 2)
+    failed = spark.read.parquet(result.log_paths["table1"]).where("failures > 0")
+    assert values(failed, "column_name", "rule_name", "rows", "failures") == [("*", "cells", 2, 1)] * 2
+
+
+def test_reader_options(spark, path):
+    shop = home(path)
+    spec = shop.table("table1")
+    odd = TableSpec("table1", spec.contracts, spec.formats, lint=spec.lint, read_options={"sep": ";", "multiLine": "true"})
+    shop = Pipeline("shop", "dev", shop.base_paths, {"table1": odd}, PART)
+    put(f"{path}/land/table1/a.csv", ['16;fish;"a\n;b";2013-01-14 15:54:20;1993-09-27'], HEADER.replace(",", ";"))
+    assert run_lint(spark, shop, 1700000000).failed_files == 0
+    run_shape(spark, shop, "table1")
+    assert values(spark.read.parquet(f"{path}/curated/table1"), "my_int", "my_email") == [(16, "a\n;b")]
+
+
 def test_lint_staged_partitions_are_promoted(spark, path):
     for i, name in enumerate(NAMES):
         put(f"{path}/land/table1/{PART}=1690000000/{name}", [LINES[i]])
