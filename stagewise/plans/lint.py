@@ -18,7 +18,7 @@ from stagewise.operators.partitions import promote
 from stagewise.operators.quality import all_must_pass, check_columns, lint_report, missing_required
 from stagewise.session import settle
 from stagewise.sources.files import path_exists
-from stagewise.sources.inventory import file_inventory, file_system, headers, local_path, schema_inventory
+from stagewise.sources.inventory import file_inventory, file_system, headers, path_below, schema_inventory
 from stagewise.sources.scans import CORRUPT, FileGroup, file_groups, read_csv_group, read_parquet_group
 from stagewise.spec import Pipeline, TableSpec
 
@@ -163,12 +163,11 @@ def move_files(files: DataFrame, root: str, target: str, folder: str, partition:
 
 
 def _relocate(file: str, root: str, target: str, folder: str, partition: str, remove: bool) -> str:
-    inner, base = local_path(file), local_path(root)
-    relative = inner[len(base.rstrip("/")) + 1 :]
+    relative = path_below(file, root)
     below = relative if f"{partition}=" in relative else f"{folder}/{relative}"
     destination = f"{target}/{below}"
     system, source = file_system(file)
-    _, to = file_system(destination)
+    to = file_system(destination)[1]
     found = {info.path: info.type for info in system.get_file_info([source, to])}
     if found[source] == fs.FileType.NotFound:
         if found[to] == fs.FileType.NotFound:

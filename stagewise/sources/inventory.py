@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Iterator, Mapping
 from datetime import UTC, date, datetime, time
 
@@ -132,6 +133,14 @@ def local_path(path: str) -> str:
     return "/" + path[len("file:") :].lstrip("/") if path.startswith("file:") else path
 
 
+def path_below(path: str, root: str) -> str:
+    """A file's path relative to a folder above it, however much of scheme and host either one spells out."""
+    inner, above = (re.sub(r"^[A-Za-z][\w+.-]*://[^/]*", "", local_path(p)) for p in (path, root))
+    if not inner.startswith(above.rstrip("/") + "/"):
+        raise ValueError(f"{path} is not below {root}")
+    return inner[len(above.rstrip("/")) + 1 :]
+
+
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path as Spark spells it (``file:/x``, ``s3a://…``, ``hdfs://…``), for use in a task."""
     if path.startswith(("file:", "/")):
@@ -151,7 +160,8 @@ def _parquet_rows(path: str) -> list[tuple[str, str]]:
 
 def _csv_rows(path: str, sep: str) -> list[tuple[str, str]]:
     with _open(path) as source, io.TextIOWrapper(source, encoding="utf-8-sig", newline="") as text:
-        return [(name, "string") for name in next(csv.reader(text, delimiter=sep), [])]
+        # A blank first line is a header with one nameless column.
+        return [(name, "string") for name in next(csv.reader(text, delimiter=sep), []) or [""]]
 
 
 def arrow_type_text(kind: pa.DataType) -> str:

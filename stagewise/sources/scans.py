@@ -102,9 +102,12 @@ def read_csv_group(
     if corrupt:
         # A parser that skips cells nobody asked for would not see that a row has too many or too few.
         reader = reader.options(columnNameOfCorruptRecord=CORRUPT, columnPruning="false")
-    names = {given: c.name for c, given in stored}
-    wanted = [F.col(p).alias(names[h]) for p, h in zip(positions, header, strict=True) if h in names]
-    return reader.csv(group.paths).select(*wanted, *contract.partitions, *([CORRUPT] if corrupt else []))
+    # A name that occurs twice in a header stands for its first column.
+    wanted = [F.col(positions[header.index(given)]).alias(c.name) for c, given in stored]
+    if corrupt:
+        # Spark refuses to read the raw line alone, so it is tied to a cell.
+        wanted.append(F.when(F.coalesce(F.length(positions[0]), F.lit(0)) >= 0, F.col(CORRUPT)).alias(CORRUPT))
+    return reader.csv(group.paths).select(*wanted, *contract.partitions)
 
 
 def file_type(text: str) -> T.DataType:

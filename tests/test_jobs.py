@@ -397,6 +397,21 @@ def test_lint_rows_with_a_wrong_number_of_cells(spark, path):
     assert values(failed, "column_name", "rule_name", "rows", "failures") == [("*", "cells", 2, 1)] * 2
 
 
+def test_lint_odd_headers(spark, path):
+    """Nothing a single file holds stops the job: the file fails and the others go on."""
+    plain = Contract("table1", (ColumnSpec("a", "string"), ColumnSpec("b", "string")))
+    spec = TableSpec("table1", {"raw_hist": plain}, {"land": "csv", "raw_hist": "csv"}, lint=LintOptions())
+    shop = Pipeline("shop", "dev", home(path).base_paths, {"table1": spec}, PART, all_must_pass=False)
+    for name, text in {"ok": "a,b\n1,2\n", "twice": "a,b,a\n1,2,3\n", "blank": "\n1,2\n", "other": "x,y\n1,2\n"}.items():
+        put(f"{path}/land/table1/{name}.csv", [], text.rstrip("\n"))
+    result = run_lint(spark, shop, 1700000000)
+    assert (result.files, result.failed_files) == (4, 3)
+    assert visible(f"{path}/raw_hist/pass/table1/{PART}=1700000000") == ["ok.csv"]
+    failed = spark.read.parquet(result.log_paths["table1"]).where("failures > 0")
+    name = F.substring_index("file", "/", -1)
+    assert set(values(failed.where(name == "twice.csv"), "rule_name", "column_name")) == {("duplicate", "a")}
+
+
 def test_reader_options(spark, path):
     shop = home(path)
     spec = shop.table("table1")

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from conftest import values
 from stagewise.contract import ColumnSpec, Contract, ContractError
-from stagewise.sources.inventory import arrow_type_text, day_window, file_inventory, headers, schema_inventory
+from stagewise.sources.inventory import (
+    arrow_type_text,
+    day_window,
+    file_inventory,
+    headers,
+    path_below,
+    schema_inventory,
+)
 from stagewise.sources.scans import (
     input_scans,
     landed,
@@ -213,6 +220,16 @@ def test_schema_inventory_of_mixed_files(spark, path):
         schema_inventory(spark, path, "xlsx")
 
 
+def test_paths_below_a_folder():
+    assert path_below("file:/a/b/c/d.csv", "/a/b") == "c/d.csv"
+    assert path_below("file:/a/b/d.csv", "file:///a/b/") == "d.csv"
+    assert path_below("hdfs://node:8020/a/b/c.csv", "hdfs:///a/b") == "c.csv"
+    assert path_below("s3a://bucket/a/b/c.csv", "s3a://bucket/a") == "b/c.csv"
+    assert path_below("file:/a/b/x#1?.csv", "/a/b") == "x#1?.csv"
+    with pytest.raises(ValueError):
+        path_below("file:/a/bc/d.csv", "/a/b")
+
+
 def test_arrow_types():
     kind = pa.list_(pa.struct([("a", pa.float64()), ("b", pa.list_(pa.date32())), ("c", pa.timestamp("ms"))]))
     assert arrow_type_text(kind) == "list<struct<a:float64, b:list<date32>, c:timestamp(ms)>>"
