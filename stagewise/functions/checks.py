@@ -6,16 +6,54 @@ Null passes every rule but the null rule, so a value fails each rule on its own
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stagewise.contract import ColumnSpec, Contract
 from stagewise.functions.formats import parse
 
 
-def check_type(col: Column, spec: ColumnSpec) -> Column:
-    return col.isNotNull() & parse(col, spec).isNull()
+NESTED = (T.ArrayType, T.StructType)
+
+
+def check_type(col: Column, spec: ColumnSpec, kind: T.DataType | None = None) -> Column:
+    """A value that does not parse to the contract type; of lists and structs, any value inside them.
+
+    ``kind`` is the type the data has, text if not given. Text stands for a nested value as JSON.
+    """
+    target = spec.spark_type
+    if not isinstance(target, NESTED):
+        return col.isNotNull() if isinstance(kind, NESTED) else col.isNotNull() & parse(col, spec).isNull()
+    if kind is None or isinstance(kind, T.StringType):
+        kind = _with_text(target)
+        inner = F.from_json(col, kind.simpleString())
+        return col.isNotNull() & (inner.isNull() | _inner_fails(inner, kind, target))
+    return _inner_fails(col, kind, target)
+
+
+def _with_text(kind: T.DataType) -> T.DataType:
+    """The same nesting with text as the innermost values."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_with_text(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _with_text(f.dataType)) for f in kind.fields])
+    return T.StringType()
+
+
+def _inner_fails(col: Column, kind: T.DataType, target: T.DataType) -> Column:
+    if isinstance(target, T.ArrayType) and isinstance(kind, T.ArrayType):
+        inside = F.exists(col, lambda item: _inner_fails(item, kind.elementType, target.elementType))
+        return F.coalesce(inside, F.lit(False))
+    if isinstance(target, T.StructType) and isinstance(kind, T.StructType):
+        shared = [f for f in target.fields if f.name in kind.names]
+        parts = [_inner_fails(col.getField(f.name), kind[f.name].dataType, f.dataType) for f in shared]
+        return reduce(Column.__or__, parts, F.lit(False))
+    if isinstance(target, NESTED) or isinstance(kind, NESTED):
+        return col.isNotNull()
+    return col.isNotNull() & col.try_cast(target).isNull()
 
 
 def check_nullable(col: Column, spec: ColumnSpec) -> Column:
@@ -49,18 +87,18 @@ class Rule:
         return f"{self.column}:{self.name}"
 
 
-def rules(contract: Contract, columns: list[str] | None = None, typed: bool = False) -> list[Rule]:
-    """Every rule the contract puts on the given data columns.
+def rules(contract: Contract, schema: T.StructType, typed: bool = False) -> list[Rule]:
+    """Every rule the contract puts on the columns of data with the given schema.
 
     ``typed`` data already has the contract types, so the type rule is left out.
     """
-    out = []
+    kinds, out = {f.name: f.dataType for f in schema.fields}, []
     for spec in contract.data_columns:
-        if spec.type == "null" or (columns is not None and spec.name not in columns):
+        if spec.type == "null" or spec.name not in kinds:
             continue
         col = F.col(f"`{spec.name}`")
         if not typed and spec.type != "string":
-            out.append(Rule(spec.name, "type", check_type(col, spec)))
+            out.append(Rule(spec.name, "type", check_type(col, spec, kinds[spec.name])))
         if not spec.nullable:
             out.append(Rule(spec.name, "nullable", check_nullable(col, spec)))
         if spec.enum:

@@ -29,12 +29,12 @@ def any_failing(found: Sequence[Rule]) -> Column:
 
 def lint_rows(df: DataFrame, contract: Contract, typed: bool = False) -> DataFrame:
     """Every row with the labels of the rules it fails."""
-    return df.withColumn(FAILED, failed_rules(rules(contract, df.columns, typed)))
+    return df.withColumn(FAILED, failed_rules(rules(contract, df.schema, typed)))
 
 
 def split_valid(df: DataFrame, contract: Contract, typed: bool = False) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined rows with their failed rules). Only the latter pay for listing the rules."""
-    found = rules(contract, df.columns, typed)
+    found = rules(contract, df.schema, typed)
     bad = any_failing(found)
     return df.where(~bad), df.where(bad).withColumn(FAILED, failed_rules(found))
 
@@ -47,7 +47,7 @@ def lint_report(
     All counters are filled in one scan and combined before the shuffle; only then are they turned into rows.
     ``more`` adds rules to those of the contract.
     """
-    found = [*rules(contract, df.columns, typed), *more]
+    found = [*rules(contract, df.schema, typed), *more]
     counters = [F.count_if(r.failing).alias(f"n{i}") for i, r in enumerate(found)]
     wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *counters)
     if not found:
@@ -68,7 +68,7 @@ def verdicts(
     df: DataFrame, contract: Contract, by: Sequence[str], typed: bool = False
 ) -> DataFrame:
     """One row per file: rows, bad rows, and whether it passes, which it does only if every row does."""
-    bad = any_failing(rules(contract, df.columns, typed))
+    bad = any_failing(rules(contract, df.schema, typed))
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("bad_rows"))
     return counts.withColumn("passed", F.col("bad_rows") == 0)
 

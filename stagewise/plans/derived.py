@@ -27,7 +27,11 @@ from stagewise.spec import Pipeline, TableSpec
 
 @dataclass(frozen=True)
 class DerivedOptions:
-    """``low`` and ``high`` bound the landing partitions, inclusive. ``prefix`` set: register the result."""
+    """``low`` and ``high`` bound the landing partitions, inclusive.
+
+    With a ``prefix`` the result is registered in the catalog. Shared intermediate tables are kept for later runs at
+    ``shared_path``; without one they last as long as the application.
+    """
 
     low: int = 0
     high: int | None = None

@@ -10,6 +10,7 @@ import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stagewise.contract import ColumnSpec, Contract, ContractError
 from stagewise.functions.checks import Rule
@@ -19,7 +20,13 @@ from stagewise.operators.quality import all_must_pass, check_columns, lint_repor
 from stagewise.session import settle
 from stagewise.sources.files import path_exists
 from stagewise.sources.inventory import file_inventory, file_system, headers, path_below, schema_inventory
-from stagewise.sources.scans import CORRUPT, FileGroup, file_groups, read_csv_group, read_parquet_group
+from stagewise.sources.scans import (
+    CORRUPT,
+    FileGroup,
+    file_groups,
+    read_csv_group,
+    read_parquet_group,
+)
 from stagewise.spec import Pipeline, TableSpec
 
 REPORT_SCHEMA = "file string, column_name string, rule_name string, rows long, failures long"
@@ -52,7 +59,10 @@ def land_frames(
         stored = contract.without(contract.null_typed())
         frames = [read_csv_group(spark, group, stored, corrupt=True, **{**reading, "header": "false"})]
     elif fmt == "json":
-        frames = [spark.read.options(**{**reading, "primitivesAsString": "true"}).json(path)]
+        # Every value as text, which the type rule needs; what is nested stays JSON.
+        present = inventory.where(F.col("column").isin(contract.column_names)).select("column").distinct().collect()
+        fields = [T.StructField(r["column"], T.StringType()) for r in present]
+        frames = [spark.read.schema(T.StructType(fields)).options(**reading).json(path)] if fields else []
     elif fmt in ("csv", "parquet"):
         read = partial(read_csv_group, corrupt=True) if fmt == "csv" else read_parquet_group
         groups = file_groups(spark, path, inventory)

@@ -455,6 +455,16 @@ def test_lint_json(spark, path):
     assert values(failed, "column_name", "rule_name") == [("animal", "enum"), ("my_int", "type")]
 
 
+@pytest.mark.parametrize("tags, failed", [(['[{"k": 1}]', '[{"k": 2}]'], 0), (['[{"k": 1}]', '[{"k": "x"}]'], 1), (["3"], 1)])
+def test_lint_nested_json(spark, path, tags, failed):
+    nested = Contract("table1", (ColumnSpec("id", "int32"), ColumnSpec("tags", "list<struct<k:int64>>")))
+    spec = TableSpec("table1", {"raw_hist": nested}, {"land": "json", "raw_hist": "json"}, lint=LintOptions())
+    shop = Pipeline("shop", "dev", home(path).base_paths, {"table1": spec}, PART, all_must_pass=False)
+    for i, text in enumerate(tags):
+        put(f"{path}/land/table1/f{i}.json", [], f'{{"id": {i}, "tags": {text}}}')
+    assert run_lint(spark, shop, 1700000000).failed_files == failed
+
+
 def test_lint_casts(spark, path):
     casts = (CastColumn("my_int", "int64", "string"),)
     shop = home(path, lint=LintOptions(allow_missing_cols=True, casts=casts))

@@ -84,6 +84,30 @@ def test_file_verdicts(rows):
     assert tuple(op.all_must_pass(verdict.where("file = 'z'")).first()) == (0, 0, True)
 
 
+NESTED_ROWS = [
+    ('[{"k": 1, "d": ["2020-01-01"]}]', 0),
+    ('[{"k": 1}, {"k": null, "d": [null]}]', 0),
+    ('[{"k": 1}, {"k": "x"}]', 1),
+    ('[{"d": ["2020-01-01", "soon"]}]', 1),
+    ('[{"k": {"a": 1}}]', 1),
+    ("3", 1),
+    (None, 0),
+    ("[]", 0),
+]
+
+
+def test_nested_values_are_checked_inside(spark):
+    spec = ColumnSpec("v", "list<struct<k:int64, d:list<date32>>>")
+    contract = Contract("t", (ColumnSpec("n", "int32"), spec))
+    text = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(NESTED_ROWS)], "n int, v string")
+    bad = [(i,) for i, (_, failing) in enumerate(NESTED_ROWS) if failing]
+    assert values(op.split_valid(text, contract)[1], "n") == bad
+    columns = text.select("n", F.from_json("v", "array<struct<k:string, d:array<string>, more:int>>").alias("v"))
+    assert values(op.split_valid(columns, contract)[1], "n") == [b for b in bad if b != (5,)]
+    flat = text.select("n", F.split("v", ",").alias("v"))
+    assert op.split_valid(flat, contract.with_columns(ColumnSpec("v", "int32")))[1].count() == 7
+
+
 def test_required_tables():
     options = {"a": LintOptions(required=True), "b": LintOptions(), "c": LintOptions(required=True)}
     assert op.missing_required(options, ["c"]) == ["a"]
