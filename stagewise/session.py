@@ -31,6 +31,7 @@ def build_session(app: str = "stagewise", master: str | None = None, **conf: str
 
 
 _shipped: set[str] = set()
+_local_folders: dict[str, str] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -54,13 +55,14 @@ def workspace(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local session without that setting gets a
     temporary folder; on a cluster a machine-local folder would be wrong, so that is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    app, shared = spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="stagewise-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/stagewise/{spark.sparkContext.applicationId}"
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="stagewise-")
+        shared = _local_folders[app]
+    return f"{shared.rstrip('/')}/stagewise/{app}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

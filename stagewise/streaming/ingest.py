@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stagewise.contract import Contract
+from stagewise.contract import ColumnSpec, Contract
+from stagewise.functions.checks import NESTED
+from stagewise.functions.formats import parse
 from stagewise.operators.quality import FAILED, split_valid
 from stagewise.operators.shaping import ShapeOptions
 from stagewise.plans.hooks import Hooks, ShapeContext, apply_shape
@@ -25,8 +27,7 @@ def stream_source(
     spark: SparkSession, path: str, fmt: str, contract: Contract, max_files: int | None = None, **options: str
 ) -> DataFrame:
     """A stream of the rows of new files; text formats come as text, so that the type rule sees the cells."""
-    stored = T.StringType() if fmt in ("csv", "json") else None
-    fields = [T.StructField(c.name, stored or c.spark_type) for c in contract.data_columns]
+    fields = [T.StructField(c.name, T.StringType() if _as_text(c, fmt) else c.spark_type) for c in contract.data_columns]
     fields += [T.StructField(p, contract.lookup[p].spark_type) for p in contract.partitions]
     reader = spark.readStream.schema(T.StructType(fields)).format(fmt)
     if fmt == "csv":
@@ -37,6 +38,10 @@ def stream_source(
     return reader.load(path)
 
 
+def _as_text(spec: ColumnSpec, fmt: str) -> bool:
+    return fmt == "csv" or (fmt == "json" and not isinstance(spec.spark_type, NESTED))
+
+
 def ingest_stream(
     spark: SparkSession,
     pipeline: Pipeline,
@@ -59,6 +64,7 @@ def ingest_stream(
     path, fmt = pipeline.path(table, raw_stage), spec.formats[raw_stage]
     source = stream_source(spark, path, fmt, given, max_files, **spec.read_options)
     good, bad = split_valid(source, given)
+    good = good.withColumns({c.name: parse(F.col(f"`{c.name}`"), c) for c in given.data_columns if _as_text(c, fmt)})
     ctx = ShapeContext(table, given, wanted, options)
     shaped = under_contract(apply_shape(good, spec.kind, hooks or Hooks(), ctx), wanted)
     sinks = [(shaped, pipeline.path(table, stage), "good", spec.formats[stage])]

@@ -494,3 +494,24 @@ def test_stream_takes_new_files_only(spark, path):
         ingest_now(*args, options=options, quarantine=f"{path}/bad")
     assert values(spark.read.parquet(out).where(f"{PART} = 1664198347"), "my_int") == [(12,), (16,), (20,)]
     assert values(spark.read.parquet(f"{path}/bad"), "my_int", "failed_rules") == [("99", "my_int:range")]
+
+
+def test_stream_of_json_with_formats(spark, path):
+    raw = Contract(
+        "table1",
+        (
+            ColumnSpec("id", "int32", nullable=False),
+            ColumnSpec("day", "date32", format="%d/%m/%Y"),
+            ColumnSpec("tags", "list<struct<k:int64>>"),
+            ColumnSpec("gone", "null"),
+        ),
+    )
+    curated = raw.without(["gone"]).with_columns(ColumnSpec(PART, "int64")).with_partitions(PART)
+    spec = TableSpec("table1", {"raw_hist": raw, "curated": curated}, {"raw_hist": "json", "curated": "parquet"})
+    shop = Pipeline("shop", "dev", home(path).base_paths, {"table1": spec}, PART)
+    text = '{"id": 1, "day": "02/01/2024", "tags": [{"k": 5}]}\n{"id": null}\n{"id": 2, "day": "x"}'
+    put(f"{path}/raw_hist/pass/table1/{PART}=1664198347/a.json", [], text)
+    ingest_now(spark, shop, "table1", f"{path}/cp", options=ShapeOptions(partition=PART), quarantine=f"{path}/bad")
+    rows = spark.read.parquet(f"{path}/curated/table1").collect()
+    assert [(r["id"], str(r["day"]), r["tags"][0]["k"], r[PART]) for r in rows] == [(1, "2024-01-02", 5, 1664198347)]
+    assert values(spark.read.parquet(f"{path}/bad"), "failed_rules") == [("day:type",), ("id:nullable",)]
