@@ -28,16 +28,25 @@ def replace_folders(spark: SparkSession, source: str, target: str, names: list[s
 
     Names may be nested. Replaced folders are kept below ``old``. If a move fails, all moves before it are taken back.
     """
-    system, done = _filesystem(spark, target), []
+    system, done, parents = _filesystem(spark, target), [], set()
+    system.mkdirs(_hadoop_path(spark, target))
+    first_level = {s.getPath().getName() for s in system.listStatus(_hadoop_path(spark, target))}
+
+    def is_there(name: str) -> bool:
+        first, _, nested = name.partition("/")
+        return first in first_level and (not nested or system.exists(_hadoop_path(spark, f"{target}/{name}")))
 
     def move(before: str, after: str) -> None:
-        system.mkdirs(_hadoop_path(spark, after).getParent())
+        parent = after.rpartition("/")[0]
+        if parent not in parents:
+            system.mkdirs(_hadoop_path(spark, parent))
+            parents.add(parent)
         _rename(spark, system, before, after)
         done.append((before, after))
 
     try:
         for name in names:
-            if system.exists(_hadoop_path(spark, f"{target}/{name}")):
+            if is_there(name):
                 move(f"{target}/{name}", f"{old}/{name}")
             move(f"{source}/{name}", f"{target}/{name}")
     except Exception:
