@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
 from stagewise.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +38,17 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents, model).select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
     )
+
+
+@query("op3_bpe")
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
+    path = public_file("word_bpe_49k.json")
+    encoded = encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    decoded = decode_ids(encoded.select("doc_id", "ids"), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        joined_digest("ids").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
