@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagewise.llm import oracles
 from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
+from stagewise.llm.decontamination import find_windows, hit_words, items_digest
 from stagewise.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +54,19 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined_digest("ids").alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op4_decontamination", oracles.DECONTAMINATION)
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document stands in windows of benchmark items."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_windows(documents, table(spark, sf_dir, "benchmark"))
+    n_hit = hit_words(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        items_digest(F.col("items")).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
