@@ -40,3 +40,22 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(covered.n, 0) A
     coalesce(covered.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
+
+LINE_DEDUP = """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+w AS (
+    SELECT doc_id, p, ls[p] AS a, ls[p + 1] AS b, ls[p + 2] AS c
+    FROM (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS p FROM d WHERE len(ls) >= 3)
+),
+ranked AS (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, p) AS n
+    FROM w WHERE regexp_replace(a || b || c, '\\s', '', 'g') <> ''
+),
+gone AS (SELECT doc_id, list(DISTINCT q) AS qs FROM
+    (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM ranked WHERE n > 1) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(qs), 0) AS BIGINT) AS n_removed,
+    sha256(CASE WHEN qs IS NULL THEN coalesce(text, '')
+        ELSE array_to_string([ls[i] for i in range(1, len(ls) + 1) if not list_contains(qs, i)], chr(10)) END)
+        AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stagewise.llm import oracles
 from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
 from stagewise.llm.decontamination import find_windows, hit_words, items_digest
+from stagewise.llm.line_dedup import dedup_lines
 from stagewise.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +71,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         items_digest(F.col("items")).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query("op1_line_dedup", oracles.LINE_DEDUP)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, how many of them go, and a digest of what stays."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(documents).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
