@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stagewise.llm import oracles
 from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
 from stagewise.llm.decontamination import find_windows, hit_words, items_digest
+from stagewise.llm.license_scan import scan_licenses
 from stagewise.llm.line_dedup import dedup_lines
 from stagewise.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 
@@ -80,3 +81,9 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query("op5_license_scan")
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
