@@ -59,3 +59,12 @@ SELECT doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, CAST(coalesce(le
         AS kept_sha256
 FROM d LEFT JOIN gone USING (doc_id)
 """
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, h, strlen(h) >= 1000 AND page_id <> max(page_id) OVER (PARTITION BY h) AS again,
+    max(page_id) OVER (PARTITION BY h) AS original FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+    CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN original END AS refers_to
+FROM q
+"""

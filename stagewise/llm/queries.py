@@ -13,6 +13,7 @@ from stagewise.llm.decontamination import find_windows, hit_words, items_digest
 from stagewise.llm.license_scan import scan_licenses
 from stagewise.llm.line_dedup import dedup_lines
 from stagewise.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
+from stagewise.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,3 +88,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices in every document."""
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_warc", oracles.WARC)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into ZIP-packaged archives and read back from them."""
+    archives = write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return read_archives(archives, payloads=False).drop("url")
