@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stagewise.llm import oracles
 from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
 from stagewise.llm.decontamination import find_windows, hit_words, items_digest
+from stagewise.llm.language_model import score_texts
 from stagewise.llm.license_scan import scan_licenses
 from stagewise.llm.line_dedup import dedup_lines
 from stagewise.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
@@ -95,3 +96,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record into ZIP-packaged archives and read back from them."""
     archives = write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return read_archives(archives, payloads=False).drop("url")
+
+
+@query("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under the interpolated model and under the base one."""
+    return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
