@@ -68,3 +68,22 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_d
     CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN original END AS refers_to
 FROM q
 """
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+lowest AS (SELECT x, min(y) AS y FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(y, vec_id)) AS component_id,
+    least(vec_id, coalesce(y, vec_id)) = vec_id AS kept
+FROM embeddings LEFT JOIN degree ON vec_id = degree.x LEFT JOIN lowest ON vec_id = lowest.x
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stagewise.llm import oracles
 from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
 from stagewise.llm.decontamination import find_windows, hit_words, items_digest
+from stagewise.llm.embedding_dedup import link_vectors
 from stagewise.llm.language_model import score_texts
 from stagewise.llm.license_scan import scan_licenses
 from stagewise.llm.line_dedup import dedup_lines
@@ -102,3 +103,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of every document under the interpolated model and under the base one."""
     return score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op9_embedding_dedup", oracles.EMBEDDING_DEDUP)
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
