@@ -87,3 +87,29 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce
     least(vec_id, coalesce(y, vec_id)) = vec_id AS kept
 FROM embeddings LEFT JOIN degree ON vec_id = degree.x LEFT JOIN lowest ON vec_id = lowest.x
 """
+
+SUBSTRING_DEDUP = f"""
+WITH d AS (SELECT doc_id, {_words(_SPACED, False)} AS ws FROM documents),
+w AS (
+    SELECT doc_id, p, hash(win) AS a, md5(win) AS b FROM (
+        SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS win
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM d WHERE len(ws) >= 50)
+    )
+),
+later AS (
+    SELECT doc_id, p FROM w JOIN (SELECT a, b, min(doc_id) AS lowest FROM w GROUP BY a, b) USING (a, b)
+    WHERE doc_id > lowest
+),
+gone AS (
+    SELECT doc_id, list(DISTINCT q) AS qs FROM (SELECT doc_id, unnest(range(p, p + 50)) AS q FROM later) GROUP BY doc_id
+),
+stays AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM (
+        SELECT d.doc_id, ws[i] AS word, i FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d) AS d
+        LEFT JOIN (SELECT doc_id, unnest(qs) AS q FROM gone) AS g ON g.doc_id = d.doc_id AND g.q = i WHERE q IS NULL
+    ) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(qs), 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN stays USING (doc_id)
+"""

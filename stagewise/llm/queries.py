@@ -14,6 +14,7 @@ from stagewise.llm.embedding_dedup import link_vectors
 from stagewise.llm.language_model import score_texts
 from stagewise.llm.license_scan import scan_licenses
 from stagewise.llm.line_dedup import dedup_lines
+from stagewise.llm.substring_dedup import dedup_substrings
 from stagewise.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 from stagewise.llm.warc import read_archives, write_archives
 
@@ -109,3 +110,12 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
     return link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+
+
+@query("op10_substring_dedup", oracles.SUBSTRING_DEDUP)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document go, and a digest of those that stay."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_substrings(documents).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
