@@ -113,3 +113,21 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(qs), 0) AS
     sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN stays USING (doc_id)
 """
+
+JACCARD_JOIN = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_words(_SPACED)} AS ws FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[p:p + 2], ' ') AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS p FROM d WHERE len(ws) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id),
+links AS (
+    SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)
+),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+lowest AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON lowest.x = doc_id
+"""

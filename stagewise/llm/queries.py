@@ -11,6 +11,7 @@ from stagewise.llm import oracles
 from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
 from stagewise.llm.decontamination import find_windows, hit_words, items_digest
 from stagewise.llm.embedding_dedup import link_vectors
+from stagewise.llm.jaccard_join import link_documents
 from stagewise.llm.language_model import score_texts
 from stagewise.llm.license_scan import scan_licenses
 from stagewise.llm.line_dedup import dedup_lines
@@ -119,3 +120,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(documents).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op7_jaccard_join", oracles.JACCARD_JOIN)
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
