@@ -1,4 +1,8 @@
-"""Raw documents to training tokens: stages that each apply one operator to what the stage before has kept."""
+"""Raw documents to training tokens: stages that each apply one operator to what the stage before has kept.
+
+Every stage but the last returns the columns of ``documents``. Rows go only where a stage's operator says so: documents
+taken for toxic, near-duplicates of a document that stays, and documents that hold a window of a benchmark item.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
+from stagewise.llm.decontamination import find_windows
+from stagewise.llm.jaccard_join import link_documents
+from stagewise.llm.line_dedup import dedup_lines
 from stagewise.llm.toxicity import fit_toxicity, score_toxicity
+from stagewise.session import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -18,16 +27,54 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("toxicity", toxicity)]
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of repeated three-line windows go from all documents but the first; ``n_chars`` follows the text."""
+    cut = dedup_lines(docs).select(*docs.columns)
+    if "n_chars" not in docs.columns:
+        return cut
+    return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays; documents without an id all stay."""
+    found = link_documents(docs.select("doc_id", "text"))
+    first = settle(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "first-of-group")
+    return docs.join(first, "doc_id", "left_semi").unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    found = find_windows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.size("spans") == 0).select(*docs.columns)
 
-# Models, hashes of merged tokens and link closure are beyond SQL; the tests compare with plain Python instead.
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document, with digests of the ids and of what they decode to."""
+    path = public_file("word_bpe_49k.json")
+    decoded = decode_ids(encode_texts(docs, path).drop("text"), path)
+    return decoded.select(
+        *[c for c in docs.columns if c != "text"],
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        joined_digest("ids").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("jaccard_join", jaccard_join),
+    ("decontamination", decontamination),
+    ("bpe", bpe),
+]
+
+# A trained model and merged tokens are beyond SQL; tests hold every stage against plain Python instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over the documents, each reading what the one before has written."""
-    from stagewise.session import settle
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name)
