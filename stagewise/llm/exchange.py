@@ -256,6 +256,8 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
     """(bucket, first, end) of the runs of sorted keys."""
+    if not len(keys):
+        return
     places = bucket_of(keys, buckets)
     heads = np.flatnonzero(np.diff(places, prepend=-1))
     for first, end in zip(heads.tolist(), [*heads[1:].tolist(), len(keys)], strict=True):
