@@ -13,9 +13,10 @@ From the index to components, without all pairs of a group:
 1. Equal sets are one class, named by its smallest document.
 2. Each signature's classes are paired with one of them, the pivot: the class with most shared signatures. Pairs are
    verified exactly, by intersecting the sets.
-3. Components of the links so far. Where a signature still has classes of several components, their pairs are verified
-   too, but for those that the distances to the pivot rule out by the triangle inequality (Jaccard distance is a metric),
-   or sizes do.
+3. Components of the links so far. Where a pivot has classes of several components, two of them that link either are so
+   near to the pivot that this alone makes them link, or share a shingle in which they differ from the pivot. So they
+   are grouped again by these few shingles, and the groups get pivots of their own, as in step 2. After ``LEVELS``
+   rounds the pairs of what little is left are verified one by one.
 
 So components are those of all links. Shingles are known by 64-bit hashes, a set by two sums of hashes.
 
@@ -58,6 +59,8 @@ SHINGLE = 3
 # Bands grow by this factor; sets of fewer than FIRST_BAND shingles link only if they are equal.
 BAND_GROWTH = 1.5
 FIRST_BAND = 9
+# Rounds of pivots before pairs are compared one by one.
+LEVELS = 3
 # What a candidate pair costs, in index rows.
 PAIR_COST = 50.0
 
@@ -324,66 +327,116 @@ def _members(chunk: Chunk, got: dict[int, bytes], bands: list[Band]) -> pa.Recor
 def _class_links(chunks: Chunks, members: DataFrame) -> DataFrame:
     """Links between classes that connect all that are linked: a and b."""
     keyed = members.where(F.size("keys") > 0).select(
-        "node", F.size("keys").alias("shared"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")
+        "node", F.size("keys").alias("weight"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")
     )
-    # The pivot has most shared keys; of those with as many, it is the smallest.
-    groups = (
-        keyed.groupBy("key")
+    groups = _stars(keyed, ["key"])
+    sets = _candidate_sets(chunks, members, groups)
+    links = None
+    for level in range(LEVELS):
+        pairs = groups.where(F.col("node") != F.col("pivot")).select("pivot", "node").distinct()
+        compared = settle(_compared(pairs, sets), "compared-pivots")
+        found = compared.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        links = found if links is None else links.unionAll(found)
+        roots = settle(connected_components(links), "roots")
+        torn = _torn_stars(compared, roots)
+        links = links.unionAll(_certain_links(torn))
+        rows = _difference_groups(torn, sets)
+        if rows.isEmpty():
+            return links
+        if level + 1 < LEVELS:
+            groups = _stars(rows, ["key", "token"])
+    # What is still apart after all levels is compared pair by pair.
+    right = rows.select("key", "token", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "root")])
+    apart = (F.col("node") < F.col("r_node")) & (F.col("root") != F.col("r_root"))
+    rest = rows.join(right, ["key", "token"]).where(apart & _sizes_allow(F.col("n"), F.col("r_n")))
+    pairs = rest.select(F.col("node").alias("pivot"), F.col("r_node").alias("node")).distinct()
+    return links.unionAll(_compared(pairs, sets).where("linked").select("pivot", "node"))
+
+
+def _stars(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Members of groups of several classes, each with its group's pivot.
+
+    The pivot has most weight, that is most groups; of those with as much, it is the smallest.
+    """
+    tops = (
+        rows.groupBy(*key)
         .agg(
-            F.max(F.struct("shared", (-F.col("node")).alias("low"), "n")).alias("top"),
+            F.max(F.struct("weight", (-F.col("node")).alias("low"))).alias("top"),
             F.min("node").alias("least"),
             F.max("node").alias("most"),
         )
         .where(F.col("least") != F.col("most"))
-        .select("key", (-F.col("top.low")).alias("pivot"), F.col("top.n").alias("pivot_n"))
+        .select(*key, (-F.col("top.low")).alias("pivot"))
     )
-    grouped = settle(keyed.join(groups, "key").select("key", "node", "n", "pivot", "pivot_n"), "grouped-classes")
-    sets = _candidate_sets(chunks, members, grouped)
-    stars = (
-        grouped.where((F.col("node") != F.col("pivot")) & _sizes_allow(F.col("n"), F.col("pivot_n")))
-        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        .distinct()
+    return settle(rows.join(tops, key).select("pivot", "node").distinct(), "stars")
+
+
+def _torn_stars(compared: DataFrame, roots: DataFrame) -> DataFrame:
+    """The compared pairs of pivots whose stars have several components, with the component of each member.
+
+    ``apart`` is the number of shingles that one of the two has and the other has not.
+    """
+    own = compared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    pivots = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+    placed = own.join(pivots, "pivot", "left").withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
+    torn = placed.groupBy("pivot").agg(F.max((F.col("root") != F.col("pivot_root")).cast("int")).alias("torn"))
+    rows = placed.join(torn.where("torn = 1").select("pivot"), "pivot")
+    return settle(
+        rows.select(
+            "pivot", "node", "x", F.col("y").alias("n"), "root", (F.col("x") + F.col("y") - 2 * F.col("common")).alias("apart")
+        ),
+        "torn-stars",
     )
-    compared = settle(_compared(stars, sets), "compared-pivots")
-    links = compared.where("linked").select("a", "b")
-    roots = connected_components(links)
-    # Members of a group with their component and their distance to its pivot.
-    far = F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance"))
-    known = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance")
-    placed = (
-        grouped.join(known, ["pivot", "node"], "left")
-        .join(roots, "node", "left")
-        .select("key", "node", "n", far.alias("far"), F.coalesce("root", "node").alias("root"))
+
+
+def _certain_links(torn: DataFrame) -> DataFrame:
+    """Links that follow from the distances to the pivot.
+
+    Sets link if and only if they differ in at most a 19th of the sum of their sizes, and they differ in at most as much
+    as both differ from the pivot. So a pair with ``cost + cost <= 0``, where cost is 19 times the difference from the
+    pivot less the size, links; and then both link with the member of the least cost.
+    """
+    cost = 19 * F.col("apart") - F.col("n")
+    rows = torn.select("pivot", "node", cost.alias("cost"))
+    least = rows.groupBy("pivot").agg(F.min(F.struct("cost", "node")).alias("least"))
+    sure = (F.col("cost") + F.col("least.cost") <= 0) & (F.col("node") != F.col("least.node"))
+    return rows.join(least, "pivot").where(sure).select(F.col("least.node").alias("a"), F.col("node").alias("b"))
+
+
+def _difference_groups(torn: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of torn stars by the shingles in which they differ from their pivot.
+
+    Two members differ in what just one of them differs from the pivot in. If they link and their distances do not say
+    so, they share such a shingle; more, they share one of the first H + 1 in any fixed order, where H is what they may
+    differ in. Groups with a single component are left out.
+    """
+    mine, other = F.col("node_set"), F.col("pivot_set")
+    most = F.floor((F.col("n") + F.floor(F.col("n") * 10 / 9)) / 19).cast("int")
+    differing = F.array_sort(F.concat(F.array_except(mine, other), F.array_except(other, mine)))
+    rows = _with_sets(torn, sets).select(
+        F.col("pivot").alias("key"), "node", "n", "root", F.explode(F.slice(differing, F.lit(1), most + 1)).alias("token")
     )
-    torn = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
-    left = settle(placed.join(torn.select("key"), "key"), "torn-groups")
-    right = left.select("key", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "far", "root")])
-    # Without a distance (sizes ruled the pivot out) nothing is known.
-    near = F.coalesce(F.abs(F.col("far") - F.col("r_far")) <= 0.1 + 1e-9, F.lit(True))
-    rest = (
-        left.join(
-            right,
-            (left["key"] == right["key"])
-            & (F.col("node") < F.col("r_node"))
-            & (F.col("root") != F.col("r_root"))
-            & _sizes_allow(F.col("n"), F.col("r_n"))
-            & near,
-        )
-        .select(F.col("node").alias("a"), F.col("r_node").alias("b"))
-        .distinct()
+    rows = settle(rows, "differences")
+    shared = (
+        rows.groupBy("key", "token")
+        .agg(F.min("root").alias("x"), F.max("root").alias("y"))
+        .where(F.col("x") != F.col("y"))
+        .select("key", "token")
     )
-    return links.unionAll(_compared(rest, sets).where("linked").select("a", "b"))
+    kept = settle(rows.join(shared, ["key", "token"]), "shared-differences")
+    weights = kept.groupBy("node").agg(F.count("*").alias("weight"))
+    return kept.join(weights, "node")
 
 
 def _sizes_allow(a: Column, b: Column) -> Column:
     return F.least(a, b) * 10 >= F.greatest(a, b) * 9
 
 
-def _candidate_sets(chunks: Chunks, members: DataFrame, grouped: DataFrame) -> DataFrame:
+def _candidate_sets(chunks: Chunks, members: DataFrame, groups: DataFrame) -> DataFrame:
     """The shingles of all classes that share a key with another, fetched from their chunks: node and shingles."""
     wanted = (
         members.where(F.size("keys") > 0)
-        .join(grouped.select("node").distinct(), "node", "left_semi")
+        .join(groups.select("node").distinct(), "node", "left_semi")
         .groupBy("slot", "chunk")
         .agg(F.collect_set("node").alias("nodes"))
         .select(
@@ -422,19 +475,22 @@ def _sets_of_nodes(chunk: Chunk, got: dict[int, bytes]) -> pa.RecordBatch:
     )
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of classes with their Jaccard distance, and whether they link."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with the shingles of both."""
 
     def side(name: str) -> DataFrame:
         return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
 
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    sized = both.select(
-        "a",
-        "b",
-        F.size("a_set").alias("x"),
-        F.size("b_set").alias("y"),
-        F.size(F.array_intersect("a_set", "b_set")).alias("common"),
+    return pairs.join(side("node"), "node").join(side("pivot"), "pivot")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of pivot and node with their sizes x and y, what they have in common, and whether they link."""
+    sized = _with_sets(pairs, sets).select(
+        "pivot",
+        "node",
+        F.size("pivot_set").cast("long").alias("x"),
+        F.size("node_set").cast("long").alias("y"),
+        F.size(F.array_intersect("pivot_set", "node_set")).cast("long").alias("common"),
     )
-    common, x, y = (F.col(c).cast("long") for c in ("common", "x", "y"))
-    return sized.select("a", "b", (1 - common / (x + y - common)).alias("distance"), similar(common, x, y).alias("linked"))
+    return sized.withColumn("linked", similar(F.col("common"), F.col("x"), F.col("y")))

@@ -56,7 +56,7 @@ def _near_copies():
     rng = random.Random(2)
     word = lambda: f"{rng.choice('Ab')}{rng.randrange(5000)}"
     docs, bases = {}, [[word() for _ in range(n)] for n in (11, 14, 30, 60, 150, 400, 900)]
-    for d in range(150):
+    for d in range(110):
         text = list(rng.choice(bases))
         for _ in range(rng.randrange(0, max(2, len(text) // 25))):
             at = rng.randrange(len(text))
@@ -216,21 +216,6 @@ def test_base_scores_are_those_of_plain_python_and_the_model_is_better(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_probabilities_after_a_word_sum_to_one(spark):
-    """Training documents that spell out every follower of a context, scored one by one."""
-    train = [d for d in range(400) if brute.remainder(d, 7) != 2][:60]
-    docs = {d: f"a{d % 3} b{d % 5}" for d in train}
-    types = ["a0", "a1", "a2", "b0", "b1", "b2", "b3", "b4", "never"]
-    held = [d for d in range(10_000, 20_000) if brute.remainder(d, 7) == 2]
-    probes = {held[i]: f"a0 {w}" for i, w in enumerate(types)}
-    only = {held[20]: "a0"}
-    rows = {r["doc_id"]: r["score"] for r in score_texts(frame(spark, (docs | probes | only).items())).collect()}
-    # P(a0 w end) over P(w -> end) is not seen here, so the sum is taken over two-word continuations' first step:
-    # the end after a0 directly, and every word after it with its own end.
-    total = 10 ** rows[held[20]] + sum(10 ** rows[d] for d in probes)
-    assert 0 < total < 1
-
-
 def test_weights_favour_the_estimate_that_fits():
     levels = 20 * 15 + 2
     cells = np.array([(3 * levels + 2) * levels + 60, (5 * levels + 0) * levels + 2])
@@ -243,9 +228,10 @@ def test_scores_without_training_documents_and_of_odd_rows(spark):
     held = [d for d in range(100) if brute.remainder(d, 7) == 2][:2]
     rows = score_texts(frame(spark, [(d, "a b") for d in held] + [(None, "a")])).collect()
     assert {(r["train_tokens"], r["n_known"], r["score"], r["base_score"]) for r in rows} == {(0, 0, 0.0, 0.0)}
-    again = frame(spark, [(1, "a b"), (1, "a b"), (None, "a c")])
+    learned = next(d for d in range(100) if brute.remainder(d, 7) != 2)
+    again = frame(spark, [(learned, "a b"), (learned, "a b"), (None, "a c")])
     found = ordered(score_texts(again).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens").collect())
-    assert found == [(None, False, 3, 2, 6), (1, False, 3, 3, 6), (1, False, 3, 3, 6)]
+    assert found == [(None, False, 3, 2, 6), (learned, False, 3, 3, 6), (learned, False, 3, 3, 6)]
     assert score_texts(frame(spark, [])).count() == 0
 
 
