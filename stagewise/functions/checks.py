@@ -60,20 +60,43 @@ def check_nullable(col: Column, spec: ColumnSpec) -> Column:
     return col.isNull() if not spec.nullable else F.lit(False)
 
 
-def check_enum(col: Column, spec: ColumnSpec) -> Column:
-    text = col.cast("string")
-    return col.isNotNull() & ~text.isin([str(v) for v in spec.enum])
-
-
-def check_range(col: Column, spec: ColumnSpec) -> Column:
-    value = col.try_cast("double")
-    low = value < spec.minimum if spec.minimum is not None else F.lit(False)
-    high = value > spec.maximum if spec.maximum is not None else F.lit(False)
+def _is_text(kind: T.DataType | None) -> bool:
+    return kind is None or isinstance(kind, T.StringType)
+
+
+def check_enum(col: Column, spec: ColumnSpec, kind: T.DataType | None = None) -> Column:
+    """A value that is none of the listed ones: compared as text, or in the column's own type where it has one."""
+    if _is_text(kind) or isinstance(kind, NESTED):
+        return col.isNotNull() & ~col.cast("string").isin([str(v) for v in spec.enum])
+    listed = [F.lit(str(v)).try_cast(kind) for v in spec.enum]
+    return col.isNotNull() & ~reduce(Column.__or__, [col.eqNullSafe(v) for v in listed])
+
+
+def check_range(col: Column, spec: ColumnSpec, kind: T.DataType | None = None) -> Column:
+    """A value beyond the bounds. Exact numbers are compared as decimals, dates and times by their epoch seconds."""
+    if isinstance(kind, T.DateType):
+        value = F.unix_date(col).cast("double") * 86_400
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        value = F.unix_micros(col.cast("timestamp")) / 1e6
+    elif isinstance(kind, (T.IntegralType, T.DecimalType)):
+        value = col
+    elif not _is_text(kind) and not isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.lit(False)
+    else:
+        value = col.try_cast("double")
+
+    def bound(limit: float) -> Column:
+        exact = isinstance(kind, (T.IntegralType, T.DecimalType)) and float(limit) == int(limit)
+        return F.lit(str(int(limit))).cast("decimal(38,0)") if exact else F.lit(float(limit))
+
+    low = value < bound(spec.minimum) if spec.minimum is not None else F.lit(False)
+    high = value > bound(spec.maximum) if spec.maximum is not None else F.lit(False)
     return F.coalesce(low | high, F.lit(False))
 
 
 def check_pattern(col: Column, spec: ColumnSpec) -> Column:
-    return col.isNotNull() & ~col.cast("string").rlike(f"^(?:{spec.pattern})$")
+    """A value that the whole pattern does not match; a line break at the end is part of the value."""
+    return col.isNotNull() & ~col.cast("string").rlike(rf"\A(?:{spec.pattern})\z")
 
 
 @dataclass(frozen=True)
@@ -102,9 +125,9 @@ def rules(contract: Contract, schema: T.StructType, typed: bool = False) -> list
         if not spec.nullable:
             out.append(Rule(spec.name, "nullable", check_nullable(col, spec)))
         if spec.enum:
-            out.append(Rule(spec.name, "enum", check_enum(col, spec)))
+            out.append(Rule(spec.name, "enum", check_enum(col, spec, kinds[spec.name])))
         if spec.minimum is not None or spec.maximum is not None:
-            out.append(Rule(spec.name, "range", check_range(col, spec)))
+            out.append(Rule(spec.name, "range", check_range(col, spec, kinds[spec.name])))
         if spec.pattern:
             out.append(Rule(spec.name, "pattern", check_pattern(col, spec)))
     return out

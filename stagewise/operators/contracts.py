@@ -147,7 +147,7 @@ def data_dictionary(contracts: DataFrame) -> DataFrame:
 
 def write_data_dictionary(contracts: DataFrame, path: str) -> None:
     """The dictionary as one CSV file."""
-    data_dictionary(contracts).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    data_dictionary(contracts).repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def contract_violations(contracts: DataFrame) -> DataFrame:

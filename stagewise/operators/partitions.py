@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 from stagewise.contract import ContractError
 from stagewise.functions.tokens import epoch_day, file_name_timestamp
 from stagewise.session import settle
-from stagewise.sources.files import delete_path, partition_folders, path_exists, rename_path
+from stagewise.sources.files import delete_path, marks, merge_folder, partition_folders, path_exists, rename_path
 from stagewise.sources.inventory import file_inventory
 from stagewise.spec import Pipeline
 
 
+# Frames whose marks fit into one column of bits.
+WORD_BITS = 62
+
+
 def list_partitions(df: DataFrame, partition: str, tokens: bool = False) -> DataFrame:
     """Distinct landing partitions of a frame, as longs or as ``name=value`` tokens."""
     found = df.select(F.col(partition).cast("long").alias(partition)).distinct()
@@ -27,16 +31,35 @@ def list_partitions(df: DataFrame, partition: str, tokens: bool = False) -> Data
 
 
 def stage_partitions(spark: SparkSession, path: str, partition: str) -> DataFrame:
-    """Distinct landing partitions with at least one non-empty file below a path; no data is read."""
+    """Distinct landing partitions with at least one non-empty file below a path, or marked as processed without rows.
+
+    No data is read.
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], f"{partition} long")
-    return list_partitions(file_inventory(spark, path, partition), partition)
+    found = list_partitions(file_inventory(spark, path, partition), partition)
+    values = [(int(m.partition("=")[2]),) for m in marks(spark, path, "processed") if m.startswith(f"{partition}=")]
+    return found.union(spark.createDataFrame(values, f"{partition} long")).distinct() if values else found
 
 
 def _sources_mask(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Distinct keys with a bit set for each frame they occur in."""
-    tagged = [f.select(*keys, F.lit(1 << i).alias("seen_in")) for i, f in enumerate(frames)]
-    return reduce(DataFrame.union, tagged).groupBy(*keys).agg(F.bit_or("seen_in").alias("seen_in"))
+    """Distinct keys with a bit set for each frame they occur in; a column of bits for every ``WORD_BITS`` frames."""
+    words = range(-(-len(frames) // WORD_BITS))
+
+    def bits(frame: int, word: int) -> Column:
+        return F.lit(1 << frame % WORD_BITS if frame // WORD_BITS == word else 0).cast("long")
+
+    tagged = [f.select(*keys, *[bits(i, w).alias(f"seen_in_{w}") for w in words]) for i, f in enumerate(frames)]
+    found = reduce(DataFrame.union, tagged).groupBy(*keys)
+    return found.agg(*[F.bit_or(f"seen_in_{w}").alias(f"seen_in_{w}") for w in words])
+
+
+def _only(frames: Sequence[int], total: int) -> Column:
+    """Keys that occur in exactly these of ``total`` frames."""
+    masks = [0] * -(-total // WORD_BITS)
+    for frame in frames:
+        masks[frame // WORD_BITS] |= 1 << frame % WORD_BITS
+    return reduce(Column.__and__, [F.col(f"seen_in_{w}") == mask for w, mask in enumerate(masks)])
 
 
 def unprocessed(given: DataFrame, done: DataFrame, partition: str) -> DataFrame:
@@ -45,13 +68,13 @@ def unprocessed(given: DataFrame, done: DataFrame, partition: str) -> DataFrame:
     A late, older partition is still found; a late file in a partition that the output has is not.
     """
     frames = [f.select(F.col(partition).cast("long").alias(partition)) for f in (given, done)]
-    return _sources_mask(frames, [partition]).where("seen_in = 1").select(partition).orderBy(F.desc(partition))
+    return _sources_mask(frames, [partition]).where(_only([0], 2)).select(partition).orderBy(F.desc(partition))
 
 
 def unprocessed_many(given: DataFrame, done: DataFrame, partition: str, table: str = "table_name") -> DataFrame:
     """The same for (table, partition) pairs of many tables in one pass."""
     return _sources_mask([given.select(table, partition), done.select(table, partition)], [table, partition]).where(
-        "seen_in = 1"
+        _only([0], 2)
     ).select(table, partition)
 
 
@@ -110,15 +133,14 @@ def common_new(
     if not inputs:
         raise ContractError("a derived table needs at least one input")
     frames = [f.select(partition).where(cutoff(partition, low, high)) for f in inputs] + [done.select(partition)]
-    in_all_inputs_only = (1 << len(inputs)) - 1
-    found = _sources_mask(frames, [partition]).where(F.col("seen_in") == in_all_inputs_only)
+    found = _sources_mask(frames, [partition]).where(_only(range(len(inputs)), len(frames)))
     return found.select(F.col(partition).cast("long").alias(partition)).orderBy(F.desc(partition))
 
 
 def compare_partitions(found: DataFrame, expected: DataFrame, partition: str) -> DataFrame:
     """One row: how many expected partitions are missing, how many are extra, and whether the sets are equal."""
     mask = _sources_mask([found.select(partition), expected.select(partition)], [partition])
-    missing, extra = F.count_if(F.col("seen_in") == 2), F.count_if(F.col("seen_in") == 1)
+    missing, extra = F.count_if(_only([1], 2)), F.count_if(_only([0], 2))
     return mask.agg(missing.alias("missing"), extra.alias("extra"), (missing + extra == 0).alias("is_equal"))
 
 
@@ -157,7 +179,12 @@ def gate_files(
 
 def restamp(df: DataFrame, partition: str, run_ts: int) -> DataFrame:
     """Put rows that must all be of one landing partition under the run's own timestamp."""
-    bounds = df.agg(F.min(partition).alias("low"), F.max(partition).alias("high")).first()
+    column = F.col(partition)
+    bounds = df.agg(
+        F.min(column).alias("low"), F.max(column).alias("high"), F.count_if(column.isNull()).alias("unknown")
+    ).first()
+    if bounds["unknown"]:
+        raise ContractError(f"{bounds['unknown']} rows have no {partition}")
     if bounds["low"] != bounds["high"]:
         raise ContractError(f"more than one {partition}: {bounds['low']} to {bounds['high']}")
     return df.withColumn(partition, F.lit(int(run_ts)).cast("long"))
@@ -166,16 +193,18 @@ def restamp(df: DataFrame, partition: str, run_ts: int) -> DataFrame:
 def promote(spark: SparkSession, staged: str, target: str, partition: str, run_ts: int) -> str | None:
     """Move the one landing partition of a staging area to the target under the run's timestamp.
 
-    The value lives in the folder name, so this renames a folder and reads no data. Nothing staged: None.
+    The value lives in the folder name, so this renames a folder and reads no data. If the target has the partition
+    already, as after a run that is repeated, the staged files join those there. Nothing staged: None.
     """
     folders = partition_folders(spark, staged, partition)
-    if len(folders) > 1:
-        raise ContractError(f"more than one landing partition is staged: {', '.join(folders)}")
     if not folders:
         return None
+    if len(folders) > 1:
+        raise ContractError(f"more than one landing partition is staged: {', '.join(folders)}")
     destination = f"{target}/{partition}={int(run_ts)}"
     if path_exists(spark, destination):
-        raise ContractError(f"{destination} already exists")
+        merge_folder(spark, f"{staged}/{folders[0]}", destination)
+        return destination
     rename_path(spark, f"{staged}/{folders[0]}", destination)
     return destination
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -9,6 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from stagewise.contract import ContractError
+from stagewise.functions.templates import render
 from stagewise.operators.partitions import (
     common_new,
     same_partitions,
@@ -20,7 +23,7 @@ from stagewise.plans.templates import run_template, template_values
 from stagewise.session import workspace
 from stagewise.sinks.catalog import register
 from stagewise.sinks.write import publish
-from stagewise.sources.files import path_exists
+from stagewise.sources.files import path_exists, set_mark
 from stagewise.sources.scans import input_scans
 from stagewise.spec import Pipeline, TableSpec
 
@@ -67,21 +70,34 @@ def shared_temp(
     """An intermediate table kept between runs, and whether it was built now.
 
     It is a written table, so every derived table of the run and the next run can read it. It is kept only if it
-    holds exactly the wanted partitions; otherwise it is built again, and must then hold rows.
+    holds exactly the wanted partitions and was built by the same SQL from the same files; otherwise it is built again,
+    and must then hold rows.
     """
     rows = run_template(spark, sql, values, inputs, {"snapshot_timestamps": partitions})
     if partition not in rows.columns:
         raise ContractError(f"a shared table must have the column {partition}")
     kept = spark.read.schema(rows.schema)
-    if path_exists(spark, f"{path}/_SUCCESS") and same_partitions(
+    origin = _fingerprint(render(sql, values), rows, inputs)
+    if path_exists(spark, f"{path}/_{BUILT_BY}/{origin}") and same_partitions(
         stage_partitions(spark, path, partition), partitions, partition
     ):
         return kept.parquet(path), False
     gathered = rows.hint("rebalance", partition)
     gathered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path)
+    set_mark(spark, path, BUILT_BY, origin)
     return assert_not_empty(kept.parquet(path), path), True
 
 
+# The kind of mark that says what a shared table was built by.
+BUILT_BY = "built_by"
+
+
+def _fingerprint(sql: str, rows: DataFrame, inputs: Mapping[str, DataFrame]) -> str:
+    """A digest of the rendered SQL, the result's schema and the files of every input."""
+    files = {name: sorted(frame.inputFiles()) for name, frame in inputs.items()}
+    return hashlib.sha256(json.dumps([sql, rows.schema.json(), files], sort_keys=True).encode()).hexdigest()
+
+
 def run_derived(
     spark: SparkSession,
     pipelines: Mapping[str, Pipeline],
@@ -114,7 +130,7 @@ def run_derived(
         wanted, path = spec.contract("derived"), home.path(spec.name, "derived")
         rows = run_template(spark, sql, values, frames, args)
         rows = apply_sql(rows, "derived", spec.name, hooks or Hooks(), SqlContext(spark, sql, wanted, path))
-        publish(rows, path, wanted, unit=part)
+        publish(rows, path, wanted, unit=part, units=partitions)
         if options.prefix is not None:
             register(spark, home, spec.name, "derived", options.prefix, options.location)
     return built

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import partial, reduce
@@ -19,7 +20,15 @@ from stagewise.operators.partitions import promote
 from stagewise.operators.quality import all_must_pass, check_columns, lint_report, missing_required
 from stagewise.session import settle
 from stagewise.sources.files import path_exists
-from stagewise.sources.inventory import file_inventory, file_system, headers, path_below, schema_inventory
+from stagewise.sources.inventory import (
+    UNREADABLE,
+    file_inventory,
+    file_system,
+    headers,
+    name_filter,
+    path_below,
+    schema_inventory,
+)
 from stagewise.sources.scans import (
     CORRUPT,
     FileGroup,
@@ -46,12 +55,12 @@ class LintResult:
 
 
 def land_frames(
-    spark: SparkSession, path: str, spec: TableSpec, contract: Contract, inventory: DataFrame
+    spark: SparkSession, path: str, spec: TableSpec, contract: Contract, inventory: DataFrame, broken: list[str]
 ) -> list[DataFrame]:
     """Landed rows with their ``file``, cells as they are stored; one frame per schema that the files have.
 
     A file is in one frame only, so the reports of the frames do not overlap. CSV files without a header are read
-    in the contract's order.
+    in the contract's order. Files that are ``broken`` are in no frame.
     """
     fmt, reading = spec.formats["land"], {**spec.read_options, "recursiveFileLookup": "true"}
     if fmt == "csv" and not spec.lint.expect_header:
@@ -62,27 +71,40 @@ def land_frames(
         # Every value as text, which the type rule needs; what is nested stays JSON.
         present = inventory.where(F.col("column").isin(contract.column_names)).select("column").distinct().collect()
         fields = [T.StructField(r["column"], T.StringType()) for r in present]
+        reading["pathGlobFilter"] = name_filter("json")
         frames = [spark.read.schema(T.StructType(fields)).options(**reading).json(path)] if fields else []
     elif fmt in ("csv", "parquet"):
         read = partial(read_csv_group, corrupt=True) if fmt == "csv" else read_parquet_group
-        groups = file_groups(spark, path, inventory)
+        groups = file_groups(spark, path, inventory, listed=bool(broken))
         stored, fold = contract.without(contract.null_typed()), spec.lint.headers_ignore_case
         frames = [read(spark, g, stored, ignore_case=fold, **reading) for g in groups]
     else:
         raise ContractError(f"cannot lint '{fmt}' files")
-    return [f.withColumn("file", plain_path(F.col("_metadata.file_path"))) for f in frames]
+    frames = [f.withColumn("file", plain_path(F.col("_metadata.file_path"))) for f in frames]
+    return [f.where(~F.col("file").isin(broken)) for f in frames] if broken else frames
 
 
 def lint_table(spark: SparkSession, pipeline: Pipeline, table: str, stage: str, log: str) -> DataFrame:
-    """Check all landed files of one table; the report goes to ``log`` and the verdicts are read from it."""
+    """Check all landed files of one table; the report goes to ``log`` and the verdicts are read from it.
+
+    A file that cannot be opened, or is of another format than the table's, fails by itself.
+    """
     spec = pipeline.table(table)
     path, fmt, contract = pipeline.path(table, "land"), spec.formats["land"], spec.contract(stage)
     casts = {c.name: ColumnSpec(c.name, c.target) for c in spec.lint.casts}
     stored = contract.without([*contract.partitions, pipeline.partition])
     checked = stored.with_columns(*[replace(c, type=casts[c.name].type) for c in stored.columns if c.name in casts])
-    inventory = settle(schema_inventory(spark, path, fmt, **spec.read_options), "schemas")
-    problems = check_columns(headers(inventory), stored, spec.lint)
-    frames = land_frames(spark, path, spec, stored, inventory)
+    found = settle(schema_inventory(spark, path, fmt, keep_unreadable=True, **spec.read_options), "schemas")
+    unreadable = found.where(F.col("type") == UNREADABLE).select("file", F.lit("unreadable").alias("rule_name"))
+    inventory = found.where(F.col("type") != UNREADABLE)
+    files = settle(file_inventory(spark, path).select(F.col("path").alias("file")), "landed")
+    ours = file_inventory(spark, path, ext=fmt).select(F.col("path").alias("file"))
+    strays = files.join(ours, "file", "left_anti").select("file", F.lit("format").alias("rule_name"))
+    problems = check_columns(headers(inventory), stored, spec.lint).select("file", "column_name", "rule_name")
+    problems = problems.unionByName(unreadable.unionAll(strays).withColumn("column_name", F.lit("*")))
+    # Damaged files, which are few, are left out of the typed scans.
+    broken = [r["file"] for r in unreadable.collect()]
+    frames = land_frames(spark, path, spec, stored, inventory, broken)
     # A row with more or fewer cells than the header fails its file, whatever its cells hold.
     cells = [Rule("*", "cells", F.col(CORRUPT).isNotNull())] if fmt == "csv" else []
     reports = [lint_report(rows, checked, ["file"], more=cells) for rows in frames]
@@ -102,8 +124,7 @@ def lint_table(spark: SparkSession, pipeline: Pipeline, table: str, stage: str,
         .groupBy("file")
         .agg(F.max("rows").alias("rows"), F.count_if(F.col("failures") > 0).alias("bad_rules"))
     )
-    # A file without data rows is not in the report unless its header is wrong.
-    files = file_inventory(spark, path, ext=fmt).select(F.col("path").alias("file"))
+    # A file without data rows is not in the report unless its header is wrong. Every landed file gets a verdict.
     counted = files.join(per_file, "file", "left").select(
         "file", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("bad_rules", F.lit(0)).alias("bad_rules")
     )
@@ -160,7 +181,8 @@ def _has_files(spark: SparkSession, path: str) -> bool:
 def move_files(files: DataFrame, root: str, target: str, folder: str, partition: str, remove: bool) -> int:
     """Move (or copy) whole files below ``target``, in parallel over the files; gives their number.
 
-    A task that runs twice finds its source gone and its target in place, which counts as done.
+    A task that runs twice finds its source gone and its target in place, which counts as done. A file that is there
+    under the same name with other content is kept, and the newcomer's name gets a digest of what it holds.
     """
 
     def relocate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,9 +205,22 @@ def _relocate(file: str, root: str, target: str, folder: str, partition: str, re
         if found[to] == fs.FileType.NotFound:
             raise FileNotFoundError(file)
         return destination
+    if found[to] != fs.FileType.NotFound and _digest(system, source) != _digest(system, to):
+        folder_of, _, name = to.rpartition("/")
+        stem, dot, ending = name.partition(".")
+        to = f"{folder_of}/{stem}-{_digest(system, source)[:16]}{dot}{ending}"
+        destination = f"{destination.rpartition('/')[0]}/{to.rpartition('/')[2]}"
     system.create_dir(to.rsplit("/", 1)[0], recursive=True)
     if remove:
         system.move(source, to)
     else:
         system.copy_file(source, to)
     return destination
+
+
+def _digest(system: fs.FileSystem, path: str) -> str:
+    found = hashlib.sha256()
+    with system.open_input_stream(path, compression=None) as source:
+        while block := source.read(1 << 20):
+            found.update(block)
+    return found.hexdigest()

@@ -93,7 +93,7 @@ def sql_load(
     path = pipeline.path(table, done)
     result = apply_sql(result, spec.kind, table, hooks or Hooks(), SqlContext(spark, sql, wanted, path))
     # Input folders are landing partitions already; rows only have to be gathered by any further partition.
-    publish(result, path, wanted, unit=part, gather=len(wanted.partitions) > 1)
+    publish(result, path, wanted, unit=part, gather=len(wanted.partitions) > 1, units=partitions)
     if options.consume and given != "raw_hist":
         drop_partitions(spark, source, part, partitions)
     return partitions

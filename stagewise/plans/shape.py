@@ -23,11 +23,13 @@ def run_shape(
     final_stage: str = "curated",
     options: ShapeOptions = ShapeOptions(),
     hooks: Hooks | None = None,
+    null_bad_cells: bool = False,
 ) -> list[int]:
     """Shape every partition that the final stage lacks and write it at ``stage``; gives those partitions.
 
     All of them are read as one frame, whose rows know their partition from their folder. The shaping is a
-    projection, so each input split goes to its output file without a shuffle.
+    projection, so each input split goes to its output file without a shuffle. A CSV cell that is not of its column's
+    type fails the job before anything is published, unless ``null_bad_cells``.
     """
     spec, part = pipeline.table(table), pipeline.partition
     todo = unprocessed_all(spark, pipeline, [table], raw_stage, final_stage, TABLE_KINDS).get(table, [])
@@ -36,13 +38,24 @@ def run_shape(
     given, wanted = landed(spec.contract(raw_stage), part), landed(spec.contract(stage), part)
     source = pipeline.path(table, raw_stage)
     fmt = spec.formats[raw_stage]
-    frame = scan_partitions(spark, source, fmt, given, part, todo, partial=True, drifted=True, **spec.read_options)
+    frame = scan_partitions(
+        spark,
+        source,
+        fmt,
+        given,
+        part,
+        todo,
+        partial=True,
+        drifted=True,
+        strict=not null_bad_cells,
+        **spec.read_options,
+    )
     options = replace(options, partition=part, env=options.env or pipeline.env, db=options.db or pipeline.name)
     shaped = apply_shape(frame, spec.kind, hooks or Hooks(), ShapeContext(table, given, wanted, options))
     path, written = pipeline.path(table, stage), spec.formats[stage]
     gather = len(wanted.partitions) > 1
     if written == "parquet":
-        publish(shaped, path, wanted, unit=part, gather=gather, cast=True)
+        publish(shaped, path, wanted, unit=part, gather=gather, cast=True, units=todo)
     else:
         write_partitioned(shaped, path, wanted, written, gather=gather)
     return todo

@@ -4,22 +4,28 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stagewise.contract import Contract, ContractError
 from stagewise.operators.quality import conforms
 from stagewise.sources.files import (
+    adopt_files,
     delete_path,
     partition_folders,
     path_exists,
     rename_path,
     renames_cheaply,
     replace_folders,
+    set_mark,
 )
 from stagewise.sources.inventory import file_inventory, schema_inventory
 
+# The kind of mark that a unit without rows gets.
+PROCESSED = "processed"
+
 # Formats a stage can be written in.
 WRITE_FORMATS = ("parquet", "csv", "json")
 TEXT_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
@@ -93,6 +99,7 @@ def publish(
     unit: str | None = None,
     gather: bool = True,
     cast: bool = False,
+    units: Sequence[int] | None = None,
 ) -> str:
     """Write to a staging area beside the target, check the schema of every file, then replace the partitions.
 
@@ -101,6 +108,9 @@ def publish(
     never leaves old rows; without it, each written combination of partition values is. Where renaming is a metadata
     operation the staged folders are moved; elsewhere Spark writes them again in parallel. If anything fails, the
     staging area is deleted and the target is as before.
+
+    ``units`` are all values of ``unit`` that the frame stands for. Those it has no rows of are cleared in the target
+    and marked there as processed, so that they are not chosen again.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     if unit and unit not in contract.partitions:
@@ -111,19 +121,64 @@ def publish(
     try:
         write_partitioned(df, staging, contract, gather=gather)
         check_files(spark, staging, contract)
+        found = written_units(spark, staging, unit) if unit and units is not None else set()
         replace_partitions(spark, staging, path, contract, unit)
+        if unit and units is not None:
+            settle_units(spark, path, contract, unit, {int(u) for u in units}, found)
     finally:
         delete_path(spark, staging)
     return path
 
 
+def written_units(spark: SparkSession, path: str, unit: str) -> set[int]:
+    """The units that have files below a path."""
+    value = F.regexp_extract("leaf", rf"(?:^|/){re.escape(unit)}=(\d+)", 1)
+    rows = leaf_folders(spark, path).select(value.cast("long").alias("unit")).distinct().collect()
+    return {r["unit"] for r in rows if r["unit"] is not None}
+
+
+def settle_units(
+    spark: SparkSession, path: str, contract: Contract, unit: str, units: set[int], found: set[int]
+) -> None:
+    """Clear and mark the units without rows; a unit that has rows now loses its mark."""
+    if units - found:
+        of_unit = F.regexp_extract("leaf", rf"(?:^|/){re.escape(unit)}=(\d+)", 1).cast("long")
+        there = leaf_folders(spark, path).where(of_unit.isin(sorted(units - found)))
+        for row in there.collect():
+            delete_path(spark, f"{path}/{row['leaf']}")
+    for value in sorted(units - found):
+        set_mark(spark, path, PROCESSED, f"{unit}={value}")
+    for value in sorted(found):
+        delete_path(spark, f"{path}/_{PROCESSED}/{unit}={value}")
+
+
+def append_batch(df: DataFrame, path: str, partitions: Sequence[str], fmt: str, tag: str) -> None:
+    """Add rows as files named by a tag; adding the same tag again replaces its files."""
+    spark, staging = df.sparkSession, f"{path.rstrip('/')}_staging/{tag}"
+    out = df.hint("rebalance", *partitions) if partitions else df
+    writer = out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    if fmt in ("csv", "json"):
+        writer = writer.option("timestampNTZFormat", TEXT_TIMESTAMP)
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    try:
+        writer.save(staging)
+        adopt_files(spark, staging, path.rstrip("/"), tag)
+    finally:
+        delete_path(spark, staging)
+
+
 def check_files(spark: SparkSession, path: str, contract: Contract) -> None:
     """Fail unless every Parquet file below a path conforms to the contract."""
     stored = contract.without(contract.null_typed())
-    found = conforms(schema_inventory(spark, path, "parquet"), stored).limit(20).collect()
+    problems = conforms(schema_inventory(spark, path, "parquet"), stored)
+    # A message names some of them; the count covers all.
+    found = problems.select("*", F.count("*").over(Window.partitionBy()).alias("all")).limit(20).collect()
     if found:
         lines = "; ".join(f"{r['path']} {r['problem']} in {r['file']}" for r in found)
-        raise ContractError(f"files do not match the contract of '{contract.name}': {lines}")
+        raise ContractError(f"files do not match the contract of '{contract.name}', {found[0]['all']} faults: {lines}")
 
 
 def replace_partitions(

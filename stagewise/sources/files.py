@@ -23,6 +23,58 @@ def rename_path(spark: SparkSession, source: str, target: str) -> None:
     _rename(spark, system, source, target)
 
 
+def merge_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move all files below a folder to the same places below another that exists already.
+
+    A file that is in the target under its name gets a number in front, so nothing is overwritten.
+    """
+    system = _filesystem(spark, target)
+    for status in system.listStatus(_hadoop_path(spark, source)):
+        name = status.getPath().getName()
+        destination = f"{target}/{name}"
+        there = system.exists(_hadoop_path(spark, destination))
+        if status.isDirectory() and there:
+            merge_folder(spark, f"{source}/{name}", destination)
+            continue
+        number = 1
+        while there:
+            destination, number = f"{target}/{number}-{name}", number + 1
+            there = system.exists(_hadoop_path(spark, destination))
+        _rename(spark, system, f"{source}/{name}", destination)
+    system.delete(_hadoop_path(spark, source), True)
+
+
+def adopt_files(spark: SparkSession, source: str, target: str, tag: str) -> None:
+    """Move the data files below a folder to the same places below another, with a tag in front of their names.
+
+    What the target has under the tag in those places goes first, so doing the same again replaces it.
+    """
+    system = _filesystem(spark, target)
+    system.mkdirs(_hadoop_path(spark, target))
+    for status in system.listStatus(_hadoop_path(spark, target)):
+        if not status.isDirectory() and status.getPath().getName().startswith(f"{tag}-"):
+            system.delete(status.getPath(), False)
+    for status in system.listStatus(_hadoop_path(spark, source)):
+        name = status.getPath().getName()
+        if status.isDirectory():
+            adopt_files(spark, f"{source}/{name}", f"{target}/{name}", tag)
+        elif not name.startswith(("_", ".")):
+            _rename(spark, system, f"{source}/{name}", f"{target}/{tag}-{name}")
+
+
+def set_mark(spark: SparkSession, path: str, kind: str, name: str) -> None:
+    """Leave a mark of a kind below a path, where readers do not look."""
+    _filesystem(spark, path).mkdirs(_hadoop_path(spark, f"{path}/_{kind}/{name}"))
+
+
+def marks(spark: SparkSession, path: str, kind: str) -> list[str]:
+    """The marks of a kind below a path."""
+    folder = f"{path}/_{kind}"
+    if not path_exists(spark, folder):
+        return []
+    return sorted(s.getPath().getName() for s in _filesystem(spark, folder).listStatus(_hadoop_path(spark, folder)))
+
+
 def replace_folders(spark: SparkSession, source: str, target: str, names: list[str], old: str) -> None:
     """Move the named folders from one parent to another, in the place of those that have the same names there.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from datetime import UTC, date, datetime, time
 
 import pandas as pd
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from stagewise.contract import ContractError, leaves
 from stagewise.functions.tokens import partition_value, plain_path
 
+# The type in an inventory of a file that cannot be opened as what its name says.
+UNREADABLE = "unreadable"
 LEAVES = "array<struct<path:string,type:string>>"
 FILE_SCHEMA = f"file string, position int, column string, type string, leaves {LEAVES}"
 # A listing row costs almost nothing, so a task takes many files whatever their sizes are.
@@ -41,6 +43,25 @@ def day_window(start: date | None = None, end: date | None = None) -> tuple[date
     return after, before
 
 
+# Formats whose files may be compressed as a whole.
+COMPRESSIBLE = ("csv", "json")
+
+
+def name_filter(ext: str) -> str:
+    """The glob that says which files are of a format: by their ending in any case, for text also behind ``.gz``.
+
+    Every reader, listing, verdict and move goes by it.
+    """
+    ext = ext.lstrip(".").lower()
+    ending = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in ext)
+    return f"*.{ending}{{,.[gG][zZ]}}" if ext in COMPRESSIBLE else f"*.{ending}"
+
+
+def literal_path(path: str) -> str:
+    """A path in which Spark's readers find no glob."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def file_inventory(
     spark: SparkSession,
     path: str | list[str],
@@ -55,7 +76,7 @@ def file_inventory(
     """
     reader = spark.read.format("binaryFile").options(**{"recursiveFileLookup": "true", **options})
     if ext:
-        reader = reader.option("pathGlobFilter", f"*.{ext.lstrip('.')}")
+        reader = reader.option("pathGlobFilter", name_filter(ext))
     tasks = LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     files = (
         reader.load(path)
@@ -69,10 +90,17 @@ def file_inventory(
 
 
 def schema_inventory(
-    spark: SparkSession, path: str | list[str], ext: str | None = None, multi_line: bool = False, **options: str
+    spark: SparkSession,
+    path: str | list[str],
+    ext: str | None = None,
+    multi_line: bool = False,
+    keep_unreadable: bool = False,
+    **options: str,
 ) -> DataFrame:
     """Rows (file, position, column, type, leaves) for every file below a path, types in contract words.
 
+    A file that cannot be read is an error, or with ``keep_unreadable`` one row of the type ``unreadable``.
+
     ``leaves`` has the path and plain type of each innermost field, one for a column that is not a struct.
 
     CSV files are opened for their header line only and Parquet files for their footer only, in parallel over the
@@ -81,19 +109,20 @@ def schema_inventory(
     """
     if ext is None:
         files = file_inventory(spark, path, **options)
-        kinds = [r["kind"] for r in files.select(_suffix(F.col("path")).alias("kind")).distinct().collect()]
+        kinds = [r["kind"] for r in files.select(_suffix(F.col("path")).alias("kind")).distinct().limit(50).collect()]
         if not kinds:
             raise FileNotFoundError(f"no files below {path}")
-        frames = [schema_inventory(spark, path, kind, multi_line, **options) for kind in sorted(kinds)]
+        frames = [schema_inventory(spark, path, kind, multi_line, keep_unreadable, **options) for kind in sorted(kinds)]
         out = frames[0]
         for frame in frames[1:]:
             out = out.unionByName(frame)
         return out
     # Formats whose schema can be read file by file.
-    sep = options.get("sep", ",")
-    readers = {"parquet": _parquet_rows, "csv": lambda file: _csv_rows(file, sep)}
+    layout = csv_layout(options) if ext == "csv" else {}
+    readers = {"parquet": _parquet_rows, "csv": lambda file: _csv_rows(file, layout)}
     if ext == "json":
-        return _json_schemas(spark, path, multi_line or options.get("multiLine") == "true", options)
+        whole = multi_line or options.get("multiLine") == "true"
+        return _json_schemas(spark, path, whole, keep_unreadable, options)
     if ext not in readers:
         raise ContractError(f"cannot read the schema of '{ext}' files")
     read = readers[ext]
@@ -103,13 +132,23 @@ def schema_inventory(
             found = [
                 (file, position, name, kind, _leaf_rows(kind, name))
                 for file in batch["path"]
-                for position, (name, kind) in enumerate(read(file))
+                for position, (name, kind) in enumerate(_tried(read, file) if keep_unreadable else read(file))
             ]
             yield pd.DataFrame(found, columns=["file", "position", "column", "type", "leaves"])
 
     return file_inventory(spark, path, ext=ext, **options).select("path").mapInPandas(rows, FILE_SCHEMA)
 
 
+def _tried(read: Callable[[str], list[tuple[str, str]]], file: str) -> list[tuple[str, str]]:
+    """What a file's schema is, or that it has none. Files that are gone or out of reach are still errors."""
+    try:
+        return read(file)
+    except (FileNotFoundError, PermissionError):
+        raise
+    except (ValueError, OSError, EOFError, csv.Error):  # Arrow's errors are among these
+        return [("", UNREADABLE)]
+
+
 def headers(inventory: DataFrame) -> DataFrame:
     """One row per file with its column names in order, from ``schema_inventory`` rows."""
     ordered = F.array_sort(F.collect_list(F.struct("position", "column")))
@@ -125,7 +164,9 @@ def _leaf_series(kinds: pd.Series, names: pd.Series) -> pd.Series:
 
 
 def _suffix(path: Column) -> Column:
-    return F.lower(F.substring_index(path, ".", -1))
+    """The ending of a file's name in lower case, without ``.gz``; a name without one has an empty ending."""
+    name = F.regexp_replace(F.lower(F.substring_index(path, "/", -1)), r"\.gz$", "")
+    return F.regexp_extract(name, r"\.([^.]+)$", 1)
 
 
 def local_path(path: str) -> str:
@@ -158,10 +199,55 @@ def _parquet_rows(path: str) -> list[tuple[str, str]]:
         return [(f.name, arrow_type_text(f.type)) for f in pq.read_schema(source)]
 
 
-def _csv_rows(path: str, sep: str) -> list[tuple[str, str]]:
-    with _open(path) as source, io.TextIOWrapper(source, encoding="utf-8-sig", newline="") as text:
+# Options of Spark's CSV reader that do not change what a header line means.
+_CSV_PLAIN = (
+    "basepath mergeschema modifiedafter modifiedbefore timezone recursivefilelookup pathglobfilter header mode nullvalue "
+    "nanvalue positiveinf negativeinf dateformat timestampformat timestampntzformat enforceschema inferschema "
+    "emptyvalue maxcolumns maxcharspercolumn columnpruning columnnameofcorruptrecord locale unescapedquotehandling"
+).split()
+
+
+def csv_layout(options: Mapping[str, str]) -> dict[str, str]:
+    """How a header line is cut into names under Spark's reader options; an option it cannot follow is an error."""
+    given = {k.lower(): v for k, v in options.items()}
+    layout = {
+        "sep": given.pop("sep", given.pop("delimiter", ",")),
+        "quote": given.pop("quote", '"'),
+        "escape": given.pop("escape", "\\"),
+        "encoding": given.pop("encoding", given.pop("charset", "utf-8")),
+        "comment": given.pop("comment", ""),
+    }
+    given.pop("delimiter", None), given.pop("charset", None), given.pop("multiline", None)
+    spaces = [given.pop(f"ignore{side}whitespace", "false") for side in ("leading", "trailing")]
+    layout["trim"] = "".join(side[0] for side, on in zip(("left", "right"), spaces, strict=True) if on == "true")
+    unknown = sorted(set(given) - set(_CSV_PLAIN))
+    if unknown:
+        raise ContractError(f"headers cannot be read under the CSV options {unknown}")
+    return layout
+
+
+def _csv_rows(path: str, layout: Mapping[str, str]) -> list[tuple[str, str]]:
+    system, inner = file_system(path)
+    packed = "gzip" if path.lower().endswith(".gz") else None
+    encoding = layout["encoding"]
+    with (
+        system.open_input_stream(inner, compression=packed) as source,
+        io.TextIOWrapper(source, encoding="utf-8-sig" if encoding.lower() == "utf-8" else encoding, newline="") as text,
+    ):
+        lines = (line for line in text if not (layout["comment"] and line.startswith(layout["comment"])))
+        quote, escape = layout["quote"], layout["escape"]
+        rows = csv.reader(
+            lines,
+            delimiter=layout["sep"],
+            quotechar=quote or None,
+            quoting=csv.QUOTE_MINIMAL if quote else csv.QUOTE_NONE,
+            escapechar=None if escape == quote else escape or None,
+            doublequote=True,
+        )
         # A blank first line is a header with one nameless column.
-        return [(name, "string") for name in next(csv.reader(text, delimiter=sep), []) or [""]]
+        names = next(rows, []) or [""]
+    names = [n.lstrip() if "l" in layout["trim"] else n for n in names]
+    return [(n.rstrip() if "r" in layout["trim"] else n, "string") for n in names]
 
 
 def arrow_type_text(kind: pa.DataType) -> str:
@@ -194,14 +280,15 @@ VARIANT_WORDS = {
 
 
 def _json_schemas(
-    spark: SparkSession, path: str | list[str], multi_line: bool, options: Mapping[str, str]
+    spark: SparkSession, path: str | list[str], multi_line: bool, keep_unreadable: bool, options: Mapping[str, str]
 ) -> DataFrame:
     """Merged schema of all records of each JSON file. Positions follow the names: records keep no field order."""
-    fixed = {"recursiveFileLookup": "true", "wholetext": str(multi_line), "pathGlobFilter": "*.json"}
+    fixed = {"recursiveFileLookup": "true", "wholetext": str(multi_line), "pathGlobFilter": name_filter("json")}
     reader = spark.read.options(**{**fixed, **options})
     text = reader.text(path)
     records = text.where("trim(value) <> ''").select(
-        plain_path(F.col("_metadata.file_path")).alias("file"), F.parse_json("value").alias("record")
+        plain_path(F.col("_metadata.file_path")).alias("file"),
+        (F.try_parse_json("value") if keep_unreadable else F.parse_json("value")).alias("record"),
     )
     kinds = spark.sql(
         """
@@ -216,9 +303,17 @@ def _json_schemas(
     for word, swap in VARIANT_WORDS.items():
         words = F.regexp_replace(words, word, swap)
     fields = F.array_sort(F.collect_list(F.struct("column", words.alias("type"))))
-    return (
+    found = (
         kinds.groupBy("file")
         .agg(fields.alias("fields"))
         .select("file", F.posexplode("fields").alias("position", "f"))
         .select("file", "position", "f.column", "f.type", leaf_column("f.type", "f.column").alias("leaves"))
     )
+    if not keep_unreadable:
+        return found
+    # One record that is no JSON makes its file unreadable, whatever the others hold.
+    broken = records.where(F.col("record").isNull()).select("file").distinct()
+    noted = broken.select("file", *[F.expr(c) for c in ("0 AS position", "'' AS column", f"'{UNREADABLE}' AS type")])
+    return found.join(broken, "file", "left_anti").unionByName(
+        noted.withColumn("leaves", F.expr(f"CAST(array() AS {LEAVES})"))
+    )

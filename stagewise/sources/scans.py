@@ -16,7 +16,7 @@ from stagewise.contract import ColumnSpec, Contract, ContractError, spark_type
 from stagewise.functions.formats import parse, utc_wall_clock
 from stagewise.operators.shaping import reconcile_contract
 from stagewise.session import settle
-from stagewise.sources.inventory import file_inventory, schema_inventory, window_options
+from stagewise.sources.inventory import file_inventory, literal_path, name_filter, schema_inventory, window_options
 from stagewise.spec import Pipeline
 
 CORRUPT = "_corrupt_record"
@@ -25,21 +25,32 @@ TEXTUAL_IN_JSON = ("date32", "date64", "timestamp(ns)", "timestamp(us)", "timest
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], contract: Contract, corrupt: bool = False, **options: str
+    spark: SparkSession,
+    path: str | list[str],
+    contract: Contract,
+    corrupt: bool = False,
+    strict: bool = False,
+    **options: str,
 ) -> DataFrame:
     """Comma-separated files with a header, under the contract's types.
 
     Cells are read as text and converted by the contract's formats, so one bad cell becomes null without losing the
-    row. ``corrupt`` keeps the raw line of rows whose number of cells is wrong. Contract columns that no file has
-    are left out.
+    row; if ``strict``, it is an error. ``corrupt`` keeps the raw line of rows whose number of cells is wrong. Contract
+    columns that no file has are left out.
     """
     contract = contract.without(contract.null_typed())
     text = read_csv_text(spark, path, contract, corrupt, **options)
     present = [c for c in contract.data_columns if c.name in text.columns]
-    typed = [parse(F.col(f"`{c.name}`"), c).alias(c.name) for c in present]
+    typed = [(_parsed_or_error if strict else parse)(F.col(f"`{c.name}`"), c).alias(c.name) for c in present]
     return text.select(*typed, *contract.partitions, *([CORRUPT] if corrupt else []))
 
 
+def _parsed_or_error(col: Column, spec: ColumnSpec) -> Column:
+    value = parse(col, spec)
+    message = F.concat(F.lit(f"a cell of column {spec.name} is no {spec.type}: "), F.substring(col, 1, 100))
+    return F.when(col.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+
+
 @dataclass(frozen=True)
 class FileGroup:
     """Files whose columns have the same names, types and order."""
@@ -48,21 +59,24 @@ class FileGroup:
     paths: str | list[str]
 
 
-def file_groups(spark: SparkSession, path: str | list[str], inventory: DataFrame) -> list[FileGroup]:
+def file_groups(
+    spark: SparkSession, path: str | list[str], inventory: DataFrame, listed: bool = False
+) -> list[FileGroup]:
     """The files below a path by their own schema, the most common one first.
 
-    Normally there is one group, which is the path itself. Where files differ, each group lists its files: no more
-    than Spark's own file index holds.
+    Normally there is one group, which is the path itself. Where files differ, or if they are to be ``listed`` as the
+    path has others too, each group lists its files: no more than Spark's own file index holds.
     """
+    inventory = settle(inventory, "schemas") if not listed else inventory
     fields = F.array_sort(F.collect_list(F.struct("position", "column", "type")))
     shapes = inventory.groupBy("file").agg(F.to_json(fields).alias("shape"))
     counts = shapes.groupBy("shape").agg(F.count("*").alias("files")).orderBy(F.desc("files"), "shape").collect()
     columns = {r["shape"]: tuple((f["column"], f["type"]) for f in json.loads(r["shape"])) for r in counts}
-    if len(columns) == 1:
+    if len(columns) == 1 and not listed:
         return [FileGroup(next(iter(columns.values())), path)]
     kept = settle(shapes, "shapes")
     return [
-        FileGroup(named, [r["file"] for r in kept.where(F.col("shape") == shape).select("file").collect()])
+        FileGroup(named, [literal_path(r["file"]) for r in kept.where(F.col("shape") == shape).select("file").collect()])
         for shape, named in columns.items()
     ]
 
@@ -98,7 +112,8 @@ def read_csv_group(
     fields = [T.StructField(p, T.StringType()) for p in positions]
     fields += [T.StructField(p, contract.lookup[p].spark_type) for p in contract.partitions]
     fields += [T.StructField(CORRUPT, T.StringType())] if corrupt else []
-    reader = spark.read.schema(T.StructType(fields)).options(**{"header": "true", "mode": "PERMISSIVE", **options})
+    options = {"header": "true", "mode": "PERMISSIVE", "pathGlobFilter": name_filter("csv"), **options}
+    reader = spark.read.schema(T.StructType(fields)).options(**options)
     if corrupt:
         # A parser that skips cells nobody asked for would not see that a row has too many or too few.
         reader = reader.options(columnNameOfCorruptRecord=CORRUPT, columnPruning="false")
@@ -128,6 +143,7 @@ def read_parquet_group(
     kinds = dict(group.columns)
     fields = [T.StructField(given, file_type(kinds[given])) for _, given in stored]
     fields += [T.StructField(p, contract.lookup[p].spark_type) for p in contract.partitions]
+    options = {"pathGlobFilter": name_filter("parquet"), **options}
     rows = spark.read.schema(T.StructType(fields)).options(**options).format("parquet").load(group.paths)
     return rows.select(*[F.col(f"`{given}`").alias(c.name) for c, given in stored], *contract.partitions)
 
@@ -157,8 +173,28 @@ def read_parquet(
     return cast_to_contract(_load_parquet(spark, path, options), contract, partial)
 
 
-def _load_parquet(spark: SparkSession, path: str | list[str], options: Mapping[str, str]) -> DataFrame:
-    """Parquet files in their own types. An empty file holds no rows, but it must not be asked for the schema."""
+def _load_parquet(
+    spark: SparkSession, path: str | list[str], options: Mapping[str, str], contract: Contract | None = None
+) -> DataFrame:
+    """Parquet files in their own types; columns that only the contract has, if they may be null, in its types.
+
+    So a column that the contract has gained is read from the files that have it, and null in those that lack it.
+    """
+    rows = _load_first(spark, path, options)
+    if contract is None:
+        return rows
+    known = {c.name for c, _ in reconcile_contract(rows.columns, contract)}
+    gained = [c for c in contract.data_columns if c.nullable and c.name not in known]
+    if not gained:
+        return rows
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(c.name, c.spark_type) for c in gained)])
+    options = {"pathGlobFilter": name_filter("parquet"), **options}
+    return spark.read.options(**options).schema(schema).parquet(*([path] if isinstance(path, str) else path))
+
+
+def _load_first(spark: SparkSession, path: str | list[str], options: Mapping[str, str]) -> DataFrame:
+    """Parquet files in the types of one. An empty file holds no rows, but it must not be asked for the schema."""
+    options = {"pathGlobFilter": name_filter("parquet"), **options}
     reader = spark.read.options(**options).format("parquet")
     try:
         return reader.load(path)
@@ -168,7 +204,7 @@ def _load_parquet(spark: SparkSession, path: str | list[str], options: Mapping[s
         first = file_inventory(spark, path, ext="parquet", **options).select("path").head()
         if first is None:
             raise
-        return reader.schema(spark.read.parquet(first["path"]).schema).load(path)
+        return reader.schema(spark.read.parquet(literal_path(first["path"])).schema).load(path)
 
 
 def read_json(
@@ -182,7 +218,7 @@ def read_json(
 
     Dates and times are read as text and converted by their declared formats.
     """
-    reader = spark.read.options(**{"multiLine": str(multi_line), **options})
+    reader = spark.read.options(**{"multiLine": str(multi_line), "pathGlobFilter": name_filter("json"), **options})
     if contract is None:
         return reader.json(path)
     textual = [c for c in contract.data_columns if c.type in TEXTUAL_IN_JSON]
@@ -219,20 +255,22 @@ def read_stage(
     contract: Contract,
     partial: bool = False,
     drifted: bool = False,
+    strict: bool = False,
     **options: str,
 ) -> DataFrame:
     """Rows of one stage in whichever format it is kept. Null-typed columns are not read, as no stage keeps them.
 
-    ``drifted`` is for Parquet files that this library has not written, whose columns may differ.
+    ``drifted`` is for Parquet files that this library has not written, whose columns may differ. If ``strict``, a CSV
+    cell that is not of its column's type is an error; else it is null.
     """
     contract = contract.without(contract.null_typed())
     if fmt == "csv":
-        typed = read_csv(spark, path, contract, **options)
+        typed = read_csv(spark, path, contract, strict=strict, **options)
     elif fmt == "parquet":
         if drifted:
             typed = read_parquet_drifted(spark, path, contract, **options)
         else:
-            typed = _load_parquet(spark, path, options)
+            typed = _load_parquet(spark, path, options, contract)
     elif fmt == "json":
         typed = read_json(spark, path, contract, **options)
     else:
@@ -271,7 +309,7 @@ def scan_stage(
         path, fmt, contract = pipeline.path(table, stage), spec.formats.get(stage, ""), spec.contract(stage)
     options = {**spec.read_options, **window_options(after, before)}
     if ext:
-        options["pathGlobFilter"] = f"*.{ext.lstrip('.')}"
+        options["pathGlobFilter"] = name_filter(ext)
     return read_stage(spark, path, fmt, landed(contract, pipeline.partition), **options)
 
 
@@ -288,6 +326,7 @@ def scan_partitions(
     values: Sequence[int],
     partial: bool = False,
     drifted: bool = False,
+    strict: bool = False,
     **options: str,
 ) -> DataFrame:
     """Rows of the given landing partitions. Only their folders are listed, however long the table's history is.
@@ -295,10 +334,10 @@ def scan_partitions(
     If another partition comes first in the layout, all folders are listed, and those of other partitions skipped.
     """
     if contract.partitions[:1] != (partition,):
-        rows = read_stage(spark, path, fmt, contract, partial, drifted, **options)
+        rows = read_stage(spark, path, fmt, contract, partial, drifted, strict, **options)
         return rows.where(F.col(partition).isin([int(v) for v in values]))
     paths = partition_paths(path, partition, values)
-    return read_stage(spark, paths, fmt, contract, partial, drifted, **{**options, "basePath": path})
+    return read_stage(spark, paths, fmt, contract, partial, drifted, strict, **{**options, "basePath": path})
 
 
 def input_scans(

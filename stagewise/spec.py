@@ -124,5 +124,5 @@ class Pipeline:
 
 def full_database_name(name: str, env: str, prefix: str, derived: bool = False) -> str:
     """Catalog database of a pipeline; the name ``all`` stands for the whole environment."""
-    tail = f"derived_{env}" if derived else env
-    return "_".join([prefix, tail] if name == "all" else [prefix, name, tail])
+    own = "" if name == "all" else f"{name}_"
+    return f"{prefix}_{own}{'derived_' if derived else ''}{env}"

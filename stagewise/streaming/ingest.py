@@ -7,6 +7,8 @@ appended and a partition is never overwritten.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,7 @@ from stagewise.functions.formats import parse
 from stagewise.operators.quality import FAILED, split_valid
 from stagewise.operators.shaping import ShapeOptions
 from stagewise.plans.hooks import Hooks, ShapeContext, apply_shape
-from stagewise.sinks.write import under_contract
+from stagewise.sinks.write import append_batch, under_contract
 from stagewise.sources.scans import landed
 from stagewise.spec import Pipeline
 
@@ -56,30 +58,35 @@ def ingest_stream(
 ) -> list[StreamingQuery]:
     """Take what is new since the last run, then stop: valid rows to the stage, the others to ``quarantine``.
 
-    Spark's file sink commits each batch once, also when a batch is run again after a failure.
+    The source is read once for both. Each batch is written like a batch job's output, its files named by the stream and
+    the batch, so that a batch that is run again after a failure replaces its own files. Batch jobs may write the same
+    stage.
     """
     spec = pipeline.table(table)
     given, wanted = landed(spec.contract(raw_stage), pipeline.partition), spec.contract(stage)
     given = given.without(given.null_typed())
     path, fmt = pipeline.path(table, raw_stage), spec.formats[raw_stage]
     source = stream_source(spark, path, fmt, given, max_files, **spec.read_options)
-    good, bad = split_valid(source, given)
-    good = good.withColumns({c.name: parse(F.col(f"`{c.name}`"), c) for c in given.data_columns if _as_text(c, fmt)})
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:8]
+    target, written = pipeline.path(table, stage), spec.formats[stage]
+    columns = [c for c in given.data_columns if _as_text(c, fmt)]
     ctx = ShapeContext(table, given, wanted, options)
-    shaped = under_contract(apply_shape(good, spec.kind, hooks or Hooks(), ctx), wanted)
-    sinks = [(shaped, pipeline.path(table, stage), "good", spec.formats[stage])]
-    if quarantine:
-        noted = bad.withColumn(FAILED, F.array_join(FAILED, ","))
-        sinks.append((noted, quarantine, "bad", "parquet"))
-    return [
-        frame.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", f"{checkpoint}/{name}")
-        .partitionBy(*(wanted.partitions if name == "good" else given.partitions))
-        .trigger(availableNow=True)
-        .start(path)
-        for frame, path, name, fmt in sinks
-    ]
+
+    def take(rows: DataFrame, batch: int) -> None:
+        tag, kept = f"stream-{stream}-{batch}", rows.persist()
+        try:
+            good, bad = split_valid(kept, given)
+            good = good.withColumns({c.name: parse(F.col(f"`{c.name}`"), c) for c in columns})
+            shaped = under_contract(apply_shape(good, spec.kind, hooks or Hooks(), ctx), wanted)
+            append_batch(shaped, target, wanted.partitions, written, tag)
+            if quarantine:
+                noted = bad.withColumn(FAILED, F.array_join(FAILED, ","))
+                append_batch(noted, quarantine, given.partitions, "parquet", tag)
+        finally:
+            kept.unpersist()
+
+    query = source.writeStream.foreachBatch(take).option("checkpointLocation", f"{checkpoint}/batches")
+    return [query.trigger(availableNow=True).start()]
 
 
 def ingest_now(*args, **kwargs) -> None:

@@ -9,29 +9,29 @@ from stagewise.operators import quality as op
 from stagewise.sources.inventory import schema_inventory
 from stagewise.spec import LintOptions
 
-ANIMALS = Contract(
+CARRIERS = Contract(
     "table1",
     (
-        ColumnSpec("my_int", "int64", nullable=False, minimum=10, maximum=20),
-        ColumnSpec("animal", "string", nullable=False, enum=("cat", "dog", "fish", "chicken")),
-        ColumnSpec("my_email", "string", pattern=r"\S+@\S+"),
-        ColumnSpec("my_date", "date32", format="%Y-%m-%d"),
+        ColumnSpec("seats", "int64", nullable=False, minimum=9, maximum=21),
+        ColumnSpec("carrier", "string", nullable=False, enum=("bike", "ferry", "tram", "trolley")),
+        ColumnSpec("owner", "string", pattern=r"\S+@\S+"),
+        ColumnSpec("opened", "date32", format="%Y-%m-%d"),
     ),
 )
 ROWS = [
-    ("a", "16", "fish", "a@b.info", "1993-09-27"),
-    ("a", "9", "cat", None, None),
+    ("a", "16", "tram", "desk@tram.example", "1961-07-04"),
+    ("a", "8", "bike", None, None),
     ("a", "x", "bird", "nobody", "1993-02-30"),
     ("b", None, None, "c@d", "27/09/1993"),
-    ("b", "20", "dog", "see a@b.info", "2000-01-01"),
-    ("c", "10", "chicken", "a@b", "2000-01-01"),
+    ("b", "20", "ferry", "see desk@tram.example", "2000-01-01"),
+    ("c", "10", "trolley", "a@b", "2000-01-01"),
 ]
 EXPECTED = {
     0: [],
-    1: ["my_int:range"],
-    2: ["my_int:type", "animal:enum", "my_email:pattern", "my_date:type"],
-    3: ["my_int:nullable", "animal:nullable", "my_date:type"],
-    4: ["my_email:pattern"],
+    1: ["seats:range"],
+    2: ["seats:type", "carrier:enum", "owner:pattern", "opened:type"],
+    3: ["seats:nullable", "carrier:nullable", "opened:type"],
+    4: ["owner:pattern"],
     5: [],
 }
 
@@ -39,43 +39,43 @@ EXPECTED = {
 @pytest.fixture(scope="module")
 def rows(spark):
     data = [(i, *r) for i, r in enumerate(ROWS)]
-    return spark.createDataFrame(data, "n int, file string, my_int string, animal string, my_email string, my_date string")
+    return spark.createDataFrame(data, "n int, file string, seats string, carrier string, owner string, opened string")
 
 
 def test_rules_by_row(rows):
-    linted = op.lint_rows(rows, ANIMALS)
+    linted = op.lint_rows(rows, CARRIERS)
     assert {r["n"]: r[op.FAILED] for r in linted.collect()} == EXPECTED
 
 
 def test_split_valid(rows):
-    good, bad = op.split_valid(rows, ANIMALS)
+    good, bad = op.split_valid(rows, CARRIERS)
     assert values(good, "n") == [(0,), (5,)] and good.columns == rows.columns
     assert values(bad, "n", F.size(op.FAILED)) == [(1, 1), (2, 4), (3, 3), (4, 1)]
 
 
 def test_report_counts_every_rule_in_one_pass(rows):
-    report = op.lint_report(rows, ANIMALS, ["file"])
+    report = op.lint_report(rows, CARRIERS, ["file"])
     counted = {(r["file"], f"{r['column_name']}:{r['rule_name']}"): r["failures"] for r in report.collect()}
     assert len(counted) == 3 * 7
     for (file, label), failures in counted.items():
         assert failures == sum(label in EXPECTED[i] for i, r in enumerate(ROWS) if r[0] == file)
     assert {r["file"]: r["rows"] for r in report.collect()} == {"a": 3, "b": 2, "c": 1}
-    plan = op.lint_report(rows, ANIMALS, ["file"])._jdf.queryExecution().executedPlan().toString()
+    plan = op.lint_report(rows, CARRIERS, ["file"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_count" in plan
 
 
 def test_report_over_the_whole_table(rows):
-    assert op.lint_report(rows, ANIMALS).where("rule_name = 'type'").agg(F.sum("failures")).first()[0] == 3
+    assert op.lint_report(rows, CARRIERS).where("rule_name = 'type'").agg(F.sum("failures")).first()[0] == 3
 
 
 def test_no_rules(rows):
-    free = Contract("t", (ColumnSpec("animal", "string"),))
+    free = Contract("t", (ColumnSpec("carrier", "string"),))
     assert op.lint_report(rows, free, ["file"]).count() == 0
     assert op.split_valid(rows, free)[1].count() == 0
 
 
 def test_file_verdicts(rows):
-    verdict = op.verdicts(rows, ANIMALS, ["file"])
+    verdict = op.verdicts(rows, CARRIERS, ["file"])
     assert values(verdict) == [("a", 3, 2, False), ("b", 2, 2, False), ("c", 1, 0, True)]
     good, bad = op.split_by_verdict(rows, verdict, ["file"])
     assert values(good, "n") == [(5,)] and values(bad, "n") == [(i,) for i in range(5)]
@@ -116,18 +116,18 @@ def test_required_tables():
 @pytest.mark.parametrize(
     "options, expected",
     [
-        (LintOptions(), {("missing", "animal"), ("extra", "ANIMAL"), ("extra", "x"), ("duplicate", "x")}),
+        (LintOptions(), {("missing", "carrier"), ("extra", "CARRIER"), ("extra", "x"), ("duplicate", "x")}),
         (LintOptions(headers_ignore_case=True), {("extra", "x"), ("duplicate", "x")}),
-        (LintOptions(allow_missing_cols=True), {("extra", "ANIMAL"), ("extra", "x"), ("duplicate", "x")}),
+        (LintOptions(allow_missing_cols=True), {("extra", "CARRIER"), ("extra", "x"), ("duplicate", "x")}),
         (LintOptions(expect_header=False), set()),
     ],
 )
 def test_check_columns(spark, options, expected):
     files = spark.createDataFrame(
-        [("f", ["my_int", "ANIMAL", "my_date", "my_email", "x", "x"]), ("g", ANIMALS.column_names)],
+        [("f", ["seats", "CARRIER", "opened", "owner", "x", "x"]), ("g", CARRIERS.column_names)],
         "file string, header array<string>",
     )
-    assert set(values(op.check_columns(files, ANIMALS, options))) == {("f", *e) for e in expected}
+    assert set(values(op.check_columns(files, CARRIERS, options))) == {("f", *e) for e in expected}
 
 
 def test_not_empty(rows):
@@ -192,11 +192,11 @@ def test_partitions_are_left_out_unless_asked(spark):
 
 @pytest.mark.parametrize("fmt", ["parquet", "json"])
 def test_conformance_of_written_files(spark, path, fmt):
-    rows = spark.createDataFrame([(0, "jump"), (1, "hop")], "my_int long, hobby string")
+    rows = spark.createDataFrame([(0, "jump"), (1, "hop")], "seats long, hobby string")
     rows.coalesce(1).write.format(fmt).save(f"{path}/a")
-    contract = Contract("table2", (ColumnSpec("my_int", "int64"), ColumnSpec("hobby", "string")))
+    contract = Contract("table2", (ColumnSpec("seats", "int64"), ColumnSpec("hobby", "string")))
     found = schema_inventory(spark, path, fmt)
-    assert values(found, "column", "type") == [("hobby", "string"), ("my_int", "int64")]
+    assert values(found, "column", "type") == [("hobby", "string"), ("seats", "int64")]
     assert op.conforms(found, contract).isEmpty()
-    wrong = contract.with_columns(ColumnSpec("my_int", "int32"), ColumnSpec("x", "bool"))
-    assert values(op.conforms(found, wrong), "path", "problem") == [("my_int", "type differs"), ("x", "missing")]
+    wrong = contract.with_columns(ColumnSpec("seats", "int32"), ColumnSpec("x", "bool"))
+    assert values(op.conforms(found, wrong), "path", "problem") == [("seats", "type differs"), ("x", "missing")]
