@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -27,7 +28,9 @@ def build_session(app: str = "stagewise", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in {**SESSION_DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
 
 
 _shipped: set[str] = set()
@@ -57,7 +60,8 @@ def workspace(spark: SparkSession) -> str:
     """
     app, shared = spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        # Executors of a local-cluster are processes of their own, as on any cluster.
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         if app not in _local_folders:
             _local_folders[app] = tempfile.mkdtemp(prefix="stagewise-")

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stagewise.contract import Contract, ContractError
 from stagewise.operators.quality import conforms
+from stagewise.session import settle
 from stagewise.sources.files import (
     adopt_files,
     delete_path,
@@ -21,7 +24,7 @@ from stagewise.sources.files import (
     replace_folders,
     set_mark,
 )
-from stagewise.sources.inventory import file_inventory, schema_inventory
+from stagewise.sources.inventory import file_inventory, file_system, path_below, schema_inventory
 
 # The kind of mark that a unit without rows gets.
 PROCESSED = "processed"
@@ -53,19 +56,21 @@ def write_partitioned(
     mode: str = "overwrite",
     gather: bool = True,
     max_records: int = 0,
+    fresh: bool = False,
 ) -> str:
     """Write a frame below a path, one folder per partition value; other partitions there are kept.
 
     ``gather`` brings the rows of a partition together first, so that a partition has few files instead of one per
     task. Adaptive execution splits a partition that is too large for one task, so a hot one is written by many.
-    Leave it off when each input split already holds one partition, as after a scan of partition folders.
+    Leave it off when each input split already holds one partition, as after a scan of partition folders. ``fresh``
+    says that nothing is at the path, so that the commit has no partitions to replace one by one.
     """
     if fmt not in WRITE_FORMATS:
         raise ContractError(f"cannot write '{fmt}' files")
     out = under_contract(df, contract)
     if gather and contract.partitions:
         out = out.hint("rebalance", *contract.partitions)
-    writer = out.write.format(fmt).mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = out.write.format(fmt).mode(mode).option("partitionOverwriteMode", "static" if fresh else "dynamic")
     if fmt == "parquet":
         writer = writer.option("compression", "snappy")
     else:
@@ -106,8 +111,9 @@ def publish(
     The frame's schema is compared first (``cast`` converts it instead), so most mistakes cost nothing. With a
     ``unit``, the landing partition, all that the target has of the written units is replaced, so running one again
     never leaves old rows; without it, each written combination of partition values is. Where renaming is a metadata
-    operation the staged folders are moved; elsewhere Spark writes them again in parallel. If anything fails, the
-    staging area is deleted and the target is as before.
+    operation the staged folders are moved, and if anything fails the target is as before. Elsewhere the staged files
+    are copied in parallel, as they are, and the files they replace go last, by a list made before: a failure in between
+    leaves old and new files, which the next run of the same units replaces. The staging area is deleted in any case.
 
     ``units`` are all values of ``unit`` that the frame stands for. Those it has no rows of are cleared in the target
     and marked there as processed, so that they are not chosen again.
@@ -119,7 +125,7 @@ def publish(
         check_frame(df, contract)
     staging = f"{path}_staging/{uuid.uuid4().hex[:12]}"
     try:
-        write_partitioned(df, staging, contract, gather=gather)
+        write_partitioned(df, staging, contract, gather=gather, fresh=True)
         check_files(spark, staging, contract)
         found = written_units(spark, staging, unit) if unit and units is not None else set()
         replace_partitions(spark, staging, path, contract, unit)
@@ -186,6 +192,10 @@ def replace_partitions(
 ) -> None:
     """Put staged partitions, or the whole of an unpartitioned table, in the place of the target's."""
     old = f"{staging}_old"
+    by_rename = renames_cheaply(spark, path)
+    if not by_rename:
+        copy_in_place(spark, staging, path, contract, unit)
+        return
     try:
         if not contract.partitions:
             parent, _, name = path.rpartition("/")
@@ -193,17 +203,12 @@ def replace_partitions(
             replace_folders(spark, f"{staging}_new", parent, [name], old)
             delete_path(spark, f"{staging}_new")
             return
-        by_rename = renames_cheaply(spark, path)
-        if by_rename and contract.partitions[0] == unit:
+        if contract.partitions[0] == unit:
             replace_folders(spark, staging, path, partition_folders(spark, staging, unit), old)
             return
         written = leaf_folders(spark, staging)
         stale = stale_leaves(spark, written, path, unit) if unit else []
-        if by_rename:
-            replace_folders(spark, staging, path, [r["leaf"] for r in written.collect()], old)
-        else:
-            staged = spark.read.schema(contract.without(contract.null_typed()).struct()).parquet(staging)
-            write_partitioned(staged, path, contract, gather=False)
+        replace_folders(spark, staging, path, [r["leaf"] for r in written.collect()], old)
         for leaf in stale:
             delete_path(spark, f"{path}/{leaf}")
     finally:
@@ -211,13 +216,53 @@ def replace_partitions(
         delete_path(spark, f"{staging}_new")
 
 
+def copy_in_place(spark: SparkSession, staging: str, path: str, contract: Contract, unit: str | None) -> None:
+    """Copy staged files below the target, then delete what they replace. Written files have names of their own."""
+    old = None
+    if path_exists(spark, path):
+        there = file_inventory(spark, path).select("path")
+        if contract.partitions:
+            key = rf"(?:^|/)({re.escape(unit)}=[^/]*)" if unit else "^(.*)$"
+            part = F.regexp_extract("leaf", key, 1).alias("part")
+            written = leaf_folders(spark, staging).select(part).distinct()
+            there = there.withColumn("leaf", _leaf(path)).select("path", part).join(written, "part", "left_semi")
+        old = settle(there.select("path"), "replaced")
+    relay_files(file_inventory(spark, staging).select("path"), staging, path)
+    if old is not None:
+        relay_files(old, path, None)
+
+
+def relay_files(files: DataFrame, root: str, target: str | None) -> int:
+    """Copy files to the same places below another folder, or delete them if there is none, in parallel."""
+
+    def relay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file in batch["path"]:
+                system, source = file_system(file)
+                if target is None:
+                    if system.get_file_info(source).type != fs.FileType.NotFound:  # a repeated task finds it gone
+                        system.delete_file(source)
+                    continue
+                to = file_system(f"{target}/{path_below(file, root)}")[1]
+                system.create_dir(to.rsplit("/", 1)[0], recursive=True)
+                system.copy_file(source, to)
+            yield batch
+
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(tasks).mapInPandas(relay, "path string").count()
+
+
+def _leaf(path: str) -> Column:
+    """The innermost partition folder of a file below a path, relative to it."""
+    root = path.rstrip("/").rsplit("/", 1)[1]
+    return F.regexp_extract("path", rf"/{re.escape(root)}/([^/=]+=.*)/[^/]+$", 1)
+
+
 def leaf_folders(spark: SparkSession, path: str) -> DataFrame:
     """The distinct innermost partition folders below a path that hold files, relative to it."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], "leaf string")
-    root = path.rstrip("/").rsplit("/", 1)[1]
-    inside = F.regexp_extract("path", rf"/{re.escape(root)}/([^/=]+=.*)/[^/]+$", 1)
-    return file_inventory(spark, path).select(inside.alias("leaf")).distinct()
+    return file_inventory(spark, path).select(_leaf(path).alias("leaf")).distinct()
 
 
 def stale_leaves(spark: SparkSession, written: DataFrame, path: str, unit: str) -> list[str]:
