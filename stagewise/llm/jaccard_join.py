@@ -14,9 +14,8 @@ From the index to components, without all pairs of a group:
 2. Each signature's classes are paired with one of them, the pivot: the class with most shared signatures. Pairs are
    verified exactly, by intersecting the sets.
 3. Components of the links so far. Where a pivot has classes of several components, two of them that link either are so
-   near to the pivot that this alone makes them link, or share a shingle in which they differ from the pivot. So they
-   are grouped again by these few shingles, and the groups get pivots of their own, as in step 2. After ``LEVELS``
-   rounds the pairs of what little is left are verified one by one.
+   near to the pivot that this alone makes them link, or share one of a few rare shingles: of those in which they differ
+   from the pivot, or, far from it, of their own. Pairs of different components that share one are verified as well.
 
 So components are those of all links. Shingles are known by 64-bit hashes, a set by two sums of hashes.
 
@@ -59,8 +58,8 @@ SHINGLE = 3
 # Bands grow by this factor; sets of fewer than FIRST_BAND shingles link only if they are equal.
 BAND_GROWTH = 1.5
 FIRST_BAND = 9
-# Rounds of pivots before pairs are compared one by one.
-LEVELS = 3
+# Members of a star are far from its pivot beyond this Jaccard distance; linked sets are at most STEP apart.
+FAR, STEP = 0.25, 0.1 + 1e-9
 # What a candidate pair costs, in index rows.
 PAIR_COST = 50.0
 
@@ -331,26 +330,17 @@ def _class_links(chunks: Chunks, members: DataFrame) -> DataFrame:
     )
     groups = _stars(keyed, ["key"])
     sets = _candidate_sets(chunks, members, groups)
-    links = None
-    for level in range(LEVELS):
-        pairs = groups.where(F.col("node") != F.col("pivot")).select("pivot", "node").distinct()
-        compared = settle(_compared(pairs, sets), "compared-pivots")
-        found = compared.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        links = found if links is None else links.unionAll(found)
-        roots = settle(connected_components(links), "roots")
-        torn = _torn_stars(compared, roots)
-        links = links.unionAll(_certain_links(torn))
-        rows = _difference_groups(torn, sets)
-        if rows.isEmpty():
-            return links
-        if level + 1 < LEVELS:
-            groups = _stars(rows, ["key", "token"])
-    # What is still apart after all levels is compared pair by pair.
-    right = rows.select("key", "token", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "root")])
+    pairs = groups.where(F.col("node") != F.col("pivot")).select("pivot", "node").distinct()
+    compared = settle(_compared(pairs, sets), "compared-pivots")
+    links = compared.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    torn = _torn_stars(compared, settle(connected_components(links), "roots"))
+    rows = _prefix_groups(torn, sets)
+    right = rows.select("kind", "key", "token", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "root")])
     apart = (F.col("node") < F.col("r_node")) & (F.col("root") != F.col("r_root"))
-    rest = rows.join(right, ["key", "token"]).where(apart & _sizes_allow(F.col("n"), F.col("r_n")))
+    rest = rows.join(right, ["kind", "key", "token"]).where(apart & _sizes_allow(F.col("n"), F.col("r_n")))
     pairs = rest.select(F.col("node").alias("pivot"), F.col("r_node").alias("node")).distinct()
-    return links.unionAll(_compared(pairs, sets).where("linked").select("pivot", "node"))
+    more = _compared(pairs, sets).where("linked").select("pivot", "node")
+    return links.unionAll(_certain_links(torn)).unionAll(more)
 
 
 def _stars(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -383,7 +373,12 @@ def _torn_stars(compared: DataFrame, roots: DataFrame) -> DataFrame:
     rows = placed.join(torn.where("torn = 1").select("pivot"), "pivot")
     return settle(
         rows.select(
-            "pivot", "node", "x", F.col("y").alias("n"), "root", (F.col("x") + F.col("y") - 2 * F.col("common")).alias("apart")
+            "pivot",
+            "node",
+            F.col("y").alias("n"),
+            "root",
+            (F.col("x") + F.col("y") - 2 * F.col("common")).alias("apart"),
+            (1 - F.col("common") / (F.col("x") + F.col("y") - F.col("common"))).alias("distance"),
         ),
         "torn-stars",
     )
@@ -403,29 +398,57 @@ def _certain_links(torn: DataFrame) -> DataFrame:
     return rows.join(least, "pivot").where(sure).select(F.col("least.node").alias("a"), F.col("node").alias("b"))
 
 
-def _difference_groups(torn: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members of torn stars by the shingles in which they differ from their pivot.
+def _prefix_groups(torn: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of torn stars by the few shingles of which two that link must share one.
 
-    Two members differ in what just one of them differs from the pivot in. If they link and their distances do not say
-    so, they share such a shingle; more, they share one of the first H + 1 in any fixed order, where H is what they may
-    differ in. Groups with a single component are left out.
+    Jaccard distance is a metric and links are at most 0.1 long, so two members that link are both near their pivot or
+    both far from it; the two ranges overlap by that much.
+
+    Near: two sets differ in what just one of them differs from the pivot in. If they link and their distances do not
+    say so already, they share a shingle in which they differ from the pivot, and even one of the first H + 1 of these
+    in any order that both go by, where H is what a set and a partner may differ in. Far: two sets that link share nine
+    tenths of either, so one of the first ``n - ceil(0.9 n) + 1`` in any order. The order is by rarity: what is common
+    to a family of copies, or a passage that many documents quote, comes last and groups nobody.
     """
     mine, other = F.col("node_set"), F.col("pivot_set")
-    most = F.floor((F.col("n") + F.floor(F.col("n") * 10 / 9)) / 19).cast("int")
-    differing = F.array_sort(F.concat(F.array_except(mine, other), F.array_except(other, mine)))
-    rows = _with_sets(torn, sets).select(
-        F.col("pivot").alias("key"), "node", "n", "root", F.explode(F.slice(differing, F.lit(1), most + 1)).alias("token")
+    most = F.floor((F.col("n") + F.floor(F.col("n") * 10 / 9)) / 19) + 1
+    near = _with_sets(torn.where(F.col("distance") <= FAR + STEP), sets).where(F.size(mine) == F.col("n")).select(
+        F.lit("near").alias("kind"),
+        F.col("pivot").alias("key"),
+        F.xxhash64("node_set", "pivot_set").alias("mark"),
+        "node",
+        "n",
+        "root",
+        most.cast("int").alias("take"),
+        F.explode(F.concat(F.array_except(mine, other), F.array_except(other, mine))).alias("token"),
+    )
+    alone = torn.where(F.col("distance") > FAR).select("node", "n", "root").distinct()
+    far = alone.join(sets, "node").where(F.size("shingles") == F.col("n")).select(
+        F.lit("far").alias("kind"),
+        F.lit(0).cast("long").alias("key"),
+        F.xxhash64("shingles").alias("mark"),
+        "node",
+        "n",
+        "root",
+        (F.col("n") - F.ceil(F.col("n") * 9 / 10) + 1).cast("int").alias("take"),
+        F.explode("shingles").alias("token"),
+    )
+    rows = settle(near.unionAll(far), "tokens-apart")
+    group = ["kind", "key", "token"]
+    counts = rows.groupBy(*group).agg(F.count("*").alias("count"))
+    ordered = F.sort_array(F.collect_list(F.struct("count", "token")))
+    member = ["kind", "key", "mark", "node", "n", "root", "take"]
+    first = rows.join(counts, group).groupBy(*member).agg(ordered.alias("tokens")).select(
+        *member[:-1], F.explode(F.slice("tokens", F.lit(1), F.col("take"))).alias("entry")
+    )
+    # What only one member has groups nobody.
+    chosen = settle(
+        first.where(F.col("entry.count") > 1).select(*member[:-1], F.col("entry.token").alias("token")), "prefixes"
     )
-    rows = settle(rows, "differences")
     shared = (
-        rows.groupBy("key", "token")
-        .agg(F.min("root").alias("x"), F.max("root").alias("y"))
-        .where(F.col("x") != F.col("y"))
-        .select("key", "token")
+        chosen.groupBy(*group).agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
     )
-    kept = settle(rows.join(shared, ["key", "token"]), "shared-differences")
-    weights = kept.groupBy("node").agg(F.count("*").alias("weight"))
-    return kept.join(weights, "node")
+    return settle(chosen.join(shared.select(*group), group), "shared-tokens")
 
 
 def _sizes_allow(a: Column, b: Column) -> Column:
