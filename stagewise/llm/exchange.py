@@ -35,7 +35,7 @@ CHUNK_BYTES = 3_000_000
 BUCKET_BYTES = 24_000_000
 
 _CHUNKS = "slot int, chunk string, size bigint, ids binary, text binary, bounds binary"
-_MESSAGES = "bucket int, slot int, chunk string, message binary"
+_MESSAGES = "bucket int, home int, slot int, chunk string, message binary"
 _ANSWERS = "bucket int, slot int, chunk string, answer binary, note binary"
 
 
@@ -61,7 +61,11 @@ class Chunk:
 class Chunks:
     table: DataFrame
     slots: int
-    buckets: int
+    homes: list[int]  # by bucket: a number that Spark's hash puts into a partition of its own
+
+    @property
+    def buckets(self) -> int:
+        return len(self.homes)
 
     @property
     def spark(self) -> SparkSession:
@@ -126,7 +130,7 @@ def stage_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     )
     written = spark.table(label)
     size = written.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    return Chunks(written, slots, max(4, -(-size // BUCKET_BYTES)))
+    return Chunks(written, slots, _slot_names(spark, max(4, -(-size // BUCKET_BYTES))))
 
 
 def _slot_names(spark: SparkSession, slots: int) -> list[int]:
@@ -180,9 +184,13 @@ def _each_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Chunk, dict
 Answering = Callable[[list[bytes]], tuple[list[bytes], bytes]]
 
 
-def messages(chunks: Chunks | DataFrame, send: Callable[..., Iterable[tuple[int, bytes]]]) -> DataFrame:
-    """What every chunk sends: a message to each of some buckets. Chunks that were told get their answers as well."""
-    source = chunks.table if isinstance(chunks, Chunks) else chunks
+def messages(
+    chunks: Chunks, send: Callable[..., Iterable[tuple[int, bytes]]], rows: DataFrame | None = None
+) -> DataFrame:
+    """What every chunk sends: a message to each of some buckets. ``rows`` are chunks that were told: ``send`` gets their
+    answers as well.
+    """
+    source, homes = chunks.table if rows is None else rows, chunks.homes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, row in _each_chunk(batches):
@@ -190,6 +198,7 @@ def messages(chunks: Chunks | DataFrame, send: Callable[..., Iterable[tuple[int,
             yield pa.RecordBatch.from_pydict(
                 {
                     "bucket": pa.array([b for b, _ in sent], pa.int32()),
+                    "home": pa.array([homes[b % len(homes)] for b, _ in sent], pa.int32()),
                     "slot": pa.array([chunk.slot] * len(sent), pa.int32()),
                     "chunk": pa.array([chunk.name] * len(sent), pa.string()),
                     "message": pa.array([m for _, m in sent], pa.binary()),
@@ -199,8 +208,11 @@ def messages(chunks: Chunks | DataFrame, send: Callable[..., Iterable[tuple[int,
     return source.mapInArrow(run, _MESSAGES)
 
 
-def answered(sent: DataFrame, answer: Answering) -> DataFrame:
-    """An answer for each message, worked out from all messages of its bucket; one of them carries the bucket's note."""
+def answered(chunks: Chunks, sent: DataFrame, answer: Answering) -> DataFrame:
+    """An answer for each message, worked out from all messages of its bucket; one of them carries the bucket's note.
+
+    Every bucket is a partition of its own: messages are packed, so their bytes say little about the work in them.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         replies, note = answer([m.as_py() for m in table.column("message")])
@@ -210,7 +222,7 @@ def answered(sent: DataFrame, answer: Answering) -> DataFrame:
             names=["bucket", "slot", "chunk", "answer", "note"],
         )
 
-    return sent.groupBy("bucket").applyInArrow(run, _ANSWERS)
+    return sent.repartition(chunks.buckets, "home").groupBy("home", "bucket").applyInArrow(run, _ANSWERS)
 
 
 def notes(answers: DataFrame) -> list[bytes]:

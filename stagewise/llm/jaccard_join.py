@@ -188,7 +188,7 @@ def link_documents(documents: DataFrame, double_all: bool = False) -> DataFrame:
     chunks = stage_chunks(documents)
     bands = plan_bands(_size_counts(documents), double_all)
     buckets = chunks.buckets
-    answers = settle(answered(messages(chunks, lambda c: _asked(c, bands, buckets)), _told_apart), "signature-counts")
+    answers = settle(answered(chunks, messages(chunks, lambda c: _asked(c, bands, buckets)), _told_apart), "signature-counts")
     members = settle(
         each_told(
             told(chunks, answers),

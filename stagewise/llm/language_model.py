@@ -86,7 +86,7 @@ def score_texts(documents: DataFrame) -> DataFrame:
     """A row for each document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score."""
     chunks = stage_chunks(documents)
     buckets = chunks.buckets
-    answers = settle(answered(messages(chunks, lambda c: _counts_by_bucket(c, buckets)), _sums), "counts")
+    answers = settle(answered(chunks, messages(chunks, lambda c: _counts_by_bucket(c, buckets)), _sums), "counts")
     tokens, types = map(int, sum((np.frombuffer(n, np.int64) for n in notes(answers)), np.zeros(2, np.int64)))
     rows = told(chunks, answers)
     cells = each_told(

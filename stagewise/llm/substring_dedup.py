@@ -105,11 +105,10 @@ def dedup_substrings(documents: DataFrame, width: int = WIDTH, hot_runs: int = H
     """A row for each document: doc_id, n_words, n_removed and kept (the words that stay, joined by a space)."""
     chunks = stage_chunks(documents)
     buckets = chunks.buckets
-    flags = settle(
-        answered(messages(chunks, lambda c: _minimisers(c, buckets, width)), lambda sent: _flags(sent, hot_runs)), "flags"
-    )
-    sent = messages(told(chunks, flags), lambda c, got: _packed_runs(c, answers_of(got), buckets, width))
-    lowest = settle(answered(sent, lambda messages_: _first_documents(messages_, width)), "first-documents")
+    asked = messages(chunks, lambda c: _minimisers(c, buckets, width))
+    flags = settle(answered(chunks, asked, lambda sent: _flags(sent, hot_runs)), "flags")
+    sent = messages(chunks, lambda c, got: _packed_runs(c, answers_of(got), buckets, width), told(chunks, flags))
+    lowest = settle(answered(chunks, sent, lambda found: _first_documents(found, width)), "first-documents")
     # The second round's buckets are numbered behind the first's.
     rows = told(chunks, flags.unionByName(lowest))
     return each_told(
