@@ -16,7 +16,7 @@ from stagewise.contract import ContractError
 from stagewise.functions.tokens import epoch_day, file_name_timestamp
 from stagewise.session import settle
 from stagewise.sources.files import delete_path, marks, merge_folder, partition_folders, path_exists, rename_path
-from stagewise.sources.inventory import file_inventory
+from stagewise.sources.inventory import Window, file_inventory, window_options
 from stagewise.spec import Pipeline
 
 
@@ -30,14 +30,14 @@ def list_partitions(df: DataFrame, partition: str, tokens: bool = False) -> Data
     return found.select(F.concat(F.lit(f"{partition}="), partition).alias(partition)) if tokens else found
 
 
-def stage_partitions(spark: SparkSession, path: str, partition: str) -> DataFrame:
+def stage_partitions(spark: SparkSession, path: str, partition: str, **options: str) -> DataFrame:
     """Distinct landing partitions with at least one non-empty file below a path, or marked as processed without rows.
 
-    No data is read.
+    No data is read. Reader options, such as ``window_options``, narrow the listing.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], f"{partition} long")
-    found = list_partitions(file_inventory(spark, path, partition), partition)
+    found = list_partitions(file_inventory(spark, path, partition, **options), partition)
     values = [(int(m.partition("=")[2]),) for m in marks(spark, path, "processed") if m.startswith(f"{partition}=")]
     return found.union(spark.createDataFrame(values, f"{partition} long")).distinct() if values else found
 
@@ -78,10 +78,12 @@ def unprocessed_many(given: DataFrame, done: DataFrame, partition: str, table: s
     ).select(table, partition)
 
 
-def table_partitions(spark: SparkSession, pipeline: Pipeline, names: Sequence[str], stage: str) -> DataFrame:
+def table_partitions(
+    spark: SparkSession, pipeline: Pipeline, names: Sequence[str], stage: str, **options: str
+) -> DataFrame:
     """(table, partition) rows of several tables at one stage."""
     frames = [
-        stage_partitions(spark, pipeline.path(n, stage), pipeline.partition).select(
+        stage_partitions(spark, pipeline.path(n, stage), pipeline.partition, **options).select(
             F.lit(n).alias("table_name"), pipeline.partition
         )
         for n in names
@@ -98,14 +100,17 @@ def unprocessed_all(
     given: str = "raw_hist",
     done: str = "curated",
     kinds: Sequence[str] = ("default", "custom"),
+    window: Window = (None, None),
 ) -> dict[str, list[int]]:
     """Partitions to process for every matching table, newest first.
 
+    Only input files that were modified inside the run's ``window`` (``day_window``) count; the output counts as a whole.
+
     The values are the run's work list; like Spark's own file index, it is bounded by the number of folders.
     """
     names = [s.name for s in pipeline.select(tables, [given, done], list(kinds))]
     todo = unprocessed_many(
-        table_partitions(spark, pipeline, names, given),
+        table_partitions(spark, pipeline, names, given, **window_options(*window)),
         table_partitions(spark, pipeline, names, done),
         pipeline.partition,
     )

@@ -24,6 +24,7 @@ from stagewise.session import workspace
 from stagewise.sinks.catalog import register
 from stagewise.sinks.write import publish
 from stagewise.sources.files import path_exists, set_mark
+from stagewise.sources.inventory import Window, window_options
 from stagewise.sources.scans import input_scans
 from stagewise.spec import Pipeline, TableSpec
 
@@ -43,6 +44,7 @@ class DerivedOptions:
     tag: str = ""
     params: Mapping[str, Any] = field(default_factory=dict)
     shared_path: str | None = None
+    window: Window = (None, None)
 
 
 def new_partitions(
@@ -51,7 +53,7 @@ def new_partitions(
     """The work list of a derived table, newest first, from file listings alone."""
     part = pipeline.partition
     given = [
-        stage_partitions(spark, pipelines[owner].path(name, stage), part)
+        stage_partitions(spark, pipelines[owner].path(name, stage), part, **window_options(*options.window))
         for (owner, name), stage in spec.inputs.items()
     ]
     done = stage_partitions(spark, pipeline.path(spec.name, "derived"), part)

@@ -14,6 +14,7 @@ from stagewise.operators.shaping import common_columns
 from stagewise.plans.hooks import Hooks, SqlContext, apply_sql
 from stagewise.plans.templates import run_template, template_values
 from stagewise.sinks.write import publish
+from stagewise.sources.inventory import Window
 from stagewise.sources.scans import scan_partitions
 from stagewise.spec import CHECKED_STAGES, Pipeline, TableSpec
 
@@ -26,6 +27,7 @@ class LoadOptions:
     consume: bool = False
     tag: str = ""
     params: Mapping[str, Any] = field(default_factory=dict)
+    window: Window = (None, None)
 
 
 def load_contract(spec: TableSpec, stage: str, partition: str) -> Contract:
@@ -67,7 +69,7 @@ def sql_load(
     spec, part = pipeline.table(table), pipeline.partition
     given, done = options.input_stage, options.output_stage
     if partitions is None:
-        partitions = unprocessed_all(spark, pipeline, [table], given, done).get(table, [])
+        partitions = unprocessed_all(spark, pipeline, [table], given, done, window=options.window).get(table, [])
     if not partitions:
         return []
     stored, wanted = load_contract(spec, given, part), spec.contract(done)

@@ -10,6 +10,7 @@ from stagewise.operators.partitions import unprocessed_all
 from stagewise.operators.shaping import ShapeOptions
 from stagewise.plans.hooks import Hooks, ShapeContext, apply_shape
 from stagewise.sinks.write import publish, write_partitioned
+from stagewise.sources.inventory import Window
 from stagewise.sources.scans import landed, scan_partitions
 from stagewise.spec import TABLE_KINDS, Pipeline
 
@@ -24,15 +25,18 @@ def run_shape(
     options: ShapeOptions = ShapeOptions(),
     hooks: Hooks | None = None,
     null_bad_cells: bool = False,
+    window: Window = (None, None),
 ) -> list[int]:
     """Shape every partition that the final stage lacks and write it at ``stage``; gives those partitions.
 
+    With a ``window``, only those with input files that were modified inside it.
+
     All of them are read as one frame, whose rows know their partition from their folder. The shaping is a
     projection, so each input split goes to its output file without a shuffle. A CSV cell that is not of its column's
     type fails the job before anything is published, unless ``null_bad_cells``.
     """
     spec, part = pipeline.table(table), pipeline.partition
-    todo = unprocessed_all(spark, pipeline, [table], raw_stage, final_stage, TABLE_KINDS).get(table, [])
+    todo = unprocessed_all(spark, pipeline, [table], raw_stage, final_stage, TABLE_KINDS, window).get(table, [])
     if not todo:
         return []
     given, wanted = landed(spec.contract(raw_stage), part), landed(spec.contract(stage), part)

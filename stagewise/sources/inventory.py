@@ -26,6 +26,10 @@ FILE_SCHEMA = f"file string, position int, column string, type string, leaves {L
 LISTING_TASKS_PER_CORE = 4
 
 
+# A run's modification window: strictly after the first moment and before the second, each if given.
+Window = tuple[datetime | None, datetime | None]
+
+
 def window_options(after: datetime | None, before: datetime | None) -> dict[str, str]:
     """Reader options for files modified strictly after / before a moment (UTC)."""
     options = {"timeZone": "UTC"}

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewise.contract import ColumnSpec, Contract
+from stagewise.operators.partitions import unprocessed_all
 from stagewise.operators.shaping import ShapeOptions
 from stagewise.plans.lint import run_lint
 from stagewise.plans.load import LoadOptions, sql_load
 from stagewise.plans.shape import run_shape
 from stagewise.session import scratch_path
 from stagewise.sources.files import rename_path
-from stagewise.sources.inventory import file_inventory, path_below
+from stagewise.sources.inventory import day_window, file_inventory, path_below
 from stagewise.sources.scans import read_csv, scan_stage
 from stagewise.spec import TableSpec
 from stagewise.streaming.ingest import ingest_now
@@ -169,3 +172,21 @@ def q_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         refused = "is no float64" in str(error)
     run_shape(spark, shop, "events", null_bad_cells=True)
     return spark.read.schema(curated.struct()).parquet(f"{base}/curated/events").withColumn("refused", F.lit(refused))
+
+
+@query(
+    "unprocessed_window",
+    f"SELECT 'inside' AS run, {EVENT_DAY} AS land_ts FROM events GROUP BY 2",
+)
+def q_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose files were modified inside a run's window are chosen, and none in a window that is past."""
+    base = scratch_path(spark, "window")
+    land_events(spark, sf_dir, base)
+    shop = pipeline(base, event_table())
+    rows = []
+    for run, window in (
+        ("inside", day_window(date(2020, 1, 1))),
+        ("past", day_window(date(2020, 1, 1), date(2020, 1, 2))),
+    ):
+        rows += [(run, day) for day in unprocessed_all(spark, shop, window=window)["events"]]
+    return spark.createDataFrame(rows, f"run string, {PART} long")
