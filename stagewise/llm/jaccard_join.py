@@ -420,7 +420,7 @@ def _prefix_groups(torn: DataFrame, sets: DataFrame) -> DataFrame:
         "n",
         "root",
         most.cast("int").alias("take"),
-        F.explode(F.concat(F.array_except(mine, other), F.array_except(other, mine))).alias("token"),
+        F.concat(F.array_except(mine, other), F.array_except(other, mine)).alias("tokens"),
     )
     alone = torn.where(F.col("distance") > FAR).select("node", "n", "root").distinct()
     far = alone.join(sets, "node").where(F.size("shingles") == F.col("n")).select(
@@ -431,13 +431,14 @@ def _prefix_groups(torn: DataFrame, sets: DataFrame) -> DataFrame:
         "n",
         "root",
         (F.col("n") - F.ceil(F.col("n") * 9 / 10) + 1).cast("int").alias("take"),
-        F.explode("shingles").alias("token"),
+        F.col("shingles").alias("tokens"),
     )
-    rows = settle(near.unionAll(far), "tokens-apart")
     group = ["kind", "key", "token"]
+    member = ["kind", "key", "mark", "node", "n", "root", "take"]
+    # What is worked out of whole sets is ready before they are exploded.
+    rows = settle(near.unionAll(far).select(*member, F.explode("tokens").alias("token")), "tokens-apart")
     counts = rows.groupBy(*group).agg(F.count("*").alias("count"))
     ordered = F.sort_array(F.collect_list(F.struct("count", "token")))
-    member = ["kind", "key", "mark", "node", "n", "root", "take"]
     first = rows.join(counts, group).groupBy(*member).agg(ordered.alias("tokens")).select(
         *member[:-1], F.explode(F.slice("tokens", F.lit(1), F.col("take"))).alias("entry")
     )
