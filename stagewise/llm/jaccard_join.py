@@ -326,39 +326,39 @@ def _members(chunk: Chunk, got: dict[int, bytes], bands: list[Band]) -> pa.Recor
 def _class_links(chunks: Chunks, members: DataFrame) -> DataFrame:
     """Links between classes that connect all that are linked: a and b."""
     keyed = members.where(F.size("keys") > 0).select(
-        "node", F.size("keys").alias("weight"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")
+        "node", F.size("keys").alias("weight"), F.explode("keys").alias("key")
     )
-    groups = _stars(keyed, ["key"])
+    groups = _stars(keyed)
     sets = _candidate_sets(chunks, members, groups)
     pairs = groups.where(F.col("node") != F.col("pivot")).select("pivot", "node").distinct()
     compared = settle(_compared(pairs, sets), "compared-pivots")
     links = compared.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     torn = _torn_stars(compared, settle(connected_components(links), "roots"))
-    rows = _prefix_groups(torn, sets)
-    right = rows.select("kind", "key", "token", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "root")])
+    rows = _prefix_groups(groups, torn, sets)
+    right = rows.select("token", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "root")])
     apart = (F.col("node") < F.col("r_node")) & (F.col("root") != F.col("r_root"))
-    rest = rows.join(right, ["kind", "key", "token"]).where(apart & _sizes_allow(F.col("n"), F.col("r_n")))
+    rest = rows.join(right, "token").where(apart & _sizes_allow(F.col("n"), F.col("r_n")))
     pairs = rest.select(F.col("node").alias("pivot"), F.col("r_node").alias("node")).distinct()
     more = _compared(pairs, sets).where("linked").select("pivot", "node")
     return links.unionAll(_certain_links(torn)).unionAll(more)
 
 
-def _stars(rows: DataFrame, key: list[str]) -> DataFrame:
-    """Members of groups of several classes, each with its group's pivot.
+def _stars(keyed: DataFrame) -> DataFrame:
+    """Members of groups of several classes (key and node), each with its group's pivot.
 
-    The pivot has most weight, that is most groups; of those with as much, it is the smallest.
+    The pivot has most weight, that is most keys; of those with as many, it is the smallest.
     """
     tops = (
-        rows.groupBy(*key)
+        keyed.groupBy("key")
         .agg(
             F.max(F.struct("weight", (-F.col("node")).alias("low"))).alias("top"),
             F.min("node").alias("least"),
             F.max("node").alias("most"),
         )
         .where(F.col("least") != F.col("most"))
-        .select(*key, (-F.col("top.low")).alias("pivot"))
+        .select("key", (-F.col("top.low")).alias("pivot"))
     )
-    return settle(rows.join(tops, key).select("pivot", "node").distinct(), "stars")
+    return settle(keyed.join(tops, "key").select("key", "pivot", "node"), "stars")
 
 
 def _torn_stars(compared: DataFrame, roots: DataFrame) -> DataFrame:
@@ -398,7 +398,7 @@ def _certain_links(torn: DataFrame) -> DataFrame:
     return rows.join(least, "pivot").where(sure).select(F.col("least.node").alias("a"), F.col("node").alias("b"))
 
 
-def _prefix_groups(torn: DataFrame, sets: DataFrame) -> DataFrame:
+def _prefix_groups(groups: DataFrame, torn: DataFrame, sets: DataFrame) -> DataFrame:
     """Members of torn stars by the few shingles of which two that link must share one.
 
     Jaccard distance is a metric and links are at most 0.1 long, so two members that link are both near their pivot or
@@ -408,48 +408,59 @@ def _prefix_groups(torn: DataFrame, sets: DataFrame) -> DataFrame:
     say so already, they share a shingle in which they differ from the pivot, and even one of the first H + 1 of these
     in any order that both go by, where H is what a set and a partner may differ in. Far: two sets that link share nine
     tenths of either, so one of the first ``n - ceil(0.9 n) + 1`` in any order. The order is by rarity: what is common
-    to a family of copies, or a passage that many documents quote, comes last and groups nobody.
+    to a family of copies, or a passage that many documents quote, comes last and groups nobody. Only members of a group
+    that has others of another component in the same range take part.
     """
+    placed = groups.join(torn, ["pivot", "node"])
+
+    def several(within: Column) -> DataFrame:
+        inside = placed.where(within)
+        roots = inside.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+        return inside.join(roots.where(F.col("x") != F.col("y")).select("key"), "key")
+
     mine, other = F.col("node_set"), F.col("pivot_set")
+    close = several(F.col("distance") <= FAR + STEP).select("pivot", "node", "n", "root").distinct()
     most = F.floor((F.col("n") + F.floor(F.col("n") * 10 / 9)) / 19) + 1
-    near = _with_sets(torn.where(F.col("distance") <= FAR + STEP), sets).where(F.size(mine) == F.col("n")).select(
-        F.lit("near").alias("kind"),
+    near = _with_sets(close, sets).where(F.size(mine) == F.col("n")).select(
+        F.xxhash64("node_set", "pivot_set", "node", "pivot").alias("member"),
         F.col("pivot").alias("key"),
-        F.xxhash64("node_set", "pivot_set").alias("mark"),
         "node",
         "n",
         "root",
         most.cast("int").alias("take"),
         F.concat(F.array_except(mine, other), F.array_except(other, mine)).alias("tokens"),
     )
-    alone = torn.where(F.col("distance") > FAR).select("node", "n", "root").distinct()
+    alone = several(F.col("distance") > FAR).select("node", "n", "root").distinct()
     far = alone.join(sets, "node").where(F.size("shingles") == F.col("n")).select(
-        F.lit("far").alias("kind"),
-        F.lit(0).cast("long").alias("key"),
-        F.xxhash64("shingles").alias("mark"),
+        F.xxhash64("shingles", "node").alias("member"),
+        F.lit(None).cast("long").alias("key"),
         "node",
         "n",
         "root",
         (F.col("n") - F.ceil(F.col("n") * 9 / 10) + 1).cast("int").alias("take"),
         F.col("shingles").alias("tokens"),
     )
-    group = ["kind", "key", "token"]
-    member = ["kind", "key", "mark", "node", "n", "root", "take"]
-    # What is worked out of whole sets is ready before they are exploded.
-    rows = settle(near.unionAll(far).select(*member, F.explode("tokens").alias("token")), "tokens-apart")
-    counts = rows.groupBy(*group).agg(F.count("*").alias("count"))
-    ordered = F.sort_array(F.collect_list(F.struct("count", "token")))
-    first = rows.join(counts, group).groupBy(*member).agg(ordered.alias("tokens")).select(
-        *member[:-1], F.explode(F.slice("tokens", F.lit(1), F.col("take"))).alias("entry")
+    rows = settle(near.unionAll(far).withColumn("all", F.size("tokens")), "tokens-apart")
+    # A shingle of a range is two numbers wide, as there are very many: the pivot is hashed into it.
+    each = rows.select("member", "key", F.explode("tokens").alias("token"))
+    each = each.select("member", F.xxhash64("key", "token").alias("token"))
+    counts = each.groupBy("token").agg(F.count("*").alias("count")).where(F.col("count") > 1)
+    # In the order, what only one member has comes before these, and groups nobody.
+    common = each.join(counts, "token").groupBy("member").agg(
+        F.sort_array(F.collect_list(F.struct("count", "token"))).alias("common")
     )
-    # What only one member has groups nobody.
-    chosen = settle(
-        first.where(F.col("entry.count") > 1).select(*member[:-1], F.col("entry.token").alias("token")), "prefixes"
+    room = F.col("take") - F.col("all") + F.size("common")
+    chosen = (
+        common.join(rows.drop("tokens"), "member")
+        .where(room > 0)
+        .select("node", "n", "root", F.explode(F.slice("common", F.lit(1), room)).alias("entry"))
+        .select("node", "n", "root", F.col("entry.token").alias("token"))
     )
+    chosen = settle(chosen, "prefixes")
     shared = (
-        chosen.groupBy(*group).agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
+        chosen.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
     )
-    return settle(chosen.join(shared.select(*group), group), "shared-tokens")
+    return settle(chosen.join(shared.select("token"), "token"), "shared-tokens")
 
 
 def _sizes_allow(a: Column, b: Column) -> Column:

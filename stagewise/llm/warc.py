@@ -49,7 +49,12 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # --- writing ---------------------------------------------------------------------------------------------------------
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+def write_archives(
+    pages: DataFrame,
+    folder: str | None = None,
+    date: str = "2024-01-01T00:00:00Z",
+    archive_bytes: int = ARCHIVE_BYTES,
+) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as archives. Returns the manifest: path, records and bytes of each."""
     spark = pages.sparkSession
     ship_package(spark)
@@ -69,17 +74,19 @@ def write_archives(pages: DataFrame, folder: str | None = None, date: str = "202
     rows = whole.withColumn("digest", digest).join(originals, "digest", "left").select(
         "page_id", "url", "html", F.when(~F.col("original").eqNullSafe(F.col("page_id")), F.col("original")).alias("of")
     )
-    written = rows.mapInArrow(lambda batches: _write(batches, folder, date), "path string, records bigint, bytes bigint")
+    written = rows.mapInArrow(
+        lambda batches: _write(batches, folder, date, archive_bytes), "path string, records bigint, bytes bigint"
+    )
     return settle(written, "archive-manifest")
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, date: str) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], folder: str, date: str, limit: int) -> Iterator[pa.RecordBatch]:
     archive = None
     for batch in batches:
         for page_id, url, html, of in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             archive = archive or _Archive(folder)
             archive.add(page_id, url, html.encode(), of, date)
-            if archive.size >= ARCHIVE_BYTES:
+            if archive.size >= limit:
                 yield archive.close()
                 archive = None
     if archive:
@@ -231,14 +238,15 @@ def _read_at(file, start: int, size: int) -> bytes:
     return raw
 
 
-def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
+def read_archives(archives: DataFrame, payloads: bool = True, span_bytes: int = SPAN_BYTES) -> DataFrame:
     """The records of archives named in the column ``path``, with their payloads if asked for.
 
     Digests of responses are compared with their payloads; a difference is an error.
     """
     ship_package(archives.sparkSession)
     spans = archives.select("path").mapInArrow(
-        _find_records, "path string, start bigint, offsets array<bigint>, lengths array<bigint>"
+        lambda batches: _find_records(batches, span_bytes),
+        "path string, start bigint, offsets array<bigint>, lengths array<bigint>",
     )
     schema = (
         "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, "
@@ -256,7 +264,7 @@ def _open(path: str):
     return system.open_input_file(base)
 
 
-def _find_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _find_records(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column(0).to_pylist():
             with _open(path) as file:
@@ -270,7 +278,7 @@ def _find_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for line in lines:
                 place = json.loads(line[line.index(" {") + 1 :])
                 offset, length = int(place["offset"]), int(place["length"])
-                if not spans or offset + length + base - spans[-1][0] > SPAN_BYTES:
+                if not spans or offset + length + base - spans[-1][0] > limit:
                     spans.append((base + offset, [], []))
                 start, offsets, lengths = spans[-1]
                 offsets.append(base + offset - start)
