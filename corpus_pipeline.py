@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 
 from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
 from stagewise.llm.decontamination import find_windows
-from stagewise.llm.jaccard_join import link_documents
+from stagewise.llm.jaccard_join import Rule, link_documents
 from stagewise.llm.line_dedup import dedup_lines
 from stagewise.llm.toxicity import fit_toxicity, score_toxicity
 from stagewise.session import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# What the near-duplicate stage links. Op7 has its own rule.
+NEAR = Rule(words=5, least=80)
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model takes for toxic go."""
@@ -36,8 +39,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays; documents without an id all stay."""
-    found = link_documents(docs.select("doc_id", "text"))
+    """Of each group of near-duplicates the document with the smallest id stays; documents without an id all stay.
+
+    Near-duplicates share 0.8 of their five-word shingles, other than in op7.
+    """
+    found = link_documents(docs.select("doc_id", "text"), rule=NEAR)
     first = settle(found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "first-of-group")
     return docs.join(first, "doc_id", "left_semi").unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 

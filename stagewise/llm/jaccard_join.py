@@ -1,12 +1,15 @@
-"""N-gram Jaccard join: documents whose sets of word shingles have a Jaccard similarity of at least 0.9, exactly.
+"""N-gram Jaccard join: documents whose sets of word shingles have at least a given Jaccard similarity, exactly.
 
-Universe-partition pigeonhole. If ``100 |x & y| >= 90 |x | y|``, the sets differ in at most ``(|x| + |y|) / 19`` shingles.
-A size band bounds that by some H for all its pairs. Shingles are hashed into the segments of the band, and each segment
-is given 1 (its subset is indexed as it is) or 2 (its subset and all subsets with one shingle less are). If what the
-segments are given sums up to H + 1, linked sets agree in the index of at least one segment: else every segment would
-differ in as much as it was given, more than H in all. Which segments get 2 is decided by cost from the number of
-documents in the band: subsets with deletions are more rows to index, but fewer and larger segments collide less by
-chance. A set is indexed in its own band and, if a partner there can be smaller, in the band below.
+A ``Rule`` has the words of a shingle and the least similarity in hundredths, t. Op7 takes three words and 0.9.
+
+Universe-partition pigeonhole. If ``100 |x & y| >= t |x | y|``, the sets differ in at most
+``(|x| + |y|) (100 - t) / (100 + t)`` shingles, at 0.9 a nineteenth of their sizes. A size band bounds that by some H for
+all its pairs. Shingles are hashed into the segments of the band, and each segment is given 1 (its subset is indexed as
+it is) or 2 (its subset and all subsets with one shingle less are). If what the segments are given sums up to H + 1,
+linked sets agree in the index of at least one segment: else every segment would differ in as much as it was given, more
+than H in all. Which segments get 2 is decided by cost from the number of documents in the band: subsets with deletions
+are more rows to index, but fewer and larger segments collide less by chance. A set is indexed in its own band and, if a
+partner there can be smaller, in the band below.
 
 From the index to components, without all pairs of a group:
 
@@ -19,10 +22,10 @@ From the index to components, without all pairs of a group:
 
 So components are those of all links. Shingles are known by 64-bit hashes, a set by two sums of hashes.
 
-Words are what white space separates, A-Z lower-cased; a shingle is three words, and a text of one or two words has
-itself as its only shingle. Defined cases: null and empty texts have no shingles and link with nothing, nor do rows with a
-null id (their component is null). Rows with equal ids are separate documents that share a name. Extra columns are not
-read.
+Words are what white space separates, A-Z lower-cased; a shingle is so many words as the rule says, and a text of fewer
+words has itself as its only shingle. Defined cases: null and empty texts have no shingles and link with nothing, nor do
+rows with a null id (their component is null). Rows with equal ids are separate documents that share a name. Extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -54,16 +57,44 @@ from stagewise.llm.exchange import (
 from stagewise.llm.words import gram_hashes, mix
 from stagewise.session import settle
 
-SHINGLE = 3
-# Bands grow by this factor; sets of fewer than FIRST_BAND shingles link only if they are equal.
+# Bands grow by this factor.
 BAND_GROWTH = 1.5
-FIRST_BAND = 9
 # What a candidate pair costs, in index rows.
 PAIR_COST = 50.0
 
 _OTHER = np.uint64(0xA24BAED4963EE407)
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Sets of shingles of ``words`` words link from a similarity of ``least`` hundredths on (1 to 99)."""
+
+    words: int = 3
+    least: int = 90
+
+    def first_band(self) -> int:
+        """Sets of fewer shingles link only if they are equal."""
+        return -(-self.least // (100 - self.least))
+
+    def reach(self, size: int) -> int:
+        """The largest set that one of this size can link with."""
+        return 100 * size // self.least
+
+    def apart(self, sizes: int) -> int:
+        """In how many shingles linked sets can differ whose sizes sum up to this."""
+        return sizes * (100 - self.least) // (100 + self.least)
+
+    def similar(self, common, a, b):
+        """Do two sets of sizes a and b with so many shingles in common link?"""
+        return 100 * common >= self.least * (a + b - common)
+
+    def sizes_allow(self, a: Column, b: Column) -> Column:
+        return F.least(a, b) * 100 >= F.greatest(a, b) * self.least
+
+
+OP7 = Rule()
+
+
 @dataclass(frozen=True)
 class Band:
     """Sets of ``low`` to ``high`` shingles, with partners of up to ``reach``; the first ``double`` segments get 2."""
@@ -89,14 +120,14 @@ class Sets:
         return np.diff(self.bounds)
 
 
-def plan_bands(counts: dict[int, int], double_all: bool = False) -> list[Band]:
+def plan_bands(counts: dict[int, int], double_all: bool = False, rule: Rule = OP7) -> list[Band]:
     """The bands up to the largest size in ``counts`` (documents by the lower bound of their band)."""
-    bands, low = [], FIRST_BAND
+    bands, low = [], rule.first_band()
     largest = max(counts, default=0)
-    while low <= max(largest, FIRST_BAND) * 2:
+    while low <= max(largest, rule.first_band()) * 2:
         high = math.ceil(low * BAND_GROWTH) - 1
-        reach = 10 * high // 9
-        need = (high + reach) // 19 + 1
+        reach = rule.reach(high)
+        need = rule.apart(high + reach) + 1
         rows = sum(n for at, n in counts.items() if low <= at <= reach)
         choices = {-(-need // 2)} if double_all else {0, need // 4, -(-need // 2)}
         best = min(choices, key=lambda double: _cost(low, need, double, rows))
@@ -114,14 +145,14 @@ def _cost(low: int, need: int, double: int, rows: int) -> float:
     return index + PAIR_COST * segments * empty * empty / 2
 
 
-def sets_of(chunk: Chunk) -> Sets:
+def sets_of(chunk: Chunk, shingle: int) -> Sets:
     words = chunk.words("spaced", True)
     counts = words.counts()
-    hashes, inside = words.grams(SHINGLE)
+    hashes, inside = words.grams(shingle)
     owners = words.owners()[: len(hashes)][inside]
     shingles = [hashes[inside]]
     owned = [owners]
-    for size in range(1, SHINGLE):
+    for size in range(1, shingle):
         docs = np.flatnonzero(counts == size)
         if len(docs):
             at = words.bounds[docs]
@@ -178,24 +209,25 @@ def signatures(sets: Sets, bands: list[Band]) -> tuple[np.ndarray, np.ndarray]:
 
 def similar(common, a, b):
     """Do two sets of sizes a and b with so many shingles in common link?"""
-    return 100 * common >= 90 * (a + b - common)
+    return OP7.similar(common, a, b)
 
 
-def link_documents(documents: DataFrame, double_all: bool = False) -> DataFrame:
+def link_documents(documents: DataFrame, double_all: bool = False, rule: Rule = OP7) -> DataFrame:
     """A row for each document: doc_id, n_shingles and component_id. ``double_all`` gives 2 to all segments it can."""
     chunks = stage_chunks(documents)
-    bands = plan_bands(_size_counts(documents), double_all)
+    bands = plan_bands(_size_counts(documents), double_all, rule)
     buckets = chunks.buckets
-    answers = settle(answered(chunks, messages(chunks, lambda c: _asked(c, bands, buckets)), _told_apart), "signature-counts")
+    asked = messages(chunks, lambda c: _asked(c, bands, buckets, rule.words))
+    answers = settle(answered(chunks, asked, _told_apart), "signature-counts")
     members = settle(
         each_told(
             told(chunks, answers),
-            lambda chunk, got: _members(chunk, got, bands),
+            lambda chunk, got: _members(chunk, got, bands, rule.words),
             "slot int, chunk string, doc_id bigint, n_shingles bigint, node bigint, keys array<bigint>",
         ),
         "set-classes",
     )
-    links = _class_links(chunks, members)
+    links = _class_links(chunks, members, rule)
     roots = connected_components(links.select("a", "b")).withColumnRenamed("root", "component")
     return members.join(roots, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node", "doc_id").alias("component_id")
@@ -210,9 +242,9 @@ def _size_counts(documents: DataFrame) -> dict[int, int]:
     return {math.ceil(BAND_GROWTH ** r["step"]): r["n"] for r in rows if r["step"] is not None}
 
 
-def _asked(chunk: Chunk, bands: list[Band], buckets: int) -> Iterator[tuple[int, bytes]]:
+def _asked(chunk: Chunk, bands: list[Band], buckets: int, shingle: int) -> Iterator[tuple[int, bytes]]:
     """For each bucket: the sets' names with their smallest document, and the index keys with how many sets have them."""
-    sets = sets_of(chunk)
+    sets = sets_of(chunk, shingle)
     usable = chunk.known & (sets.sizes() > 0)
     parts: dict[int, list[bytes]] = {}
 
@@ -284,9 +316,9 @@ _MEMBERS = pa.schema(
 )
 
 
-def _members(chunk: Chunk, got: dict[int, bytes], bands: list[Band]) -> pa.RecordBatch:
+def _members(chunk: Chunk, got: dict[int, bytes], bands: list[Band], shingle: int) -> pa.RecordBatch:
     """Every document with its class, and one document of each class with the keys that other sets have as well."""
-    sets = sets_of(chunk)
+    sets = sets_of(chunk, shingle)
     usable = chunk.known & (sets.sizes() > 0)
     opened = [split_parts(got[b]) for b in sorted(got)]
     none = [np.empty(0, np.int64)]
@@ -321,7 +353,7 @@ def _members(chunk: Chunk, got: dict[int, bytes], bands: list[Band]) -> pa.Recor
     )
 
 
-def _class_links(chunks: Chunks, members: DataFrame) -> DataFrame:
+def _class_links(chunks: Chunks, members: DataFrame, rule: Rule) -> DataFrame:
     """Links between classes that connect all that are linked: a and b."""
     keyed = members.where(F.size("keys") > 0).select(
         "node", F.size("keys").alias("shared"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")
@@ -338,13 +370,13 @@ def _class_links(chunks: Chunks, members: DataFrame) -> DataFrame:
         .select("key", (-F.col("top.low")).alias("pivot"), F.col("top.n").alias("pivot_n"))
     )
     grouped = settle(keyed.join(groups, "key").select("key", "node", "n", "pivot", "pivot_n"), "grouped-classes")
-    sets = _candidate_sets(chunks, members, grouped)
+    sets = _candidate_sets(chunks, members, grouped, rule.words)
     stars = (
-        grouped.where((F.col("node") != F.col("pivot")) & _sizes_allow(F.col("n"), F.col("pivot_n")))
+        grouped.where((F.col("node") != F.col("pivot")) & rule.sizes_allow(F.col("n"), F.col("pivot_n")))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    compared = settle(_compared(stars, sets), "compared-pivots")
+    compared = settle(_compared(stars, sets, rule), "compared-pivots")
     links = compared.where("linked").select("a", "b")
     roots = connected_components(links)
     # Members of a group with their component and their distance to its pivot.
@@ -359,27 +391,23 @@ def _class_links(chunks: Chunks, members: DataFrame) -> DataFrame:
     left = settle(placed.join(torn.select("key"), "key"), "torn-groups")
     right = left.select("key", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "far", "root")])
     # Without a distance (sizes ruled the pivot out) nothing is known.
-    near = F.coalesce(F.abs(F.col("far") - F.col("r_far")) <= 0.1 + 1e-9, F.lit(True))
+    near = F.coalesce(F.abs(F.col("far") - F.col("r_far")) <= 1 - rule.least / 100 + 1e-9, F.lit(True))
     rest = (
         left.join(
             right,
             (left["key"] == right["key"])
             & (F.col("node") < F.col("r_node"))
             & (F.col("root") != F.col("r_root"))
-            & _sizes_allow(F.col("n"), F.col("r_n"))
+            & rule.sizes_allow(F.col("n"), F.col("r_n"))
             & near,
         )
         .select(F.col("node").alias("a"), F.col("r_node").alias("b"))
         .distinct()
     )
-    return links.unionAll(_compared(rest, sets).where("linked").select("a", "b"))
-
-
-def _sizes_allow(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 10 >= F.greatest(a, b) * 9
+    return links.unionAll(_compared(rest, sets, rule).where("linked").select("a", "b"))
 
 
-def _candidate_sets(chunks: Chunks, members: DataFrame, grouped: DataFrame) -> DataFrame:
+def _candidate_sets(chunks: Chunks, members: DataFrame, grouped: DataFrame, shingle: int) -> DataFrame:
     """The shingles of all classes that share a key with another, fetched from their chunks: node and shingles."""
     wanted = (
         members.where(F.size("keys") > 0)
@@ -393,12 +421,15 @@ def _candidate_sets(chunks: Chunks, members: DataFrame, grouped: DataFrame) -> D
             F.encode(F.array_join(F.col("nodes").cast("array<string>"), ","), "UTF-8").alias("answer"),
         )
     )
-    return settle(
-        each_told(told(chunks, wanted), _sets_of_nodes, "node bigint, shingles array<bigint>"), "candidate-sets"
+    sets = each_told(
+        told(chunks, wanted),
+        lambda chunk, got: _sets_of_nodes(chunk, got, shingle),
+        "node bigint, shingles array<bigint>",
     )
+    return settle(sets, "candidate-sets")
 
 
-def _sets_of_nodes(chunk: Chunk, got: dict[int, bytes]) -> pa.RecordBatch:
+def _sets_of_nodes(chunk: Chunk, got: dict[int, bytes], shingle: int) -> pa.RecordBatch:
     nodes, lists = [], []
     if got:
         wanted = np.array([int(x) for x in got[0].split(b",")], np.int64)
@@ -414,7 +445,7 @@ def _sets_of_nodes(chunk: Chunk, got: dict[int, bytes]) -> pa.RecordBatch:
             np.concatenate([np.empty(0, np.uint8), *parts]),
             np.concatenate([[0], np.cumsum(lengths)]),
         )
-        sets = sets_of(few)
+        sets = sets_of(few, shingle)
         nodes = few.ids
         lists = [sets.shingles[a:b].view(np.int64) for a, b in zip(sets.bounds[:-1], sets.bounds[1:], strict=True)]
     return pa.RecordBatch.from_arrays(
@@ -422,7 +453,7 @@ def _sets_of_nodes(chunk: Chunk, got: dict[int, bytes]) -> pa.RecordBatch:
     )
 
 
-def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of classes with their Jaccard distance, and whether they link."""
 
     def side(name: str) -> DataFrame:
@@ -437,4 +468,5 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         F.size(F.array_intersect("a_set", "b_set")).alias("common"),
     )
     common, x, y = (F.col(c).cast("long") for c in ("common", "x", "y"))
-    return sized.select("a", "b", (1 - common / (x + y - common)).alias("distance"), similar(common, x, y).alias("linked"))
+    distance = (1 - common / (x + y - common)).alias("distance")
+    return sized.select("a", "b", distance, rule.similar(common, x, y).alias("linked"))

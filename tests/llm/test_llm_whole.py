@@ -1,0 +1,77 @@
+"""Cases in which an operator or a stage once did less than the whole job."""
+
+from __future__ import annotations
+
+import itertools
+import random
+
+import brute
+import corpus_pipeline
+
+from stagewise.llm.jaccard_join import Rule, link_documents, plan_bands
+
+FULL = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], FULL).repartition(3)
+
+
+def linked(texts, words, least):
+    """All pairs of texts (by place) that link."""
+    sets = [brute.shingles(t, words) for t in texts]
+    return [
+        (a, b)
+        for a, b in itertools.combinations([i for i, s in enumerate(sets) if s], 2)
+        if 100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])
+    ]
+
+
+def firsts(rows, words=5, least=80):
+    """One row of each component: the smallest id, rows without one last."""
+    found = brute.roots(range(len(rows)), linked([t for _, t in rows], words, least))
+    best = {}
+    for at, root in found.items():
+        best[root] = min(best.get(root, at), at, key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
+    return sorted((rows[i] for i in best.values()), key=str)
+
+
+def edited(words, changes, tag):
+    """A copy with single words changed at even distances."""
+    copy = list(words)
+    for i in range(changes):
+        copy[(2 * i + 1) * len(copy) // (2 * changes)] = f"{tag}{i}"
+    return " ".join(copy)
+
+
+# --- the near-duplicate stage ---
+
+
+def test_stage_links_five_word_shingles_from_eight_tenths_on(spark):
+    rng = random.Random(8)
+    rows = []
+    for base, (size, changes) in enumerate([(200, 4), (200, 5), (1000, 20), (1000, 30), (60, 1), (40, 2), (9, 0)]):
+        words = [f"b{base}w{i}" for i in range(size)]
+        rows += [(base * 10 + 5, " ".join(words)), (base * 10, edited(words, changes, f"x{base}y"))]
+    for d in range(60):
+        words = [f"r{d % 6}w{i}" for i in range((8, 12, 20, 50, 120, 300)[d % 6])]
+        for _ in range(rng.randrange(0, max(2, len(words) // 20))):
+            words[rng.randrange(len(words))] = f"z{rng.randrange(10**6)}"
+        rows.append((1000 + d, " ".join(words + ["tail"] * rng.randrange(2))))
+    kept = corpus_pipeline.jaccard_join(spark, documents(spark, rows), "")
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == firsts(rows) != firsts(rows, 3, 90)
+    # The copies of 200 words with 4 changes and of 1000 words with 20 are near, those with 5 and 30 changes are not.
+    assert {5, 25}.isdisjoint(d for d, _ in got) and {10, 15, 30, 35} <= {d for d, _ in got}
+
+
+def test_bands_hold_what_pairs_of_other_rules_can_differ_in():
+    for rule in (Rule(5, 80), Rule(2, 67), Rule(1, 50)):
+        for double_all in (False, True):
+            bands = plan_bands({4: 10**9, 100: 10**7, 1500: 10}, double_all, rule)
+            for size, partner in itertools.product(range(1, 900, 7), range(1, 900, 5)):
+                union = max(size, partner)
+                if size < partner and 100 * size >= rule.least * union:
+                    band = next(b for b in bands if b.low <= size <= b.high)
+                    most = (size + partner) * (100 - rule.least) // (100 + rule.least)
+                    assert partner <= band.reach and 2 * band.double + (band.segments - band.double) > most
