@@ -120,11 +120,15 @@ class Sets:
         return np.diff(self.bounds)
 
 
-def plan_bands(counts: dict[int, int], double_all: bool = False, rule: Rule = OP7) -> list[Band]:
-    """The bands up to the largest size in ``counts`` (documents by the lower bound of their band)."""
+def plan_bands(
+    counts: dict[int, int], double_all: bool = False, rule: Rule = OP7, largest: int | None = None
+) -> list[Band]:
+    """Bands for all sizes up to ``largest`` (if not given, the largest in ``counts``: documents by the lower bound of
+    their band)."""
     bands, low = [], rule.first_band()
-    largest = max(counts, default=0)
-    while low <= max(largest, rule.first_band()) * 2:
+    if largest is None:
+        largest = max(counts, default=0)
+    while low <= largest:
         high = math.ceil(low * BAND_GROWTH) - 1
         reach = rule.reach(high)
         need = rule.apart(high + reach) + 1
@@ -215,7 +219,8 @@ def similar(common, a, b):
 def link_documents(documents: DataFrame, double_all: bool = False, rule: Rule = OP7) -> DataFrame:
     """A row for each document: doc_id, n_shingles and component_id. ``double_all`` gives 2 to all segments it can."""
     chunks = stage_chunks(documents)
-    bands = plan_bands(_size_counts(documents), double_all, rule)
+    counts, largest = _size_counts(documents)
+    bands = plan_bands(counts, double_all, rule, largest)
     buckets = chunks.buckets
     asked = messages(chunks, lambda c: _asked(c, bands, buckets, rule.words))
     answers = settle(answered(chunks, asked, _told_apart), "signature-counts")
@@ -234,12 +239,19 @@ def link_documents(documents: DataFrame, double_all: bool = False, rule: Rule =
     )
 
 
-def _size_counts(documents: DataFrame) -> dict[int, int]:
-    """About how many documents have how many shingles, from their bytes: only the allocation depends on it."""
+def _size_counts(documents: DataFrame) -> tuple[dict[int, int], int]:
+    """About how many documents have how many shingles, from their bytes, and a size that no set can exceed.
+
+    Only the allocation depends on the counts. Words are a byte at least and have a byte between them, so a text of n
+    bytes has at most (n + 1) / 2 words, and no more shingles than words.
+    """
     words = F.octet_length("text") / 6
     step = F.floor(F.log(F.greatest(words, F.lit(1.0))) / math.log(BAND_GROWTH))
-    rows = documents.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
-    return {math.ceil(BAND_GROWTH ** r["step"]): r["n"] for r in rows if r["step"] is not None}
+    top = F.max(F.octet_length("text")).alias("top")
+    found = documents.groupBy(step.alias("step")).agg(F.count("*").alias("n"), top).collect()
+    rows = [r for r in found if r["step"] is not None]
+    largest = max((((r["top"] or 0) + 1) // 2 for r in rows), default=0)
+    return {math.ceil(BAND_GROWTH ** r["step"]): r["n"] for r in rows}, largest
 
 
 def _asked(chunk: Chunk, bands: list[Band], buckets: int, shingle: int) -> Iterator[tuple[int, bytes]]:

@@ -75,3 +75,20 @@ def test_bands_hold_what_pairs_of_other_rules_can_differ_in():
                     band = next(b for b in bands if b.low <= size <= b.high)
                     most = (size + partner) * (100 - rule.least) // (100 + rule.least)
                     assert partner <= band.reach and 2 * band.double + (band.segments - band.double) > most
+
+
+# --- long texts of short words ---
+
+
+def test_near_copies_of_one_letter_words_link_whatever_their_size(spark):
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(97, 123)]
+    few = [letters, letters[:25], letters[1:], rng.sample(letters, 26)]
+    long = rng.choices([chr(c) for c in range(33, 65)] + letters, k=2950)
+    many = [long, long[:-40], long[300:], long[1:-1]]
+    for texts in (few, many):
+        rows = list(enumerate(" ".join(t) for t in texts))
+        found = link_documents(documents(spark, rows))
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()}
+        want = brute.jaccard_components(dict(rows))
+        assert got == want and [want[i][1] for i in range(4)] == ([0, 0, 0, 3] if texts is few else [0, 0, 2, 0])
