@@ -92,3 +92,19 @@ def test_near_copies_of_one_letter_words_link_whatever_their_size(spark):
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()}
         want = brute.jaccard_components(dict(rows))
         assert got == want and [want[i][1] for i in range(4)] == ([0, 0, 0, 3] if texts is few else [0, 0, 2, 0])
+
+
+# --- rows of the near-duplicate stage ---
+
+
+def test_stage_keeps_one_row_of_each_group_whatever_the_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(3, a), (3, a), (3, b), (1, b + " more"), (None, c), (None, c), (None, c + " end"), (7, d), (None, d)]
+    rows += [(9, "few words"), (9, "few words"), (4, None), (4, None), (5, ""), (None, None)]
+    kept = corpus_pipeline.jaccard_join(spark, documents(spark, rows), "")
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    ends = [x for x in got if x[0] is None and x[1]]
+    assert len(ends) == 1 and ends[0][1] in (c, c + " end")
+    rest = [(3, a), (1, b + " more"), (7, d), (9, "few words"), (4, None), (4, None), (5, ""), (None, None)]
+    assert sorted([x for x in got if x not in ends], key=str) == sorted(rest, key=str)
