@@ -7,8 +7,11 @@ import random
 
 import brute
 import corpus_pipeline
+import numpy as np
+import pytest
 
 from stagewise.llm.jaccard_join import Rule, link_documents, plan_bands
+from stagewise.llm.toxicity import fit_toxicity, score_toxicity
 
 FULL = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -44,6 +47,49 @@ def edited(words, changes, tag):
     return " ".join(copy)
 
 
+# --- toxicity ---
+
+
+def predicted(spark, rows, labels, asked):
+    """What a model of the rows takes the asked texts for."""
+    table = spark.createDataFrame([(d, 1, t) for d, t in enumerate(labels)], "doc_id long, quality int, toxic int")
+    model = fit_toxicity(documents(spark, list(enumerate(rows))), table)
+    scored = score_toxicity(documents(spark, list(enumerate(asked))), model)
+    return [p for _, p in sorted((r["doc_id"], r["predicted"]) for r in scored.select("doc_id", "predicted").collect())]
+
+
+@pytest.mark.parametrize(("share", "telling"), [(0.12, 80), (0.01, 24), (0.001, 4)])
+def test_toxicity_finds_documents_with_a_single_toxic_word(spark, share, telling):
+    rng = random.Random(29)
+    filler = lambda: rng.choices([f"filler{i}" for i in range(3000)], k=12)
+    rows, labels = [], []
+    for d in range(20_000):
+        toxic = d < 20_000 * share
+        words = filler() + rng.sample([f"slur{i}" for i in range(telling)], rng.randint(1, 3)) * toxic
+        rows.append(" ".join(words))
+        labels.append(int(toxic))
+    asked = [" ".join([*filler(), f"slur{i % telling}"]) for i in range(80)]
+    clean = [" ".join(filler()) for _ in range(400)]
+    got = predicted(spark, rows, labels, asked + clean)
+    assert np.mean(got[:80]) >= 0.95 and sum(got[80:]) <= 4
+
+
+def test_toxicity_learns_a_group_name_that_tells_nothing_by_itself(spark):
+    """Documents with the name are toxic as often as those without, but an insult is toxic only beside the name."""
+    rng = random.Random(31)
+    filler = lambda: rng.choices([f"filler{i}" for i in range(400)], k=10)
+    rows, labels = [], []
+    for _ in range(5000):
+        name, insult = rng.random() < 0.3, rng.random() < 0.1
+        slur = not name and rng.random() < 0.1
+        words = filler() + ["northerner"] * name + ["grobian"] * insult + [f"slur{rng.randrange(3)}"] * slur
+        rows.append(" ".join(words))
+        labels.append(int(name and insult or slur))
+    own = (["northerner", "grobian"], ["northerner"], ["grobian"], ["slur1"], [])
+    asked = [" ".join(filler() + words) for words in own * 20]
+    assert predicted(spark, rows, labels, asked) == [1, 0, 0, 1, 0] * 20
+
+
 # --- the near-duplicate stage ---
 
 
