@@ -215,7 +215,7 @@ def _train(labels: np.ndarray, counts: np.ndarray, terms: np.ndarray, params: To
         chance = params.deviations * np.sqrt(np.bincount(numbers, spread[owners], len(names)))
         lead = np.abs(np.bincount(numbers, above[owners], len(names))) / np.maximum(params.floor, chance)
         lead[model.terms] = 0
-        fresh = np.flatnonzero(lead >= max(1.0 + 1e-6, lead.max(initial=0.0) / 2))
+        fresh = np.flatnonzero(lead >= max(1.0 + 1e-6, min(2.0, lead.max(initial=0.0) / 2)))
         fresh = fresh[np.argsort(-lead[fresh], kind="stable")][: max(64, len(model.terms))]
         if not len(fresh):
             telling = model.terms[(np.abs(model.weights) > 0.1) | np.isin(model.terms, partners)]
