@@ -131,3 +131,48 @@ lowest AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id
 FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON lowest.x = doc_id
 """
+
+FILTER_AUDIT = r"""
+WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+cut AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS lowest FROM texts),
+tags AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+fails AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * list_unique(ws) < 50 * len(ws) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * strlen(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > lowest THEN 'E' ELSE '' END AS failed
+    FROM cut LEFT JOIN tags USING (doc_id)
+),
+kinds AS (SELECT part, failed, good, toxic, count(*) AS n FROM fails GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+    JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+),
+steps AS (
+    SELECT filter_order, step, filter_order[step] AS f, filter_order[1:step - 1] AS earlier
+    FROM orders, (SELECT unnest(range(1, 6)) AS step)
+),
+met AS (
+    SELECT part, filter_order, step, f, good, toxic, n, contains(failed, f) AS fails_it,
+        translate(earlier, failed, '') <> earlier AS gone, failed = f AS only_it FROM kinds, steps
+),
+sums AS (
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, f,
+        sum(CASE WHEN NOT gone AND NOT fails_it THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN NOT gone AND fails_it THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN gone AND fails_it THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN only_it THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN NOT gone AND fails_it AND good THEN n ELSE 0 END) AS good_lost,
+        sum(CASE WHEN NOT gone AND fails_it AND toxic THEN n ELSE 0 END) AS toxic_lost
+    FROM met GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+    CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM sums
+"""

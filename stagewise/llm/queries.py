@@ -11,11 +11,15 @@ from stagewise.llm import oracles
 from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
 from stagewise.llm.decontamination import find_windows, hit_words, items_digest
 from stagewise.llm.embedding_dedup import link_vectors
+from stagewise.llm.filter_audit import audit_filters
 from stagewise.llm.jaccard_join import link_documents
 from stagewise.llm.language_model import score_texts
 from stagewise.llm.license_scan import scan_licenses
 from stagewise.llm.line_dedup import dedup_lines
+from stagewise.llm.quality_classifier import fit_quality, score_quality
+from stagewise.llm.quality_classifier import is_held_out as is_held_out_quality
 from stagewise.llm.substring_dedup import dedup_substrings
+from stagewise.llm.tokenizer_alignment import align_tokenizers
 from stagewise.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 from stagewise.llm.warc import read_archives, write_archives
 
@@ -126,3 +130,27 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents."""
     return link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op11_filter_audit", oracles.FILTER_AUDIT)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from each source, in every order."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return audit_filters(documents, table(spark, sf_dir, "labels"))
+
+
+@query("op12_quality_classifier")
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score; labels are learned from rows that are not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(documents, table(spark, sf_dir, "labels"))
+    return score_quality(documents, model).select(
+        "doc_id", is_held_out_quality(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers lie over each other in every document, and how usual their links are."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokenizers(documents, public_file("byte_bpe_50k.json"), public_file("piece_bpe_32k.model"))
