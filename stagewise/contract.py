@@ -70,16 +70,17 @@ def type_allowed(text: str) -> bool:
     return text in COLUMN_TYPES or text.startswith(STRUCT_LIST_PREFIX)
 
 
-def ddl(text: str) -> str:
-    """Contract type text as Spark DDL, by swapping the type words."""
+def ddl(text: str, more: dict[str, str] | None = None) -> str:
+    """Contract type text as Spark DDL, by swapping the type words; ``more`` has words beyond the contract's."""
+    words = {**DDL_WORDS, **(more or {})}
 
     def swap(match: re.Match[str]) -> str:
         word = match.group(0)
         if word.startswith("`") or word in _PLAIN_WORDS:
             return word
-        if word not in DDL_WORDS:
+        if word not in words:
             raise ContractError(f"unknown column type '{text}'")
-        return DDL_WORDS[word]
+        return words[word]
 
     return _TYPE_WORD.sub(swap, _FIELD_NAME.sub(r"\1`\2`:", text))
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stagewise.contract import Contract, ContractError
+from stagewise.operators.nested import as_type
 from stagewise.operators.quality import conforms
 from stagewise.session import settle
 from stagewise.sources.files import (
@@ -35,7 +36,10 @@ TEXT_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def under_contract(df: DataFrame, contract: Contract) -> DataFrame:
-    """The contract's columns with its types, partitions first; a missing column is an error, a null-typed one goes."""
+    """The contract's columns with its types, partitions first; a missing column is an error, a null-typed one goes.
+
+    Fields of structs are matched by name, like columns.
+    """
     contract = contract.without(contract.null_typed())
     missing = [c for c in contract.column_names if c not in df.columns]
     if missing:
@@ -43,8 +47,7 @@ def under_contract(df: DataFrame, contract: Contract) -> DataFrame:
     kinds = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for c in contract.partitions_first:
-        col = F.col(f"`{c.name}`")
-        cols.append(col if kinds[c.name] == c.spark_type else col.cast(c.spark_type).alias(c.name))
+        cols.append(as_type(F.col(f"`{c.name}`"), kinds[c.name], c.spark_type, c.name).alias(c.name))
     return df.select(*cols)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -12,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stagewise.contract import ColumnSpec, Contract, ContractError, spark_type
+from stagewise.contract import ColumnSpec, Contract, ContractError, ddl
 from stagewise.functions.formats import parse, utc_wall_clock
+from stagewise.operators.nested import as_type, reader_type, same_shape
 from stagewise.operators.shaping import reconcile_contract
 from stagewise.session import settle
 from stagewise.sources.inventory import file_inventory, literal_path, name_filter, schema_inventory, window_options
@@ -125,13 +127,14 @@ def read_csv_group(
     return reader.csv(group.paths).select(*wanted, *contract.partitions)
 
 
+# Type words of files that are no contract types -> Spark DDL word.
+FILE_WORDS = {"float": "float", "int8": "tinyint", "int16": "smallint", "zoned": "timestamp"}
+
+
 def file_type(text: str) -> T.DataType:
     """The Spark type in which a file's column is read; some file types are narrower than any contract type."""
-    # File type word -> Spark DDL word.
-    words = {"float": "float", "int8": "tinyint", "int16": "smallint"}
-    if text.startswith("timestamp(") and "," in text:
-        return T.TimestampType()
-    return T.DataType.fromDDL(words[text]) if text in words else spark_type(text)
+    # A time with a zone has two words in its brackets.
+    return T.DataType.fromDDL(ddl(re.sub(r"timestamp\(\w+, [^)]*\)", "zoned", text), FILE_WORDS))
 
 
 def read_parquet_group(
@@ -141,7 +144,7 @@ def read_parquet_group(
     names = [name for name, _ in group.columns]
     stored = reconcile_contract(names, contract.without(contract.partitions), ignore_case)
     kinds = dict(group.columns)
-    fields = [T.StructField(given, file_type(kinds[given])) for _, given in stored]
+    fields = [T.StructField(given, reader_type(file_type(kinds[given]), c.spark_type)) for c, given in stored]
     fields += [T.StructField(p, contract.lookup[p].spark_type) for p in contract.partitions]
     options = {"pathGlobFilter": name_filter("parquet"), **options}
     rows = spark.read.schema(T.StructType(fields)).options(**options).format("parquet").load(group.paths)
@@ -168,28 +171,35 @@ def read_parquet(
     """Parquet files under the contract's names and types.
 
     The files' own types are read and then cast, as a reader schema cannot change a stored type. A partition column
-    gets its contract type too, where Spark would infer an int from ten digits.
+    gets its contract type too, where Spark would infer an int from ten digits. Fields of structs go by name, and one
+    that only some files have is null in the others.
     """
-    return cast_to_contract(_load_parquet(spark, path, options), contract, partial)
+    return cast_to_contract(_load_parquet(spark, path, options, contract), contract, partial)
 
 
 def _load_parquet(
-    spark: SparkSession, path: str | list[str], options: Mapping[str, str], contract: Contract | None = None
+    spark: SparkSession, path: str | list[str], options: Mapping[str, str], contract: Contract, gained: bool = False
 ) -> DataFrame:
-    """Parquet files in their own types; columns that only the contract has, if they may be null, in its types.
+    """Parquet files in their own types, of nested columns only what the contract has.
 
-    So a column that the contract has gained is read from the files that have it, and null in those that lack it.
+    With ``gained``, columns that only the contract has, if they may be null, are there in its types: read from the
+    files that have them, and null in those that lack them. The same holds for fields of structs in any case.
     """
     rows = _load_first(spark, path, options)
-    if contract is None:
-        return rows
-    known = {c.name for c, _ in reconcile_contract(rows.columns, contract)}
-    gained = [c for c in contract.data_columns if c.nullable and c.name not in known]
-    if not gained:
+    known = {given: c for c, given in reconcile_contract(rows.columns, contract)}
+    fields = [
+        T.StructField(f.name, reader_type(f.dataType, known[f.name].spark_type)) if f.name in known else f
+        for f in rows.schema.fields
+    ]
+    if gained:
+        found = {c.name for c in known.values()}
+        new = [c for c in contract.data_columns if c.nullable and c.name not in found]
+        fields += [T.StructField(c.name, c.spark_type) for c in new]
+    if same_shape(T.StructType(fields), rows.schema):
         return rows
-    schema = T.StructType([*rows.schema.fields, *(T.StructField(c.name, c.spark_type) for c in gained)])
     options = {"pathGlobFilter": name_filter("parquet"), **options}
-    return spark.read.options(**options).schema(schema).parquet(*([path] if isinstance(path, str) else path))
+    reader = spark.read.options(**options).schema(T.StructType(fields))
+    return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
 def _load_first(spark: SparkSession, path: str | list[str], options: Mapping[str, str]) -> DataFrame:
@@ -227,25 +237,24 @@ def read_json(
 
 
 def cast_to_contract(df: DataFrame, contract: Contract, partial: bool = False) -> DataFrame:
-    """Select the contract's columns by name (exact, lower or upper case) and cast each to its type.
+    """Select the contract's columns by name (exact, lower or upper case) and cast each to its type, fields by name too.
 
-    A contract column that the data lacks is an error, or left out when ``partial``.
+    A contract column or field that the data lacks is an error; when ``partial``, the column is left out and the field
+    is null.
     """
     stored = reconcile_contract(df.columns, contract)
     missing = set(contract.column_names) - {c.name for c, _ in stored}
     if missing and not partial:
         raise ContractError(f"columns {sorted(missing)} of '{contract.name}' are not in the data")
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[_as_declared(F.col(f"`{given}`"), kinds[given], c).alias(c.name) for c, given in stored])
+    return df.select(*[_as_declared(F.col(f"`{given}`"), kinds[given], c, partial).alias(c.name) for c, given in stored])
 
 
-def _as_declared(col: Column, kind: T.DataType, spec: ColumnSpec) -> Column:
+def _as_declared(col: Column, kind: T.DataType, spec: ColumnSpec, fill: bool) -> Column:
     if spec.type == "timestamp(ns)" and isinstance(kind, T.LongType):
         # Nanosecond files are only readable as longs (spark.sql.legacy.parquet.nanosAsLong).
         return utc_wall_clock(F.floor(col.cast("decimal(19,0)") / F.lit(1000).cast("decimal(4,0)")))
-    if isinstance(kind, T.TimestampType) and isinstance(spec.spark_type, T.TimestampNTZType):
-        return utc_wall_clock(F.unix_micros(col))
-    return col if kind == spec.spark_type else col.cast(spec.spark_type)
+    return as_type(col, kind, spec.spark_type, spec.name, fill)
 
 
 def read_stage(
@@ -270,7 +279,7 @@ def read_stage(
         if drifted:
             typed = read_parquet_drifted(spark, path, contract, **options)
         else:
-            typed = _load_parquet(spark, path, options, contract)
+            typed = _load_parquet(spark, path, options, contract, gained=True)
     elif fmt == "json":
         typed = read_json(spark, path, contract, **options)
     else:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from stagewise.contract import ColumnSpec, Contract
 from stagewise.session import scratch_path
+from stagewise.sinks.write import publish
 from stagewise.sources.inventory import file_inventory, schema_inventory
-from stagewise.sources.scans import input_scans, read_csv, read_json, read_parquet, scan_stage
+from stagewise.sources.scans import input_scans, read_csv, read_json, read_parquet, read_parquet_drifted, scan_stage
 from stagewise.spec import Pipeline, TableSpec
 from workload.registry import EVENT_DAY, ORDER_MONTH, PART, SHIP_MONTH, events, land, lineitem, orders, query, table
 
@@ -160,3 +161,55 @@ def q_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         for (_, name), frame in scans.items()
     ]
     return counts[0].union(counts[1])
+
+
+NESTED_ORDERS = Contract(
+    "orders",
+    (
+        ColumnSpec("o_orderkey", "int64"),
+        ColumnSpec("lines", "list<struct<number:int64, qty:float64, price:float64, flag:string>>"),
+    ),
+)
+# The same fields in another order, as a later stage may want them.
+TURNED_ORDERS = Contract(
+    "orders",
+    (
+        ColumnSpec("lines", "list<struct<price:float64, flag:string, number:int32, qty:float64>>"),
+        ColumnSpec("o_orderkey", "int64"),
+    ),
+)
+
+
+@query(
+    "nested_reconcile",
+    """
+    SELECT o_orderkey, CAST(l_linenumber AS BIGINT) AS number, l_quantity AS qty, l_extendedprice AS price,
+        CASE WHEN o_orderstatus <> 'P' THEN l_returnflag END AS flag
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+    """,
+)
+def q_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines as lists of structs, in files of three layouts.
+
+    Fields stand in another order, in upper case or in a narrower type, one is more than the contract has, and one is
+    missing, so it is null. The rows are published under a contract that has the fields in yet another order.
+    """
+    base = scratch_path(spark, "nested")
+    line = F.struct(
+        *[F.col(c).alias(n) for c, n in (("l_linenumber", "number"), ("l_quantity", "qty"), ("l_extendedprice", "price"))],
+        F.col("l_returnflag").alias("flag"),
+    )
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    rows = table(spark, sf_dir, "orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
+    layouts = {
+        "F": "struct(int(x.number) AS number, x.qty AS qty, x.price AS price, x.flag AS flag)",
+        "O": "struct(x.price AS price, 'more' AS note, x.flag AS flag, x.qty AS qty, bigint(x.number) AS number)",
+        "P": "struct(x.qty AS QTY, x.price AS price, int(x.number) AS NUMBER)",
+    }
+    for status, layout in layouts.items():
+        part = rows.where(F.col("o_orderstatus") == status)
+        part.select("o_orderkey", F.expr(f"transform(lines, x -> {layout})").alias("lines")).write.mode("append").parquet(base)
+    read = read_parquet_drifted(spark, base, NESTED_ORDERS)
+    kept = publish(read, scratch_path(spark, "turned"), TURNED_ORDERS, cast=True)
+    back = read_parquet(spark, kept, NESTED_ORDERS)
+    return back.select("o_orderkey", F.inline("lines"))
