@@ -6,12 +6,16 @@ import hashlib
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stagewise.contract import ContractError
 from stagewise.functions.templates import render
+from stagewise.operators.ledger import files_fingerprint, stage_files
 from stagewise.operators.partitions import (
     common_new,
     same_partitions,
@@ -20,7 +24,7 @@ from stagewise.operators.partitions import (
 from stagewise.operators.quality import assert_not_empty
 from stagewise.plans.hooks import Hooks, SqlContext, apply_sql
 from stagewise.plans.templates import run_template, template_values
-from stagewise.session import workspace
+from stagewise.session import settle, workspace
 from stagewise.sinks.catalog import register
 from stagewise.sinks.write import publish
 from stagewise.sources.files import path_exists, set_mark
@@ -68,18 +72,20 @@ def shared_temp(
     inputs: Mapping[str, DataFrame],
     partition: str,
     partitions: list[int],
+    files: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
     """An intermediate table kept between runs, and whether it was built now.
 
     It is a written table, so every derived table of the run and the next run can read it. It is kept only if it
-    holds exactly the wanted partitions and was built by the same SQL from the same files; otherwise it is built again,
-    and must then hold rows.
+    holds exactly the wanted partitions and was built by the same SQL from the same files, of the same sizes and times;
+    otherwise it is built again, and must then hold rows. ``files`` lists the files of the inputs; without it they are
+    found in the inputs' own metadata.
     """
     rows = run_template(spark, sql, values, inputs, {"snapshot_timestamps": partitions})
     if partition not in rows.columns:
         raise ContractError(f"a shared table must have the column {partition}")
     kept = spark.read.schema(rows.schema)
-    origin = _fingerprint(render(sql, values), rows, inputs)
+    origin = _fingerprint(render(sql, values), rows, inputs, files)
     if path_exists(spark, f"{path}/_{BUILT_BY}/{origin}") and same_partitions(
         stage_partitions(spark, path, partition), partitions, partition
     ):
@@ -94,10 +100,35 @@ def shared_temp(
 BUILT_BY = "built_by"
 
 
-def _fingerprint(sql: str, rows: DataFrame, inputs: Mapping[str, DataFrame]) -> str:
+def _fingerprint(sql: str, rows: DataFrame, inputs: Mapping[str, DataFrame], files: DataFrame | None) -> str:
     """A digest of the rendered SQL, the result's schema and the files of every input."""
-    files = {name: sorted(frame.inputFiles()) for name, frame in inputs.items()}
-    return hashlib.sha256(json.dumps([sql, rows.schema.json(), files], sort_keys=True).encode()).hexdigest()
+    if files is not None:
+        found = [files_fingerprint(files)]
+    else:
+        found = [f"{name}={files_fingerprint(_files_of(frame))}" for name, frame in sorted(inputs.items())]
+    return hashlib.sha256(json.dumps([sql, rows.schema.json(), found]).encode()).hexdigest()
+
+
+def _files_of(frame: DataFrame) -> DataFrame:
+    """The files that a frame is read from; a frame that is not read from files has none."""
+    try:
+        known = frame.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    except AnalysisException:
+        return frame.sparkSession.createDataFrame([], "file_path string, file_size long, file_modification_time timestamp")
+    return known.distinct()
+
+
+def input_files(
+    spark: SparkSession, pipelines: Mapping[str, Pipeline], spec: TableSpec, partitions: list[int]
+) -> DataFrame:
+    """The files of all inputs' chosen partitions, from their listings: nothing is opened."""
+    frames = []
+    for (owner, name), stage in spec.inputs.items():
+        home = pipelines[owner]
+        listed = stage_files(spark, home.path(name, stage), home.partition)
+        chosen = listed.where(F.col(home.partition).isin([int(p) for p in partitions]))
+        frames.append(chosen.select(F.lit(f"{owner}.{name}").alias("input"), "file", "size", "modified"))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def run_derived(
@@ -122,10 +153,14 @@ def run_derived(
         frames = named_inputs(input_scans(spark, pipelines, pipeline, spec.name, partitions), pipeline)
         values = template_values(part, home.env, partitions, options.tag, options.params, table_name=spec.name)
         args = {"snapshot_timestamps": partitions}
-        if spec.uses_shared_sql:
-            for name, sql in (home.shared_sql.get("derived") or {}).items():
-                path = f"{options.shared_path or workspace(spark)}/shared/{home.name}/{name}"
-                frames[name], _ = shared_temp(spark, path, sql, values, frames, part, partitions)
+        shared = (home.shared_sql.get("derived") or {}) if spec.uses_shared_sql else {}
+        files = settle(input_files(spark, pipelines, spec, partitions), "input-files") if shared else None
+        for name, sql in shared.items():
+            path = f"{options.shared_path or workspace(spark)}/shared/{home.name}/{name}"
+            frames[name], _ = shared_temp(spark, path, sql, values, frames, part, partitions, files)
+            # What is built from this table has its files among its own.
+            own = stage_files(spark, path, part).select(F.lit(f"shared.{name}").alias("input"), "file", "size", "modified")
+            files = files.unionByName(own)
         for name, sql in spec.temp_sql.items():
             frames[name] = run_template(spark, sql, values, frames, args)
         sql = final_sql(spec, hooks)

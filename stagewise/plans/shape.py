@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from stagewise.operators.partitions import unprocessed_all
 from stagewise.operators.shaping import ShapeOptions
 from stagewise.plans.hooks import Hooks, ShapeContext, apply_shape
-from stagewise.sinks.write import publish, write_partitioned
+from stagewise.sinks.write import publish
 from stagewise.sources.inventory import Window
 from stagewise.sources.scans import landed, scan_partitions
 from stagewise.spec import TABLE_KINDS, Pipeline
@@ -58,8 +58,5 @@ def run_shape(
     shaped = apply_shape(frame, spec.kind, hooks or Hooks(), ShapeContext(table, given, wanted, options))
     path, written = pipeline.path(table, stage), spec.formats[stage]
     gather = len(wanted.partitions) > 1
-    if written == "parquet":
-        publish(shaped, path, wanted, unit=part, gather=gather, cast=True, units=todo)
-    else:
-        write_partitioned(shaped, path, wanted, written, gather=gather)
+    publish(shaped, path, wanted, unit=part, gather=gather, cast=True, units=todo, fmt=written)
     return todo

@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewise.contract import Contract, ContractError
@@ -25,7 +25,7 @@ from stagewise.sources.files import (
     replace_folders,
     set_mark,
 )
-from stagewise.sources.inventory import file_inventory, file_system, path_below, schema_inventory
+from stagewise.sources.inventory import file_inventory, file_system, headers, path_below, schema_inventory
 
 # The kind of mark that a unit without rows gets.
 PROCESSED = "processed"
@@ -108,6 +108,7 @@ def publish(
     gather: bool = True,
     cast: bool = False,
     units: Sequence[int] | None = None,
+    fmt: str = "parquet",
 ) -> str:
     """Write to a staging area beside the target, check the schema of every file, then replace the partitions.
 
@@ -119,7 +120,8 @@ def publish(
     leaves old and new files, which the next run of the same units replaces. The staging area is deleted in any case.
 
     ``units`` are all values of ``unit`` that the frame stands for. Those it has no rows of are cleared in the target
-    and marked there as processed, so that they are not chosen again.
+    and marked there as processed, so that they are not chosen again. Text files (``fmt``) are published the same way;
+    what is checked of them is their columns.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     if unit and unit not in contract.partitions:
@@ -128,8 +130,8 @@ def publish(
         check_frame(df, contract)
     staging = f"{path}_staging/{uuid.uuid4().hex[:12]}"
     try:
-        write_partitioned(df, staging, contract, gather=gather, fresh=True)
-        check_files(spark, staging, contract)
+        write_partitioned(df, staging, contract, fmt, gather=gather, fresh=True)
+        check_files(spark, staging, contract, fmt)
         found = written_units(spark, staging, unit) if unit and units is not None else set()
         replace_partitions(spark, staging, path, contract, unit)
         if unit and units is not None:
@@ -179,15 +181,26 @@ def append_batch(df: DataFrame, path: str, partitions: Sequence[str], fmt: str,
         delete_path(spark, staging)
 
 
-def check_files(spark: SparkSession, path: str, contract: Contract) -> None:
-    """Fail unless every Parquet file below a path conforms to the contract."""
-    stored = contract.without(contract.null_typed())
-    problems = conforms(schema_inventory(spark, path, "parquet"), stored)
-    # A message names some of them; the count covers all.
-    found = problems.select("*", F.count("*").over(Window.partitionBy()).alias("all")).limit(20).collect()
+def check_files(spark: SparkSession, path: str, contract: Contract, fmt: str = "parquet") -> None:
+    """Fail unless every file below a path conforms to the contract.
+
+    Of Parquet files all names and types are compared, of CSV files the header, which must be the contract's. JSON
+    records leave out what is null, so of them only columns that the contract lacks are faults.
+    """
+    stored, inventory = contract.without(contract.null_typed()), schema_inventory(spark, path, fmt)
+    if fmt == "parquet":
+        problems = conforms(inventory, stored)
+    else:
+        names = [c.name for c in stored.data_columns]
+        own = headers(inventory)
+        header, wanted = F.col("header"), F.lit(names).cast("array<string>")
+        wrong = header != wanted if fmt == "csv" else F.size(F.array_except(header, wanted)) > 0
+        problems = own.where(wrong).select("file", F.array_join("header", ",").alias("path"), F.lit("columns differ").alias("problem"))
+    # A message names some of them; only if there are any are all counted.
+    found = problems.limit(20).collect()
     if found:
         lines = "; ".join(f"{r['path']} {r['problem']} in {r['file']}" for r in found)
-        raise ContractError(f"files do not match the contract of '{contract.name}', {found[0]['all']} faults: {lines}")
+        raise ContractError(f"files do not match the contract of '{contract.name}', {problems.count()} faults: {lines}")
 
 
 def replace_partitions(

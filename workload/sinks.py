@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stagewise.contract import ColumnSpec, Contract
 from stagewise.session import scratch_path
 from stagewise.sinks.catalog import register
+from stagewise.sinks.switch import create_switched, drop_replaced, publish_switched
 from stagewise.sinks.write import publish, write_partitioned
 from stagewise.sources.scans import read_stage
 from stagewise.spec import Pipeline, TableSpec
@@ -99,3 +100,24 @@ def q_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     shop = Pipeline("shop", f"t{uuid.uuid4().hex[:8]}", {"curated": base}, {"events": spec}, PART)
     name = register(spark, shop, "events", "curated", "sw", f"{base}_database")
     return spark.table(name)
+
+
+@query(
+    "publish_switched",
+    f"""
+    SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_shipdate, {SHIP_MONTH} AS land_ts
+    FROM lineitem WHERE l_returnflag <> 'R' OR {SHIP_MONTH} < 19970101
+    """,
+)
+def q_switched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months are published twice by switching their locations in the catalog; what was replaced is dropped."""
+    path, database = scratch_path(spark, "switched"), f"sw_{uuid.uuid4().hex[:8]}"
+    rows = lineitem(spark, sf_dir).select(*LINES.column_names)
+    name = create_switched(spark, database, LINES, path)
+    publish_switched(rows, name, path, LINES, PART)
+    late = rows.where((F.col(PART) >= 19970101) & (F.col("l_returnflag") != "R"))
+    months = [r[PART] for r in rows.where(F.col(PART) >= 19970101).select(PART).distinct().collect()]
+    run = publish_switched(late, name, path, LINES, PART, units=months)
+    drop_replaced(spark, name, path, LINES, before=run)
+    return spark.table(name).select(*LINES.column_names)
+
