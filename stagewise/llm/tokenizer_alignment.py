@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -43,11 +44,11 @@ from stagewise.llm.words import text_slices
 from stagewise.session import settle, ship_package
 
 # Text bytes of a chunk, of the part of a long text that is encoded at once, and links of a chunk row.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 CUT_BYTES = 200_000
-CHUNK_LINKS = 2_000_000
+CHUNK_LINKS = 1_000_000
 # Texts of so many bytes are aligned together.
-ALIGN_BYTES = 1_000_000
+ALIGN_BYTES = 300_000
 
 # Latin letters end here.
 STABLE = "\u0250"
@@ -93,31 +94,27 @@ class PairEncoder:
     """Both tokenizers of a Python worker. The files are named by full paths."""
 
     def __init__(self, byte_file: str, piece_file: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are what runs side by side
         import public_tokenizers
         import sentencepiece
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(byte_file)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
+        self.byte_file = byte_file
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
-        letters, special = byte_of_letter(), {t.content for t in self.a.get_added_tokens_decoder().values()}
-        names = [self.a.id_to_token(i) for i in range(self.a.get_vocab_size())]
-        self.a_bytes = Vocabulary.of(
-            [n.encode() if n in special else bytes(letters[c] for c in n) for n in names]
-        )
-        ranks = {bytes(letters[c] for c in n): i for i, n in enumerate(names) if n not in special}
+        with open(byte_file, encoding="utf-8") as file:
+            described = json.load(file)
+        names, letters = described["model"]["vocab"], byte_of_letter()
+        special = {t["content"]: t["id"] for t in described["added_tokens"]}
+        tokens = {i: bytes(letters[c] for c in n) for n, i in names.items() if n not in special}
         self.plain = tiktoken.Encoding(
-            "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            "byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in tokens.items()}, special_tokens={}
         )
+        tokens |= {i: n.encode() for n, i in special.items()}
+        self.a_bytes = Vocabulary.of([tokens.get(i, b"") for i in range(max(tokens) + 1)])
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = Vocabulary.of(
             [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         )
-        if max(len(names), len(pieces)) > 1 << 16:
+        if max(len(tokens), len(pieces)) > 1 << 16:
             raise ValueError("id pairs are packed into 32 bits: vocabularies have at most 65,536 ids")
         # Cutting texts before spaces rests on this.
         self.cuttable = not any("▁" in p.lstrip("▁") for p in pieces)
@@ -142,11 +139,23 @@ class PairEncoder:
         """Ids of side A. Below ``STABLE`` all Unicode versions class characters alike, so the faster library may do it."""
         stable = [not t or max(t) < STABLE for t in texts]
         others = [t for t, plain in zip(texts, stable, strict=True) if not plain]
-        found = iter(self.a.encode_batch_fast(others, add_special_tokens=False))
+        found = iter(self.a.encode_batch_fast(others, add_special_tokens=False) if others else ())
         return [
             self.plain.encode_ordinary(t) if plain else next(found).ids for t, plain in zip(texts, stable, strict=True)
         ]
 
+    @functools.cached_property
+    def a(self):
+        """The library's own encoder of side A, loaded only where it is needed."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are what runs side by side
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.byte_file)
+        found.no_truncation()
+        found.no_padding()
+        found.encode_special_tokens = True
+        return found
+
     def parts(self, raw: bytes) -> Iterator[bytes]:
         """A long text in parts, each without the space before it."""
         at = 0
@@ -225,7 +234,8 @@ def align(found: list[tuple[np.ndarray, np.ndarray] | None], vocabularies: tuple
     return Aligned(n_a, n_b, np.diff(bounds), digests, (a[last_a] << 16) | b[last_b], bounds)
 
 
-# A chunk row: documents by a number of their row, with what is known of each, and their links as packed id pairs.
+# A chunk row: documents by a number of their row, with what is known of each, the chunk's distinct id pairs (packed), and
+# the place among these of each link.
 # A row that goes on with a text's links repeats its number with zeros.
 _CHUNK = (
     "chunk bigint, rows array<bigint>, ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
@@ -335,14 +345,14 @@ def _chunk_rows(
 
 
 def _packed(rows, ids, known: dict[str, np.ndarray], digests: list[str], bounds: np.ndarray, links: np.ndarray) -> dict:
-    pairs, times = np.unique(links, return_counts=True)
+    pairs, places, times = np.unique(links, return_inverse=True, return_counts=True)
     return {
         "rows": rows,
         "ids": ids,
         **known,
         "digests": digests,
         "bounds": bounds.astype(np.int32),
-        "links": links.astype(np.uint32).view(np.int32),
+        "links": places.astype(np.int32),
         "pairs": pairs.astype(np.uint32).view(np.int32),
         "times": times.astype(np.int32),
     }
@@ -359,9 +369,9 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(links):
                 told = column["counts"].values
                 pair, count, best = (told.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2))
-                order = np.argsort(pair)
-                place = order[np.searchsorted(pair[order], links)]
-                sums = [np.concatenate([[0], np.cumsum(x[place], dtype=np.int64)]) for x in (best, count)]
+                # In the order of the chunk's own pairs.
+                order = np.argsort(pair.view(np.uint32))
+                sums = [np.concatenate([[0], np.cumsum(x[order][links], dtype=np.int64)]) for x in (best, count)]
                 n_best, count_sum = (s[bounds[1:]] - s[bounds[:-1]] for s in sums)
             yield pa.RecordBatch.from_arrays(
                 [
