@@ -13,7 +13,8 @@ the logarithm of the longest chain.
 A link is a pair of an A and a B token that end together; the count of an id pair is how many links of the whole corpus
 have it. Texts are packed into chunks, each chunk counts its own pairs first, and only distinct pairs of chunks go through
 the shuffle, to be counted and, in a join, to get their counts back. So a pair that is everywhere is one row of each chunk,
-and nothing is as long as the corpus. Chunks are written, so lost executors repeat tasks, not encodings.
+and nothing is as long as the corpus. Chunks are written, compressed, so lost
+executors repeat tasks, not encodings.
 
 A long text is cut before single spaces between ASCII letters, where neither vocabulary has a token that goes on (its
 pre-tokenizer starts a new word there, and no piece has a space behind another character), and its links go into as many
@@ -40,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stagewise.llm.exchange import join_parts, pack, split_parts, unpack
 from stagewise.llm.words import text_slices
 from stagewise.session import settle, ship_package
 
@@ -234,21 +236,19 @@ def align(found: list[tuple[np.ndarray, np.ndarray] | None], vocabularies: tuple
     return Aligned(n_a, n_b, np.diff(bounds), digests, (a[last_a] << 16) | b[last_b], bounds)
 
 
-# A chunk row: documents by a number of their row, with what is known of each, the chunk's distinct id pairs (packed), and
-# the place among these of each link.
-# A row that goes on with a text's links repeats its number with zeros.
-_CHUNK = (
-    "chunk bigint, rows array<bigint>, ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, "
-    "digests array<string>, bounds array<int>, links array<int>, pairs array<int>, times array<int>"
-)
+# A chunk row: its distinct id pairs, how many links have each, and, packed, its documents by a number of their row, with
+# what is known of each, and the place of each link's pair among the distinct ones. A row that goes on with a text's links
+# repeats its number with zeros.
+_CHUNK = "chunk bigint, pairs array<int>, times array<int>, packed binary"
 _CHUNK_ARROW = pa.schema(
     [
         ("chunk", pa.int64()),
-        *((name, pa.list_(pa.int64())) for name in ("rows", "ids", "n_a", "n_b", "n_groups")),
-        ("digests", pa.list_(pa.string())),
-        *((name, pa.list_(pa.int32())) for name in ("bounds", "links", "pairs", "times")),
+        ("pairs", pa.list_(pa.int32())),
+        ("times", pa.list_(pa.int32())),
+        ("packed", pa.binary()),
     ]
 )
+_NUMBERS = ("rows", "ids", "n_a", "n_b", "n_groups", "bounds")
 _RESULT = "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 
@@ -263,7 +263,7 @@ def align_tokenizers(documents: DataFrame, byte_file: str, piece_file: str) -> D
         .groupBy("chunk")
         .agg(F.collect_list(F.struct("pair", "count", "best")).alias("counts"))
     )
-    told = chunks.drop("pairs", "times").join(answers, "chunk", "left")
+    told = chunks.select("chunk", "packed").join(answers, "chunk", "left")
     parts = told.mapInArrow(_totals, _RESULT)
     # Only a text with very many links has several rows; the others go through as they are.
     return (
@@ -346,40 +346,49 @@ def _chunk_rows(
 
 def _packed(rows, ids, known: dict[str, np.ndarray], digests: list[str], bounds: np.ndarray, links: np.ndarray) -> dict:
     pairs, places, times = np.unique(links, return_inverse=True, return_counts=True)
+    numbers = {"rows": np.array(rows), "ids": np.array([i or 0 for i in ids]), **known, "bounds": bounds}
+    parts = [pack(numbers[n].astype(np.int64)) for n in _NUMBERS]
+    parts += [pack(np.array([i is not None for i in ids], np.uint8)), "\n".join(digests).encode(), pack(places.astype(np.int32))]
     return {
-        "rows": rows,
-        "ids": ids,
-        **known,
-        "digests": digests,
-        "bounds": bounds.astype(np.int32),
-        "links": places.astype(np.int32),
         "pairs": pairs.astype(np.uint32).view(np.int32),
         "times": times.astype(np.int32),
+        "packed": join_parts(parts),
+    }
+
+
+def unpacked(raw: bytes) -> dict:
+    """What ``_packed`` has packed, by name."""
+    *numbers, known, digests, links = split_parts(raw)
+    found = {n: unpack(x, np.int64) for n, x in zip(_NUMBERS, numbers, strict=True)}
+    return found | {
+        "known": unpack(known, np.uint8).astype(bool),
+        "digests": digests.decode().split("\n"),
+        "links": unpack(links, np.int32),
     }
 
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     for batch in batches:
-        for at in range(batch.num_rows):
-            column = {n: batch.column(n)[at] for n in batch.schema.names}
-            numbers = lambda name: column[name].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
-            bounds, links = numbers("bounds"), numbers("links")
+        for packed, told in zip(batch.column("packed"), batch.column("counts"), strict=True):
+            chunk = unpacked(packed.as_py())
+            bounds, links = chunk["bounds"], chunk["links"]
             n_best = count_sum = np.zeros(len(bounds) - 1, np.int64)
             if len(links):
-                told = column["counts"].values
-                pair, count, best = (told.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2))
+                pair, count, best = (told.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2))
                 # In the order of the chunk's own pairs.
                 order = np.argsort(pair.view(np.uint32))
                 sums = [np.concatenate([[0], np.cumsum(x[order][links], dtype=np.int64)]) for x in (best, count)]
                 n_best, count_sum = (s[bounds[1:]] - s[bounds[:-1]] for s in sums)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(column[k].values for k in ("rows", "ids", "n_a", "n_b", "n_groups")),
+                    pa.array(chunk["rows"]),
+                    pa.array(chunk["ids"], mask=~chunk["known"]),
+                    *(pa.array(chunk[k]) for k in ("n_a", "n_b", "n_groups")),
                     pa.array(np.diff(bounds), pa.int64()),
                     pa.array(n_best, pa.int64()),
                     pa.array(count_sum, pa.int64()),
-                    column["digests"].values,
+                    pa.array(chunk["digests"], pa.string()),
                 ],
                 names=names,
             )
