@@ -145,6 +145,7 @@ def run_derived(
     """
     home, built = pipelines[pipeline], {}
     part = home.partition
+    (hooks or Hooks()).install(spark)
     for spec in home.select(tables, ["derived"], ["derived"]):
         partitions = new_partitions(spark, pipelines, home, spec, options)
         built[spec.name] = partitions

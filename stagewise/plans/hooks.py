@@ -41,6 +41,8 @@ class Hooks:
 
     shape: dict[str, ShapeHook] = field(default_factory=dict)
     sql: dict[str, SqlHook] = field(default_factory=dict)
+    functions: dict[str, Callable] = field(default_factory=dict)
+    table_functions: dict[str, Callable] = field(default_factory=dict)
 
     def register(self, table: str, fn: ShapeHook) -> ShapeHook:
         self.shape[table] = fn
@@ -51,6 +53,36 @@ class Hooks:
         return fn
 
 
+    def register_function(self, name: str, fn: Callable) -> Callable:
+        """A function for template SQL: an Arrow or Pandas UDF, one over columns or over the columns of a group."""
+        self.functions[_function_name(name)] = fn
+        return fn
+
+    def register_table_function(self, name: str, fn: Callable) -> Callable:
+        """A table function for template SQL, such as an Arrow UDTF, for use in FROM or LATERAL."""
+        self.table_functions[_function_name(name)] = fn
+        return fn
+
+    def install(self, spark: SparkSession) -> None:
+        """Make the functions known to a session under their names. Spark's own functions are never hidden."""
+        for name, fn in (*self.functions.items(), *self.table_functions.items()):
+            if name not in _installed.get(spark.sparkContext.applicationId, {}) and spark.catalog.functionExists(name):
+                raise ContractError(f"there is a function '{name}' already")
+            known = spark.udtf if name in self.table_functions else spark.udf
+            known.register(name, fn)
+            _installed.setdefault(spark.sparkContext.applicationId, {})[name] = fn
+
+
+# By application: the functions that were installed.
+_installed: dict[str, dict[str, Callable]] = {}
+
+
+def _function_name(name: str) -> str:
+    if not name.isidentifier():
+        raise ContractError(f"'{name}' cannot be the name of a function")
+    return name.lower()
+
+
 def apply_shape(df: DataFrame, kind: str, hooks: Hooks, ctx: ShapeContext) -> DataFrame:
     """The table's own transform if it is not a default table and has one, else the default shaping."""
     hook = hooks.shape.get(ctx.table) if kind != "default" else None

@@ -17,6 +17,7 @@ from stagewise.contract import ColumnSpec, Contract, ContractError
 from stagewise.functions.checks import Rule
 from stagewise.functions.tokens import plain_path
 from stagewise.operators.partitions import promote
+from stagewise.operators.profiles import column_profiles
 from stagewise.operators.quality import all_must_pass, check_columns, lint_report, missing_required
 from stagewise.session import settle
 from stagewise.sources.files import path_exists
@@ -84,10 +85,13 @@ def land_frames(
     return [f.where(~F.col("file").isin(broken)) for f in frames] if broken else frames
 
 
-def lint_table(spark: SparkSession, pipeline: Pipeline, table: str, stage: str, log: str) -> DataFrame:
+def lint_table(
+    spark: SparkSession, pipeline: Pipeline, table: str, stage: str, log: str, profile: str | None = None
+) -> DataFrame:
     """Check all landed files of one table; the report goes to ``log`` and the verdicts are read from it.
 
-    A file that cannot be opened, or is of another format than the table's, fails by itself.
+    A file that cannot be opened, or is of another format than the table's, fails by itself. With a path for them, column
+    profiles of each file are written too.
     """
     spec = pipeline.table(table)
     path, fmt, contract = pipeline.path(table, "land"), spec.formats["land"], spec.contract(stage)
@@ -107,6 +111,9 @@ def lint_table(spark: SparkSession, pipeline: Pipeline, table: str, stage: str,
     frames = land_frames(spark, path, spec, stored, inventory, broken)
     # A row with more or fewer cells than the header fails its file, whatever its cells hold.
     cells = [Rule("*", "cells", F.col(CORRUPT).isNotNull())] if fmt == "csv" else []
+    if profile and frames:
+        found_in = [column_profiles(rows, checked) for rows in frames]
+        reduce(DataFrame.unionByName, found_in).write.mode("overwrite").parquet(profile)
     reports = [lint_report(rows, checked, ["file"], more=cells) for rows in frames]
     reports.append(
         problems.select(
@@ -138,13 +145,15 @@ def run_lint(
     tables: Sequence[str] | None = None,
     stage: str = "raw_hist",
     temp_staging: bool = False,
+    profiles: bool = False,
 ) -> LintResult:
     """Lint every table that has landed files, and move its files by their verdicts.
 
     Passing files keep their bytes and names and get a folder of the landing partition ``run_ts``, unless they lie
     in one already. With ``temp_staging`` they go to a temporary area first, which must then hold one landing
     partition, and are promoted under ``run_ts``. If all must pass and one fails, no file is taken from the landing
-    area; failing files are copied to the fail area.
+    area; failing files are copied to the fail area. With ``profiles``, column profiles of each file are kept in the log,
+    where ``merge_profiles`` adds up those of any number of runs.
     """
     specs = [s for s in pipeline.select(list(tables) if tables else None, ["land"]) if s.lint]
     full = [s for s in specs if _has_files(spark, pipeline.path(s.name, "land"))]
@@ -156,7 +165,8 @@ def run_lint(
     verdicts = {}
     for spec in full:
         kept = f"{base}/log/{spec.name}/verdicts/run={run_ts}"
-        lint_table(spark, pipeline, spec.name, stage, logs[spec.name]).write.mode("overwrite").parquet(kept)
+        profile = f"{base}/log/{spec.name}/profile/run={run_ts}" if profiles else None
+        lint_table(spark, pipeline, spec.name, stage, logs[spec.name], profile).write.mode("overwrite").parquet(kept)
         verdicts[spec.name] = spark.read.schema(VERDICT_SCHEMA).parquet(kept)
     empty = spark.createDataFrame([], VERDICT_SCHEMA)
     total = all_must_pass(reduce(DataFrame.unionByName, verdicts.values(), empty)).first()

@@ -101,6 +101,7 @@ def sql_load(
         table_name=table,
         sql_columns=", ".join(f"`{c}`" for c in columns),
     )
+    (hooks or Hooks()).install(spark)
     result = run_template(spark, sql, values, {table: frame}, {"snapshot_timestamps": list(partitions)})
     path = pipeline.path(table, done)
     result = apply_sql(result, spec.kind, table, hooks or Hooks(), SqlContext(spark, sql, wanted, path))

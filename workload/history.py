@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagewise.contract import ColumnSpec, Contract
+from stagewise.operators.history import check_key_history, write_key_filters
 from stagewise.operators.shaping import ShapeOptions
 from stagewise.plans.derived import shared_temp
 from stagewise.plans.hooks import Hooks, ShapeContext
@@ -27,7 +29,7 @@ from workload.jobs import (
     pipeline,
     read_events,
 )
-from workload.registry import EVENT_DAY, ORDER_MONTH, PART, events, land, orders, query
+from workload.registry import EVENT_DAY, ORDER_MONTH, PART, SHIP_MONTH, events, land, lineitem, orders, query
 
 # Rows with such a value come in late files.
 LATE = 480
@@ -126,3 +128,31 @@ def q_shape_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = run_shape(spark, shop, "events", options=ShapeOptions(), hooks=hooks)
     rows = spark.read.schema(CURATED_EVENTS.struct()).option("header", True).csv(f"{base}/curated/events")
     return rows.withColumn("chosen_again", F.lit(len(again)))
+
+
+LINE_KEYS = Contract(
+    "lineitem",
+    (ColumnSpec("l_orderkey", "int64"), ColumnSpec("l_linenumber", "int64"), ColumnSpec(PART, "int64")),
+    (PART,),
+)
+# The month that arrives.
+NEW_MONTH = f"(SELECT max({SHIP_MONTH}) FROM lineitem WHERE {SHIP_MONTH} <= 19960601)"
+
+
+@query(
+    "primary_key_history",
+    f"""
+    WITH l AS (SELECT l_orderkey, {SHIP_MONTH} AS land_ts FROM lineitem), m AS (SELECT {NEW_MONTH} AS latest)
+    SELECT l_orderkey, land_ts, count(*) AS occurrences FROM l JOIN m ON land_ts < latest
+    WHERE l_orderkey IN (SELECT l_orderkey FROM l JOIN m ON land_ts = latest) GROUP BY ALL
+    """,
+)
+def q_key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of the newest month that have lines in earlier months; months whose filter has none are not read."""
+    path = scratch_path(spark, "keys")
+    rows = lineitem(spark, sf_dir).select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), PART)
+    latest = rows.where(F.col(PART) <= 19960601).agg(F.max(PART)).first()[0]
+    old = rows.where(F.col(PART) != latest)
+    land(old, path)
+    write_key_filters(old, path, ["l_orderkey"], PART)
+    return check_key_history(rows.where(F.col(PART) == latest), path, LINE_KEYS, ["l_orderkey"], PART, before=latest)
