@@ -20,8 +20,10 @@ responses. No pages give no archive and no records. Extra columns are not read.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zipfile
@@ -43,6 +45,8 @@ SPAN_BYTES = 4_000_000  # records that are read at once
 LEVEL = 3
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+# Archive bytes that one task reads back.
+TASK_BYTES = 32_000_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -241,7 +245,9 @@ def _read_at(file, start: int, size: int) -> bytes:
 def read_archives(archives: DataFrame, payloads: bool = True, span_bytes: int = SPAN_BYTES) -> DataFrame:
     """The records of archives named in the column ``path``, with their payloads if asked for.
 
-    Digests of responses are compared with their payloads; a difference is an error.
+    Archives of other writers are read too: any number of data members below ``archive/``, and indexes below ``indexes/``,
+    gzipped or not. Records that are neither responses nor revisits come without a payload. Digests of responses are
+    compared with their payloads; a difference is an error.
     """
     ship_package(archives.sparkSession)
     spans = archives.select("path").mapInArrow(
@@ -252,8 +258,11 @@ def read_archives(archives: DataFrame, payloads: bool = True, span_bytes: int =
         "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, "
         "refers_to bigint, payload binary"
     )
-    # Tiny rows: one archive's records are dealt out to many tasks.
-    records = spans.repartition(F.xxhash64("path", "start")).mapInArrow(
+    # A row is a few numbers but stands for megabytes, so the number of tasks follows the archives' bytes, not the rows'.
+    spark = archives.sparkSession
+    size = archives.agg(F.sum("bytes")).first()[0] if "bytes" in archives.columns else None
+    tasks = max(spark.sparkContext.defaultParallelism, -(-(size or 0) // TASK_BYTES))
+    records = spans.repartition(tasks, F.xxhash64("path", "start")).mapInArrow(
         lambda batches: _read_spans(batches, payloads), schema
     )
     return records if payloads else records.drop("payload")
@@ -268,20 +277,13 @@ def _find_records(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.
     for batch in batches:
         for path in batch.column(0).to_pylist():
             with _open(path) as file:
-                members = {m.name: m for m in zip_members(file)}
-                data, index = members[DATA], members[INDEX]
-                if data.method or index.method:
-                    raise ValueError(f"the members of {path} are not stored")
-                base = member_start(file, data)
-                lines = _read_at(file, member_start(file, index), index.size).decode().splitlines()
+                places = _indexed_places(file, path)
             spans: list[tuple[int, list[int], list[int]]] = []
-            for line in lines:
-                place = json.loads(line[line.index(" {") + 1 :])
-                offset, length = int(place["offset"]), int(place["length"])
-                if not spans or offset + length + base - spans[-1][0] > limit:
-                    spans.append((base + offset, [], []))
+            for offset, length in sorted(places):
+                if not spans or offset + length - spans[-1][0] > limit:
+                    spans.append((offset, [], []))
                 start, offsets, lengths = spans[-1]
-                offsets.append(base + offset - start)
+                offsets.append(offset - start)
                 lengths.append(length)
             columns = [[path] * len(spans), *map(list, zip(*spans, strict=True))] if spans else [[], [], [], []]
             kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
@@ -291,6 +293,31 @@ def _find_records(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.
             )
 
 
+def _indexed_places(file, path: str) -> list[tuple[int, int]]:
+    """Where each indexed record of an archive starts in its file, and its length."""
+    members = zip_members(file)
+    data = {m.name.rsplit("/", 1)[1]: m for m in members if m.name.startswith("archive/") and not m.name.endswith("/")}
+    indexes = [m for m in members if re.fullmatch(r"indexes/.*\.cdxj?(\.gz)?", m.name)]
+    if not data or not indexes:
+        raise ValueError(f"{path} has no data below archive/ or no index below indexes/")
+    if any(m.method for m in (*data.values(), *indexes)):
+        raise ValueError(f"the members of {path} are not stored")
+    starts = {name: member_start(file, m) for name, m in data.items()}
+    found = set()
+    for member in indexes:
+        raw = _read_at(file, member_start(file, member), member.size)
+        text = gzip.decompress(raw) if member.name.endswith(".gz") else raw
+        for line in text.decode().splitlines():
+            if " {" not in line:
+                continue
+            place = json.loads(line[line.index(" {") + 1 :])
+            name = place.get("filename", "").rsplit("/", 1)[-1] or next(iter(data))
+            if name not in starts:
+                raise ValueError(f"the index of {path} names {name}, which is not in it")
+            found.add((starts[name] + int(place["offset"]), int(place["length"])))
+    return list(found)
+
+
 _RECORDS = pa.schema(
     [
         ("page_id", pa.int64()),
@@ -323,21 +350,35 @@ def parse_record(packed: bytes) -> tuple:
     version, *lines = head.decode().split("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError("not a WARC record")
-    fields = dict(line.split(": ", 1) for line in lines)
-    block = rest[: int(fields["Content-Length"])]
+    fields = _named(lines)
+    kind, url = fields["warc-type"], fields.get("warc-target-uri")
+    block = rest[: int(fields["content-length"])]
+    if kind not in ("response", "revisit"):
+        return None, url, len(block), None, kind, None, None
     http, _, payload = block.partition(b"\r\n\r\n")
-    declared = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
-    digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-    size = int(declared["Content-Length"])
-    if fields["WARC-Type"] == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
-        raise ValueError(f"the payload of {fields['WARC-Record-ID']} is damaged")
-    page, of = fields.get("WARC-Page-ID"), fields.get("WARC-Refers-To-Page-ID")
+    declared = _named(http.decode("utf-8", "replace").split("\r\n")[1:])
+    noted = fields.get("warc-payload-digest", "")
+    digest = base64.b32decode(noted.removeprefix("sha1:")).hex() if noted.startswith("sha1:") else None
+    # A response's own length is what counts: other writers may have taken a transfer's coding off.
+    size = int(declared["content-length"]) if kind == "revisit" and "content-length" in declared else len(payload)
+    if kind == "response":
+        actual = hashlib.sha1(payload).hexdigest()
+        if digest not in (None, actual):
+            raise ValueError(f"the payload of {fields['warc-record-id']} is damaged")
+        digest = actual
+    page, of = fields.get("warc-page-id"), fields.get("warc-refers-to-page-id")
     return (
         int(page) if page else None,
-        fields["WARC-Target-URI"],
+        url,
         size,
         digest,
-        fields["WARC-Type"],
+        kind,
         int(of) if of else None,
-        payload if fields["WARC-Type"] == "response" else None,
+        payload if kind == "response" else None,
     )
+
+
+def _named(lines: list[str]) -> dict[str, str]:
+    """Header fields by their names in lower case."""
+    pairs = [line.partition(":") for line in lines if ":" in line]
+    return {name.strip().lower(): value.strip() for name, _, value in pairs}

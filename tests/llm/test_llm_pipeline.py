@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
+import json
 import os
+import random
 import zipfile
 
 import brute
@@ -83,6 +86,46 @@ def test_pages_come_back_as_written(spark, path):
     assert warc.read_archives(none).count() == 0
 
 
+def _foreign(path, pages, shuffled):
+    """An archive as another writer makes it: two data members, a packed index sorted by address, other record kinds."""
+    lines, data = [], {"one.warc.gz": b"", "two.warc.gz": b""}
+    for n, (url, body) in enumerate(pages):
+        name = sorted(data)[n % 2]
+        for kind, block in (("request", b"GET / HTTP/1.1\r\n\r\n"), ("response", b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n" + body)):
+            head = f"WARC/1.0\r\nwarc-type: {kind}\r\nWARC-Target-URI:{url}\r\nContent-Length: {len(block)}\r\n\r\n"
+            record = gzip.compress(head.encode() + block + b"\r\n\r\n")
+            place = {"offset": len(data[name]), "length": len(record), "filename": f"archive/{name}"}
+            lines.append(f"{url} 2024 {json.dumps(place)}")
+            data[name] += record
+    shuffled.shuffle(lines)
+    index = gzip.compress("\n".join(["!meta", *lines[:3]]).encode()) + gzip.compress(("\n" + "\n".join(lines[3:])).encode())
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        for name, raw in {**{f"archive/{n}": d for n, d in data.items()}, "indexes/index.cdx.gz": index, "pages/pages.jsonl": b"{}"}.items():
+            z.writestr(name, raw)
+
+
+def test_archives_of_other_writers_are_read(spark, path):
+    pages = [(f"http://site/{n}", f"<p>{n}</p>".encode() * (n + 1)) for n in range(20)]
+    _foreign(f"{path}/other.wacz", pages, random.Random(2))
+    archives = spark.createDataFrame([(f"{path}/other.wacz",)], "path string")
+    found = warc.read_archives(archives, span_bytes=500).collect()
+    got = sorted((r["url"], bytes(r["payload"]), r["payload_digest"]) for r in found if r["record_type"] == "response")
+    assert got == sorted((u, b, hashlib.sha1(b).hexdigest()) for u, b in pages)
+    assert sum(r["record_type"] == "request" and r["payload"] is None for r in found) == 20
+    with zipfile.ZipFile(f"{path}/bare.wacz", "w") as z:
+        z.writestr("archive/one.warc.gz", b"")
+    with pytest.raises(Exception, match="no index below"):
+        warc.read_archives(spark.createDataFrame([(f"{path}/bare.wacz",)], "path string")).collect()
+
+
+def test_reading_back_is_dealt_out_by_the_bytes_of_the_archives(spark, path, monkeypatch):
+    pages = spark.createDataFrame([(n, "u", f"{n} " * 3000) for n in range(60)], "page_id long, url string, html string")
+    archives = warc.write_archives(pages.coalesce(1), f"{path}/a", archive_bytes=2_000)
+    monkeypatch.setattr(warc, "TASK_BYTES", 100)
+    size = archives.agg({"bytes": "sum"}).first()[0]
+    assert warc.read_archives(archives).rdd.getNumPartitions() == -(-size // 100) > 8
+
+
 # --- the pipeline ---
 
 
