@@ -144,3 +144,32 @@ def substring_dedup(documents, width=50):
                 gone |= set(range(at, at + width))
         out[doc] = (len(own), len(gone), " ".join(w for i, w in enumerate(own) if i not in gone))
     return out
+
+
+def license_votes(text, phrases, notices, slack=2, short=(0.9, 1.0), long=(60, 0.75, 1.15)):
+    """All labels and the score: matches of word pairs by diagonal, merged where diagonals are neighbours."""
+    found, labels, score = words(text, LETTERS), set(), 0.0
+    for exact, templates in ((True, phrases), (False, notices)):
+        for template, label in templates.items():
+            want = template.split(" ")
+            pairs = list(zip(want, want[1:]))
+            diagonals = {}
+            for p, pair in enumerate(zip(found, found[1:])):
+                for o, other in enumerate(pairs):
+                    if pair == other:
+                        diagonals.setdefault(p - o, set()).add(o)
+            spans = []
+            for d in sorted(diagonals):
+                if not spans or d > spans[-1][-1] + slack:
+                    spans.append([])
+                spans[-1].append(d)
+            for span in spans:
+                offsets = set().union(*(diagonals[d] for d in span))
+                length = max(d + max(diagonals[d]) for d in span) - min(d + min(diagonals[d]) for d in span) + 1
+                share = len(offsets) / len(pairs)
+                least, room = (long[1], math.floor(len(pairs) * long[2])) if len(pairs) >= long[0] else (short[0], len(pairs))
+                whole = any(len(diagonals[d]) == len(pairs) for d in span)
+                if whole if exact else share >= least and length <= room + 2 * slack:
+                    labels.add(label)
+                    score = max(score, share)
+    return ",".join(sorted(labels)), score

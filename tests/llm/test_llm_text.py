@@ -147,6 +147,39 @@ def test_license_base_is_what_plain_python_gives(spark):
     assert scan_licenses(frame(spark, [])).count() == 0
 
 
+def test_license_votes_are_those_of_plain_python(spark):
+    rng = random.Random(12)
+    templates = [*PHRASES, *NOTICES]
+    rows = []
+    for d in range(150):
+        parts = []
+        for template in rng.choices(templates, k=rng.randrange(0, 3)):
+            words = template.split(" ")
+            for _ in range(rng.choice([0, 0, 1, 3, len(words) // 10])):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randrange(2)] = rng.choice([[], ["other"], ["the", "x"]])
+            parts += words + rng.choices(["the", "license", "of", "software", "and"], k=rng.randrange(12))
+        rows.append((d, " ".join(parts)))
+    found = by_id(scan_licenses(frame(spark, rows)), "labels", "score")
+    assert found == {d: brute.license_votes(t, PHRASES, NOTICES) for d, t in rows}
+    assert sum(labels != "" for labels, _ in found.values()) > 60
+
+
+def test_license_templates_of_any_length(spark):
+    rng = random.Random(13)
+    long = {n: [f"{rng.choice('abcdefgh')}{rng.randrange(500)}" for _ in range(n)] for n in (2, 63, 64, 80, 125, 1500)}
+    notices = {" ".join(w): f"n{n}" for n, w in long.items()}
+    noisy = {n: [w if rng.random() > 0.1 else "changed" for w in ws] for n, ws in long.items() if n >= 80}
+    rows = [(n, " ".join(["before", *w, "after"])) for n, w in long.items()] + [(-n, " ".join(w)) for n, w in noisy.items()]
+    found = by_id(scan_licenses(frame(spark, rows), phrases={" ".join(long[64]): "whole"}, notices=notices), "labels", "score")
+    assert {n: found[n][0] for n in long} == {n: f"n{n}" if n != 64 else "n64,whole" for n in long}
+    assert all(found[n][1] == 1.0 for n in long) and all(found[-n][0] == f"n{n}" and 0.75 <= found[-n][1] < 1 for n in noisy)
+    assert found == {d: brute.license_votes(t, {" ".join(long[64]): "whole"}, notices) for d, t in rows}
+    for wrong in ("one", "two  spaces", ""):
+        with pytest.raises(ValueError, match="template"):
+            scan_licenses(frame(spark, rows), notices={wrong: "x"})
+
+
 def test_license_notices_add_labels_and_survive_small_changes(spark):
     grant = next(n for n, label in NOTICES.items() if label == "mit-notice")
     words = grant.split()
