@@ -24,7 +24,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
 from stagewise.llm.exchange import (
@@ -42,7 +41,7 @@ from stagewise.llm.exchange import (
     told,
     unpack,
 )
-from stagewise.llm.words import Words, mix
+from stagewise.llm.words import Words, mix, split_words
 from stagewise.session import settle
 
 WIDTH = 50
@@ -79,7 +78,8 @@ def runs_of(chunk: Chunk, width: int = WIDTH) -> Runs:
     if not len(at):
         none = np.empty(0, np.int64)
         return Runs(words, np.empty(0, np.uint64), none, none, none, np.empty(0, np.uint64))
-    keys, docs = lowest[at], owners[at]
+    # A minimum is a small hash: mixed, minimisers spread evenly over the buckets, and equal ones stay equal.
+    keys, docs = mix(lowest[at]), owners[at]
     heads = np.flatnonzero(
         np.concatenate([[True], (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1]) | (at[1:] != at[:-1] + 1)])
     )
@@ -182,6 +182,8 @@ def _sendings(
     chunk: Chunk, runs: Runs, flags: np.ndarray, buckets: int, width: int
 ) -> Iterator[tuple[int, int, bytes, int, int, int]]:
     """What each run that matters sends: (bucket, key, string, document id, first window, windows)."""
+    import xxhash
+
     packed = _Packed(runs.words)
     homes = bucket_of(runs.keys, buckets)
     for at in np.flatnonzero(flags).tolist():
@@ -245,34 +247,37 @@ def _first_documents(sent: list[bytes], width: int) -> tuple[list[bytes], bytes]
 
 
 def _sorted_windows(strings: dict[bytes, int], width: int) -> dict[bytes, np.ndarray]:
-    """Sort the windows of different strings; equal ones come to lie side by side."""
+    """Sort the windows of different strings; equal ones come to lie side by side.
+
+    What is sorted are hashes of the windows with their places. Neighbours with one hash are compared word for word.
+    """
     if len(strings) == 1:
         (string, doc), *_ = strings.items()
         return {string: np.full(string.count(b" ") - width + 2, doc, np.int64)}
-    windows: list[tuple[bytes, int, int]] = []
-    found = {}
-    for number, (string, _) in enumerate(strings.items()):
-        starts = [0]
-        at = string.find(b" ")
-        while at >= 0:
-            starts.append(at + 1)
-            at = string.find(b" ", at + 1)
-        starts.append(len(string) + 1)
-        count = len(starts) - width
-        found[string] = np.empty(count, np.int64)
-        windows += [(string[starts[w] : starts[w + width] - 1], number, w) for w in range(count)]
-    windows.sort()
-    owners, docs = list(found.values()), list(strings.values())
-    a = 0
-    while a < len(windows):
-        b, low = a, docs[windows[a][1]]
-        while b < len(windows) and windows[b][0] == windows[a][0]:
-            low = min(low, docs[windows[b][1]])
-            b += 1
-        for _, number, w in windows[a:b]:
-            owners[number][w] = low
-        a = b
-    return found
+    raw = b"\n".join(strings) + b"\n"
+    offsets = np.concatenate([[0], np.cumsum([len(s) + 1 for s in strings])]).astype(np.int64)
+    words = split_words(np.frombuffer(raw, np.uint8), offsets, "spaced", False)
+    hashes, inside = words.grams(width)
+    at = np.flatnonzero(inside)
+    docs = np.array(list(strings.values()), np.int64)[words.owners()[at]]
+    order = np.argsort(hashes[at], kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(hashes[at][order]) != 0]))
+    ends = np.append(heads[1:], len(order))
+    lowest = np.empty(len(at), np.int64)
+    lowest[order] = np.repeat(np.minimum.reduceat(docs[order], heads), ends - heads)
+    starts, stops = words.starts[at], words.ends[at + width - 1]
+    for a, b in zip(heads[ends - heads > 1].tolist(), ends[ends - heads > 1].tolist(), strict=True):
+        members = order[a:b].tolist()
+        first = raw[starts[members[0]] : stops[members[0]]]
+        if any(raw[starts[m] : stops[m]] != first for m in members[1:]):
+            # Different windows with one hash: each text by itself.
+            own: dict[bytes, list[int]] = {}
+            for m in members:
+                own.setdefault(raw[starts[m] : stops[m]], []).append(m)
+            for same in own.values():
+                lowest[same] = docs[same].min()
+    bounds = np.searchsorted(at, words.bounds)
+    return {s: lowest[x:y] for s, x, y in zip(strings, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)}
 
 
 def _kept(chunk: Chunk, got: dict[int, bytes], buckets: int, width: int) -> pa.RecordBatch:

@@ -11,12 +11,13 @@ import numpy as np
 import pytest
 
 from stagewise.llm import embedding_dedup, jaccard_join
+from stagewise.llm import words as words_module
 from stagewise.llm.components import connected_components
 from stagewise.llm.embedding_dedup import join_sequences, link_vectors
-from stagewise.llm.exchange import join_parts, pack, split_parts, unpack
+from stagewise.llm.exchange import Chunk, bucket_of, join_parts, pack, split_parts, unpack
 from stagewise.llm.jaccard_join import link_documents, plan_bands
 from stagewise.llm.language_model import learn_weights, score_texts
-from stagewise.llm.substring_dedup import dedup_substrings
+from stagewise.llm.substring_dedup import _sorted_windows, dedup_substrings, runs_of
 
 SCHEMA = "doc_id long, text string, chunk string, node int, keys string"
 
@@ -237,3 +238,27 @@ def test_scores_without_training_documents_and_of_odd_rows(spark):
 
 def test_jaccard_similarity_is_exact_at_the_border():
     assert jaccard_join.similar(90, 95, 95) and not jaccard_join.similar(89, 95, 95)
+
+
+def test_minimisers_spread_over_the_buckets():
+    rng = random.Random(6)
+    text = " ".join(f"w{rng.randrange(50_000)}" for _ in range(60_000)).encode()
+    data = np.frombuffer(text, np.uint8)
+    runs = runs_of(Chunk(0, "c", np.array([1]), np.array([True]), data, np.array([0, len(data)])))
+    shares = np.bincount(bucket_of(np.unique(runs.keys), 36), minlength=36) / len(np.unique(runs.keys))
+    assert len(runs.keys) > 2000 and shares.max() < 0.05 and shares.min() > 0.01
+
+
+def test_sorted_windows_are_compared_word_for_word(monkeypatch):
+    rng = random.Random(7)
+    strings = {" ".join(rng.choices("ab", k=rng.randrange(4, 30))).encode(): n for n in (5, 3, 9, 1, 7, 8)}
+    want, lowest = {}, {}
+    windows = lambda s: [b" ".join(s.split(b" ")[i : i + 4]) for i in range(s.count(b" ") - 2)]
+    for s, doc in strings.items():
+        for w in windows(s):
+            lowest[w] = min(doc, lowest.get(w, doc))
+    want = {s: [lowest[w] for w in windows(s)] for s in strings}
+    assert {s: x.tolist() for s, x in _sorted_windows(strings, 4).items()} == want
+    # The same if hashes say nothing.
+    monkeypatch.setattr(words_module, "gram_hashes", lambda hashes, n: np.zeros(max(0, len(hashes) - n + 1), np.uint64))
+    assert {s: x.tolist() for s, x in _sorted_windows(strings, 4).items()} == want
