@@ -10,7 +10,8 @@ candidates, at the start the shingle's position in the window implies (positiona
 the window there (length bound). What is left is compared word by word, byte for byte.
 
 Windows are dealt by hash into blocks of about ``block_windows``, so that what a block broadcasts is bounded however large
-the benchmark is; all documents are streamed past each block, and no document text is shuffled.
+the benchmark is; all documents are streamed past each block. With one block no document text is shuffled; with more, the
+blocks give numbers of rows, and the texts are joined to what was found once.
 
 Defined cases: null and empty texts have no words, so nothing hits. Items with a null id hit words, but are not counted
 or listed as items. Repeated items count once by id. Repeated documents, null ids and equal ids with different texts are
@@ -23,6 +24,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stagewise.llm.names import free_names
 from stagewise.llm.words import HashSet, Words, gram_hashes, split_words, word_slices
 from stagewise.session import settle, ship_package
 
@@ -88,20 +91,20 @@ def find_windows(
     rows = documents.select(*kept)
     if blocks == 1:
         return _search(rows, windows)
-    parts = [_search(rows, windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)) for b in range(blocks)]
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionAll(part)
-    # A row is found once in each block; rows that are equal in all columns come back as often as they went in.
-    names = [F.col(k) for k in kept]
-    merged = found.groupBy(*names, "n_words").agg(
+    # Written with a number for each row: the blocks' searches then give rows of numbers only, and the texts are joined
+    # back once, however many blocks there are.
+    (number,) = free_names(documents.columns, "row_number")
+    named = settle(rows.withColumn(number, F.monotonically_increasing_id()), "numbered-documents")
+    parts = [
+        _search(named.select(number, "text"), windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)).drop("text")
+        for b in range(blocks)
+    ]
+    merged = reduce(DataFrame.unionAll, parts).groupBy(number).agg(
+        F.max("n_words").alias("n_words"),
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.count("*").alias("__times"),
-    )
-    return merged.withColumn("__time", F.explode(F.expr(f"sequence(1, cast(__times / {blocks} as int))"))).select(
-        *names, "n_words", _merge_spans(F.col("spans")).alias("spans"), "items"
     )
+    return named.join(merged, number).select(*kept, "n_words", _merge_spans(F.col("spans")).alias("spans"), "items")
 
 
 def hit_words(spans: Column) -> Column:

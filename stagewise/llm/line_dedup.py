@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stagewise.llm.names import free_names
 from stagewise.session import settle
 
 WIDTH = 3
@@ -78,29 +79,30 @@ def repeated_runs(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
 def dedup_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``documents`` with their text cut, and ``n_lines`` and ``n_removed`` (lines before, lines gone)."""
     rest = [c for c in documents.columns if c not in (text, "n_lines", "n_removed")]
-    runs = repeated_runs(documents, doc_id, text).select(F.col("key").alias("__key"), F.col("runs").alias("__runs"))
+    key, held, whole_text, cut_lines = free_names(documents.columns, "key", "runs", "whole_text", "cut_lines")
+    runs = repeated_runs(documents, doc_id, text).select(F.col("key").alias(key), F.col("runs").alias(held))
     whole = documents.select(
         *[F.col(f"`{c}`") for c in rest],
-        F.col(text).alias("__text"),
-        _key(doc_id, text).alias("__key"),
+        F.col(text).alias(whole_text),
+        _key(doc_id, text).alias(key),
     )
-    lines, found = F.split("__text", "\n", -1), F.col("__runs")
+    lines, found = F.split(whole_text, "\n", -1), F.col(held)
     count = F.coalesce(F.size(lines), F.lit(0))
     # The pieces between the runs: from the end of one to the start of the next.
     starts = F.concat(F.array(F.lit(0)), found["end"])
     pieces = F.transform(
         F.arrays_zip(starts.alias("from"), F.concat(found["first"], F.array(count)).alias("to")),
-        lambda piece: F.slice(F.col("__lines"), piece["from"] + 1, piece["to"] - piece["from"]),
+        lambda piece: F.slice(F.col(cut_lines), piece["from"] + 1, piece["to"] - piece["from"]),
     )
     removed = F.aggregate(found, F.lit(0), lambda total, run: total + run["end"] - run["first"])
-    cut = F.when(found.isNull(), F.col("__text")).otherwise(F.array_join(F.flatten(pieces), "\n"))
+    cut = F.when(found.isNull(), F.col(whole_text)).otherwise(F.array_join(F.flatten(pieces), "\n"))
     return (
-        whole.join(runs, "__key", "left")
-        .withColumn("__lines", F.when(found.isNotNull(), lines))
+        whole.join(runs, key, "left")
+        .withColumn(cut_lines, F.when(found.isNotNull(), lines))
         .select(
             *[F.col(f"`{c}`") for c in rest],
             cut.alias(text),
-            F.when(F.col("__text").isNull(), 0).otherwise(count).cast("long").alias("n_lines"),
+            F.when(F.col(whole_text).isNull(), 0).otherwise(count).cast("long").alias("n_lines"),
             F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
         )
         .select(*documents.columns, *[c for c in ("n_lines", "n_removed") if c not in documents.columns])
