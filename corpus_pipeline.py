@@ -15,6 +15,7 @@ from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_fi
 from stagewise.llm.decontamination import find_windows
 from stagewise.llm.jaccard_join import Rule, link_documents
 from stagewise.llm.line_dedup import dedup_lines
+from stagewise.llm.names import free_names
 from stagewise.llm.toxicity import fit_toxicity, score_toxicity
 from stagewise.session import settle
 
@@ -24,15 +25,26 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 NEAR = Rule(words=5, least=80)
 
 
+def apart(docs: DataFrame) -> DataFrame:
+    """Id and text beside all other columns in one, so that none is taken for an operator's."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", *([F.struct(*rest).alias("rest")] if rest else []))
+
+
+def together(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(*[c if c in ("doc_id", "text") else F.col("rest").getField(c).alias(c) for c in docs.columns])
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model takes for toxic go."""
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
+    return together(score_toxicity(apart(docs), model).where(F.col("predicted") == 0), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of repeated three-line windows go from all documents but the first; ``n_chars`` follows the text."""
-    cut = dedup_lines(docs).select(*docs.columns)
+    cut = together(dedup_lines(apart(docs)), docs)
     if "n_chars" not in docs.columns:
         return cut
     return cut.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
@@ -46,31 +58,37 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     stays. Rows without words are like no other and all stay.
     """
     # Written before it is used twice: the names stay the same.
-    rows = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "named-rows")
-    found = link_documents(rows.select(F.col("_row").alias("doc_id"), "text"), rule=NEAR)
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "_row")
+    (row,) = free_names(docs.columns, "row")
+    rows = settle(docs.withColumn(row, F.monotonically_increasing_id()), "named-rows")
+    found = link_documents(rows.select(F.col(row).alias("doc_id"), "text"), rule=NEAR)
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), row)
     first = (
-        rows.select("_row", rank.alias("rank"))
-        .join(found.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
+        rows.select(row, rank.alias("rank"))
+        .join(found.select(F.col("doc_id").alias(row), "component_id"), row)
         .groupBy("component_id")
-        .agg(F.min_by("_row", "rank").alias("_row"))
+        .agg(F.min_by(row, "rank").alias(row))
     )
-    kept = settle(first.select("_row"), "first-of-group")
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    kept = settle(first.select(row), "first-of-group")
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = find_windows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(F.size("spans") == 0).select(*docs.columns)
+    found = find_windows(apart(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return together(found.where(F.size("spans") == 0), docs)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every document, with digests of the ids and of what they decode to."""
+    """The token ids of every document, with digests of the ids and of what they decode to.
+
+    Columns of the input that are named like one of these are replaced.
+    """
     path = public_file("word_bpe_49k.json")
-    decoded = decode_ids(encode_texts(docs, path).drop("text"), path)
+    made = ("text", "ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256")
+    rest = [c for c in docs.columns if c not in made]
+    decoded = decode_ids(encode_texts(docs.select(*rest, "text"), path).drop("text"), path)
     return decoded.select(
-        *[c for c in docs.columns if c != "text"],
+        *rest,
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
         joined_digest("ids").alias("ids_sha256"),
