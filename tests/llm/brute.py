@@ -100,12 +100,12 @@ def shingles(text, n=3):
     return {tuple(found[i : i + n]) for i in range(max(1, len(found) - n + 1))} if found else set()
 
 
-def jaccard_components(documents):
+def jaccard_components(documents, words=3, least=90):
     """{doc_id: (shingles, component)}."""
-    sets = {d: shingles(t) for d, t in documents.items()}
+    sets = {d: shingles(t, words) for d, t in documents.items()}
     links = []
     for a, b in itertools.combinations([d for d in sets if sets[d]], 2):
-        if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+        if 100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
             links.append((a, b))
     found = roots(list(sets), links)
     return {d: (len(sets[d]), found[d]) for d in sets}

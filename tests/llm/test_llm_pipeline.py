@@ -13,6 +13,7 @@ import zipfile
 import brute
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oracle import compare, connect
@@ -161,7 +162,7 @@ def test_every_stage_does_what_plain_python_does(spark, path):
     assert cut.columns == docs.columns and _texts(cut) == want | {None: texts[None]}
     assert all(r["n_chars"] == len(r["text"] or "") for r in cut.collect())
     first = stages["jaccard_join"](spark, docs, path)
-    found = brute.jaccard_components({d: t for d, t in texts.items() if d is not None})
+    found = brute.jaccard_components({d: t for d, t in texts.items() if d is not None}, 5, 80)
     assert first.columns == docs.columns
     assert _texts(first) == {d: t for d, t in texts.items() if d is None or found[d][1] == d}
     apart = stages["decontamination"](spark, docs, path)
@@ -169,11 +170,25 @@ def test_every_stage_does_what_plain_python_does(spark, path):
     ends = corpus_pipeline.run(spark, path).collect()
     chain = brute.line_dedup({d: t for d, t in texts.items() if d is not None and (d < 20 or d % 5)})
     chain = {d: t for d, (_, _, t) in chain.items()}
-    found = brute.jaccard_components(chain)
+    found = brute.jaccard_components(chain, 5, 80)
     assert {r["doc_id"] for r in ends} == {d for d in chain if found[d][1] == d and d != 8} | {None}
     assert all(r["n_tokens"] == len(r["ids"]) and "text" not in r for r in ends)
 
 
+def test_stages_keep_columns_whatever_their_names(spark, path):
+    _documents(spark, path)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    names = "row row_ key runs whole_text cut_lines __key __text _row component_id rank node row_number spans items n_words score ids n_tokens decoded".split()
+    more = docs.withColumns({n: F.lit(f"own {n}") for n in names})
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, more, path)
+        if name != "bpe":
+            assert made.columns == more.columns
+            assert all(made.where(F.col(n) != f"own {n}").isEmpty() for n in names) and not made.isEmpty()
+        else:
+            assert len(set(made.columns)) == len(made.columns) and dict(made.dtypes)["n_tokens"] == "bigint"
+
+
 def test_empty_documents_pass_every_stage(spark, path):
     _documents(spark, path)
     docs = spark.read.parquet(f"{path}/documents.parquet").where("doc_id < 0")
