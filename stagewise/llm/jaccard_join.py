@@ -4,21 +4,32 @@ A ``Rule`` has the words of a shingle and the least similarity in hundredths, t.
 
 Universe-partition pigeonhole. If ``100 |x & y| >= t |x | y|``, the sets differ in at most
 ``(|x| + |y|) (100 - t) / (100 + t)`` shingles, at 0.9 a nineteenth of their sizes. A size band bounds that by some H for
-all its pairs. Shingles are hashed into the segments of the band, and each segment is given 1 (its subset is indexed as
+all its pairs. Shingles are hashed into the segments of the band, and each segment is given 0, 1 (its subset is indexed as
 it is) or 2 (its subset and all subsets with one shingle less are). If what the segments are given sums up to H + 1,
 linked sets agree in the index of at least one segment: else every segment would differ in as much as it was given, more
-than H in all. Which segments get 2 is decided by cost from the number of documents in the band: subsets with deletions
-are more rows to index, but fewer and larger segments collide less by chance. A set is indexed in its own band and, if a
-partner there can be smaller, in the band below.
+than H in all. What a segment is given is decided by cost:
+
+* A band has ``SPARE`` times as many segments as it needs. Each set gives 1 to those whose lists are shortest, as many as
+  it needs, and 0 to the others, so frequent and empty subsets are not looked up. The order by the length of the list, then
+  by the key, is the same for all sets; so of sets that agree in more segments than may be left out, both give 1 to one of
+  those (as in prefix filtering).
+* Where the number of documents makes fewer and larger segments with deletions cheaper, a band gives 2 to some of just as
+  many segments as it needs, and no set leaves any out.
+
+A set is indexed in its own band and, if a partner there can be smaller, in the band below.
 
 From the index to components, without all pairs of a group:
 
 1. Equal sets are one class, named by its smallest document.
-2. Each signature's classes are paired with one of them, the pivot: the class with most shared signatures. Pairs are
-   verified exactly, by intersecting the sets.
-3. Components of the links so far. Where a signature still has classes of several components, their pairs are verified
-   too, but for those that the distances to the pivot rule out by the triangle inequality (Jaccard distance is a metric),
-   or sizes do.
+2. Each signature's classes are paired with one of them, the pivot: the class with most shared signatures. All classes
+   with one pivot are its family. Pairs of pivot and member are verified exactly, and leave the shingles in which they
+   differ. The links so far make components.
+3. Families whose members are in several components are searched by these differences: two members differ from each other
+   where just one of them differs from the pivot, so linked members share many differences. For members of different
+   components, of which one at least is not linked to the pivot, the least number of shared differences is known from the
+   distances to the pivot. So it suffices to join on the first differences in an order in which those that the pivot lacks
+   come first (they are rare), with bounds on sizes, distances and positions inside the join, and to verify what is left by
+   intersecting the differences.
 
 So components are those of all links. Shingles are known by 64-bit hashes, a set by two sums of hashes.
 
@@ -61,6 +72,8 @@ from stagewise.session import settle
 BAND_GROWTH = 1.5
 # What a candidate pair costs, in index rows.
 PAIR_COST = 50.0
+# Segments of a band without deletions, as a multiple of those that have to be looked up.
+SPARE = 1.5
 
 _OTHER = np.uint64(0xA24BAED4963EE407)
 
@@ -84,6 +97,11 @@ class Rule:
         """In how many shingles linked sets can differ whose sizes sum up to this."""
         return sizes * (100 - self.least) // (100 + self.least)
 
+    def lookups(self, sizes: np.ndarray, band: Band) -> np.ndarray:
+        """How many segments sets of these sizes have to look up: one more than a partner in the band can differ in."""
+        largest = np.minimum(100 * sizes // self.least, band.reach)
+        return (sizes + largest) * (100 - self.least) // (100 + self.least) + 1
+
     def similar(self, common, a, b):
         """Do two sets of sizes a and b with so many shingles in common link?"""
         return 100 * common >= self.least * (a + b - common)
@@ -135,7 +153,8 @@ def plan_bands(
         rows = sum(n for at, n in counts.items() if low <= at <= reach)
         choices = {-(-need // 2)} if double_all else {0, need // 4, -(-need // 2)}
         best = min(choices, key=lambda double: _cost(low, need, double, rows))
-        bands.append(Band(len(bands), low, high, reach, best, best + max(0, need - 2 * best)))
+        segments = best + max(0, need - 2 * best) if best else math.ceil(need * SPARE)
+        bands.append(Band(len(bands), low, high, reach, best, segments))
         low = high + 1
     return bands
 
@@ -180,11 +199,11 @@ def _sums(values: np.ndarray, owners: np.ndarray, size: int) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def signatures(sets: Sets, bands: list[Band]) -> tuple[np.ndarray, np.ndarray]:
-    """The index keys of all sets: (document, key)."""
+def signatures(sets: Sets, bands: list[Band]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The index keys of all sets: (document, key, number of the band)."""
     sizes = sets.sizes()
     owners = np.repeat(np.arange(len(sizes)), sizes)
-    documents, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    documents, keys, numbers = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for band in bands:
         chosen = np.flatnonzero((sizes >= band.low) & (sizes <= band.reach))
         if not len(chosen):
@@ -208,7 +227,26 @@ def signatures(sets: Sets, bands: list[Band]) -> tuple[np.ndarray, np.ndarray]:
             # Without one shingle the sum is less by its hash.
             documents.append(chosen[cell[twice] // band.segments])
             keys.append(mix((sums[cell[twice]] - hashed[twice]) ^ marks[cell[twice] % band.segments]))
-    return np.concatenate(documents), np.concatenate(keys)
+        numbers.append(np.full(sum(map(len, keys)) - sum(map(len, numbers)), band.number))
+    return np.concatenate(documents), np.concatenate(keys), np.concatenate(numbers)
+
+
+def looked_up(
+    owners: np.ndarray, keys: np.ndarray, numbers: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, bands: list[Band], rule: Rule
+) -> np.ndarray:
+    """Which keys a set looks up: in each band those with the shortest lists, as many as it needs."""
+    order = np.lexsort((keys, lengths, numbers, owners))
+    groups = owners[order] * (len(bands) + 1) + numbers[order]
+    heads = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]])) if len(groups) else np.empty(0, np.int64)
+    ranks = np.arange(len(order)) - np.repeat(heads, np.diff(np.append(heads, len(order))))
+    need = np.full(len(order), np.iinfo(np.int64).max)
+    for band in bands:
+        if not band.double:
+            mine = numbers[order] == band.number
+            need[mine] = rule.lookups(sizes[owners[order][mine]], band)
+    chosen = np.empty(len(order), bool)
+    chosen[order] = ranks < need
+    return chosen
 
 
 def similar(common, a, b):
@@ -227,7 +265,7 @@ def link_documents(documents: DataFrame, double_all: bool = False, rule: Rule =
     members = settle(
         each_told(
             told(chunks, answers),
-            lambda chunk, got: _members(chunk, got, bands, rule.words),
+            lambda chunk, got: _members(chunk, got, bands, rule),
             "slot int, chunk string, doc_id bigint, n_shingles bigint, node bigint, keys array<bigint>",
         ),
         "set-classes",
@@ -274,26 +312,28 @@ def _asked(chunk: Chunk, bands: list[Band], buckets: int, shingle: int) -> Itera
     # Equal sets of the chunk have equal keys: only one of them asks.
     asks = np.zeros(len(chunk), bool)
     asks[order] = True
-    owners, keys = signatures(sets, bands)
-    distinct, counts = np.unique(_one_each(owners, keys, asks)[1], return_counts=True)
+    distinct, counts = np.unique(_one_each(*signatures(sets, bands), asks)[1], return_counts=True)
     for bucket, a, b in by_bucket(distinct, buckets):
-        part(bucket)[3:] = [pack(distinct[a:b]), pack((counts[a:b] > 1).astype(np.uint8))]
+        part(bucket)[3:] = [pack(distinct[a:b]), pack(counts[a:b].astype(np.int32))]
     for bucket, found in parts.items():
         yield bucket, join_parts(found)
 
 
-def _one_each(owners: np.ndarray, keys: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _one_each(
+    owners: np.ndarray, keys: np.ndarray, numbers: np.ndarray, asks: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The keys of the documents that ask, each once for its document."""
-    owners, keys = owners[asks[owners]], keys[asks[owners]]
+    mine = asks[owners]
+    owners, keys, numbers = owners[mine], keys[mine], numbers[mine]
     order = np.lexsort((owners, keys))
-    owners, keys = owners[order], keys[order]
+    owners, keys, numbers = owners[order], keys[order], numbers[order]
     fresh = np.ones(len(keys), bool)
     fresh[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])
-    return owners[fresh], keys[fresh]
+    return owners[fresh], keys[fresh], numbers[fresh]
 
 
 def _told_apart(sent: list[bytes]) -> tuple[list[bytes], bytes]:
-    """For each set the smallest document of all that have it; for each key, do several sets have it?"""
+    """For each set the smallest document of all that have it; for each key, how many sets of chunks have it."""
     opened = [split_parts(m) for m in sent]
     first, second = (np.concatenate([unpack(p[k], np.uint64) for p in opened]) for k in (0, 1))
     lowest = np.concatenate([unpack(p[2], np.int64) for p in opened])
@@ -303,15 +343,15 @@ def _told_apart(sent: list[bytes]) -> tuple[list[bytes], bytes]:
     named = np.empty(len(order), np.int64)
     named[order] = lowest[order][fresh][np.cumsum(fresh) - 1] if len(order) else lowest
     keys = [unpack(p[3], np.uint64) if p[3] else np.empty(0, np.uint64) for p in opened]
-    many = [unpack(p[4], np.uint8) if p[4] else np.empty(0, np.uint8) for p in opened]
-    distinct, place, senders = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    shared = senders > 1
-    shared[place[np.concatenate(many) > 0]] = True
+    held = [unpack(p[4], np.int32) if p[4] else np.empty(0, np.int32) for p in opened]
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    lengths = np.bincount(place, np.concatenate(held), len(distinct))
+    lengths = np.minimum(lengths, np.iinfo(np.int32).max).astype(np.int32)
     replies, at, key_at = [], 0, 0
     for parts, own in zip(opened, keys, strict=True):
         size = len(unpack(parts[2], np.int64))
-        flags = shared[place[key_at : key_at + len(own)]]
-        replies.append(join_parts([pack(named[at : at + size]), pack(flags.astype(np.uint8))]))
+        own_lengths = lengths[place[key_at : key_at + len(own)]]
+        replies.append(join_parts([pack(named[at : at + size]), pack(own_lengths)]))
         at, key_at = at + size, key_at + len(own)
     return replies, b""
 
@@ -328,14 +368,14 @@ _MEMBERS = pa.schema(
 )
 
 
-def _members(chunk: Chunk, got: dict[int, bytes], bands: list[Band], shingle: int) -> pa.RecordBatch:
-    """Every document with its class, and one document of each class with the keys that other sets have as well."""
-    sets = sets_of(chunk, shingle)
+def _members(chunk: Chunk, got: dict[int, bytes], bands: list[Band], rule: Rule) -> pa.RecordBatch:
+    """Every document with its class, and one document of each class with the keys that it looks up and others have."""
+    sets = sets_of(chunk, rule.words)
     usable = chunk.known & (sets.sizes() > 0)
     opened = [split_parts(got[b]) for b in sorted(got)]
     none = [np.empty(0, np.int64)]
     named = np.concatenate([*none, *(unpack(p[0], np.int64) for p in opened)])
-    flags = np.concatenate([np.empty(0, np.uint8), *(unpack(p[1], np.uint8) for p in opened)])
+    lengths = np.concatenate([np.empty(0, np.int32), *(unpack(p[1], np.int32) for p in opened)])
     docs = np.flatnonzero(usable)
     order = docs[np.lexsort((chunk.ids[docs], sets.second[docs], sets.first[docs]))]
     names = np.stack([sets.first[order], sets.second[order]], axis=1)
@@ -346,9 +386,11 @@ def _members(chunk: Chunk, got: dict[int, bytes], bands: list[Band], shingle: in
         nodes[order] = named[np.cumsum(fresh) - 1]
     asks = np.zeros(len(chunk), bool)
     asks[order[fresh]] = True
-    owners, keys = _one_each(*signatures(sets, bands), asks)
+    owners, keys, numbers = _one_each(*signatures(sets, bands), asks)
+    lengths = lengths[np.unique(keys, return_inverse=True)[1]]
+    chosen = looked_up(owners, keys, numbers, lengths, sets.sizes(), bands, rule)
     # Only the class's own document hands its keys on.
-    mine = flags[np.unique(keys, return_inverse=True)[1]].astype(bool) & (nodes == chunk.ids)[owners]
+    mine = chosen & (lengths > 1) & (nodes == chunk.ids)[owners]
     owners, keys = owners[mine], keys[mine]
     order = np.argsort(owners, kind="stable")
     ends = np.searchsorted(owners[order], np.arange(len(chunk) + 1))
@@ -374,56 +416,97 @@ def _class_links(chunks: Chunks, members: DataFrame, rule: Rule) -> DataFrame:
     groups = (
         keyed.groupBy("key")
         .agg(
-            F.max(F.struct("shared", (-F.col("node")).alias("low"), "n")).alias("top"),
+            F.max(F.struct("shared", (-F.col("node")).alias("low"))).alias("top"),
             F.min("node").alias("least"),
             F.max("node").alias("most"),
         )
         .where(F.col("least") != F.col("most"))
-        .select("key", (-F.col("top.low")).alias("pivot"), F.col("top.n").alias("pivot_n"))
+        .select("key", (-F.col("top.low")).alias("pivot"))
     )
-    grouped = settle(keyed.join(groups, "key").select("key", "node", "n", "pivot", "pivot_n"), "grouped-classes")
-    sets = _candidate_sets(chunks, members, grouped, rule.words)
-    stars = (
-        grouped.where((F.col("node") != F.col("pivot")) & rule.sizes_allow(F.col("n"), F.col("pivot_n")))
-        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        .distinct()
+    families = (
+        keyed.join(groups, "key").where(F.col("node") != F.col("pivot")).select("pivot", "node").distinct()
     )
-    compared = settle(_compared(stars, sets, rule), "compared-pivots")
-    links = compared.where("linked").select("a", "b")
-    roots = connected_components(links)
-    # Members of a group with their component and their distance to its pivot.
-    far = F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance"))
-    known = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "distance")
-    placed = (
-        grouped.join(known, ["pivot", "node"], "left")
-        .join(roots, "node", "left")
-        .select("key", "node", "n", far.alias("far"), F.coalesce("root", "node").alias("root"))
+    families = settle(families, "families")
+    compared = settle(_compared(families, _candidate_sets(chunks, members, families, rule.words), rule), "compared-pivots")
+    links = compared.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    return links.unionAll(_torn_links(compared, connected_components(links), rule))
+
+
+def _compared(families: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Every member with its size, whether it links with its pivot, and the shingles in which they differ.
+
+    Those that the pivot lacks come first, each part in ascending order: one order for all members of a family.
+    """
+
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
+
+    both = families.join(side("node"), "node").join(side("pivot"), "pivot")
+    differ = F.concat(F.array_except("node_set", "pivot_set"), F.array_except("pivot_set", "node_set"))
+    sized = both.select(
+        "pivot",
+        "node",
+        F.size("node_set").cast("long").alias("n"),
+        F.size("pivot_set").cast("long").alias("pivot_n"),
+        differ.alias("differ"),
     )
-    torn = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
-    left = settle(placed.join(torn.select("key"), "key"), "torn-groups")
-    right = left.select("key", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "far", "root")])
-    # Without a distance (sizes ruled the pivot out) nothing is known.
-    near = F.coalesce(F.abs(F.col("far") - F.col("r_far")) <= 1 - rule.least / 100 + 1e-9, F.lit(True))
-    rest = (
-        left.join(
-            right,
-            (left["key"] == right["key"])
-            & (F.col("node") < F.col("r_node"))
-            & (F.col("root") != F.col("r_root"))
-            & rule.sizes_allow(F.col("n"), F.col("r_n"))
-            & near,
-        )
-        .select(F.col("node").alias("a"), F.col("r_node").alias("b"))
-        .distinct()
+    apart = F.size("differ").cast("long")
+    common = F.expr("(n + pivot_n - size(differ)) div 2")
+    return sized.select(
+        "pivot", "node", "n", apart.alias("apart"), rule.similar(common, F.col("n"), F.col("pivot_n")).alias("linked"), "differ"
     )
-    return links.unionAll(_compared(rest, sets, rule).where("linked").select("a", "b"))
 
 
-def _candidate_sets(chunks: Chunks, members: DataFrame, grouped: DataFrame, shingle: int) -> DataFrame:
-    """The shingles of all classes that share a key with another, fetched from their chunks: node and shingles."""
+def _torn_links(compared: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
+    """Links between members of one family that are in different components so far."""
+    placed = compared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    torn = placed.groupBy("pivot").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
+    left = settle(placed.join(torn.select("pivot"), "pivot"), "torn-families")
+    share, whole = 100 - rule.least, 100 + rule.least
+
+    def may_differ(sizes: Column) -> Column:
+        return F.floor(sizes * share / whole)
+
+    # How many differences a member shares at least with one that it links with in another component. If it is linked to
+    # the pivot, the other is not, and the bound is nearly half of its own; else the triangle inequality gives one.
+    reach = F.floor(F.col("n") * 100 / rule.least)
+    least = F.when(F.col("linked"), F.ceil(F.col("apart") * (whole - share) / (2 * whole))).otherwise(
+        F.col("apart") - may_differ(F.col("n") + reach)
+    )
+    first = F.slice("differ", F.lit(1), (F.col("apart") - F.greatest(least, F.lit(1)) + 1).cast("int"))
+    rows = settle(
+        left.where("apart > 0").select("pivot", "node", "n", "root", "apart", F.posexplode(first).alias("at", "shingle")),
+        "first-differences",
+    )
+    other = rows.select(*[F.col(c).alias(f"r_{c}") for c in ("pivot", "shingle", "node", "n", "root", "apart", "at")])
+    limit = may_differ(F.col("n") + F.col("r_n"))
+    # What two members can still share from the first difference that they do share on.
+    rest = F.least(F.col("apart") - F.col("at"), F.col("r_apart") - F.col("r_at"))
+    pairs = rows.join(
+        other,
+        (F.col("pivot") == F.col("r_pivot"))
+        & (F.col("shingle") == F.col("r_shingle"))
+        & (F.col("node") < F.col("r_node"))
+        & (F.col("root") != F.col("r_root"))
+        & rule.sizes_allow(F.col("n"), F.col("r_n"))
+        & (F.abs(F.col("apart") - F.col("r_apart")) <= limit)
+        & (2 * rest >= F.col("apart") + F.col("r_apart") - limit),
+    ).select("pivot", "node", "r_node")
+    known = left.select("pivot", "node", "n", "apart", "differ")
+    far = known.select("pivot", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "apart", "differ")])
+    both = pairs.distinct().join(known, ["pivot", "node"]).join(far, ["pivot", "r_node"])
+    # Members differ from each other where just one of them differs from the pivot.
+    apart = F.col("apart") + F.col("r_apart") - 2 * F.size(F.array_intersect("differ", "r_differ"))
+    common = F.floor((F.col("n") + F.col("r_n") - apart) / 2)
+    return both.where(rule.similar(common, F.col("n"), F.col("r_n"))).select(F.col("node").alias("a"), F.col("r_node").alias("b"))
+
+
+def _candidate_sets(chunks: Chunks, members: DataFrame, families: DataFrame, shingle: int) -> DataFrame:
+    """The shingles of all pivots and members, fetched from their chunks: node and shingles."""
+    named = families.select("node").unionAll(families.select("pivot")).distinct()
     wanted = (
         members.where(F.size("keys") > 0)
-        .join(grouped.select("node").distinct(), "node", "left_semi")
+        .join(named, "node", "left_semi")
         .groupBy("slot", "chunk")
         .agg(F.collect_set("node").alias("nodes"))
         .select(
@@ -463,22 +546,3 @@ def _sets_of_nodes(chunk: Chunk, got: dict[int, bytes], shingle: int) -> pa.Reco
     return pa.RecordBatch.from_arrays(
         [pa.array(nodes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["node", "shingles"]
     )
-
-
-def _compared(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of classes with their Jaccard distance, and whether they link."""
-
-    def side(name: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
-
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    sized = both.select(
-        "a",
-        "b",
-        F.size("a_set").alias("x"),
-        F.size("b_set").alias("y"),
-        F.size(F.array_intersect("a_set", "b_set")).alias("common"),
-    )
-    common, x, y = (F.col(c).cast("long") for c in ("common", "x", "y"))
-    distance = (1 - common / (x + y - common)).alias("distance")
-    return sized.select("a", "b", distance, rule.similar(common, x, y).alias("linked"))
