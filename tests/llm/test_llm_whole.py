@@ -10,7 +10,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 
-from stagewise.llm.jaccard_join import Rule, link_documents, plan_bands
+from stagewise.llm.jaccard_join import Rule, Sets, link_documents, looked_up, plan_bands, signatures
 from stagewise.llm.toxicity import fit_toxicity, score_toxicity
 
 FULL = "doc_id long, text string, lang string, source string, n_chars long"
@@ -154,3 +154,55 @@ def test_stage_keeps_one_row_of_each_group_whatever_the_ids(spark):
     assert len(ends) == 1 and ends[0][1] in (c, c + " end")
     rest = [(3, a), (1, b + " more"), (7, d), (9, "few words"), (4, None), (4, None), (5, ""), (None, None)]
     assert sorted([x for x in got if x not in ends], key=str) == sorted(rest, key=str)
+
+
+# --- Jaccard join: segments by list lengths, families by differences ---
+
+
+@pytest.mark.parametrize("rule", [Rule(), Rule(5, 80)], ids=["3 words, 0.9", "5 words, 0.8"])
+def test_linked_sets_look_up_a_segment_in_which_they_agree(rule):
+    """Whatever the lists' lengths are, as long as both sides see the same ones."""
+    rng = np.random.default_rng(9)
+    bands = plan_bands({}, rule=rule, largest=2_000)
+    for size in (rule.first_band(), 30, 200, 900):
+        sets = []
+        for _ in range(12):
+            base = rng.integers(0, 2**63, size, dtype=np.int64).view(np.uint64)
+            most = size * (100 - rule.least) // (100 + rule.least)
+            sets += [np.unique(base), np.unique(np.concatenate([base[most:], rng.integers(0, 2**63, most // 2, dtype=np.int64).view(np.uint64)]))]
+        bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        whole = Sets(np.concatenate(sets), bounds, np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64))
+        owners, keys, numbers = signatures(whole, bands)
+        distinct, place = np.unique(keys, return_inverse=True)
+        lengths = rng.choice([1, 2, 5, 1000], len(distinct)).astype(np.int32)[place]
+        chosen = looked_up(owners, keys, numbers, lengths, whole.sizes(), bands, rule)
+        assert chosen.mean() < 0.9
+        linked = 0
+        for a in range(0, len(sets), 2):
+            common = len(np.intersect1d(sets[a], sets[a + 1]))
+            if rule.similar(common, len(sets[a]), len(sets[a + 1])):
+                linked += 1
+                x, y = (set(keys[chosen & (owners == i)].tolist()) for i in (a, a + 1))
+                assert x & y
+        assert linked == 12 or size == rule.first_band()
+
+
+@pytest.mark.parametrize("rule", [Rule(), Rule(5, 80)], ids=["3 words, 0.9", "5 words, 0.8"])
+def test_copies_that_differ_in_many_places_are_linked_as_all_pairs_are(spark, rule):
+    """A family most of whose members are not linked with its pivot, some of them with each other only."""
+    rng = random.Random(15)
+    base = [f"b{i}" for i in range(220)]
+    texts = [" ".join(base)]
+    for n in range(70):
+        copy = list(base)
+        for at in rng.sample(range(len(base)), rng.randrange(2, 16)):
+            copy[at : at + 1] = rng.choice([[], [f"x{rng.randrange(40)}"], [f"y{n}", "z"]])
+        texts.append(" ".join(copy))
+        if n % 5 == 0:
+            again = list(copy)
+            again[rng.randrange(len(again))] = "w"
+            texts.append(" ".join(again))
+    rows = list(enumerate(texts))
+    found = {r["doc_id"]: r["component_id"] for r in link_documents(documents(spark, rows), rule=rule).collect()}
+    want = brute.jaccard_components(dict(rows), rule.words, rule.least)
+    assert found == {d: c for d, (_, c) in want.items()} and 3 < len(set(found.values())) < len(texts)
