@@ -230,6 +230,34 @@ def decode_ids(documents: DataFrame, path: str, ids: str = "ids", decoded: str =
     return _map_rows(documents, run, decoded, T.StringType())
 
 
+def encode_and_decode(
+    documents: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """The rows of ``documents`` with the ids of their text, and what these stand for, in the place of the text.
+
+    One pass, so that a task needs one Python worker with the vocabulary, not two.
+    """
+    kept = [f for f in documents.schema.fields if f.name not in (text, ids, decoded)]
+    names = [f.name for f in kept]
+    made = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(path)
+        for batch in batches:
+            for first, end, data, offsets in text_slices(batch.column(text)):
+                raw = data.tobytes()
+                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                lists = list(codec.encode(texts))
+                ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                column = pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, np.int32), *lists]))
+                back = pa.array([codec.decode(x.tolist()) for x in lists], pa.string())
+                part = batch.slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), column, back], names=[*names, ids, decoded])
+
+    ship_package(documents.sparkSession)
+    return documents.mapInArrow(run, T.StructType([*kept, *made]))
+
+
 def _id_lists(column: pa.ListArray) -> Iterator[np.ndarray | None]:
     for value in column:
         yield value.values.to_numpy(zero_copy_only=False) if value.is_valid else None

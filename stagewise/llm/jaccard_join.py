@@ -160,12 +160,19 @@ def plan_bands(
 
 
 def _cost(low: int, need: int, double: int, rows: int) -> float:
-    """Index rows, and pairs of unrelated sets that have nothing in the same segment."""
-    segments = double + max(0, need - 2 * double)
+    """Index rows, and pairs of unrelated sets that become candidates by what is empty in both."""
+    segments = double + max(0, need - 2 * double) if double else math.ceil(need * SPARE)
     each = low * (1 + BAND_GROWTH) / 2 / segments
-    index = rows * (segments + double * each)
-    empty = rows * math.exp(-min(each, 700.0))
-    return index + PAIR_COST * segments * empty * empty / 2
+    empty = math.exp(-2 * min(each, 350.0))
+    if double:
+        return rows * (segments + double * each) + PAIR_COST * segments * empty * rows * rows / 2
+    # Sets leave out their longest lists, so they have to agree in more segments than can be left out.
+    share = (segments - need + 1) / segments
+    chance = 1.0
+    if share > empty:
+        rest = (1 - share) * math.log((1 - share) / (1 - empty)) if share < 1 else 0.0
+        chance = math.exp(-segments * (share * math.log(share / empty) + rest))
+    return rows * segments + PAIR_COST * chance * rows * rows / 2
 
 
 def sets_of(chunk: Chunk, shingle: int) -> Sets:
