@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewise.llm.bpe import decode_ids, encode_texts, joined_digest, public_file
+from stagewise.llm.bpe import encode_and_decode, joined_digest, public_file
 from stagewise.llm.decontamination import find_windows
 from stagewise.llm.jaccard_join import Rule, link_documents
 from stagewise.llm.line_dedup import dedup_lines
@@ -86,7 +86,7 @@ def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_file("word_bpe_49k.json")
     made = ("text", "ids", "decoded", "n_tokens", "ids_sha256", "decoded_sha256")
     rest = [c for c in docs.columns if c not in made]
-    decoded = decode_ids(encode_texts(docs.select(*rest, "text"), path).drop("text"), path)
+    decoded = encode_and_decode(docs.select(*rest, "text"), path)
     return decoded.select(
         *rest,
         F.size("ids").cast("long").alias("n_tokens"),
