@@ -49,6 +49,9 @@ GRAM = 8
 # Different runs from which on the windows of a minimiser are dealt out by their own hashes.
 HOT_RUNS = 2_000
 
+# Bytes of strings whose windows are sorted together; a larger group is sorted by itself.
+SORT_BYTES = 500_000
+
 _ONE_DOCUMENT, _REPEATED, _HOT = 0, 1, 2
 _FIRST_UNKNOWN = np.iinfo(np.int64).max
 
@@ -230,16 +233,36 @@ def _first_documents(sent: list[bytes], width: int) -> tuple[list[bytes], bytes]
     order = np.argsort(keys, kind="stable")
     heads = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
     lowest: list[np.ndarray] = [np.empty(0, np.int64)] * len(strings)
+    # Groups are sorted some at a time: equal windows have equal keys, so none meets another group's.
+    batch: dict[bytes, int] = {}
+    waiting: list[int] = []
+    size = 0
+
+    def sort() -> None:
+        found = _sorted_windows(batch, width)
+        for m in waiting:
+            lowest[m] = found[strings[m]]
+
     for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(order)], strict=True):
         members = order[a:b].tolist()
-        first = {}
+        first: dict[bytes, int] = {}
         for m in members:
             doc = int(docs[m])
             if doc < first.get(strings[m], _FIRST_UNKNOWN):
                 first[strings[m]] = doc
-        found = _sorted_windows(first, width)
-        for m in members:
-            lowest[m] = found[strings[m]]
+        if len(first) == 1:
+            found = _sorted_windows(first, width)
+            for m in members:
+                lowest[m] = found[strings[m]]
+            continue
+        batch |= first
+        waiting += members
+        size += sum(map(len, first))
+        if size > SORT_BYTES:
+            sort()
+            batch, waiting, size = {}, [], 0
+    if batch:
+        sort()
     replies = []
     for begin, end in zip([0, *ends[:-1]], ends, strict=True):
         replies.append(pack(np.concatenate([np.empty(0, np.int64), *lowest[begin:end]])))
