@@ -22,14 +22,15 @@ From the index to components, without all pairs of a group:
 
 1. Equal sets are one class, named by its smallest document.
 2. Each signature's classes are paired with one of them, the pivot: the class with most shared signatures. All classes
-   with one pivot are its family. Pairs of pivot and member are verified exactly, and leave the shingles in which they
-   differ. The links so far make components.
-3. Families whose members are in several components are searched by these differences: two members differ from each other
-   where just one of them differs from the pivot, so linked members share many differences. For members of different
-   components, of which one at least is not linked to the pivot, the least number of shared differences is known from the
-   distances to the pivot. So it suffices to join on the first differences in an order in which those that the pivot lacks
-   come first (they are rare), with bounds on sizes, distances and positions inside the join, and to verify what is left by
-   intersecting the differences.
+   with one pivot are its family. Pairs of pivot and member are verified exactly. The links so far make components.
+3. In families whose members are in several components, members of different components are paired.
+
+Most of these pairs share long passages and are still far from linked, and families grow with the corpus. So before any
+shingles are fetched for a pair, its sketches are compared. A sketch has one bit for each of some places: whether an odd
+number of the shingles hash there. A shingle in which two sets differ changes one bit, so they differ in at least as many
+shingles as their sketches do in bits, and no link is lost. Sketches are a small part of the sets, so families are dealt
+into blocks, and each two blocks of a family meet once. Blocks of members that are connected with the pivot need not meet
+each other. What the sketches leave is verified by intersecting the shingles.
 
 So components are those of all links. Shingles are known by 64-bit hashes, a set by two sums of hashes.
 
@@ -74,6 +75,13 @@ BAND_GROWTH = 1.5
 PAIR_COST = 50.0
 # Segments of a band without deletions, as a multiple of those that have to be looked up.
 SPARE = 1.5
+# Bits of a sketch for each shingle: at least so many, less than twice as many but for the smallest sets.
+SKETCH_BITS = 4
+# Members in a block of a family: so many, in large families this times the root of their number ...
+BLOCK_ROWS = 256
+BLOCK_GROWTH = 16
+# ... but no more than have about so many bytes of sketches.
+BLOCK_BYTES = 8_000_000
 
 _OTHER = np.uint64(0xA24BAED4963EE407)
 
@@ -106,9 +114,6 @@ class Rule:
         """Do two sets of sizes a and b with so many shingles in common link?"""
         return 100 * common >= self.least * (a + b - common)
 
-    def sizes_allow(self, a: Column, b: Column) -> Column:
-        return F.least(a, b) * 100 >= F.greatest(a, b) * self.least
-
 
 OP7 = Rule()
 
@@ -434,82 +439,147 @@ def _class_links(chunks: Chunks, members: DataFrame, rule: Rule) -> DataFrame:
         keyed.join(groups, "key").where(F.col("node") != F.col("pivot")).select("pivot", "node").distinct()
     )
     families = settle(families, "families")
-    compared = settle(_compared(families, _candidate_sets(chunks, members, families, rule.words), rule), "compared-pivots")
-    links = compared.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    return links.unionAll(_torn_links(compared, connected_components(links), rule))
+    sets = _candidate_sets(chunks, members, families, rule.words)
+    links = settle(_verified(_pivot_pairs(families, sets, rule), sets, rule), "pivot-links")
+    pairs = settle(_family_pairs(families, sets, connected_components(links), rule), "member-pairs")
+    return links.unionAll(_verified(pairs, sets, rule))
 
 
-def _compared(families: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Every member with its size, whether it links with its pivot, and the shingles in which they differ.
-
-    Those that the pivot lacks come first, each part in ascending order: one order for all members of a family.
-    """
+def _pivot_pairs(families: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of a pivot and a member, a and b, but for those that by their sketches do not link."""
 
     def side(name: str) -> DataFrame:
-        return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
+        return sets.select(F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
 
-    both = families.join(side("node"), "node").join(side("pivot"), "pivot")
-    differ = F.concat(F.array_except("node_set", "pivot_set"), F.array_except("pivot_set", "node_set"))
-    sized = both.select(
-        "pivot",
-        "node",
-        F.size("node_set").cast("long").alias("n"),
-        F.size("pivot_set").cast("long").alias("pivot_n"),
-        differ.alias("differ"),
-    )
-    apart = F.size("differ").cast("long")
-    common = F.expr("(n + pivot_n - size(differ)) div 2")
-    return sized.select(
-        "pivot", "node", "n", apart.alias("apart"), rule.similar(common, F.col("n"), F.col("pivot_n")).alias("linked"), "differ"
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pivot_n, node_n = (batch.column(c).to_numpy() for c in ("pivot_n", "node_n"))
+            sketches = zip(batch.column("pivot_sketch").to_pylist(), batch.column("node_sketch").to_pylist(), strict=True)
+            apart = np.array([sketches_apart(x, y) for x, y in sketches], np.int64)
+            ends = batch.select(["pivot", "node"]).rename_columns(["a", "b"])
+            yield ends.filter(pa.array(apart <= rule.apart(pivot_n + node_n)))
 
+    both = families.join(side("node"), "node").join(side("pivot"), "pivot")
+    columns = ("pivot", "pivot_n", "pivot_sketch", "node", "node_n", "node_sketch")
+    return both.select(*columns).mapInArrow(run, "a bigint, b bigint")
 
-def _torn_links(compared: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
-    """Links between members of one family that are in different components so far."""
-    placed = compared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    torn = placed.groupBy("pivot").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(F.col("x") != F.col("y"))
-    left = settle(placed.join(torn.select("pivot"), "pivot"), "torn-families")
-    share, whole = 100 - rule.least, 100 + rule.least
 
-    def may_differ(sizes: Column) -> Column:
-        return F.floor(sizes * share / whole)
+def _family_pairs(families: DataFrame, sets: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of members of one family, a and b, in different components so far, but for those that do not link by their
+    sketches.
 
-    # How many differences a member shares at least with one that it links with in another component. If it is linked to
-    # the pivot, the other is not, and the bound is nearly half of its own; else the triangle inequality gives one.
-    reach = F.floor(F.col("n") * 100 / rule.least)
-    least = F.when(F.col("linked"), F.ceil(F.col("apart") * (whole - share) / (2 * whole))).otherwise(
-        F.col("apart") - may_differ(F.col("n") + reach)
+    Members in the pivot's component are at home. They have blocks of their own, which meet the others' blocks only.
+    """
+    around = roots.select(F.col("node").alias("pivot"), F.col("root").alias("home"))
+    root = F.coalesce("root", "node")
+    placed = families.join(roots, "node", "left").join(around, "pivot", "left").select(
+        "pivot", "node", root.alias("root"), (root == F.coalesce("home", "pivot")).alias("at_home")
     )
-    first = F.slice("differ", F.lit(1), (F.col("apart") - F.greatest(least, F.lit(1)) + 1).cast("int"))
-    rows = settle(
-        left.where("apart > 0").select("pivot", "node", "n", "root", "apart", F.posexplode(first).alias("at", "shingle")),
-        "first-differences",
+    placed = settle(placed.join(sets.select("node", "n"), "node"), "placed-members")
+    rows = F.greatest(F.lit(float(BLOCK_ROWS)), BLOCK_GROWTH * F.sqrt(F.count("*")))
+    rows = F.greatest(F.least(rows, BLOCK_BYTES / F.avg("n")), F.lit(1.0))
+    others = F.sum((~F.col("at_home")).cast("long"))
+    torn = (
+        placed.groupBy("pivot")
+        .agg(
+            F.ceil(others / rows).cast("int").alias("others"),
+            F.ceil((F.count("*") - others) / rows).cast("int").alias("homes"),
+            F.min("root").alias("x"),
+            F.max("root").alias("y"),
+        )
+        .where(F.col("x") != F.col("y"))
+        .select("pivot", "others", "homes")
+    )
+    dealt = F.xxhash64("node")
+    own = F.when(F.col("at_home"), F.col("others") + F.pmod(dealt, "homes")).otherwise(F.pmod(dealt, "others")).cast("int")
+    last = F.when(F.col("at_home"), F.col("others")).otherwise(F.col("others") + F.col("homes")) - 1
+    dealt = placed.join(torn, "pivot").select("pivot", "node", "root", own.alias("block"), last.alias("last"))
+    meeting = dealt.join(sets.select("node", "n", "sketch"), "node").select(
+        "pivot",
+        F.struct("node", "n", "root", "block", "sketch").alias("member"),
+        "block",
+        F.explode(F.sequence(F.lit(0), "last")).alias("other"),
     )
-    other = rows.select(*[F.col(c).alias(f"r_{c}") for c in ("pivot", "shingle", "node", "n", "root", "apart", "at")])
-    limit = may_differ(F.col("n") + F.col("r_n"))
-    # What two members can still share from the first difference that they do share on.
-    rest = F.least(F.col("apart") - F.col("at"), F.col("r_apart") - F.col("r_at"))
-    pairs = rows.join(
-        other,
-        (F.col("pivot") == F.col("r_pivot"))
-        & (F.col("shingle") == F.col("r_shingle"))
-        & (F.col("node") < F.col("r_node"))
-        & (F.col("root") != F.col("r_root"))
-        & rule.sizes_allow(F.col("n"), F.col("r_n"))
-        & (F.abs(F.col("apart") - F.col("r_apart")) <= limit)
-        & (2 * rest >= F.col("apart") + F.col("r_apart") - limit),
-    ).select("pivot", "node", "r_node")
-    known = left.select("pivot", "node", "n", "apart", "differ")
-    far = known.select("pivot", *[F.col(c).alias(f"r_{c}") for c in ("node", "n", "apart", "differ")])
-    both = pairs.distinct().join(known, ["pivot", "node"]).join(far, ["pivot", "r_node"])
-    # Members differ from each other where just one of them differs from the pivot.
-    apart = F.col("apart") + F.col("r_apart") - 2 * F.size(F.array_intersect("differ", "r_differ"))
-    common = F.floor((F.col("n") + F.col("r_n") - apart) / 2)
-    return both.where(rule.similar(common, F.col("n"), F.col("r_n"))).select(F.col("node").alias("a"), F.col("r_node").alias("b"))
+    met = meeting.groupBy("pivot", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")).agg(
+        F.collect_list("member").alias("members")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("members")
+            ends, members, apart = lists.offsets.to_numpy(), lists.values, batch.column("same").to_numpy(zero_copy_only=False)
+            nodes, sizes, found, blocks = (
+                members.field(c).to_numpy(zero_copy_only=False) for c in ("node", "n", "root", "block")
+            )
+            for at in range(len(lists)):
+                own = slice(ends[at], ends[at + 1])
+                sketches = members.field("sketch").slice(ends[at], ends[at + 1] - ends[at]).to_pylist()
+                sides = np.arange(len(sketches)) if apart[at] else blocks[own]
+                x, y = near_pairs(sizes[own], sketches, found[own], sides, rule)
+                ab = np.sort([nodes[own][x], nodes[own][y]], axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(ab[0], pa.int64()), pa.array(ab[1], pa.int64())], names=["a", "b"])
+
+    return met.select((F.col("x") == F.col("y")).alias("same"), "members").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Those of the pairs a and b that link."""
+    both = pairs
+    for name in ("a", "b"):
+        both = both.join(sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set")), name)
+    common, a, b = (F.size(c).cast("long") for c in (F.array_intersect("a_set", "b_set"), F.col("a_set"), F.col("b_set")))
+    return both.where(rule.similar(common, a, b)).select("a", "b")
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """For each of some places whether an odd number of the shingles hash there, as bits."""
+    size = 64
+    while size < SKETCH_BITS * len(shingles):
+        size *= 2
+    places = (mix(shingles ^ _OTHER) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Sketches, a row of 64-bit words each, as they would be with so many words."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, width), axis=1)
+
+
+def sketches_apart(x: bytes, y: bytes) -> int:
+    """A number of shingles in which two sets differ at least."""
+    x, y = (np.frombuffer(s, np.uint64)[None] for s in (x, y))
+    width = min(x.shape[1], y.shape[1])
+    return int(np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum())
+
+
+def near_pairs(
+    sizes: np.ndarray, sketches: list[bytes], roots: np.ndarray, sides: np.ndarray, rule: Rule
+) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of sets with different roots and different sides that may link by their sizes and sketches."""
+    order = np.argsort(sizes, kind="stable")
+    sizes, roots, sides = sizes[order], roots[order], sides[order]
+    widths = np.array([len(sketches[k]) // 8 for k in order.tolist()], np.int64)
+    ends = np.searchsorted(sizes, rule.reach(sizes), "right")
+    pairs = [np.empty((2, 0), np.int64)]
+    for width in np.unique(widths).tolist():
+        first, last = np.searchsorted(widths, [width, width + 1]).tolist()
+        # Larger sets have sketches of as many words or a multiple.
+        rows = np.empty((ends[last - 1] - first, width), np.uint64)
+        for wide in np.unique(widths[first : ends[last - 1]]).tolist():
+            own = np.flatnonzero(widths[first : ends[last - 1]] == wide)
+            raw = b"".join([sketches[k] for k in order[first + own].tolist()])
+            rows[own] = _folded(np.frombuffer(raw, np.uint64).reshape(len(own), wide), width)
+        for a in range(first, last):
+            near = np.arange(a + 1, ends[a])
+            near = near[(roots[near] != roots[a]) & (sides[near] != sides[a])]
+            apart = np.bitwise_count(rows[near - first] ^ rows[a - first]).sum(axis=1, dtype=np.int64)
+            near = near[apart <= rule.apart(sizes[near] + sizes[a])]
+            pairs.append(np.stack([np.full(len(near), a), near]))
+    return tuple(order[np.concatenate(pairs, axis=1)])
 
 
 def _candidate_sets(chunks: Chunks, members: DataFrame, families: DataFrame, shingle: int) -> DataFrame:
-    """The shingles of all pivots and members, fetched from their chunks: node and shingles."""
+    """The sets of all pivots and members, made from their chunks: node, n (the size), sketch and shingles."""
     named = families.select("node").unionAll(families.select("pivot")).distinct()
     wanted = (
         members.where(F.size("keys") > 0)
@@ -526,7 +596,7 @@ def _candidate_sets(chunks: Chunks, members: DataFrame, families: DataFrame, shi
     sets = each_told(
         told(chunks, wanted),
         lambda chunk, got: _sets_of_nodes(chunk, got, shingle),
-        "node bigint, shingles array<bigint>",
+        "node bigint, n bigint, sketch binary, shingles array<bigint>",
     )
     return settle(sets, "candidate-sets")
 
@@ -549,7 +619,13 @@ def _sets_of_nodes(chunk: Chunk, got: dict[int, bytes], shingle: int) -> pa.Reco
         )
         sets = sets_of(few, shingle)
         nodes = few.ids
-        lists = [sets.shingles[a:b].view(np.int64) for a, b in zip(sets.bounds[:-1], sets.bounds[1:], strict=True)]
+        lists = [sets.shingles[a:b] for a, b in zip(sets.bounds[:-1], sets.bounds[1:], strict=True)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(nodes, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["node", "shingles"]
+        [
+            pa.array(nodes, pa.int64()),
+            pa.array([len(x) for x in lists], pa.int64()),
+            pa.array([sketch(x) for x in lists], pa.binary()),
+            pa.array([x.view(np.int64) for x in lists], pa.list_(pa.int64())),
+        ],
+        names=["node", "n", "sketch", "shingles"],
     )

@@ -10,6 +10,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 
+from stagewise.llm import jaccard_join
 from stagewise.llm.jaccard_join import Rule, Sets, link_documents, looked_up, plan_bands, signatures
 from stagewise.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -206,3 +207,65 @@ def test_copies_that_differ_in_many_places_are_linked_as_all_pairs_are(spark, ru
     found = {r["doc_id"]: r["component_id"] for r in link_documents(documents(spark, rows), rule=rule).collect()}
     want = brute.jaccard_components(dict(rows), rule.words, rule.least)
     assert found == {d: c for d, (_, c) in want.items()} and 3 < len(set(found.values())) < len(texts)
+
+
+def _patchwork():
+    """Texts that share long passages but for near copies of some, which alone link."""
+    rng = random.Random(4)
+    passages = [" ".join(f"p{n}x{w}" for w in range(14)) for n in range(30)]
+    texts = []
+    for n in range(160):
+        text = " ".join(passages[k] for k in sorted(rng.sample(range(30), 20))) + f" end{n}"
+        texts += [text, text.replace(" ", f" new{n} ", 3)] if n % 8 == 0 else [text]
+    return list(enumerate(texts))
+
+
+def test_members_of_a_family_that_only_share_passages_cost_few_rows(spark, monkeypatch):
+    rows, written = _patchwork(), {}
+
+    def noted(df, label, settle=jaccard_join.settle):
+        table = settle(df, label)
+        written[label] = table.count()
+        return table
+
+    monkeypatch.setattr(jaccard_join, "settle", noted)
+    found = {r["doc_id"]: r["component_id"] for r in link_documents(documents(spark, rows), rule=Rule(5, 80)).collect()}
+    want = brute.jaccard_components(dict(rows), 5, 80)
+    assert found == {d: c for d, (_, c) in want.items()} and 100 < len(set(found.values())) < len(rows)
+    # Such texts made many rows a member before, one for each of its first differences.
+    assert len(rows) < written["families"] == max(written.values())
+    assert written["member-pairs"] <= len(rows)
+
+
+@pytest.mark.parametrize("block", [1, 7])
+def test_links_of_families_in_many_blocks_are_those_of_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", block)
+    monkeypatch.setattr(jaccard_join, "BLOCK_GROWTH", 0)
+    rng = random.Random(8)
+    rows = _patchwork()[:70]
+    # Near copies of the members, which are linked with them and with no pivot.
+    rows += [(100 + d, t.replace(f"p{rng.randrange(30)}x3", "other")) for d, t in rows[::3]]
+    found = {r["doc_id"]: r["component_id"] for r in link_documents(documents(spark, rows), rule=Rule(5, 80)).collect()}
+    assert found == {d: c for d, (_, c) in brute.jaccard_components(dict(rows), 5, 80).items()}
+
+
+@pytest.mark.parametrize("rule", [Rule(), Rule(5, 80), Rule(3, 20)], ids=lambda r: f"{r.least}")
+def test_sketches_lose_no_link(rule):
+    """Sets of very different sizes, so that sketches of other lengths meet."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 900, dtype=np.int64).view(np.uint64)
+    sets = [base[:1]]
+    for n in range(150):
+        part = base[: rng.integers(5, 900)]
+        more = rng.integers(0, 2**63, len(part) * rng.integers(0, 20) // 100, dtype=np.int64).view(np.uint64)
+        sets.append(np.unique(np.concatenate([part[rng.random(len(part)) < rng.choice([0.8, 0.95, 1])], more, base[:1]])))
+    sizes, sketches = np.array([len(s) for s in sets]), [jaccard_join.sketch(s) for s in sets]
+    every = list(itertools.combinations(range(len(sets)), 2))
+    differ = {(a, b): len(np.setxor1d(sets[a], sets[b])) for a, b in every}
+    assert all(jaccard_join.sketches_apart(sketches[a], sketches[b]) <= d for (a, b), d in differ.items())
+    roots, sides = np.arange(len(sets)) % 40, np.arange(len(sets)) % 2
+    x, y = jaccard_join.near_pairs(sizes, sketches, roots, sides, rule)
+    got = {(min(a, b), max(a, b)) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
+    may = {(a, b) for a, b in every if roots[a] != roots[b] and sides[a] != sides[b]}
+    want = {(a, b) for a, b in may if rule.similar((sizes[a] + sizes[b] - differ[a, b]) // 2, sizes[a], sizes[b])}
+    assert len(got) == len(x) and want and want <= got <= may and len(got) < len(may)
