@@ -269,3 +269,25 @@ def test_sketches_lose_no_link(rule):
     may = {(a, b) for a, b in every if roots[a] != roots[b] and sides[a] != sides[b]}
     want = {(a, b) for a, b in may if rule.similar((sizes[a] + sizes[b] - differ[a, b]) // 2, sizes[a], sizes[b])}
     assert len(got) == len(x) and want and want <= got <= may and len(got) < len(may)
+
+
+def test_texts_are_not_shuffled_to_take_few_copies_out(spark):
+    rows = [(n, f"text number {n} of its own, with {n * n} and {n % 7} words") for n in range(6000)]
+    rows += [(10_000 + n, rows[n * 50][1]) for n in range(100)]
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, "8k")
+    try:
+        kept = corpus_pipeline.jaccard_join(spark, documents(spark, rows), "")
+        # The ids of all that stay are more than the threshold.
+        assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == firsts_by_text(rows)
+    finally:
+        spark.conf.set(name, usual)
+
+
+def firsts_by_text(rows):
+    best = {}
+    for d, t in rows:
+        best[t] = min(best.get(t, d), d)
+    return sorted((d, t) for t, d in best.items())
