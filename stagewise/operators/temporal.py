@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewise.contract import ContractError
+from stagewise.session import settle
 
 # Rows of both sides that one time bucket is to have, and how many buckets there are at most.
 BUCKET_ROWS, MAX_BUCKETS = 2_000_000, 4_000
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+LAST_TICK = 2**63 - 1
 
 
 def ticks(df: DataFrame, name: str) -> Column:
@@ -119,21 +122,30 @@ def interval_join(
     end: str,
     by: Sequence[str] = (),
     closed: str = "left",
+    sums: Mapping[str, Column] | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Every point with every interval that it lies in: all columns of both sides, those of ``by`` once.
 
     ``closed`` says which ends belong to an interval: ``left``, ``right``, ``both`` or ``neither``. Null points, ends and
     keys, and intervals that end before they start, match nothing.
 
+    With ``sums``, whole numbers of an interval by their new names, the result is this join grouped by its point rows: every
+    point that lies in any interval, with all its columns and the sums of these numbers over its intervals. Sums are those
+    of SQL: nulls are left out, and a sum beyond a long is an error. ``F.lit(1)`` counts. Pairs grow with the product of
+    both sides, so here none is made (``_interval_sums``).
+
     An interval is filed under bins of the power of two that is not less than its length, which are one or two. A point
     has one bin for each power that occurs, at most 64. So both sides meet in an equi-join, which adaptive execution splits
     where a bin is hot, and the ends are compared in it. A long interval costs two rows, like a short one.
     """
     if closed not in ("left", "right", "both", "neither"):
         raise ContractError(f"'{closed}' says not which ends are closed")
-    clashes = sorted((set(points.columns) & set(intervals.columns)) - set(by))
+    clashes = sorted(set(points.columns) & (set(intervals.columns) - set(by) if sums is None else set(sums)))
     if clashes:
         raise ContractError(f"both sides have the columns {clashes}")
+    if sums is not None:
+        return _interval_sums(points, intervals, point, start, end, by, closed, sums, bucket_rows)
     low, high = ticks(intervals, start), ticks(intervals, end)
     # Spans of more than 2**62 have its class, and up to five bins.
     span = F.least(F.greatest(high.cast("decimal(20,0)") - low, F.lit(1)), F.lit(2**62)).cast("long")
@@ -160,6 +172,81 @@ def interval_join(
     return at.join(filed, same).select(*kept)
 
 
+def _interval_sums(
+    points: DataFrame,
+    intervals: DataFrame,
+    point: str,
+    start: str,
+    end: str,
+    by: Sequence[str],
+    closed: str,
+    sums: Mapping[str, Column],
+    bucket_rows: int,
+) -> DataFrame:
+    """The points with sums over their intervals, in time that grows with the rows of both sides and not with the pairs.
+
+    An interval adds its numbers at the first tick that it has and takes them off at the first one after it, so the sums at
+    a tick are the running sums up to there. Ticks of both sides are grouped by key before anything is sorted. Running sums
+    are cut into buckets of time, with a carry between buckets, as in ``asof_join``. Points then look up their tick.
+    """
+    kinds = intervals.select(*[c.alias(n) for n, c in sums.items()]).schema.fields
+    for field in kinds:
+        if not isinstance(field.dataType, INTEGRAL):
+            raise ContractError(f"'{field.name}' is {field.dataType.simpleString()}, not a whole number")
+    names = [f"_k{n}" for n in range(len(by))]
+    keys = [F.col(f"`{k}`").alias(n) for k, n in zip(by, names, strict=True)]
+    filled = F.lit(True)
+    for k in by:
+        filled = filled & F.col(f"`{k}`").isNotNull()
+    low, high = ticks(intervals, start), ticks(intervals, end)
+    # After the last tick there is none: nothing begins there, and what would end there never does.
+    begins = low if closed in ("left", "both") else F.when(low < LAST_TICK, low + 1)
+    ends = F.when(high < LAST_TICK, high + 1) if closed in ("right", "both") else high
+    # Longs are summed in halves, so that running sums of up to 2**31 rows fit where the sum that is asked for does.
+    parts = {"_n": F.lit(1).cast("long")}
+    for n, (field, col) in enumerate(zip(kinds, sums.values(), strict=True)):
+        value = F.coalesce(col.cast("long"), F.lit(0).cast("long"))
+        wide = isinstance(field.dataType, T.LongType)
+        parts |= {f"_low{n}": value.bitwiseAND(F.lit(2**32 - 1)), f"_high{n}": F.shiftright(value, 32)} if wide else {f"_low{n}": value}
+        parts |= {f"_has{n}": col.isNotNull().cast("long")} if field.nullable else {}
+    held = intervals.where(filled & (low <= high)).select(
+        *keys, begins.alias("_begins"), ends.alias("_ends"), *[c.alias(p) for p, c in parts.items()]
+    )
+    held = held.where("_begins IS NOT NULL AND (_ends IS NULL OR _begins < _ends)")
+    both = F.array(
+        F.struct(F.col("_begins").alias("_t"), F.lit(1).cast("long").alias("_sign")),
+        F.struct(F.col("_ends").alias("_t"), F.lit(-1).cast("long").alias("_sign")),
+    )
+    changes = held.select(*names, *parts, F.inline(both)).where("_t IS NOT NULL")
+    changes = changes.select(*names, "_t", F.lit(False).alias("_asked"), *[(F.col(p) * F.col("_sign")).alias(p) for p in parts])
+    asked = points.where(filled).select(
+        *keys, ticks(points, point).alias("_t"), F.lit(True).alias("_asked"), *[F.lit(0).cast("long").alias(p) for p in parts]
+    )
+    steps = changes.unionByName(asked.where("_t IS NOT NULL")).groupBy(*names, "_t")
+    steps = settle(steps.agg(F.max("_asked").alias("_asked"), *[F.sum(p).alias(p) for p in parts]), "interval-steps")
+    tagged = steps.withColumn("_bucket", _time_bucket(steps, bucket_rows))
+    groups = [*names, "_bucket"]
+    inside = Window.partitionBy(*groups).orderBy("_t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = tagged.select(*groups, "_t", "_asked", *[F.sum(p).over(inside).alias(p) for p in parts]).where("_asked")
+    # One row for each bucket of a key: the sums of all buckets before it.
+    earlier = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tagged.groupBy(*groups).agg(*[F.sum(p).alias(p) for p in parts])
+    carried = carried.select(*groups, *[F.coalesce(F.sum(p).over(earlier), F.lit(0)).alias(f"{p}_before") for p in parts])
+    found = running.join(carried, groups).select(*names, "_t", *[(F.col(p) + F.col(f"{p}_before")).alias(p) for p in parts])
+    totals = []
+    for n, field in enumerate(kinds):
+        total = F.col(f"_low{n}")
+        if f"_high{n}" in parts:
+            total = (F.col(f"_high{n}").cast("decimal(20,0)") * F.lit(Decimal(2**32)) + total).cast("long")
+        totals.append((F.when(F.col(f"_has{n}") > 0, total) if field.nullable else total).alias(field.name))
+    found = settle(found.where("_n > 0").select(*names, "_t", *totals), "interval-sums")
+    same = F.col("_at") == F.col("_t")
+    for k, n in zip(by, names, strict=True):
+        same = same & (F.col(f"`{k}`") == F.col(n))
+    at = points.select("*", ticks(points, point).alias("_at"))
+    return at.join(found, same).select(*[F.col(f"`{c}`") for c in [*points.columns, *sums]])
+
+
 def overlap_join(
     left: DataFrame, right: DataFrame, left_ends: tuple[str, str], right_ends: tuple[str, str], by: Sequence[str] = ()
 ) -> DataFrame:

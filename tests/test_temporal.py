@@ -18,6 +18,7 @@ from stagewise.operators.profiles import column_profiles, merge_profiles, profil
 from stagewise.operators.temporal import asof_join, interval_join, overlap_join
 from stagewise.plans.derived import DerivedOptions, run_derived
 from stagewise.plans.hooks import Hooks
+from workload import QUERIES
 
 PART = "land_ts"
 
@@ -113,6 +114,83 @@ def test_overlaps_of_dates_and_odd_inputs(spark):
         interval_join(left, right, "s", "t", "f", closed="maybe")
 
 
+def joined_rows(plan):
+    """The most rows that a join of a plan that ran has made."""
+    rows = [plan.metrics().get("numOutputRows").get().value()] if "Join" in plan.nodeName() else [0]
+    inner = [getattr(plan, x)() for x, kind in (("executedPlan", "AdaptiveSparkPlan"), ("plan", "QueryStage")) if kind in plan.getClass().getSimpleName()]
+    children = plan.children()
+    return max([*rows, *map(joined_rows, [*inner, *[children.apply(n) for n in range(children.size())]])])
+
+
+@pytest.mark.parametrize("closed", ["left", "right", "both", "neither"])
+@pytest.mark.parametrize("by", [["k"], []])
+def test_sums_over_intervals_are_those_of_the_pairs(spark, closed, by):
+    rng = random.Random(7)
+    key = lambda: rng.choice([1, 1, 1, 2, 3, None])
+    ends = (-(2**63), 2**63 - 1)
+    points = [(key(), rng.choice([None, *range(-60, 60)]), n) for n in range(300)] + [(1, 7, 0), (1, 7, 0)]
+    points += [(k, x, 1000) for k in (1, 2) for x in (*ends, ends[1] - 1)]
+    spans = []
+    for n in range(200):
+        a = rng.randrange(-50, 50)
+        b = a + rng.choice([0, 0, 1, 1, 2, 9, 40, -1])
+        spans.append((key(), rng.choice([None, a, a, a]), b, rng.choice([None, n, -n, 2**33 + n, -(2**50) - n]), rng.choice([None, n, -n])))
+    spans += [(3, -80, 80, None, None), (1, 0, None, 1, 1), (2, ends[0], ends[1], 3, 3), (1, ends[1], ends[1], 5, 5), (1, ends[0], ends[0], 9, 9)]
+    low = (lambda p, a: p >= a) if closed in ("left", "both") else (lambda p, a: p > a)
+    high = (lambda p, b: p <= b) if closed in ("right", "both") else (lambda p, b: p < b)
+    # Where there is no point a sum may be beyond a long.
+    spans += [*[(1, 200, 210, 2**62, 0)] * 5, (1, 240, 260, -(2**62), 4), (1, 205, 260, -5, 4)]
+    points += [(1, 250, 1001)]
+    want = []
+    for k, p, i in points:
+        hit = [(v, w) for j, a, b, v, w in spans if None not in (p, a, b) and a <= b and low(p, a) and high(p, b) and (not by or None not in (k, j) and j == k)]
+        if hit:
+            whole = [[x for x in side if x is not None] for side in zip(*hit, strict=True)]
+            want.append((k, p, i, len(hit), *[sum(x) if x else None for x in whole], sum(whole[1]) + sum(x is not None for x in whole[1]) if whole[1] else None))
+    left = spark.createDataFrame(points, "k int, p long, i int").repartition(3)
+    right = spark.createDataFrame(spans, "k long, a long, b long, v long, w int").repartition(3)
+    asked = {"n": F.lit(1), "vs": F.col("v"), "ws": F.col("w"), "more": F.col("w") + 1}
+    got = interval_join(left, right, "p", "a", "b", by, closed, asked, bucket_rows=20)
+    assert got.columns == ["k", "p", "i", "n", "vs", "ws", "more"] and {d for _, d in got.dtypes[3:]} == {"bigint"}
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_sums_of_odd_inputs(spark):
+    day = lambda n: date(2024, 1, 1) + timedelta(days=n)
+    left = spark.createDataFrame([(day(3), 1), (day(9), 2)], "s date, i int")
+    right = spark.createDataFrame([(day(1), day(4), 2**62), (day(2), day(4), 2**62 - 1), (day(20), day(21), 2**62)], "t date, f date, v long")
+    asked = {"n": F.lit(1), "v": F.col("v")}
+    assert [tuple(r) for r in interval_join(left, right, "s", "t", "f", sums=asked).collect()] == [(day(3), 1, 2, 2**63 - 1)]
+    assert [tuple(r) for r in interval_join(left, right, "s", "t", "f", sums={}).collect()] == [(day(3), 1)]
+    assert interval_join(left, right.limit(0), "s", "t", "f", sums=asked).count() == 0
+    assert interval_join(left.limit(0), right, "s", "t", "f", sums=asked).count() == 0
+    with pytest.raises(ContractError, match="both sides"):
+        interval_join(left, right, "s", "t", "f", sums={"i": F.col("v")})
+    with pytest.raises(ContractError, match="not a whole number"):
+        interval_join(left, right, "s", "t", "f", sums={"x": F.col("v") / 2})
+    # One more in the same days is beyond a long.
+    with pytest.raises(Exception, match="OVERFLOW|out of range"):
+        interval_join(left, right.unionAll(right.limit(1)), "s", "t", "f", sums=asked).collect()
+
+
+def test_orders_with_their_lines_under_way_make_no_pairs(spark, path):
+    at = datetime(2024, 1, 1)
+    lines = [(100 * (n % 3), n, 1, at + timedelta(days=n % 40, hours=9), float(50 - n % 7)) for n in range(2000)]
+    orders = [(200 + 100 * (n % 3), n // 2, at + timedelta(days=30 + n % 30)) for n in range(2000)]
+    schemas = ("l_suppkey long, l_orderkey long, l_linenumber int, l_shipdate timestamp_ntz, l_quantity double", "o_custkey long, o_orderkey long, o_orderdate timestamp_ntz")
+    for name, rows, schema in (("lineitem", lines, schemas[0]), ("orders", orders, schemas[1])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{path}/{name}.parquet")
+    under_way = [(a.date(), a.date() + timedelta(days=int(q) + 2000 * (k % 100 == 0)), 10 * k + m) for _, k, m, a, q in lines]
+    whole, pairs = {}, 0
+    for _, o, t in orders:
+        hit = [w for a, b, w in under_way if a <= t.date() < b]
+        n, which = whole.get(o, (0, 0))
+        whole[o], pairs = (n + len(hit), which + sum(hit)), pairs + len(hit)
+    df = QUERIES["interval_join"](spark, path)
+    assert sorted(map(tuple, df.collect())) == sorted((o, *x) for o, x in whole.items()) and pairs > 3_000_000
+    assert joined_rows(df._jdf.queryExecution().executedPlan()) <= len(orders)
+
+
 # ---- profiles ---------------------------------------------------------------------------------------------------
 
 TYPED = Contract(

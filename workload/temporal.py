@@ -64,9 +64,9 @@ def q_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(spark, sf_dir, "orders").select(
         (F.col("o_custkey") % 100).alias("k"), "o_orderkey", F.to_date("o_orderdate").alias("day")
     )
-    found = interval_join(days, lines, "day", "a", "b", ["k"])
-    which = F.sum(F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("which")
-    return found.groupBy("o_orderkey").agg(F.count("*").alias("n"), which)
+    which = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    found = interval_join(days, lines, "day", "a", "b", ["k"], sums={"n": F.lit(1), "which": which})
+    return found.groupBy("o_orderkey").agg(F.sum("n").alias("n"), F.sum("which").alias("which"))
 
 
 @query(
